@@ -82,7 +82,9 @@ def fuzzy_any(text, term: str, max_edits: int = 2) -> Column:
     Spark's levenshtein counts a transposition as two edits (ES counts one).
     """
     t = (analyze(term) or [""])[0]
-    return F.exists(tokens(text), lambda x: F.levenshtein(x, F.lit(t), max_edits) <= max_edits)
+    # the thresholded form returns -1 once the distance exceeds max_edits
+    return F.exists(tokens(text),
+                    lambda x: F.levenshtein(x, F.lit(t), max_edits).between(0, max_edits))
 
 
 def highlight(text, query: str, pre_tag: str = DEFAULT_PRE_TAG,

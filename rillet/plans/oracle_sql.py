@@ -143,3 +143,284 @@ UNION ALL SELECT 'entry_filter', count(*) FROM page_log WHERE last_page_id IS NU
 UNION ALL SELECT 'dedup', count(*) FROM dau"""
 
 SQL["column_scan"] = with_(PAGE_LOG, DAU) + "SELECT dt, mid FROM dau"
+
+
+# ---- order wide table and read side ---------------------------------------
+
+def _tok(x: str) -> str:
+    return TOKENS.format(x=x)
+
+
+def _list(terms) -> str:
+    return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+
+
+def bm25_sql(terms: list[str], source: str, text: str) -> str:
+    """CTEs docs/st/scored: BM25 (k1=1.2, b=0.75) of ``text`` over ``source``."""
+    tfs = ", ".join(f"len(list_filter(toks, lambda x: x = '{t}')) AS tf{i}" for i, t in enumerate(terms))
+    dfs = ", ".join(f"count(*) FILTER (WHERE list_contains(toks, '{t}')) AS df{i}"
+                    for i, t in enumerate(terms))
+    parts = " + ".join(
+        f"ln(1 + (st.n - st.df{i} + 0.5) / (st.df{i} + 0.5)) * tf{i} * 2.2"
+        f" / (tf{i} + 1.2 * (0.25 + 0.75 * len(toks) / st.avgdl))" for i in range(len(terms)))
+    return f"""
+docs AS (SELECT *, {_tok(text)} AS toks FROM {source}),
+st AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl, {dfs} FROM docs),
+scored AS (SELECT d.*, ({parts}) AS score FROM (SELECT *, {tfs} FROM docs) d, st)"""
+
+
+def _hl(text: str, terms: list[str], pre: str = "<em>", post: str = "</em>") -> str:
+    alt = "|".join(sorted(terms, key=lambda s: (-len(s), s)))
+    pre_s, post_s = pre.replace("'", "''"), post.replace("'", "''")
+    return f"regexp_replace({text}, '\\b({alt})\\b', '{pre_s}\\1{post_s}', 'gi')"
+
+
+WIDE = with_(WIDE_CTES)
+W_TOKS = _tok("sku_name")
+
+SQL["order_wide"] = WIDE + """
+SELECT detail_id, order_id, sku_id, CAST(order_price AS DOUBLE) AS order_price, sku_num, sku_name,
+       CAST(split_total_amount AS DOUBLE) AS split_total_amount, create_time, province_id,
+       order_status, user_id, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(0 AS DOUBLE) AS feight_fee, create_date, create_hour,
+       province_name, province_area_code, province_iso_code, province_3166_2_code,
+       user_gender, user_age
+FROM order_wide"""
+
+SQL["order_full_outer"] = with_(ORDER_INFO.split("order_enriched AS")[0].rstrip().rstrip(","),
+                                ORDER_DETAIL) + """
+SELECT coalesce(o.id, d.order_id) AS order_id, d.id AS detail_id,
+       o.id IS NOT NULL AS has_order, d.id IS NOT NULL AS has_detail
+FROM order_info o FULL OUTER JOIN order_detail d ON o.id = d.order_id"""
+
+_STATS_BUCKETS = """
+m AS (SELECT * FROM order_wide WHERE list_has_all({toks}, ['widget'])),
+b AS (SELECT {field} AS k, count(*) AS n, sum(split_total_amount) AS amount
+      FROM m WHERE {field} IS NOT NULL GROUP BY 1 ORDER BY n DESC, k ASC LIMIT 100)"""
+
+SQL["stats_by_gender"] = with_(WIDE_CTES, _STATS_BUCKETS.format(toks=W_TOKS, field="user_gender")) + """
+SELECT CASE WHEN k = 'M' THEN '男' ELSE '女' END AS name, CAST(amount AS DOUBLE) AS value FROM b"""
+
+SQL["stats_by_age_band"] = with_(WIDE_CTES, _STATS_BUCKETS.format(toks=W_TOKS, field="user_age")) + """
+SELECT '30岁以下' AS name, CAST(coalesce(sum(amount) FILTER (WHERE k < 30), 0) AS DOUBLE) AS value FROM b
+UNION ALL SELECT '30-50岁', CAST(coalesce(sum(amount) FILTER (WHERE k >= 30 AND k <= 50), 0) AS DOUBLE) FROM b
+UNION ALL SELECT '50岁以上', CAST(coalesce(sum(amount) FILTER (WHERE k > 50), 0) AS DOUBLE) FROM b"""
+
+SQL["stats_unknown_type"] = WIDE + """
+SELECT CAST(NULL AS VARCHAR) AS name, CAST(NULL AS DOUBLE) AS value FROM order_wide WHERE false"""
+
+_RW = ["red", "widget"]
+
+SQL["detail_by_item"] = with_(WIDE_CTES, bm25_sql(_RW, "order_wide", "sku_name")) + f"""
+SELECT detail_id, {_hl('sku_name', _RW)} AS sku_name, sku_num, province_name,
+       CAST(order_price AS DOUBLE) AS order_price, CAST(total_amount AS DOUBLE) AS total_amount,
+       user_age, user_gender, create_time
+FROM scored WHERE list_has_all(toks, {_list(_RW)})
+ORDER BY score DESC, detail_id LIMIT 20 OFFSET 0"""
+
+SQL["detail_total"] = WIDE + f"""
+SELECT count(*) AS total FROM order_wide WHERE list_has_all({W_TOKS}, {_list(_RW)})"""
+
+SQL["missing_day"] = WIDE + f"""
+SELECT count(*) AS total FROM order_wide
+WHERE create_date = '1900-01-01' AND list_has_all({W_TOKS}, {_list(_RW)})"""
+
+SQL["term_filter"] = WIDE + "SELECT detail_id, user_age FROM order_wide WHERE user_age = 30"
+
+SQL["range_filter"] = WIDE + """
+SELECT detail_id, CAST(split_total_amount AS DOUBLE) AS split_total_amount
+FROM order_wide WHERE split_total_amount BETWEEN 1000 AND 2000"""
+
+SQL["bool_filter"] = WIDE + f"""
+SELECT detail_id, sku_name, user_gender, order_status FROM order_wide
+WHERE list_has_all({W_TOKS}, ['widget']) AND coalesce(user_gender = 'M', false)
+  AND NOT coalesce(order_status = 'F', false)"""
+
+SQL["exclude_fields"] = WIDE + """
+SELECT detail_id, order_id, sku_name, user_gender, province_name FROM order_wide"""
+
+SQL["sort_page"] = WIDE + """
+SELECT detail_id, CAST(split_total_amount AS DOUBLE) AS split_total_amount FROM order_wide
+ORDER BY split_total_amount DESC, detail_id LIMIT 10 OFFSET 20"""
+
+SQL["point_get"] = WIDE + """
+SELECT detail_id, order_id, sku_name, CAST(split_total_amount AS DOUBLE) AS split_total_amount
+FROM order_wide WHERE detail_id = 1001"""
+
+SQL["read_all"] = WIDE + "SELECT detail_id, order_id, sku_id, create_time FROM order_wide"
+
+SQL["max_agg"] = WIDE + "SELECT max(user_age) AS max_age FROM order_wide"
+
+SQL["group_count_top10"] = WIDE + """
+SELECT user_age, count(*) AS doc_count FROM order_wide WHERE user_age IS NOT NULL
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+
+SQL["nested_avg_topk"] = with_(WIDE_CTES, """
+pb AS (SELECT DISTINCT w.order_id, p.p_brand AS brand FROM order_wide w
+       LEFT JOIN part p ON w.sku_id = p.p_partkey WHERE p.p_brand IS NOT NULL),
+ot AS (SELECT DISTINCT order_id, total_amount FROM order_wide)""") + """
+SELECT brand, count(*) AS doc_count, round(CAST(avg(ot.total_amount) AS DOUBLE), 6) AS avg_amount
+FROM pb JOIN ot USING (order_id) GROUP BY brand
+ORDER BY avg(ot.total_amount) DESC, brand LIMIT 10"""
+
+SQL["match_any"] = WIDE + f"""
+SELECT detail_id, {_hl('sku_name', _RW, "<font color='red'>", "</font>")} AS sku_name
+FROM order_wide WHERE list_has_any({W_TOKS}, {_list(_RW)})"""
+
+SQL["fuzzy_match"] = WIDE + f"""
+SELECT detail_id, sku_name FROM order_wide
+WHERE len(list_filter({W_TOKS}, lambda x: levenshtein(x, 'widgit') <= 2)) > 0"""
+
+SQL["bm25_rank"] = with_(WIDE_CTES, bm25_sql(_RW, "order_wide", "sku_name")) + f"""
+SELECT detail_id, sku_name, round(score, 6) AS score FROM scored
+WHERE list_has_any(toks, {_list(_RW)}) ORDER BY score DESC, detail_id LIMIT 100"""
+
+# ---- log routes --------------------------------------------------------------
+
+LOG_ROWS = """
+lg AS (SELECT *, CAST(page_item AS INTEGER) AS k FROM page_log)"""
+
+_DEV = """CAST(province_id AS VARCHAR) AS province_id, channel, is_new, model, mid,
+       operate_system, user_id, version_code"""
+_PG = "page_id, last_page_id, page_item, page_item_type, during_time"
+
+SQL["log_error_route"] = with_(PAGE_LOG, LOG_ROWS) + """
+SELECT '{"error_code":' || CAST(k AS VARCHAR) || ',"msg":"boom"}' AS err FROM lg
+WHERE page_id = 'error'"""
+
+SQL["log_page_route"] = with_(PAGE_LOG, LOG_ROWS) + f"""
+SELECT {_DEV}, brand, during_time, page_item, page_item_type, last_page_id, page_id,
+       sourceType, ts
+FROM lg WHERE page_id <> 'error'"""
+
+SQL["log_action_explode"] = with_(PAGE_LOG, LOG_ROWS) + f"""
+SELECT {_DEV}, {_PG}, 'act' || CAST(i AS VARCHAR) AS action_id, page_item AS action_item,
+       'sku_id' AS action_item_type, ts + (i + 1) * 1000 AS action_ts, ts
+FROM (SELECT *, unnest(range(k % 3)) AS i FROM lg WHERE page_id <> 'error')"""
+
+_DISP = """'promotion' AS displayType, CAST(k + i AS VARCHAR) AS display_item,
+       'sku_id' AS display_item_type, CAST(i + 1 AS VARCHAR) AS "order",
+       CAST(i % 3 + 1 AS VARCHAR) AS pos_id, ts"""
+
+SQL["log_display_explode"] = with_(PAGE_LOG, LOG_ROWS) + f"""
+SELECT {_DEV}, {_PG}, {_DISP}
+FROM (SELECT *, unnest(range(k % 4)) AS i FROM lg WHERE page_id <> 'error')"""
+
+SQL["log_display_compat"] = with_(PAGE_LOG, LOG_ROWS) + f"""
+SELECT {_DEV}, {_PG}, {_DISP}
+FROM (SELECT *, unnest(range(k % 4)) AS i
+      FROM (SELECT *, unnest(range(k % 3)) AS a FROM lg WHERE page_id <> 'error'))"""
+
+SQL["log_start_route"] = with_(PAGE_LOG, LOG_ROWS) + f"""
+SELECT {_DEV}, 'icon' AS entry, during_time AS loading_time, CAST(k AS VARCHAR) AS open_ad_id,
+       CAST(k * 10 AS BIGINT) AS open_ad_ms, CAST(0 AS BIGINT) AS open_ad_skip_ms, ts
+FROM lg WHERE page_id = 'signup'"""
+
+SQL["log_route_counts"] = with_(PAGE_LOG, LOG_ROWS) + """
+SELECT 'error' AS route, count(*) FILTER (WHERE page_id = 'error') AS rows FROM lg
+UNION ALL SELECT 'page', count(*) FILTER (WHERE page_id <> 'error') FROM lg
+UNION ALL SELECT 'action', CAST(sum(CASE WHEN page_id <> 'error' THEN k % 3 ELSE 0 END) AS BIGINT) FROM lg
+UNION ALL SELECT 'display', CAST(sum(CASE WHEN page_id <> 'error' THEN k % 4 ELSE 0 END) AS BIGINT) FROM lg
+UNION ALL SELECT 'display_compat',
+  CAST(sum(CASE WHEN page_id <> 'error' THEN (k % 3) * (k % 4) ELSE 0 END) AS BIGINT) FROM lg
+UNION ALL SELECT 'start', count(*) FILTER (WHERE page_id = 'signup') FROM lg"""
+
+# ---- change records ----------------------------------------------------------
+
+CDC = """
+cdc AS (
+  SELECT CASE o_custkey % 3 WHEN 0 THEN 'order_info' WHEN 1 THEN 'user_info'
+              ELSE 'base_province' END AS "table",
+         CASE o_orderkey % 6 WHEN 0 THEN 'bootstrap-start' WHEN 1 THEN 'bootstrap-insert'
+              WHEN 2 THEN 'insert' WHEN 3 THEN 'update' WHEN 4 THEN 'delete'
+              ELSE 'bootstrap-complete' END AS type,
+         o_orderkey AS seq, o_custkey, o_orderstatus AS status, o_totalprice AS amount
+  FROM orders),
+ops AS (
+  SELECT *, CASE "table" WHEN 'order_info' THEN seq WHEN 'user_info' THEN o_custkey
+                 ELSE o_custkey % 25 END AS id
+  FROM (SELECT *, CASE type WHEN 'bootstrap-insert' THEN 'I' WHEN 'insert' THEN 'I'
+                            WHEN 'update' THEN 'U' WHEN 'delete' THEN 'D' END AS op FROM cdc)
+  WHERE op IS NOT NULL)"""
+
+SQL["cdc_op_map"] = with_(CDC) + 'SELECT seq, "table", type, op, id FROM ops'
+
+SQL["cdc_fact_route"] = with_(CDC) + """
+SELECT 'DWD_' || upper("table") || '_' || op AS topic, CAST(id AS VARCHAR) AS key, seq
+FROM ops WHERE "table" IN ('order_info', 'user_info')"""
+
+SQL["cdc_dim_latest"] = with_(CDC) + """
+SELECT 'DIM:' || upper("table") || ':' || CAST(id AS VARCHAR) AS dim_key, "table", id, op, seq,
+       status, round(amount, 2) AS amount
+FROM (SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY seq DESC) AS rn
+      FROM ops WHERE "table" IN ('user_info', 'base_province'))
+WHERE rn = 1 AND op <> 'D'"""
+
+# ---- documents, roll-up, partitioner, scalars ----------------------------------
+
+USER_DOCS = """
+user_docs AS (
+  SELECT c.c_custkey AS id, c.c_name AS name, CAST(2024 - year(u.birthday) AS INTEGER) AS age,
+         CASE WHEN u.gender = 'M' THEN '男' ELSE '女' END AS sex, CAST(0 AS BIGINT) AS seq
+  FROM customer c LEFT JOIN user_info u ON c.c_custkey = u.id),
+user_changes AS (
+  SELECT o_custkey AS id, 'order_' || CAST(o_orderkey AS VARCHAR) AS name,
+         CAST(o_orderkey % 80 AS INTEGER) AS age,
+         CASE WHEN o_orderstatus = 'F' THEN '女' ELSE '男' END AS sex, o_orderkey AS seq
+  FROM orders),
+latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM user_changes)
+  WHERE rn = 1)"""
+
+SQL["upsert_last_wins"] = with_(USER_INFO, USER_DOCS) + """
+SELECT * FROM user_docs WHERE id NOT IN (SELECT id FROM latest)
+UNION ALL SELECT id, name, age, sex, seq FROM latest"""
+
+SQL["partial_update"] = with_(USER_INFO, USER_DOCS) + """
+SELECT d.id, d.name, d.age, CASE WHEN l.id IS NOT NULL THEN l.sex ELSE d.sex END AS sex, d.seq
+FROM user_docs d LEFT JOIN latest l ON d.id = l.id"""
+
+SQL["update_by_query"] = with_(WIDE_CTES, """
+items AS (SELECT w.order_id, w.order_status, w.sku_id AS id, p.p_brand AS name
+          FROM order_wide w LEFT JOIN part p ON w.sku_id = p.p_partkey)""") + """
+SELECT order_id, any_value(order_status) AS order_status, CAST(count(*) AS INTEGER) AS n_items,
+       min(id) AS first_id,
+       CASE WHEN any_value(order_status) = 'O' THEN 'renamed' ELSE arg_min(name, id) END
+         AS first_name
+FROM items GROUP BY order_id"""
+
+SQL["delete_by_id"] = with_(USER_INFO, USER_DOCS) + "SELECT * FROM user_docs WHERE id <> 1"
+
+SQL["bulk_delete"] = with_(USER_INFO, USER_DOCS, CDC) + """
+SELECT * FROM user_docs
+WHERE id NOT IN (SELECT id FROM ops WHERE "table" = 'user_info' AND op = 'D')"""
+
+SQL["append_new"] = with_(USER_INFO, USER_DOCS) + """
+SELECT CAST(id AS VARCHAR) AS id, name, seq FROM user_docs
+UNION ALL
+SELECT md5(name || '|' || CAST(seq AS VARCHAR)) AS id, name, seq
+FROM (SELECT 'pending_' || CAST(o_orderkey AS VARCHAR) AS name, o_orderkey AS seq
+      FROM orders WHERE o_orderstatus = 'P')"""
+
+SQL["event_rollup"] = """
+WITH e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS ts FROM events),
+c AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NULL OR lag(event_type) OVER w <> event_type
+                     THEN 1 ELSE 0 END AS chg
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+r AS (SELECT *, CAST(sum(chg) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                    ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_no FROM c)
+SELECT user_id, event_type, run_no, min(ts) AS start_time, max(ts) AS end_time,
+       arg_min(value, ts) AS start_value, arg_max(value, ts) AS end_value,
+       min(value) AS min_value, max(value) AS max_value, count(*) AS n_rows
+FROM r GROUP BY user_id, event_type, run_no"""
+
+SQL["route_partition_ids"] = """
+SELECT event_type AS key,
+       CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 ELSE 3 END
+         AS partition_id,
+       count(*) AS n
+FROM events GROUP BY 1, 2"""
+
+SQL["scalar_map_json"] = """
+SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type"""

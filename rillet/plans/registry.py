@@ -6,13 +6,59 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.plans import dau
+from rillet.plans import dau, documents, orders, publisher, routes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
-    "dau_realtime_hours": lambda s, d: dau.dau_realtime_hours(s, d),
-    "dau_wide": lambda s, d: dau.dau_wide(s, d),
-    "stage_counts": lambda s, d: dau.stage_counts(s, d),
-    "column_scan": lambda s, d: dau.column_scan(s, d),
+    # daily actives
+    "dau_realtime_hours": dau.dau_realtime_hours,
+    "dau_wide": dau.dau_wide,
+    "stage_counts": dau.stage_counts,
+    "column_scan": dau.column_scan,
+    # log routing
+    "log_route_counts": routes.log_route_counts,
+    "log_error_route": routes.log_error_route,
+    "log_page_route": routes.log_page_route,
+    "log_action_explode": routes.log_action_explode,
+    "log_display_explode": routes.log_display_explode,
+    "log_display_compat": routes.log_display_compat,
+    "log_start_route": routes.log_start_route,
+    # change records
+    "cdc_op_map": routes.cdc_op_map,
+    "cdc_fact_route": routes.cdc_fact_route,
+    "cdc_dim_latest": routes.cdc_dim_latest,
+    # order wide table
+    "order_full_outer": orders.order_full_outer,
+    "order_wide": orders.order_wide_report,
+    # read side
+    "stats_by_gender": publisher.stats_by_gender,
+    "stats_by_age_band": publisher.stats_by_age_band,
+    "stats_unknown_type": publisher.stats_unknown_type,
+    "detail_by_item": publisher.detail_by_item,
+    "detail_total": publisher.detail_total,
+    "missing_day": publisher.missing_day,
+    "term_filter": publisher.term_filter,
+    "range_filter": publisher.range_filter,
+    "bool_filter": publisher.bool_filter,
+    "exclude_fields": publisher.exclude_fields_q,
+    "sort_page": publisher.sort_page,
+    "point_get": publisher.point_get,
+    "read_all": publisher.read_all,
+    "max_agg": publisher.max_agg,
+    "group_count_top10": publisher.group_count_top10,
+    "nested_avg_topk": publisher.nested_avg_topk,
+    "match_any": publisher.match_any_q,
+    "fuzzy_match": publisher.fuzzy_match,
+    "bm25_rank": publisher.bm25_rank,
+    # keyed documents (M1-M6 K4 K6 U3), roll-up (D6), partitioner (U1 U2), scalars
+    "upsert_last_wins": documents.upsert_last_wins,
+    "partial_update": documents.partial_update,
+    "update_by_query": documents.update_by_query,
+    "delete_by_id": documents.delete_by_id,
+    "bulk_delete": documents.bulk_delete,
+    "append_new": documents.append_new,
+    "event_rollup": documents.event_rollup,
+    "route_partition_ids": documents.route_partition_ids,
+    "scalar_map_json": documents.scalar_map_json,
 }

@@ -198,14 +198,15 @@ def part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change records (table, type, data JSON, seq) from orders.
 
-    type cycles by o_orderkey % 6, table by o_orderkey % 3; data.id is the order
-    key, the customer key, or customer key % 25 (province) per table.
+    type cycles by o_orderkey % 6, table by o_custkey % 3 (so all changes of one
+    customer land in one table); data.id is the order key, the customer key, or
+    customer key % 25 (province) per table.
     """
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
               "o_totalprice", "o_orderpriority")
     types = F.array(*[F.lit(t) for t in CDC_TYPES])
     tables = F.array(*[F.lit(t) for t in CDC_TABLES])
-    tname = F.element_at(tables, (F.col("o_orderkey") % 3 + 1).cast("int"))
+    tname = F.element_at(tables, (F.col("o_custkey") % 3 + 1).cast("int"))
     rid = (F.when(tname == "order_info", F.col("o_orderkey"))
            .when(tname == "user_info", F.col("o_custkey"))
            .otherwise(F.col("o_custkey") % 25))
