@@ -65,16 +65,21 @@ WIDE_ORDER = ["province_id", "order_status", "user_id", "total_amount",
               "user_gender", "user_age"]
 
 
-def order_wide(orders: DataFrame, details: DataFrame, how: str = "inner") -> DataFrame:
+def order_wide(orders: DataFrame, details: DataFrame, how: str = "inner",
+               extra: Column | None = None) -> DataFrame:
     """Merge an enriched order with each of its details into one wide row.
 
     Precedence follows the merge order (order copied first, detail second):
     create_time is the detail's, create_date/create_hour are the order's,
-    detail_id = detail.id, order_id = order.id.
+    detail_id = detail.id, order_id = order.id. ``extra`` may reference the
+    aliases ``o`` and ``d``.
     """
     o = orders.alias("o")
     d = details.alias("d")
-    j = d.join(o, F.col("d.order_id") == F.col("o.id"), how)
+    cond = F.col("d.order_id") == F.col("o.id")
+    if extra is not None:  # e.g. the event-time range of a stream-stream join
+        cond = cond & extra
+    j = d.join(o, cond, how)
     cols = [F.col("d.id").alias("detail_id"), F.col("o.id").alias("order_id")]
     cols += [F.col(f"d.{c}") for c in WIDE_DETAIL]
     cols += [F.col("d.create_time").alias("create_time")]

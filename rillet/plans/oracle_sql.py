@@ -424,3 +424,33 @@ FROM events GROUP BY 1, 2"""
 
 SQL["scalar_map_json"] = """
 SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type"""
+
+# ---- streaming replays (final sink content) -----------------------------------
+
+SQL["stream_dau_dedup"] = with_(PAGE_LOG, DAU, USER_INFO, PROVINCE) + """
+SELECT d.dt, d.mid, u.user_gender, u.user_age, p.name AS province_name
+FROM dau d LEFT JOIN user_dim u ON CAST(d.user_id AS BIGINT) = u.id
+LEFT JOIN base_province p ON d.province_id = p.id"""
+
+SQL["stream_restart"] = with_(PAGE_LOG, DAU) + "SELECT dt, count(*) AS n FROM dau GROUP BY dt"
+
+SQL["state_rebuild"] = with_(PAGE_LOG, DAU) + """
+SELECT dt, mid, CAST(1 AS BIGINT) AS copies FROM dau"""
+
+SQL["stream_order_join"] = WIDE + """
+SELECT detail_id, order_id, create_date, user_gender, province_name,
+       CAST(split_total_amount AS DOUBLE) AS split_total_amount
+FROM order_wide"""
+
+SQL["stream_log_routes"] = with_(PAGE_LOG, LOG_ROWS) + """
+SELECT 'error' AS route, count(*) FILTER (WHERE page_id = 'error') AS rows FROM lg
+UNION ALL SELECT 'page', count(*) FILTER (WHERE page_id <> 'error') FROM lg
+UNION ALL SELECT 'action', CAST(sum(CASE WHEN page_id <> 'error' THEN k % 3 ELSE 0 END) AS BIGINT) FROM lg
+UNION ALL SELECT 'display', CAST(sum(CASE WHEN page_id <> 'error' THEN k % 4 ELSE 0 END) AS BIGINT) FROM lg
+UNION ALL SELECT 'start', count(*) FILTER (WHERE page_id = 'signup') FROM lg"""
+
+SQL["stream_cdc_dims"] = with_(CDC) + """
+SELECT 'DIM:' || upper("table") || ':' || CAST(id AS VARCHAR) AS dim_key, "table", id, op, seq
+FROM (SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY seq DESC) AS rn
+      FROM ops WHERE "table" IN ('user_info', 'base_province'))
+WHERE rn = 1 AND op <> 'D'"""

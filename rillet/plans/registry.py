@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.plans import dau, documents, orders, publisher, routes
+from rillet.plans import dau, documents, orders, publisher, routes, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,4 +61,11 @@ QUERIES: dict[str, Query] = {
     "event_rollup": documents.event_rollup,
     "route_partition_ids": documents.route_partition_ids,
     "scalar_map_json": documents.scalar_map_json,
+    # streaming replays
+    "stream_dau_dedup": streams.stream_dau_dedup,
+    "stream_restart": streams.stream_restart,
+    "state_rebuild": streams.state_rebuild,
+    "stream_order_join": streams.stream_order_join,
+    "stream_log_routes": streams.stream_log_routes,
+    "stream_cdc_dims": streams.stream_cdc_dims,
 }
