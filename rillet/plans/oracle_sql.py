@@ -454,3 +454,125 @@ SELECT 'DIM:' || upper("table") || ':' || CAST(id AS VARCHAR) AS dim_key, "table
 FROM (SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY seq DESC) AS rn
       FROM ops WHERE "table" IN ('user_info', 'base_province'))
 WHERE rn = 1 AND op <> 'D'"""
+
+# ---- dashboard (Q1-Q15) ---------------------------------------------------------
+
+PAGES = """
+pages AS (SELECT *, strftime(epoch_ms(ts), '%Y-%m-%d') AS dt FROM page_log)"""
+
+SESSIONS = """
+s1 AS (SELECT *, sum(CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY mid, dt ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS session_no
+       FROM pages),
+sess AS (SELECT mid, dt, session_no, count(*) AS pages, sum(during_time) AS duration_ms,
+                arg_min(channel, ts) AS channel, arg_min(is_new, ts) AS is_new
+         FROM s1 GROUP BY mid, dt, session_no)"""
+
+
+def _pct_sql(part: str, whole: str) -> str:
+    return f"CAST({part} AS DOUBLE) * CAST(100.0 AS DOUBLE) / CAST({whole} AS DOUBLE)"
+
+
+SQL["q01_pv"] = with_(PAGE_LOG, PAGES) + "SELECT dt, count(*) AS pv FROM pages GROUP BY dt"
+
+SQL["q02_uv"] = with_(PAGE_LOG, PAGES) + "SELECT dt, count(DISTINCT mid) AS uv FROM pages GROUP BY dt"
+
+SQL["q03_visit_total"] = with_(PAGE_LOG, PAGES) + """
+SELECT count(*) AS pv_count, count(DISTINCT mid) AS uv_count,
+       count(DISTINCT CASE WHEN is_new = '1' THEN mid END) AS new_count FROM pages"""
+
+SQL["q04_new_visit_stats"] = with_(PAGE_LOG, PAGES, SESSIONS, f"""
+by_new AS (
+  SELECT is_new, CAST(sum(pages) AS DOUBLE) AS page_views,
+         CAST(count(DISTINCT mid) AS DOUBLE) AS visitors,
+         {_pct_sql("count(*) FILTER (WHERE pages = 1)", "count(*)")} AS bounce_rate,
+         avg(duration_ms) / CAST(1000.0 AS DOUBLE) AS avg_duration_s,
+         CAST(sum(pages) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_pages
+  FROM sess GROUP BY is_new),
+longf AS (
+  SELECT is_new, 'page_views' AS field, page_views AS v FROM by_new
+  UNION ALL SELECT is_new, 'visitors', visitors FROM by_new
+  UNION ALL SELECT is_new, 'bounce_rate', bounce_rate FROM by_new
+  UNION ALL SELECT is_new, 'avg_duration_s', avg_duration_s FROM by_new
+  UNION ALL SELECT is_new, 'avg_pages', avg_pages FROM by_new)""") + """
+SELECT field, max(CASE WHEN is_new = '0' THEN v END) AS old,
+       max(CASE WHEN is_new = '1' THEN v END) AS new
+FROM longf GROUP BY field"""
+
+SQL["q05_channel_pv"] = with_(PAGE_LOG, PAGES) + """
+SELECT channel, count(*) AS pv FROM pages GROUP BY channel"""
+
+SQL["q06_channel_bounce"] = with_(PAGE_LOG, PAGES, SESSIONS) + f"""
+SELECT channel, count(*) AS sessions, count(*) FILTER (WHERE pages = 1) AS bounces,
+       {_pct_sql("count(*) FILTER (WHERE pages = 1)", "count(*)")} AS bounce_rate
+FROM sess GROUP BY channel"""
+
+SQL["q07_page_path"] = with_(PAGE_LOG, PAGES) + """
+SELECT last_page_id AS source, page_id AS target, count(*) AS value
+FROM pages WHERE last_page_id IS NOT NULL GROUP BY 1, 2"""
+
+_ORD = "o AS (SELECT o_orderkey AS id, o_custkey AS user_id, o_orderstatus AS order_status, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount FROM orders)"
+
+SQL["q08_user_action_convert"] = with_(PAGE_LOG, PAGES, _ORD, """
+c AS (SELECT count(DISTINCT CASE WHEN page_id = 'view' THEN mid END) AS s0,
+             count(DISTINCT CASE WHEN page_id = 'click' THEN mid END) AS s1,
+             count(DISTINCT CASE WHEN page_id = 'purchase' THEN mid END) AS s2 FROM pages),
+oc AS (SELECT count(DISTINCT user_id) AS s3,
+              count(DISTINCT CASE WHEN order_status = 'F' THEN user_id END) AS s4 FROM o),
+steps AS (
+  SELECT 1 AS step_no, '首页' AS step, s0 AS users FROM c
+  UNION ALL SELECT 2, '商品详情', s1 FROM c
+  UNION ALL SELECT 3, '加购物车', s2 FROM c
+  UNION ALL SELECT 4, '订单', s3 FROM oc
+  UNION ALL SELECT 5, '支付', s4 FROM oc)""") + f"""
+SELECT step_no, step, users, {_pct_sql("users", "(SELECT s0 FROM c)")} AS pct FROM steps"""
+
+SQL["q09_user_paid"] = with_(PAGE_LOG, PAGES, _ORD) + """
+SELECT p.uid IS NOT NULL AS paid, count(*) AS users
+FROM (SELECT DISTINCT CAST(mid AS BIGINT) AS uid FROM pages) a
+LEFT JOIN (SELECT DISTINCT user_id AS uid FROM o WHERE order_status = 'F') p ON a.uid = p.uid
+GROUP BY 1"""
+
+SQL["q10_user_total"] = with_(PAGE_LOG, PAGES, _ORD, """
+u AS (SELECT CAST(mid AS BIGINT) AS uid, bool_or(is_new = '1') AS is_new FROM pages GROUP BY 1),
+pu AS (SELECT user_id AS uid, sum(total_amount) AS amount FROM o GROUP BY 1),
+j AS (SELECT u.is_new, pu.amount FROM u FULL OUTER JOIN pu ON u.uid = pu.uid)""") + """
+SELECT count(*) FILTER (WHERE is_new IS NOT NULL) AS user_total,
+       count(*) FILTER (WHERE amount IS NOT NULL) AS order_user_total,
+       count(*) FILTER (WHERE is_new) AS new_user_count,
+       count(*) FILTER (WHERE is_new AND amount IS NOT NULL) AS new_order_user_count,
+       CAST(sum(amount) AS DOUBLE) / CAST(count(*) FILTER (WHERE amount IS NOT NULL) AS DOUBLE)
+         AS pct
+FROM j"""
+
+SALES = """
+sales AS (SELECT w.*, p.p_brand AS tm_name, p.p_type AS category_name
+          FROM order_wide w LEFT JOIN part p ON w.sku_id = p.p_partkey)"""
+
+
+def _top_sql(key: str) -> str:
+    return f"""
+SELECT name, CAST(amount AS DOUBLE) AS value FROM (
+  SELECT {key} AS name, sum(split_total_amount) AS amount FROM sales GROUP BY 1
+  ORDER BY amount DESC, name LIMIT 10)"""
+
+
+SQL["q11_spu"] = with_(WIDE_CTES, SALES) + _top_sql("sku_name")
+SQL["q12_tm"] = with_(WIDE_CTES, SALES) + _top_sql("tm_name")
+
+SQL["q13_category"] = with_(WIDE_CTES, SALES, """
+agg AS (SELECT category_name AS name, sum(split_total_amount) AS amount FROM sales GROUP BY 1),
+top AS (SELECT * FROM agg ORDER BY amount DESC, name LIMIT 10)""") + """
+SELECT name, CAST(amount AS DOUBLE) AS value FROM top
+UNION ALL
+SELECT '其他', CAST(sum(amount) AS DOUBLE) FROM agg WHERE name NOT IN (SELECT name FROM top)
+HAVING sum(amount) IS NOT NULL"""
+
+SQL["q14_area"] = WIDE + """
+SELECT province_name, count(DISTINCT order_id) AS order_count FROM order_wide GROUP BY 1"""
+
+SQL["q15_order_total"] = WIDE + """
+SELECT count(*) AS order_count, CAST(sum(total_amount) AS DOUBLE) AS order_amount,
+       count(DISTINCT user_id) AS order_user
+FROM (SELECT order_id, any_value(total_amount) AS total_amount, any_value(user_id) AS user_id
+      FROM order_wide GROUP BY order_id)"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.plans import dau, documents, orders, publisher, routes, streams
+from rillet.plans import dashboard, dau, documents, orders, publisher, routes, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,22 @@ QUERIES: dict[str, Query] = {
     "event_rollup": documents.event_rollup,
     "route_partition_ids": documents.route_partition_ids,
     "scalar_map_json": documents.scalar_map_json,
+    # dashboard (Q1-Q15)
+    "q01_pv": dashboard.q01_pv,
+    "q02_uv": dashboard.q02_uv,
+    "q03_visit_total": dashboard.q03_visit_total,
+    "q04_new_visit_stats": dashboard.q04_new_visit_stats,
+    "q05_channel_pv": dashboard.q05_channel_pv,
+    "q06_channel_bounce": dashboard.q06_channel_bounce,
+    "q07_page_path": dashboard.q07_page_path,
+    "q08_user_action_convert": dashboard.q08_user_action_convert,
+    "q09_user_paid": dashboard.q09_user_paid,
+    "q10_user_total": dashboard.q10_user_total,
+    "q11_spu": dashboard.q11_spu,
+    "q12_tm": dashboard.q12_tm,
+    "q13_category": dashboard.q13_category,
+    "q14_area": dashboard.q14_area,
+    "q15_order_total": dashboard.q15_order_total,
     # streaming replays
     "stream_dau_dedup": streams.stream_dau_dedup,
     "stream_restart": streams.stream_restart,
