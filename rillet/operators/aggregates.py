@@ -3,7 +3,7 @@ partial aggregate before the shuffle, so hot keys are pre-combined."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.text import match_all
@@ -37,29 +37,38 @@ def dau_hours(dau: DataFrame, date: str | None = None) -> DataFrame:
     """A3 + A4: per day, 24 hour rows with today's count, the previous calendar
     day's count (0 when absent) and today's total.
 
-    One scan (dt in (d, d-1) when a date is given); the joins are between small
-    aggregated frames (days x 24 rows).
+    One pass: the (dt, hr) counts (a days x 24 frame) are exploded into a
+    "today" row, a "next day's yesterday" row and the 24 hour slots of the day,
+    then summed per (dt, hr); no self-join of the input.
     """
     src = dau
     if date is not None:
         src = dau.where((F.col("dt") == F.lit(date)) | (F.col("dt") == previous_day(F.lit(date))))
     counts = src.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"))
-    if date is None:
-        days = counts.select("dt").distinct()
-    else:
-        days = counts.sparkSession.range(1).select(F.lit(date).alias("dt"))
-    grid = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))).alias("h")) \
-        .select("dt", F.lpad(F.col("h").cast("string"), 2, "0").alias("hr"))
-    td = counts.select("dt", "hr", F.col("n").alias("dau_td"))
-    yd = counts.select(F.date_format(F.date_add(F.to_date("dt"), 1), "yyyy-MM-dd").alias("dt"),
-                       "hr", F.col("n").alias("dau_yd"))
-    totals = counts.groupBy("dt").agg(F.sum("n").alias("dau_total"))
-    return (grid.join(td, ["dt", "hr"], "left").join(yd, ["dt", "hr"], "left")
-            .join(totals, ["dt"], "left")
-            .select("dt", "hr",
-                    F.coalesce("dau_td", F.lit(0)).cast("bigint").alias("dau_td"),
-                    F.coalesce("dau_yd", F.lit(0)).cast("bigint").alias("dau_yd"),
-                    F.coalesce("dau_total", F.lit(0)).cast("bigint").alias("dau_total")))
+    zero = F.lit(0).cast("bigint")
+    nxt = F.date_format(F.date_add(F.to_date("dt"), 1), "yyyy-MM-dd")
+    slots = F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: F.struct(
+        F.col("dt").alias("dt"), F.lpad(h.cast("string"), 2, "0").alias("hr"),
+        zero.alias("td"), zero.alias("yd"), F.lit(1).alias("present")))
+    rows = F.concat(
+        F.array(F.struct(F.col("dt").alias("dt"), F.col("hr").alias("hr"), F.col("n").alias("td"),
+                         zero.alias("yd"), F.lit(1).alias("present")),
+                F.struct(nxt.alias("dt"), F.col("hr").alias("hr"), zero.alias("td"),
+                         F.col("n").alias("yd"), F.lit(0).alias("present"))),
+        slots)
+    ex = counts.select(F.explode(rows).alias("r")).select("r.*")
+    if date is not None:
+        ex = ex.where(F.col("dt") == F.lit(date)).withColumn("present", F.lit(1))
+    per = (ex.groupBy("dt", "hr")
+           .agg(F.sum("td").alias("dau_td"), F.sum("yd").alias("dau_yd"),
+                F.max("present").alias("present"))
+           .where(F.col("present") == 1))
+    # day total over the small (days x 24) frame, without re-reading the input
+    per = per.withColumn("dau_total", F.sum("dau_td").over(Window.partitionBy("dt")))
+    return per.select(
+        "dt", "hr", F.col("dau_td").cast("bigint").alias("dau_td"),
+        F.col("dau_yd").cast("bigint").alias("dau_yd"),
+        F.col("dau_total").cast("bigint").alias("dau_total"))
 
 
 TYPE_TO_FIELD = {"gender": "user_gender", "age": "user_age"}

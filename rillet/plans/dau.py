@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.functions.misc import copy_fields
+from rillet.functions.time import day_of, hour_of
 from rillet.operators import aggregates, dedup, joins
 from rillet.schemas import DAU_INFO_FIELDS
 from rillet.sources import adapters
@@ -33,8 +34,12 @@ def dau_realtime_hours(spark: SparkSession, sf_dir: str, date: str | None = None
                        tz: str = "UTC") -> DataFrame:
     """A1-A4 over the deduplicated daily actives: per day and hour, today's and
     the previous day's counts and today's total."""
-    dau = dau_rows(adapters.page_log(spark, sf_dir), tz).select("dt", "hr", "mid")
-    return aggregates.dau_hours(dau, date)
+    # the hour of a device's first entry page is the hour of its earliest entry
+    # ts, so the dedup reduces to min(ts) per (dt, mid): a hash aggregate
+    e = dedup.entry_pages(adapters.page_log(spark, sf_dir)).select("mid", "ts")
+    e = e.withColumn("dt", day_of("ts", tz))
+    first = e.groupBy("dt", "mid").agg(F.min("ts").alias("ts"))
+    return aggregates.dau_hours(first.select("dt", hour_of("ts", tz).alias("hr"), "mid"), date)
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
