@@ -8,7 +8,7 @@ newest day of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.time import day_of
@@ -157,15 +157,19 @@ def q12_tm(spark, sf_dir, num=TOP_N):
 
 
 def q13_category(spark, sf_dir, num=TOP_N):
-    """Top-n categories plus one remainder row for all other categories."""
+    """Top-n categories plus one remainder row for all other categories.
+
+    One pass: the per-category sums (one row per category) are ranked, and
+    categories past ``num`` fold into the remainder row.
+    """
     s = _sales(spark, sf_dir)
     agg = s.groupBy(F.col("category_name").alias("name")) \
         .agg(F.sum("split_total_amount").alias("amount"))
-    top = agg.orderBy(F.desc("amount"), F.asc("name")).limit(num)
-    rest = agg.join(top.select("name"), "name", "left_anti") \
-        .agg(F.sum("amount").alias("amount")).where(F.col("amount").isNotNull()) \
-        .select(F.lit(OTHER_LABEL).alias("name"), "amount")
-    return top.unionByName(rest).select("name", F.col("amount").cast("double").alias("value"))
+    ranked = agg.withColumn("rk", F.row_number().over(
+        Window.orderBy(F.desc("amount"), F.asc("name"))))
+    label = F.when(F.col("rk") <= num, F.col("name")).otherwise(F.lit(OTHER_LABEL))
+    return ranked.groupBy(label.alias("name")) \
+        .agg(F.sum("amount").cast("double").alias("value"))
 
 
 def q14_area(spark, sf_dir):

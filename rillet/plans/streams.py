@@ -21,6 +21,11 @@ CUTS = [0.33, 0.66]  # chunk edges as fractions of the time span (split inside d
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def _state_partitions(spark) -> int:
+    """State-store partitions of the replayed queries: the cluster's parallelism."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _dims(spark, sf_dir):
     return (lambda: adapters.user_info(spark, sf_dir),
             lambda: adapters.base_province(spark, sf_dir))
@@ -35,7 +40,7 @@ def _dau_replay(spark, sf_dir, root, steps_of, rebuild=False, ckpt_name="ckpt"):
     def run_once():
         stream = spark.readStream.schema(pl.schema).parquet(src)
         return jobs.dau_stream(stream, users, provinces, sink, f"{root}/{ckpt_name}",
-                               adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
+                               adapters.USER_AS_OF, trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
                                rebuild_from_sink=rebuild)
     chunks = time_chunks(pl, "ts", CUTS)
     replay([[(src, c)] for c in steps_of(chunks)], run_once)
@@ -70,7 +75,7 @@ def state_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run_fresh():
         stream = spark.readStream.schema(pl.schema).parquet(src)
         return jobs.dau_stream(stream, users, provinces, sink, f"{root}/ckpt-rebuilt",
-                               adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
+                               adapters.USER_AS_OF, trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
                                rebuild_from_sink=True)
     replay([[(src, chunks[1]), (src, chunks[2])]], run_fresh)
     return sink.read().groupBy("dt", "mid").agg(F.count(F.lit(1)).alias("copies"))
@@ -91,7 +96,8 @@ def stream_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         o = spark.readStream.schema(o_schema).parquet(o_src)
         d = spark.readStream.schema(d_schema).parquet(d_src)
         return jobs.order_join_stream(o, d, users, provinces, sink, f"{root}/ckpt",
-                                      adapters.USER_AS_OF, trigger=AVAILABLE_NOW)
+                                      adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
+                                      state_partitions=_state_partitions(spark))
     span = oi.agg(F.min("__t").alias("lo"), F.max("__t").alias("hi")).first()
     lo, hi = span["lo"], span["hi"]
     # both sides are cut at the same instants so an order and its lines share a step
@@ -125,7 +131,8 @@ def stream_log_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run_once():
         stream = spark.readStream.schema(raw.schema).parquet(src)
-        return jobs.log_router(stream, out, f"{root}/ckpt", trigger=AVAILABLE_NOW)
+        return jobs.log_router(stream, out, f"{root}/ckpt", trigger=AVAILABLE_NOW,
+                                      state_partitions=_state_partitions(spark))
     replay([[(src, c)] for c in time_chunks(raw, "seq", CUTS)], run_once)
     parts = [spark.read.parquet(f"{out}/{name}").agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("route"), "rows") for name in jobs.LOG_ROUTES]
@@ -146,6 +153,7 @@ def stream_cdc_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run_once():
         stream = spark.readStream.schema(recs.schema).parquet(src)
         return jobs.cdc_stream(stream, lambda: adapters.table_config(spark), f"{root}/facts",
-                               sink, f"{root}/ckpt", trigger=AVAILABLE_NOW)
+                               sink, f"{root}/ckpt", trigger=AVAILABLE_NOW,
+                                      state_partitions=_state_partitions(spark))
     replay([[(src, c)] for c in time_chunks(recs, "seq", CUTS)], run_once)
     return jobs.dim_snapshot(sink).select("dim_key", "table", "id", "op", "seq")

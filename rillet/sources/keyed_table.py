@@ -87,10 +87,17 @@ class KeyedTable:
         return self.read_partition(**partition_values).select(field)
 
     # ---- writes -----------------------------------------------------------
-    def touched_rows(self, batch: DataFrame) -> DataFrame | None:
+    def _touched_values(self, batch: DataFrame) -> list | None:
+        """Distinct partition values of ``batch`` (one row per touched partition,
+        e.g. the days of a micro-batch); None for multi-column partitioning."""
+        if len(self.partition_by) != 1:
+            return None
+        return [r[0] for r in batch.select(*self.partition_by).distinct().collect()]
+
+    def touched_rows(self, batch: DataFrame, values: list | None = None) -> DataFrame | None:
         """Stored rows of the partitions ``batch`` touches (None if there are none)."""
         if len(self.partition_by) == 1:
-            values = [r[0] for r in batch.select(*self.partition_by).distinct().collect()]
+            values = self._touched_values(batch) if values is None else values
             return self.read_touched(values)
         if not self.exists():
             return None
@@ -100,11 +107,13 @@ class KeyedTable:
     def upsert(self, batch: DataFrame) -> None:
         """K4/K5: insert-or-replace rows by key (callers persist ``batch``).
 
-        Only partitions present in the batch are read and rewritten; their values
-        are collected (one row per touched partition, e.g. the batch's days).
+        Only partitions present in the batch are read and rewritten.
         """
         latest = last_per_key(batch, self.key, [self.seq]) if self.seq else batch
-        current = self.touched_rows(latest)
+        values = self._touched_values(latest)
+        if values is not None and not values:
+            return  # empty micro-batch: nothing to write
+        current = self.touched_rows(latest, values)
         if current is not None:
             latest = latest.select(*current.columns)
             keep = current.join(latest.select(*self.key), self.key, "left_anti")
@@ -112,12 +121,22 @@ class KeyedTable:
             merged = keep.unionByName(latest).checkpoint(eager=True)
         else:
             merged = latest
-        # rebalance: AQE sizes output tasks per partition value (splits a hot day,
-        # merges small ones) instead of every task writing a file for every day
-        (merged.hint("rebalance", *self.partition_by).write.mode("overwrite")
+        (self._spread(merged, values).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.path))
 
+    def _spread(self, df: DataFrame, values: list | None) -> DataFrame:
+        """Write layout: hash on (partition value, key salt). The salt width is
+        tasks / touched partitions, so a one-day batch still spreads over every
+        task (a hot day is split), while a many-day batch writes one file per
+        day with the days spread over the tasks."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if not values:
+            return df.hint("rebalance", *self.partition_by)
+        width = max(1, -(-n // len(values)))
+        salt = F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(width))
+        return df.repartition(n, *[F.col(c) for c in self.partition_by], salt)
+
     def delete_where(self, condition: Column) -> None:
         """M5/M6 on a stored table: rewrite only the partitions holding matches.
         (A partition left with no rows keeps its old files; callers that need

@@ -32,16 +32,28 @@ LOG_ROUTES = {
 
 
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict, name: str | None = None,
-           output_mode: str = "append") -> StreamingQuery:
+           output_mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
+    """Start a foreachBatch query. ``state_partitions`` fixes the number of
+    state-store partitions; it is recorded in the checkpoint at the first start
+    and cannot change later, so it is chosen explicitly rather than inherited."""
     w = (df.writeStream.foreachBatch(fn).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(**trigger))
     if name:
         w = w.queryName(name)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()  # the query clones the session conf here
+    finally:
+        spark.conf.set(key, prev)
 
 
 def log_router(raw: DataFrame, out_root: str, checkpoint: str,
-               trigger: dict | None = None) -> StreamingQuery:
+               trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """W2 + P1-P8 + K1: one parsed micro-batch feeds every route table."""
     def run(batch: DataFrame, batch_id: int):
         parsed = routing.parse_log(batch).persist()
@@ -50,12 +62,14 @@ def log_router(raw: DataFrame, out_root: str, checkpoint: str,
         append_batch(routing.quarantine(parsed).select("value"), f"{out_root}/quarantine",
                      batch_id)
         parsed.unpersist()
-    return _start(raw, run, checkpoint, trigger or {"processingTime": "5 seconds"})
+    return _start(raw, run, checkpoint, trigger or {"processingTime": "5 seconds"},
+                  state_partitions=state_partitions)
 
 
 def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedTable,
                checkpoint: str, as_of: str, late_days: int = 1, tz: str = "UTC",
-               trigger: dict | None = None, rebuild_from_sink: bool = False) -> StreamingQuery:
+               trigger: dict | None = None, rebuild_from_sink: bool = False,
+               state_partitions: int | None = None) -> StreamingQuery:
     """W3 + D1 + D2 + W6: entry filter before the stateful dedup, then the
     (day, mid) dedup with an event-time watermark on the day (state for a day is
     dropped ``late_days`` days + 1 s after newer days arrive), then per-batch
@@ -79,12 +93,14 @@ def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedT
         info = dau_info(b, users(), provinces(), as_of)
         sink.upsert(info)
         b.unpersist()
-    return _start(d, run, checkpoint, trigger or {"processingTime": "5 seconds"})
+    return _start(d, run, checkpoint, trigger or {"processingTime": "5 seconds"},
+                  state_partitions=state_partitions)
 
 
 def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provinces: DimFn,
                       sink: KeyedTable, checkpoint: str, as_of: str, delay: str = "1 day",
-                      trigger: dict | None = None) -> StreamingQuery:
+                      trigger: dict | None = None,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """W4 + W5 + J4: two streams, inner stream-stream join on order id with
     watermarks on both sides and an event-time range, so either arrival order
     pairs up and unmatched rows age out of state. Wide rows upsert by detail_id
@@ -100,11 +116,13 @@ def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provi
         b = batch.persist()
         sink.upsert(b)
         b.unpersist()
-    return _start(wide, run, checkpoint, trigger or {"processingTime": "5 seconds"})
+    return _start(wide, run, checkpoint, trigger or {"processingTime": "5 seconds"},
+                  state_partitions=state_partitions)
 
 
 def cdc_stream(records: DataFrame, config: DimFn, fact_path: str, dim_sink: KeyedTable,
-               checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+               checkpoint: str, trigger: dict | None = None,
+               state_partitions: int | None = None) -> StreamingQuery:
     """W7 + P9-P11 + K2 + K3: the routing config is re-read in every batch; fact
     rows go to keyed topic folders; dimension rows upsert (latest by seq) into a
     snapshot keyed by (table, id). A delete is stored as a tombstone row
@@ -116,7 +134,8 @@ def cdc_stream(records: DataFrame, config: DimFn, fact_path: str, dim_sink: Keye
         dims = routing.dim_route(ops, cfg, compat=True).drop("rec")
         dim_sink.upsert(dims)
         ops.unpersist()
-    return _start(records, run, checkpoint, trigger or {"processingTime": "5 seconds"})
+    return _start(records, run, checkpoint, trigger or {"processingTime": "5 seconds"},
+                  state_partitions=state_partitions)
 
 
 def dim_snapshot(dim_sink: KeyedTable, compat: bool = False) -> DataFrame:
