@@ -70,19 +70,40 @@ def observe_stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def event_rollup(df: DataFrame, key: str, event: str, ts: str, measure: str,
-                 tie: str | None = None) -> DataFrame:
+                 tie: str | None = None, chunk_ms: int = 86_400_000) -> DataFrame:
     """Roll consecutive rows of one event kind per key into one event
     (gaps-and-islands): start/last time and measure, min/max, row count.
 
-    The island id is a running count of kind changes per key; the roll-up is an
-    aggregate, so only the window step orders rows per key.
+    Skew-aware: rows are ordered only within (key, time chunk) windows (a day by
+    default), never across a whole key. A per-(key, chunk) summary (first and
+    last event kind, number of kind changes inside the chunk) carries the run
+    numbering across chunks: a window over that summary, which has one row per
+    key and chunk, gives each chunk its run offset and whether its first row
+    continues the previous chunk's run.
     """
     order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    w = Window.partitionBy(key).orderBy(*order)
-    changed = (F.lag(event).over(w).isNull() | (F.lag(event).over(w) != F.col(event))).cast("int")
-    runs = df.withColumn("__chg", changed).withColumn(
-        "run_no", F.sum("__chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     first = F.struct(*order)
+    x = df.withColumn("__chunk", F.floor(F.col(ts) / F.lit(chunk_ms)).cast("bigint"))
+    w_in = Window.partitionBy(key, "__chunk").orderBy(*order)
+    prev = F.lag(event).over(w_in)
+    x = x.withColumn("__chg", F.when(prev.isNull(), F.lit(0))
+                     .when(prev != F.col(event), F.lit(1)).otherwise(F.lit(0)))
+    x = x.withColumn("__in_run", F.sum("__chg").over(
+        w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summary = x.groupBy(key, "__chunk").agg(
+        F.min_by(F.col(event), first).alias("__first_ev"),
+        F.max_by(F.col(event), first).alias("__last_ev"),
+        F.sum("__chg").alias("__inner"))
+    w_ch = Window.partitionBy(key).orderBy("__chunk")
+    prev_last = F.lag("__last_ev").over(w_ch)
+    summary = summary.withColumn(
+        "__starts", F.when(prev_last.isNull() | (prev_last != F.col("__first_ev")), 1).otherwise(0))
+    summary = summary.withColumn(
+        "__offset", F.sum(F.col("__starts") + F.col("__inner")).over(
+            w_ch.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        - F.col("__inner"))
+    runs = x.join(summary.select(key, "__chunk", "__offset"), [key, "__chunk"]) \
+        .withColumn("run_no", (F.col("__offset") + F.col("__in_run")).cast("bigint"))
     return runs.groupBy(key, event, "run_no").agg(
         F.min(ts).alias("start_time"),
         F.max(ts).alias("end_time"),
