@@ -162,9 +162,11 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str
 
 def write_keyed(df: DataFrame, path: str, batch_id: int, topic_col: str = "topic",
                 key_col: str = "key", seq_col: str = "seq") -> None:
-    """K2: keyed output: rows of one key stay together and in ``seq`` order
-    (hash-partitioned by key, sorted within partitions), one folder per topic."""
-    out = (df.repartition(topic_col, key_col)
+    """K2: keyed output: rows of one key stay in ``seq`` order, one folder per
+    topic. Range partitioning on (topic, key, seq) keeps each key's rows in
+    consecutive, ordered files, and still splits a hot key over several tasks
+    (hash partitioning on the key would send it whole to one task)."""
+    out = (df.repartitionByRange(topic_col, key_col, seq_col)
            .sortWithinPartitions(topic_col, key_col, seq_col)
            .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

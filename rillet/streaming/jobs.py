@@ -78,10 +78,14 @@ def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedT
     ``rebuild_from_sink`` (D3): after a state loss, rows whose (dt, mid) is
     already in the sink are repeats; only the batch's days of the sink are read.
     """
-    e = dedup.with_day_hour(dedup.entry_pages(page_log), "ts", tz) \
+    # Per-stage row counts land in each batch's progress (observedMetrics)
+    parsed = dedup.observe_stage(page_log, "parsed")
+    entry = dedup.observe_stage(dedup.entry_pages(parsed), "entry_filter")
+    e = dedup.with_day_hour(entry, "ts", tz) \
         .withColumn("day_ts", F.to_timestamp("dt", "yyyy-MM-dd"))
     delay = f"{late_days * 24 * 3600 + 1} seconds"
-    d = e.withWatermark("day_ts", delay).dropDuplicates(["day_ts", "mid"])
+    d = dedup.observe_stage(
+        e.withWatermark("day_ts", delay).dropDuplicates(["day_ts", "mid"]), "dedup")
 
     def run(batch: DataFrame, batch_id: int):
         b = batch.drop("day_ts")

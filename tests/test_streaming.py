@@ -79,6 +79,19 @@ def test_dau_redelivery_is_idempotent(spark, scratch):
     assert sink.read().count() == 3
 
 
+def test_dau_stage_counts_observed(spark, scratch):
+    users, prov = _dims(spark)
+    sink = KeyedTable(spark, f"{scratch}/sink", ["dt", "mid"], ["dt"])
+    src = f"{scratch}/src"
+    _pages(spark, ROWS).write.parquet(src)
+    q = jobs.dau_stream(spark.readStream.schema(PAGE_SCHEMA).parquet(src), users, prov, sink,
+                        f"{scratch}/ckpt", "2001-03-01", trigger={"availableNow": True})
+    q.awaitTermination()
+    metrics = [p["observedMetrics"] for p in q.recentProgress if p["observedMetrics"]]
+    assert metrics[0]["parsed"]["rows"] == 4 and metrics[0]["entry_filter"]["rows"] == 4
+    assert metrics[0]["dedup"]["rows"] == 3
+
+
 O_SCHEMA = ("id long, province_id int, order_status string, user_id long, "
             "total_amount decimal(18,2), activity_reduce_amount decimal(18,2), "
             "coupon_reduce_amount decimal(18,2), original_total_amount decimal(18,2), "
