@@ -2,23 +2,27 @@
 
 A session starts at an entry page (no previous page) and runs to the next entry
 page of the same device. Sessions never cross a day (entry pages restart each
-day), so the ordering window is per (device, day): bounded by one device-day,
-never by a whole hot key. Per-session figures are then an aggregate.
+day). The running count of entry pages is ordered per (device, day, minute)
+chunk and carried across chunks (``operators.ordered``), so neither a hot
+device nor a hot device-day is sorted in one task. Per-session figures are then
+an aggregate, combined map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillet.operators.ordered import chunked_running_count
+
 
 def sessionize(page_log: DataFrame, device: str = "mid", day: str = "dt",
-               order: tuple = ("ts", "seq")) -> DataFrame:
-    """Add ``session_no``: running count of entry pages per (device, day)."""
-    w = (Window.partitionBy(device, day).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    entry = F.col("last_page_id").isNull().cast("int")
-    return page_log.withColumn("session_no", F.sum(entry).over(w))
+               order: tuple = ("ts", "seq"), chunk_ms: int = 60_000) -> DataFrame:
+    """Add ``session_no``: running count of entry pages per (device, day), in
+    ``order`` (epoch-ms time first)."""
+    chunk = F.floor(F.col(order[0]) / F.lit(chunk_ms)).cast("bigint")
+    return chunked_running_count(page_log, [device, day], order,
+                                 F.col("last_page_id").isNull(), "session_no", chunk)
 
 
 def sessions(page_log: DataFrame, device: str = "mid", day: str = "dt",
