@@ -70,11 +70,11 @@ def observe_stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def event_rollup(df: DataFrame, key: str, event: str, ts: str, measure: str,
-                 tie: str | None = None, chunk_ms: int = 86_400_000) -> DataFrame:
+                 tie: str | None = None, chunk_ms: int = 3_600_000) -> DataFrame:
     """Roll consecutive rows of one event kind per key into one event
     (gaps-and-islands): start/last time and measure, min/max, row count.
 
-    Skew-aware: rows are ordered only within (key, time chunk) windows (a day by
+    Skew-aware: rows are ordered only within (key, time chunk) windows (an hour by
     default), never across a whole key. A per-(key, chunk) summary (first and
     last event kind, number of kind changes inside the chunk) carries the run
     numbering across chunks: a window over that summary, which has one row per

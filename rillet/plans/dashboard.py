@@ -8,7 +8,7 @@ newest day of the input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.functions.time import day_of
@@ -159,16 +159,21 @@ def q12_tm(spark, sf_dir, num=TOP_N):
 def q13_category(spark, sf_dir, num=TOP_N):
     """Top-n categories plus one remainder row for all other categories.
 
-    One pass: the per-category sums (one row per category) are ranked, and
-    categories past ``num`` fold into the remainder row.
+    The top n come from a distributed top-k (TakeOrdered: each task keeps its n
+    best, then they merge), never from a window over all categories in one
+    task. The remainder is the per-category aggregate minus those n names
+    (an anti join against at most ``num`` broadcast rows), summed; it is
+    absent when there are no other categories.
     """
     s = _sales(spark, sf_dir)
     agg = s.groupBy(F.col("category_name").alias("name")) \
         .agg(F.sum("split_total_amount").alias("amount"))
-    ranked = agg.withColumn("rk", F.row_number().over(
-        Window.orderBy(F.desc("amount"), F.asc("name"))))
-    label = F.when(F.col("rk") <= num, F.col("name")).otherwise(F.lit(OTHER_LABEL))
-    return ranked.groupBy(label.alias("name")) \
+    top = agg.orderBy(F.desc("amount"), F.asc("name")).limit(num)
+    t = F.broadcast(top.select(F.col("name").alias("__top")))  # at most num rows
+    rest = agg.join(t, agg["name"].eqNullSafe(t["__top"]), "left_anti") \
+        .agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n")) \
+        .where(F.col("n") > 0).select(F.lit(OTHER_LABEL).alias("name"), "amount")
+    return top.unionByName(rest).groupBy("name") \
         .agg(F.sum("amount").cast("double").alias("value"))
 
 

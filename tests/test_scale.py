@@ -66,3 +66,15 @@ def test_chunked_sessions_match_plain_window(spark):
     assert "__chunk" in plan
     assert want.exceptAll(got.select(*want.columns)).count() == 0
     assert got.count() == rows.count()
+
+
+def test_category_top_n_remainder(spark):
+    full = {r["name"]: r["value"] for r in dashboard.q13_category(spark, SF, num=1000).collect()}
+    assert dashboard.OTHER_LABEL not in full  # every category fits: no remainder row
+    top3 = {r["name"]: r["value"] for r in dashboard.q13_category(spark, SF, num=3).collect()}
+    assert len(top3) == min(4, len(full) + 1)
+    best = sorted(full.items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+    assert all(abs(top3[k] - v) < 1e-6 for k, v in best)
+    assert abs(sum(top3.values()) - sum(full.values())) < 1e-6
+    plan = _plan(dashboard.q13_category(spark, SF, num=3))
+    assert "TakeOrderedAndProject" in plan and "Window" not in plan
