@@ -39,13 +39,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a private folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset on a
+    ``local`` master (tests) a private folder is created and registered; on a
+    cluster an unset folder is an error, since a machine-local folder would be
+    lost with its executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="rillet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
