@@ -8,6 +8,8 @@ newest day of the input.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from rillet.functions.time import day_of
 from rillet.operators.sessions import sessions
 from rillet.plans.orders import order_wide
 from rillet.sources import adapters
+from rillet.sources.tables import table
 
 TOP_N = 10
 
@@ -27,12 +30,17 @@ PAID_STATUS = "F"
 
 
 def _pages(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
-    p = adapters.page_log(spark, sf_dir).withColumn("dt", day_of("ts"))
+    """Page rows with ``dt``; ``days`` keeps the last ``days`` days present.
+
+    The latest day is one aggregate over the events' time column alone (a
+    one-column scan, no join or window); the window start then bounds the
+    events scan, so a 7-day dashboard does not read the whole history.
+    """
+    since = None
     if days is not None:
-        last = p.agg(F.max("dt")).first()[0]
-        p = p.where(F.col("dt") > F.date_format(F.date_sub(F.lit(last).cast("date"), days),
-                                                "yyyy-MM-dd"))
-    return p
+        last = table(spark, sf_dir, "events", "ts").agg(F.max(F.to_date("ts"))).first()[0]
+        since = None if last is None else (last - timedelta(days=days - 1)).isoformat()
+    return adapters.page_log(spark, sf_dir, since).withColumn("dt", day_of("ts"))
 
 
 def _pct(part, whole) -> F.Column:
