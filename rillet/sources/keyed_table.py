@@ -121,10 +121,17 @@ class KeyedTable:
             merged = keep.unionByName(latest).checkpoint(eager=True)
         else:
             merged = latest
-        (self._spread(merged, values).write.mode("overwrite")
+        (self._sorted(self._spread(merged, values)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.path))
 
+    def _sorted(self, df: DataFrame) -> DataFrame:
+        """Order each write task by (partition, key): the writer needs the
+        partition order anyway, and key-ordered files give tight parquet min/max
+        per row group, so a point read by key (``get``) skips the other row
+        groups. A local sort; no extra shuffle."""
+        return df.sortWithinPartitions(*self.partition_by, *self.key)
+
     def _spread(self, df: DataFrame, values: list | None) -> DataFrame:
         """Write layout: hash on (partition value, key salt). The salt width is
         tasks / touched partitions, so a one-day batch still spreads over every
@@ -148,7 +155,8 @@ class KeyedTable:
         rest = current.join(touched, self.partition_by, "left_semi").where(~condition)
         checkpoint_root(self.spark)
         rest = rest.checkpoint(eager=True)
-        (rest.hint("rebalance", *self.partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._sorted(rest.hint("rebalance", *self.partition_by)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_by).parquet(self.path))
 
 
