@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date as _date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +37,15 @@ def dau_realtime_hours(spark: SparkSession, sf_dir: str, date: str | None = None
     """A1-A4 over the deduplicated daily actives: per day and hour, today's and
     the previous day's counts and today's total."""
     # the hour of a device's first entry page is the hour of its earliest entry
-    # ts, so the dedup reduces to min(ts) per (dt, mid): a hash aggregate
-    e = dedup.entry_pages(adapters.page_log(spark, sf_dir)).select("mid", "ts")
+    # ts, so the dedup reduces to min(ts) per (dt, mid): a hash aggregate.
+    # A given date needs that day and the one before: the scan reads those two.
+    since = until = None
+    if date is not None:
+        d = _date.fromisoformat(date)
+        since, until = (d - timedelta(days=1)).isoformat(), (d + timedelta(days=1)).isoformat()
+    if tz != "UTC":
+        since = until = None  # the day bounds are UTC days; other zones scan every day
+    e = dedup.entry_pages(adapters.page_log(spark, sf_dir, since, until)).select("mid", "ts")
     e = e.withColumn("dt", day_of("ts", tz))
     first = e.groupBy("dt", "mid").agg(F.min("ts").alias("ts"))
     return aggregates.dau_hours(first.select("dt", hour_of("ts", tz).alias("hr"), "mid"), date)

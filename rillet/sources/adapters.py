@@ -29,20 +29,23 @@ def _k() -> F.Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def page_log(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+def page_log(spark: SparkSession, sf_dir: str, since: str | None = None,
+             until: str | None = None) -> DataFrame:
     """PageLog rows from events joined with customer (province).
 
     last_page_id = previous event type of the same user on the same day, so the
     first event of a user's day is a session-entry page. ``seq`` = event_id plays
     the role of the log offset (deterministic tie-break).
 
-    ``since`` ('yyyy-MM-dd') keeps the days from that one on. The bound is a
-    filter on the events scan itself (pushed to parquet); it is exact because
-    the ``lag`` window never crosses a day.
+    ``since`` / ``until`` ('yyyy-MM-dd', until exclusive) keep whole days. The
+    bounds are filters on the events scan itself (pushed to parquet); they are
+    exact because the ``lag`` window never crosses a day.
     """
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     if since is not None:
         e = e.where(F.col("ts") >= F.lit(since).cast("date").cast("timestamp_ntz"))
+    if until is not None:
+        e = e.where(F.col("ts") < F.lit(until).cast("date").cast("timestamp_ntz"))
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     j = e.join(c, e.user_id == c.c_custkey, "left")
     w = Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")

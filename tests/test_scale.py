@@ -107,3 +107,14 @@ def test_keyed_table_files_are_key_ordered(spark, scratch):
     assert "EqualTo(id,42)" in _plan(got)
     assert [r["v"] for r in got.collect()] == [-1]
     assert sink.read().count() == 5000
+
+
+def test_dau_hours_for_a_date_reads_two_days(spark):
+    from rillet.plans.dau import dau_realtime_hours
+    full = dau_realtime_hours(spark, SF)
+    days = sorted(r["dt"] for r in full.select("dt").distinct().collect())
+    for date in (days[0], days[len(days) // 2], days[-1]):
+        one = dau_realtime_hours(spark, SF, date)
+        plan = _plan(one)
+        assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+        assert sorted(one.collect()) == sorted(full.where(F.col("dt") == date).collect())
