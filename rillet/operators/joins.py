@@ -1,7 +1,8 @@
 """Joins (J1-J3, J5, J6).
 
-Broadcast policy: a side is broadcast only after its row count is proven below a
-bound (``bounded_broadcast``: a LIMIT n+1 count, which stops early). Dimensions
+Broadcast policy: a side is broadcast only after its size is proven below a
+bound (``bounded_broadcast``: one aggregate over LIMIT n+1 rows, which stops
+early, gives the row count and a byte estimate). Dimensions
 with no natural bound (users) get no hint: the planner uses a shuffle join and
 AQE may still switch to a broadcast from the measured shuffle size.
 """
@@ -10,17 +11,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from rillet.functions.time import age_years
 
-# Bound for dimensions broadcast by row count (provinces, config tables).
+# Bounds for broadcast dimensions (provinces, config tables).
 SMALL_DIM_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+SMALL_DIM_BYTES = 64 * 1024 * 1024
+
+
+def _field_bytes(f) -> Column:
+    """Byte estimate of one field: UTF-8/binary length for strings and bytes,
+    the JSON length for nested values, 8 for fixed-width values."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+        return F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return F.lit(8)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = SMALL_DIM_ROWS,
+                      max_bytes: int = SMALL_DIM_BYTES) -> DataFrame:
+    """Broadcast hint only when ``df`` has at most ``max_rows`` rows and about
+    ``max_bytes`` bytes; otherwise the planner's shuffle join (and AQE) decide."""
+    width = sum((_field_bytes(f) for f in df.schema.fields), F.lit(0))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.sum(width.cast("bigint")).alias("b")).first()
+    ok = r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+    return F.broadcast(df) if ok else df
 
 
 def enrich_user(df: DataFrame, users: DataFrame, as_of: str | Column,

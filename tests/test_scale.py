@@ -118,3 +118,19 @@ def test_dau_hours_for_a_date_reads_two_days(spark):
         plan = _plan(one)
         assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
         assert sorted(one.collect()) == sorted(full.where(F.col("dt") == date).collect())
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from rillet.operators.joins import bounded_broadcast
+    small = spark.range(10).select("id", F.lit("x").alias("s"))
+    wide = spark.range(10).select("id", F.repeat(F.lit("y"), 1000).alias("s"))
+    many = spark.range(50)
+    probe = spark.range(100).select(F.col("id") % 10).withColumnRenamed("(id % 10)", "id")
+    assert "BroadcastHashJoin" in _plan(probe.join(bounded_broadcast(small), "id"))
+    for df, kw in ((wide, {"max_bytes": 5000}), (many, {"max_rows": 20})):
+        hinted = bounded_broadcast(df, **kw)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            assert "BroadcastHashJoin" not in _plan(probe.join(hinted, "id"))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
