@@ -4,21 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.llm import packing, simhash
+from rillet.llm import packing, quality, secret_scan, simhash
 from rillet.sources.tables import table
 
 
+def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_compression_bands": op1_compression_bands,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_secret_entropy": op5_secret_entropy,
     "op6_simhash": op6_simhash,
 }
 
