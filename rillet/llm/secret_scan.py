@@ -37,7 +37,7 @@ CLASSES = (("entropy_hex", "^[0-9a-fA-F]+$", "[0-9]", 24, 3.0),
 #: Whole candidates that are no secrets: ids in the dashed form, numbers, words joined
 #: by separators, placeholders and runs of the alphabet.
 ALLOW = ("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^[0-9_=/+-]+$",
-         "^([A-Za-z]+[/_=+-]*)+$", "(?i)example|placeholder|changeme|dummy|sample",
+         "^[A-Za-z/_=+-]+$", "(?i)example|placeholder|changeme|dummy|sample",
          "(?i)abcdefghijkl|0123456789ab", r"^(.)\1+$")
 #: What a text has before a candidate that names it a checksum.
 ALLOW_BEFORE = r"""(?i)(sha-?(1|224|256|384|512)|md5|crc32|commit|checksum|digest|etag)["']?\s*[:=-]?\s*["']?$"""
@@ -97,7 +97,7 @@ def hot_stretch(word: Column, window: int, least: float) -> Column:
         counts = F.when(new == old, s["n"]).otherwise(F.transform(
             s["n"], lambda c, k: c + (k == new).cast("int") - (k == old).cast("int")))
         end = s["i"] + 1
-        hot = (end >= window) & (F.lit(math.log2(window)) - total / window >= least)
+        hot = (end >= window) & (F.lit(math.log2(window) - least + 1e-9) >= total / window)
         return F.struct(
             end.alias("i"), counts.alias("n"), total.alias("s"),
             F.coalesce(s["first"], F.when(hot, end - window)).alias("first"),
@@ -113,7 +113,7 @@ def hot_stretch(word: Column, window: int, least: float) -> Column:
 
 def _entropy(text: Column) -> Column:
     """Spans of the entropy rule as (start, rank, end)."""
-    allowed = lambda h: F.coalesce(h["p"].rlike(ALLOW_BEFORE), F.lit(False))
+    allowed = lambda h: F.substring(h["p"], -40, 40).rlike(ALLOW_BEFORE)
     hits = F.filter(_found(text, CANDIDATE), lambda h: ~allowed(h) & ~F.greatest(
         *(h["m"].rlike(a) for a in ALLOW)))
 

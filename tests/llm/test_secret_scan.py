@@ -26,7 +26,7 @@ def brute(text):
     out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
     last = 0
     for m in re.finditer(secret_scan.CANDIDATE, text):
-        before, last, word = text[last:m.start()], m.end(), m[0]
+        before, last, word = text[last:m.start()][-40:], m.end(), m[0]
         if (re.search(secret_scan.ALLOW_BEFORE, before, re.A)
                 or any(re.search(a, word) for a in secret_scan.ALLOW)):
             continue
