@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.llm import packing, quality, secret_scan, simhash
+from rillet.llm import decontam, packing, quality, secret_scan, simhash
 from rillet.sources.tables import table
 
 
@@ -25,11 +25,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents with the benchmark items found in them."""
+    return decontam.matches(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {
     "op1_compression_bands": op1_compression_bands,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_simhash": op6_simhash,
+    "op10_latent_decontamination": op10_latent_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

@@ -56,15 +56,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches, shingle):
     for part, texts in text_slices(batches):
         prints = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
+        other = part.drop_columns(["text"])
         yield pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            [*other.columns, pa.array(prints.view(np.int64))], [*other.schema.names, "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` with fp the fingerprint as a signed long."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        partial(_fingerprints, shingle=shingle), f"doc_id {kind}, fp bigint")
+    """``docs`` without its text, with ``fp``: the fingerprint as a signed long."""
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, "
+                   for f in docs.schema if f.name != "text")
+    return docs.mapInArrow(partial(_fingerprints, shingle=shingle), f"{kept}fp bigint")
 
 
 def _tile():
@@ -199,17 +200,40 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             .mapInArrow(partial(_compare, radius=radius), "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
-                    ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` per row of ``docs(doc_id, text)``."""
+def _classified(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """``docs`` without its text, with ``fp``, its component's smallest fingerprint
+    ``root`` and smallest id ``component_id``."""
     prints = stored(fingerprints(docs, shingle), "simhash")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     linked = stored(components(links(nodes.select("fp"), radius)).toDF("fp", "root"), "roots")
     least = nodes.join(linked, "fp").groupBy("root").agg(F.min("first_id").alias("least_id"))
-    named = linked.join(least, "root").select("fp", "least_id")
-    classes = nodes.join(named, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = nodes.join(linked.join(least, "root"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least_id"))
+        .alias("component_id"))
+    return prints.join(classes, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
+                    ) -> DataFrame:
+    """``(doc_id, fp, component_id)`` per row of ``docs(doc_id, text)``."""
+    return _classified(docs.select("doc_id", "text"), shingle, radius).select(
+        "doc_id", "fp", "component_id")
+
+
+def survivors(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` for each component: that of the smallest id, a null id last;
+    of several texts with this id the one with the least digest; of equal rows any."""
+    digest = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                               F.coalesce(F.concat(F.lit("text:"), "text"), F.lit("null"))))
+    rows = docs.select(digest.alias("digest"), F.struct(
+        *(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    found = _classified(docs.select("doc_id", "text", digest.alias("digest")), shingle, radius)
+    first = found.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first"))
+    stay = first.select(F.col("first.digest").alias("digest"))
+    return (rows.join(stay, "digest", "left_semi").dropDuplicates(["digest"])
+            .select("row.*"))
 
 
 def hex_of(fp: str = "fp"):
