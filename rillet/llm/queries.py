@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.llm import decontam, packing, quality, secret_scan, simhash
+from rillet.llm import decontam, packing, quality, secret_scan, simhash, substring_dedup
 from rillet.sources.tables import table
 
 
@@ -25,6 +25,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op9_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of text that documents share; a passage's first place is marked as kept."""
+    return substring_dedup.repeated_runs(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contaminated documents with the benchmark items found in them."""
     return decontam.matches(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -36,6 +41,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_simhash": op6_simhash,
+    "op9_gear_chunk_dedup": op9_gear_chunk_dedup,
     "op10_latent_decontamination": op10_latent_decontamination,
 }
 
