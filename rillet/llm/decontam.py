@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,41 +32,27 @@ from pyspark.sql import functions as F
 from rillet.llm.common import stored, text_slices
 
 WINDOW, STRIDE = 64, 32
-#: Passages of a query block, and document windows and documents that fit the space.
-QUERY_BLOCK = 1024
-SAMPLE_DOCS, SAMPLE_WINDOWS = 256, 8
-RANK, OVERSAMPLE, POWER_STEPS, SEED = 160, 16, 2, 7
-LEAST_COSINE, LEAST_COVER = 0.25, 0.45
+#: Passages of a query block.
+QUERY_BLOCK = 512
+RANK, OVERSAMPLE, POWER_STEPS, SEED = 256, 16, 2, 7
+LEAST_COSINE, LEAST_COVER = 0.4, 0.5
 SURE, LIKELY, ANSWER_WORDS, ANSWER_SHARE = 0.75, 0.6, 6, 0.5
 #: A stretch may be this much longer than the passage.
 SLACK = 1.3
-PUNCTUATION = b".,;:!?\"'()[]{}|*#%$&<>-"
 CELLS = 1 << 22
+_PLAIN = bytes(32 if 33 <= b < 127 and not chr(b).isalnum() else b for b in bytes(range(256)).lower())
 TERMS_PER_BLOB = 256
 
 
 def tokens(text: bytes | None) -> list[bytes]:
-    """Words in lower case (A-Z) without outer punctuation; bare punctuation is none."""
-    return [w for w in (x.strip(PUNCTUATION) for x in (text or b"").lower().split()) if w]
+    """Words in lower case (A-Z); white space and ASCII punctuation divide them."""
+    return (text or b"").translate(_PLAIN).split()
 
 
-class _Ids(dict):
-    """Numbers of the query terms by raw word; -1 for other words, -2 for no word."""
-
-    def __init__(self, terms: dict[bytes, int], room: int = 1 << 20):
-        self.terms, self.room = terms, room
-
-    def __missing__(self, raw: bytes) -> int:
-        word = raw.lower().strip(PUNCTUATION)
-        number = self.terms.get(word, -1) if word else -2
-        if len(self) < self.room:
-            self[raw] = number
-        return number
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        found = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return found[found > -2]
+def _numbers(text: bytes, terms: dict[bytes, int]) -> np.ndarray:
+    """Number of each word's query term; -1 for other words."""
+    words = tokens(text)
+    return np.fromiter(map(terms.get, words, repeat(-1)), np.int32, len(words))
 
 
 def _cut(batches, window):
@@ -89,10 +76,10 @@ def passages(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _frequencies(batches, terms):
     """Documents of a task by term; term -1 counts all documents."""
-    ids, counts, docs = _Ids(terms), np.zeros(len(terms), np.int64), 0
+    counts, docs = np.zeros(len(terms), np.int64), 0
     for part, texts in text_slices(batches):
         for text in texts:
-            found = np.unique(ids.of(text))
+            found = np.unique(_numbers(text, terms))
             counts[found[found >= 0]] += 1
         docs += len(texts)
     at = np.flatnonzero(counts)
@@ -110,18 +97,6 @@ def _idf(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
     return np.log((1 + total) / (1 + df)) + 1
 
 
-def _windows(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[k:k + WINDOW] for k in range(0, max(1, len(ids) - STRIDE), STRIDE)]
-
-
-def _sample(batches, terms, most):
-    """Terms of the first windows of sampled documents."""
-    ids = _Ids(terms)
-    for _, texts in text_slices(batches):
-        rows = [w[w >= 0].tolist() for t in texts for w in _windows(ids.of(t))[:most]]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["terms"])
-
-
 def _times(batches, right, idf):
     """Partial sums of A'(A right) of a task's rows, in blobs of ``TERMS_PER_BLOB`` terms."""
     out = np.zeros(right.shape, np.float64)
@@ -213,11 +188,10 @@ def verdict(item: list[int], words: list[int]) -> tuple[float, bool, bool, int]:
 def _search(batches, terms, items, space, norms, schema):
     """Matches of a task's documents. ``items``: term numbers of each passage;
     ``space``: idf-weighted rows of the latent space; ``norms``: latent passages."""
-    ids = _Ids(terms)
     length = np.linalg.norm(norms, axis=1)
     unit = (norms / np.maximum(length, 1e-12)[:, None]).astype(np.float32)
     for part, texts in text_slices(batches):
-        each = [ids.of(t) for t in texts]
+        each = [_numbers(t, terms) for t in texts]
         blocks = np.array([max(1, -(-len(x) // STRIDE)) for x in each])
         first = np.concatenate([[0], np.cumsum(blocks)])
         owner = np.repeat(np.arange(len(each)), blocks)
@@ -275,11 +249,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
             continue
         idf = _idf(docs, terms)
         items = [[terms[w] for w in q] for q in queries]
-        sample = docs.select("text", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(
-            SAMPLE_DOCS).select("text").mapInArrow(
-                partial(_sample, terms=terms, most=SAMPLE_WINDOWS), "terms array<int>")
-        fit = stored(spark.createDataFrame([(q,) for q in items], "terms array<int>")
-                     .union(sample), "fit")
+        fit = stored(spark.createDataFrame([(q,) for q in items], "terms array<int>"), "fit")
         vectors = latent_space(fit, idf)
         space = (idf[:, None] * vectors).astype(np.float32)
         latent = np.array([space[q].sum(axis=0) for q in items])
