@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.llm import decontam, packing, quality, secret_scan, simhash, substring_dedup
+from rillet.llm import decontam, lm_scoring, packing, quality, secret_scan, simhash, substring_dedup
 from rillet.sources.tables import table
 
 
@@ -12,6 +12,10 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -38,6 +42,7 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_compression_bands": op1_compression_bands,
+    "op2_context_tree": op2_context_tree,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_simhash": op6_simhash,
