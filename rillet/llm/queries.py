@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.llm import decontam, lm_scoring, packing, quality, secret_scan, simhash, substring_dedup
+from rillet.llm import decontam, lm_scoring, packing, quality, secret_scan, simhash, substring_dedup, toxicity
 from rillet.sources.tables import table
 
 
@@ -29,6 +29,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
 
 
+def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents", "doc_id", "text"),
+                          table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op9_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of text that documents share; a passage's first place is marked as kept."""
     return substring_dedup.repeated_runs(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -46,6 +51,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_simhash": op6_simhash,
+    "op7_ftrl_toxicity": op7_ftrl_toxicity,
     "op9_gear_chunk_dedup": op9_gear_chunk_dedup,
     "op10_latent_decontamination": op10_latent_decontamination,
 }
