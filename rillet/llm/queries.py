@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rillet.llm import decontam, lm_scoring, packing, quality, secret_scan, simhash, substring_dedup, toxicity
+from rillet.llm import decontam, html_template, lm_scoring, packing, quality, secret_scan, simhash, substring_dedup, toxicity, url_data, url_filter
 from rillet.sources.tables import table
 
 
@@ -20,6 +21,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -34,6 +39,12 @@ def op7_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                           table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op8_temporal_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    found = url_filter.judge(url_data.captures(pages), url_data.entries(pages))
+    return found.withColumn("fetched", F.date_format("fetched", "yyyy-MM-dd"))
+
+
 def op9_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of text that documents share; a passage's first place is marked as kept."""
     return substring_dedup.repeated_runs(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -49,12 +60,14 @@ QUERIES = {
     "op1_compression_bands": op1_compression_bands,
     "op2_context_tree": op2_context_tree,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_template_extraction": op4_template_extraction,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_simhash": op6_simhash,
     "op7_ftrl_toxicity": op7_ftrl_toxicity,
+    "op8_temporal_url_lists": op8_temporal_url_lists,
     "op9_gear_chunk_dedup": op9_gear_chunk_dedup,
     "op10_latent_decontamination": op10_latent_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_temporal_url_lists": url_data.oracle()}
