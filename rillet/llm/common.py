@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.session import scratch_path
@@ -44,6 +45,17 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text"
             start = stop
 
 
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Numbers by byte planes, so that like bytes stand together, compressed."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpack_numbers(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def codepoints(text: bytes) -> int:
     """Unicode code points of UTF-8 bytes."""
     return len(text.decode("utf-8", "replace"))
@@ -54,10 +66,6 @@ def doc_crc(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string"))
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
 def parts_for(total_bytes: int, per_part: int, least: int = 1) -> int:
     """Partitions so that each holds about ``per_part`` bytes."""
     return max(least, -(-int(total_bytes) // per_part))

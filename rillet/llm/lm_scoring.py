@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.llm import context_tree as tree
-from rillet.llm.common import doc_crc, parts_for, stored, text_slices
+from rillet.llm.common import (doc_crc, pack_numbers, parts_for, stored, text_slices,
+                               unpack_numbers)
 
 FOLDS, HELD_OUT = 5, 1
 BLOCK_BYTES = 24 << 20
@@ -51,27 +52,16 @@ def _unpack(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _pack_numbers(values: np.ndarray) -> bytes:
-    """Numbers by byte planes, so that like bytes stand together."""
-    return _pack(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
-
-
-def _unpack_numbers(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(_unpack(data), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
 def _pack_keys(kind: int, keys) -> bytes:
     if kind == _WORDS:
         return _pack(b"\n".join(keys))
-    return _pack_numbers(np.diff(keys, prepend=np.uint64(0)))
+    return pack_numbers(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpack_keys(kind: int, data: bytes):
     if kind == _WORDS:
         return _unpack(data).split(b"\n")
-    return np.cumsum(_unpack_numbers(data, np.uint64), dtype=np.uint64)
+    return np.cumsum(unpack_numbers(data, np.uint64), dtype=np.uint64)
 
 
 def body_of(words: list[bytes]) -> bytes:
@@ -99,7 +89,7 @@ def _reduced(batches, buckets):
             if own:
                 own.sort()
                 counts = np.array([words[w] for w in own], np.uint32)
-                rows.append((block, b, _WORDS, _pack_keys(_WORDS, own), _pack_numbers(counts)))
+                rows.append((block, b, _WORDS, _pack_keys(_WORDS, own), pack_numbers(counts)))
         keys, counts = _merge(parts)
         where = (keys >> np.uint64(8 * (tree.DEPTH + 1 - tree.TOP))) % np.uint64(buckets)
         order = np.argsort(where, kind="stable")
@@ -108,7 +98,7 @@ def _reduced(batches, buckets):
             own = order[edges[b]:edges[b + 1]]
             if len(own):
                 rows.append((block, b, _CONTEXTS, _pack_keys(_CONTEXTS, keys[own]),
-                             _pack_numbers(counts[own].astype(np.uint32))))
+                             pack_numbers(counts[own].astype(np.uint32))))
         words.clear()
         parts.clear()
         cols = list(zip(*rows))
@@ -146,7 +136,7 @@ def _reduced(batches, buckets):
 def _bucket_totals(kind: int, table: pa.Table):
     """(keys of each row, distinct keys, totals) of one bucket."""
     keys = [_unpack_keys(kind, k) for k in table.column("keys").to_pylist()]
-    counts = [_unpack_numbers(c, np.uint32).astype(np.int64)
+    counts = [unpack_numbers(c, np.uint32).astype(np.int64)
               for c in table.column("numbers").to_pylist()]
     if kind == _WORDS:
         totals: Counter = Counter()
@@ -186,7 +176,7 @@ def _answers(key, table, tops):
         logs = tree.log10_probability(distinct, totals, tops).astype(np.float32)
         numbers = [logs[np.searchsorted(distinct, own)] for own in keys]
     at = table.schema.get_field_index("numbers")
-    return table.set_column(at, "numbers", pa.array([_pack_numbers(n) for n in numbers], pa.binary()))
+    return table.set_column(at, "numbers", pa.array([pack_numbers(n) for n in numbers], pa.binary()))
 
 
 class _Lookup:
@@ -223,10 +213,10 @@ def _scored(docs, answers, tokens, types):
     for row in answers.to_pylist():
         own = _unpack_keys(row["kind"], row["keys"])
         if row["kind"] == _WORDS:
-            totals.update(zip(own, _unpack_numbers(row["numbers"], np.uint64).tolist()))
+            totals.update(zip(own, unpack_numbers(row["numbers"], np.uint64).tolist()))
         else:
             keys.append(own)
-            logs.append(_unpack_numbers(row["numbers"], np.float32))
+            logs.append(unpack_numbers(row["numbers"], np.float32))
     lookup = _Lookup(np.concatenate(keys), np.concatenate(logs))
     below = tokens + 0.5 * (types + 1)
     base = {w: np.log10((c + 0.5) / below).item() for w, c in totals.items()}

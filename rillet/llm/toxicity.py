@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import doc_crc, text_slices
+from rillet.llm.common import doc_crc, pack_numbers, text_slices, unpack_numbers
 
 BITS = 20
 SKIPS = (1, 2, 3)
@@ -83,15 +83,17 @@ def _logistic(x):
 def _featured(batches, bits):
     for part, texts in text_slices(batches):
         other = part.drop_columns(["text"])
-        found = pa.array([features(t, bits) for t in texts], pa.list_(pa.int64()))
+        # ordered numbers pack well as differences: one or two bytes a feature
+        packed = [pack_numbers(np.diff(features(t, bits), prepend=0).astype(np.uint32)) for t in texts]
+        found = pa.array(packed, pa.binary())
         yield pa.RecordBatch.from_arrays([*other.columns, found], [*other.schema.names, "features"])
 
 
 def _fitted(batches, bits):
     model, seen = Ftrl(bits=bits), 0
     for batch in batches:
-        for label, at in zip(batch.column(0).to_pylist(), batch.column(1)):
-            model.learn(at.values.to_numpy(), label)
+        for label, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            model.learn(np.cumsum(unpack_numbers(packed, np.uint32), dtype=np.int64), label)
             seen += 1
     if seen:
         at = np.arange(model.bias + 1)
@@ -110,9 +112,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int
     known = F.broadcast(known.withColumn("order", order).orderBy("order", "doc_id", "toxic").limit(rows))
     sample = (docs.select("doc_id", "text").join(known, "doc_id")
               .select(F.col("toxic").alias("label"), F.xxhash64("doc_id", "text").alias("order"), "text")
-              .mapInArrow(partial(_featured, bits=bits), "label int, order bigint, features array<bigint>")
+              .mapInArrow(partial(_featured, bits=bits), "label int, order bigint, features binary")
               .orderBy("order", "label").limit(rows))
-    turns = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).repartition(
+    turns = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).coalesce(
         1).sortWithinPartitions("epoch", "order", "label")
     found = turns.select("label", "features").mapInArrow(
         partial(_fitted, bits=bits), "feature bigint, weight double").collect()
