@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java regex used inside Spark: one Han ideograph, or a run of other letters/digits.
 TOKEN_PATTERN = r"(\p{IsHan}|[\p{L}\p{N}&&[^\p{IsHan}]]+)"
-# Characters that count as part of a word for highlight boundaries.
-WORD_CHAR = r"[\p{L}\p{N}]"
+# Characters that continue a token which is no ideograph, for highlight bounds.
+WORD_CHAR = r"[\p{L}\p{N}&&[^\p{IsHan}]]"
 
 DEFAULT_PRE_TAG = "<em>"
 DEFAULT_POST_TAG = "</em>"
@@ -76,28 +78,57 @@ def match_any(text, query: str) -> Column:
     return F.arrays_overlap(tokens(text), _qarr(q))
 
 
+def _swapped(term: str, swaps: int) -> list[str]:
+    """``term`` with exactly ``swaps`` disjoint pairs of unequal neighbours exchanged."""
+    if not swaps:
+        return [term]
+    out = []
+    for k in range(len(term) - 1):
+        if term[k] != term[k + 1]:
+            head = term[:k] + term[k + 1] + term[k]
+            out += [head + rest for rest in _swapped(term[k + 2:], swaps - 1)]
+    return sorted(set(out))
+
+
+def within_edits(token: Column, term: str, max_edits: int) -> Column:
+    """``token`` is within ``max_edits`` insertions, deletions, substitutions and
+    exchanges of neighbours of ``term``. An exchange is one edit: it is one step to the
+    exchanged form of ``term`` (a parameter), whose plain distance may use what is left."""
+    near = F.lit(False)
+    for swaps in range(max_edits + 1):
+        left = max_edits - swaps
+        for form in _swapped(term, swaps):
+            # the thresholded form gives -1 once the distance exceeds the rest
+            near = near | F.levenshtein(token, F.lit(form), left).between(0, left)
+    return near
+
+
 def fuzzy_any(text, term: str, max_edits: int = 2) -> Column:
-    """Some token lies within ``max_edits`` Levenshtein edits of ``term``.
+    """Every token of ``term`` lies within ``max_edits`` of some token of the text.
+    An empty term matches nothing."""
+    terms = sorted(set(analyze(term)))
+    if not terms:
+        return F.lit(False)
+    toks = tokens(text)
 
-    Spark's levenshtein counts a transposition as two edits (ES counts one).
-    """
-    t = (analyze(term) or [""])[0]
-    # the thresholded form returns -1 once the distance exceeds max_edits
-    return F.exists(tokens(text),
-                    lambda x: F.levenshtein(x, F.lit(t), max_edits).between(0, max_edits))
+    def near(t: str) -> Column:
+        return F.exists(toks, lambda x: within_edits(x, t, max_edits))
+    return reduce(and_, map(near, terms))
 
 
 def highlight(text, query: str, pre_tag: str = DEFAULT_PRE_TAG,
               post_tag: str = DEFAULT_POST_TAG) -> Column:
-    """T4: wrap every word-bounded, case-insensitive occurrence of a query token."""
+    """T4: wrap every occurrence of a query token that is a token of the text, by the
+    tokenizer's bounds: an ideograph is a token whatever stands beside it. Letters match
+    in either case."""
     q = sorted(set(analyze(query)), key=lambda s: (-len(s), s))
     if not q:
         return _c(text)
-    alt = "|".join(re.escape(t) for t in q)
-    pattern = f"(?i)(?<!{WORD_CHAR})({alt})(?!{WORD_CHAR})"
+    alt = "|".join(re.escape(t) if _is_han(t[0]) else f"(?<!{WORD_CHAR}){re.escape(t)}(?!{WORD_CHAR})"
+                   for t in q)
     repl = pre_tag.replace("\\", "\\\\").replace("$", "\\$") + "$1" + \
         post_tag.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(_c(text), F.lit(pattern), F.lit(repl))
+    return F.regexp_replace(_c(text), F.lit(f"(?iu)({alt})"), F.lit(repl))
 
 
 def term_frequency(toks: Column, term: str) -> Column:

@@ -35,7 +35,8 @@ def count_by_hour(dau: DataFrame, date: str | None = None) -> DataFrame:
 
 def dau_hours(dau: DataFrame, date: str | None = None) -> DataFrame:
     """A3 + A4: per day, 24 hour rows with today's count, the previous calendar
-    day's count (0 when absent) and today's total.
+    day's count (0 when absent) and today's total. An asked ``date`` always has its 24
+    rows, also before its first row or after a day without any.
 
     One pass: the (dt, hr) counts (a days x 24 frame) are exploded into a
     "today" row, a "next day's yesterday" row and the 24 hour slots of the day,
@@ -47,18 +48,21 @@ def dau_hours(dau: DataFrame, date: str | None = None) -> DataFrame:
     counts = src.groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("n"))
     zero = F.lit(0).cast("bigint")
     nxt = F.date_format(F.date_add(F.to_date("dt"), 1), "yyyy-MM-dd")
-    slots = F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: F.struct(
-        F.col("dt").alias("dt"), F.lpad(h.cast("string"), 2, "0").alias("hr"),
-        zero.alias("td"), zero.alias("yd"), F.lit(1).alias("present")))
-    rows = F.concat(
-        F.array(F.struct(F.col("dt").alias("dt"), F.col("hr").alias("hr"), F.col("n").alias("td"),
-                         zero.alias("yd"), F.lit(1).alias("present")),
-                F.struct(nxt.alias("dt"), F.col("hr").alias("hr"), zero.alias("td"),
-                         F.col("n").alias("yd"), F.lit(0).alias("present"))),
-        slots)
+
+    def slots(day):
+        return F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), lambda h: F.struct(
+            day.alias("dt"), F.lpad(h.cast("string"), 2, "0").alias("hr"),
+            zero.alias("td"), zero.alias("yd"), F.lit(1).alias("present")))
+    own = F.array(F.struct(F.col("dt").alias("dt"), F.col("hr").alias("hr"), F.col("n").alias("td"),
+                           zero.alias("yd"), F.lit(1).alias("present")),
+                  F.struct(nxt.alias("dt"), F.col("hr").alias("hr"), zero.alias("td"),
+                           F.col("n").alias("yd"), F.lit(0).alias("present")))
+    rows = own if date is not None else F.concat(own, slots(F.col("dt")))
     ex = counts.select(F.explode(rows).alias("r")).select("r.*")
     if date is not None:
-        ex = ex.where(F.col("dt") == F.lit(date)).withColumn("present", F.lit(1))
+        asked = dau.sparkSession.range(1).select(F.explode(slots(F.lit(date))).alias("r"))
+        ex = ex.where(F.col("dt") == F.lit(date)).withColumn("present", F.lit(1)) \
+            .unionByName(asked.select("r.*"))
     per = (ex.groupBy("dt", "hr")
            .agg(F.sum("td").alias("dau_td"), F.sum("yd").alias("dau_yd"),
                 F.max("present").alias("present"))
@@ -74,35 +78,43 @@ def dau_hours(dau: DataFrame, date: str | None = None) -> DataFrame:
 TYPE_TO_FIELD = {"gender": "user_gender", "age": "user_age"}
 
 
-def stats_by_item(wide: DataFrame, item: str, date: str | None, type_: str,
-                  top: int = 100) -> DataFrame:
-    """Match the item keyword (all tokens), group by gender or age, sum
-    split_total_amount over the top ``top`` buckets (row count desc, key asc;
-    null keys ignored), then label genders or fold ages into three bands."""
+def stats_by_item(wide: DataFrame, item: str, date: str | None, type_: str) -> DataFrame:
+    """Match the item keyword (all tokens) and sum split_total_amount over all
+    rows, by gender label or by age band; rows without the field are left out, bands
+    without a row are 0. An unknown type gives an empty result (A8)."""
     field = TYPE_TO_FIELD.get(type_)
-    if field is None:  # A8: unknown type -> empty result
+    if field is None:
         return wide.where(F.lit(False)).select(
             F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("value"))
     scoped = day_scope(wide, date, "create_date").where(match_all("sku_name", item))
-    buckets = (scoped.where(F.col(field).isNotNull()).groupBy(field)
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("split_total_amount").alias("amount"))
-               .orderBy(F.desc("n"), F.asc(field)).limit(top))
+    scoped = scoped.where(F.col(field).isNotNull())
     if type_ == "gender":
-        return buckets.select(
-            F.when(F.col(field) == "M", GENDER_MALE_LABEL).otherwise(GENDER_OTHER_LABEL).alias("name"),
-            F.col("amount").cast("double").alias("value"))
+        label = F.when(F.col(field) == "M", GENDER_MALE_LABEL).otherwise(GENDER_OTHER_LABEL)
+        return scoped.groupBy(label.alias("name")).agg(
+            F.sum("split_total_amount").cast("double").alias("value"))
     age = F.col(field).cast("int")
     zero = F.lit(0).cast("decimal(38,2)")
-    bands = buckets.agg(
-        F.coalesce(F.sum(F.when(age < 30, F.col("amount"))), zero).alias("b0"),
-        F.coalesce(F.sum(F.when((age >= 30) & (age <= 50), F.col("amount"))), zero).alias("b1"),
-        F.coalesce(F.sum(F.when(age > 50, F.col("amount"))), zero).alias("b2"))
+    amount = F.col("split_total_amount")
+    bands = scoped.agg(
+        F.coalesce(F.sum(F.when(age < 30, amount)), zero).alias("b0"),
+        F.coalesce(F.sum(F.when((age >= 30) & (age <= 50), amount)), zero).alias("b1"),
+        F.coalesce(F.sum(F.when(age > 50, amount)), zero).alias("b2"))
     l0, l1, l2 = AGE_BAND_LABELS
     return bands.select(F.expr(
         f"stack(3, '{l0}', b0, '{l1}', b1, '{l2}', b2) as (name, value)")) \
         .select("name", F.col("value").cast("double").alias("value"))
 
 
+def stats_rows(wide: DataFrame, item: str, date: str | None, types: list[str]) -> DataFrame:
+    """How many rows each asked type's statistics have; 0 for an unknown type."""
+    out = None
+    for t in types:
+        n = stats_by_item(wide, item, date, t).agg(F.count(F.lit(1)).alias("rows"))
+        n = n.select(F.lit(t).alias("type"), "rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 def max_agg(df: DataFrame, field: str, alias: str = "max_value") -> DataFrame:
     """Global max."""
     return df.agg(F.max(field).alias(alias))

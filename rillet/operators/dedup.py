@@ -72,43 +72,40 @@ def observe_stage(df: DataFrame, name: str) -> DataFrame:
 def event_rollup(df: DataFrame, key: str, event: str, ts: str, measure: str,
                  tie: str | None = None, chunk_ms: int = 3_600_000) -> DataFrame:
     """Roll consecutive rows of one event kind per key into one event
-    (gaps-and-islands): start/last time and measure, min/max, row count.
-
-    Skew-aware: rows are ordered only within (key, time chunk) windows (an hour by
-    default), never across a whole key. A per-(key, chunk) summary (first and
-    last event kind, number of kind changes inside the chunk) carries the run
-    numbering across chunks: a window over that summary, which has one row per
-    key and chunk, gives each chunk its run offset and whether its first row
-    continues the previous chunk's run.
+    (gaps-and-islands): start/last time and measure, min/max, row count. Null keys and
+    null events are a key and an event like any other.
+
+    One scan, no join. Rows are ordered only within a (key, time chunk), an hour by
+    default, and shrink to that chunk's runs. Only a chunk's first and last run can
+    continue in a neighbour; these edges, at most two per chunk, are ordered per key,
+    while the runs between them stay in groups of their own chunk.
     """
     order = [F.col(ts)] + ([F.col(tie)] if tie else [])
-    first = F.struct(*order)
-    x = df.withColumn("__chunk", F.floor(F.col(ts) / F.lit(chunk_ms)).cast("bigint"))
+    at = F.struct(*order)
+    chunk = F.floor(F.col(ts) / F.lit(chunk_ms)).cast("bigint")
     w_in = Window.partitionBy(key, "__chunk").orderBy(*order)
-    prev = F.lag(event).over(w_in)
-    x = x.withColumn("__chg", F.when(prev.isNull(), F.lit(0))
-                     .when(prev != F.col(event), F.lit(1)).otherwise(F.lit(0)))
-    x = x.withColumn("__in_run", F.sum("__chg").over(
+    x = df.withColumn("__chunk", chunk).withColumn("__at", at).withColumn(
+        "__new", F.when(F.row_number().over(w_in) == 1, 0).otherwise(
+            (~F.lag(event).over(w_in).eqNullSafe(F.col(event))).cast("int")))
+    x = x.withColumn("__run", F.sum("__new").over(
         w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    summary = x.groupBy(key, "__chunk").agg(
-        F.min_by(F.col(event), first).alias("__first_ev"),
-        F.max_by(F.col(event), first).alias("__last_ev"),
-        F.sum("__chg").alias("__inner"))
-    w_ch = Window.partitionBy(key).orderBy("__chunk")
-    prev_last = F.lag("__last_ev").over(w_ch)
-    summary = summary.withColumn(
-        "__starts", F.when(prev_last.isNull() | (prev_last != F.col("__first_ev")), 1).otherwise(0))
-    summary = summary.withColumn(
-        "__offset", F.sum(F.col("__starts") + F.col("__inner")).over(
-            w_ch.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        - F.col("__inner"))
-    runs = x.join(summary.select(key, "__chunk", "__offset"), [key, "__chunk"]) \
-        .withColumn("run_no", (F.col("__offset") + F.col("__in_run")).cast("bigint"))
-    return runs.groupBy(key, event, "run_no").agg(
-        F.min(ts).alias("start_time"),
-        F.max(ts).alias("end_time"),
-        F.min_by(F.col(measure), first).alias("start_value"),
-        F.max_by(F.col(measure), first).alias("end_value"),
-        F.min(measure).alias("min_value"),
-        F.max(measure).alias("max_value"),
+    pieces = x.groupBy(key, "__chunk", "__run").agg(
+        F.first(event).alias(event), F.min("__at").alias("__first"), F.max("__at").alias("__last"),
+        F.min_by(measure, "__at").alias("start_value"), F.max_by(measure, "__at").alias("end_value"),
+        F.min(measure).alias("min_value"), F.max(measure).alias("max_value"),
         F.count(F.lit(1)).alias("n_rows"))
+    last_run = F.max("__run").over(Window.partitionBy(key, "__chunk"))
+    edge = (F.col("__run") == 0) | (F.col("__run") == last_run)
+    pieces = pieces.withColumn("__group", F.when(edge, F.lit(None)).otherwise(F.col("__chunk")))
+    w_group = Window.partitionBy(key, "__group").orderBy("__chunk", "__run")
+    joins = (F.col("__group").isNull() & (F.col("__run") == 0) & (F.row_number().over(w_group) > 1)
+             & F.lag(event).over(w_group).eqNullSafe(F.col(event)))
+    pieces = pieces.withColumn("__new", (~joins).cast("int")).withColumn(
+        "__no", F.sum("__new").over(w_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return pieces.groupBy(key, "__group", "__no").agg(
+        F.first(event).alias(event),
+        F.min("__first").getField(ts).alias("start_time"), F.max("__last").getField(ts).alias("end_time"),
+        F.min_by("start_value", "__first").alias("start_value"),
+        F.max_by("end_value", "__last").alias("end_value"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
+        F.sum("n_rows").alias("n_rows")).drop("__group", "__no")

@@ -76,17 +76,18 @@ def order_full_outer(orders: DataFrame, details: DataFrame) -> DataFrame:
 
 WIDE_DETAIL = ["sku_id", "order_price", "sku_num", "sku_name", "split_total_amount",
                "split_activity_amount", "split_coupon_amount"]
-WIDE_ORDER = ["province_id", "order_status", "user_id", "total_amount",
+WIDE_PLAIN = ["province_id", "order_status", "user_id", "total_amount",
               "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
               "feight_fee", "feight_fee_reduce", "operate_time", "expire_time",
-              "refundable_time", "create_date", "create_hour", "province_name",
-              "province_area_code", "province_iso_code", "province_3166_2_code",
-              "user_gender", "user_age"]
+              "refundable_time", "create_date", "create_hour"]
+WIDE_ORDER = WIDE_PLAIN + ["province_name", "province_area_code", "province_iso_code",
+                           "province_iso_3166_2", "user_gender", "user_age"]
 
 
 def order_wide(orders: DataFrame, details: DataFrame, how: str = "inner",
-               extra: Column | None = None) -> DataFrame:
-    """Merge an enriched order with each of its details into one wide row.
+               extra: Column | None = None, dimensions: bool = True) -> DataFrame:
+    """Merge an order with each of its details into one wide row; ``dimensions``
+    tells whether the orders carry their user and province columns already.
 
     Precedence follows the merge order (order copied first, detail second):
     create_time is the detail's, create_date/create_hour are the order's,
@@ -102,7 +103,7 @@ def order_wide(orders: DataFrame, details: DataFrame, how: str = "inner",
     cols = [F.col("d.id").alias("detail_id"), F.col("o.id").alias("order_id")]
     cols += [F.col(f"d.{c}") for c in WIDE_DETAIL]
     cols += [F.col("d.create_time").alias("create_time")]
-    cols += [F.col(f"o.{c}") for c in WIDE_ORDER]
+    cols += [F.col(f"o.{c}") for c in (WIDE_ORDER if dimensions else WIDE_PLAIN)]
     return j.select(*cols)
 
 

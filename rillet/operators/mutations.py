@@ -65,9 +65,12 @@ def delete_ids(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def append_with_id(target: DataFrame, new_rows: DataFrame, id_col: str,
-                   content_cols: list[str]) -> DataFrame:
-    """K6: append rows under a generated id (content hash; deterministic, so a
-    re-run produces the same ids)."""
-    gen = new_rows.withColumn(id_col, F.md5(F.concat_ws("|", *[F.col(c).cast("string")
-                                                          for c in content_cols])))
-    return target.unionByName(gen.select(*target.columns))
+                   content_cols: list[str] | None = None) -> DataFrame:
+    """K6: append rows under a generated id. ``content_cols`` that tell all rows apart give
+    the digest of their JSON form (names, quotes, escapes and explicit nulls keep different
+    contents apart), the same in a re-run; without them each row gets a random id."""
+    new_id = F.uuid()
+    if content_cols:
+        new_id = F.md5(F.to_json(F.struct(*[F.col(c) for c in content_cols]),
+                                 {"ignoreNullFields": "false"}))
+    return target.unionByName(new_rows.withColumn(id_col, new_id).select(*target.columns))

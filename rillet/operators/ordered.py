@@ -6,7 +6,8 @@ When one device holds a third of all rows, that task holds a third of the data.
 Here the window runs per (group, chunk), where the chunk is a time slice
 (a minute by default). A summary with one row per (group, chunk), which is a
 map-side combined aggregate, carries what a chunk needs from the chunks before
-it: the number of flagged rows before it, for a running count.
+it: the number of flagged rows before it, for a running count, or the last value before
+it, for the value of the previous row.
 It is bounded by the number of chunks per group (1,440 minutes in a day-scoped
 group). Each carry enters its chunk's window as one extra leading row, so the
 data is shuffled once, on (group, chunk), and null group keys behave as they
@@ -47,3 +48,20 @@ def chunked_running_count(df: DataFrame, group: Sequence[str], order: Sequence[s
             .withColumn(out, F.sum("__f").over(w_in))
             .where(F.col(_DATA) == 1)
             .drop("__f", _DATA, _CHUNK))
+
+
+def chunked_previous(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                     value: str, out: str, chunk: Column) -> DataFrame:
+    """``out`` = ``value`` of the group's previous row in ``order``, null at its first;
+    equals ``lag(value) over (partition by group order by order)``."""
+    group, order = list(group), list(order)
+    x = df.withColumn(_CHUNK, chunk)
+    last = x.groupBy(*group, _CHUNK).agg(
+        F.max_by(F.struct(value), F.struct(*order)).alias("__last"))
+    w_ch = Window.partitionBy(*group).orderBy(_CHUNK)
+    carry = last.select(*group, _CHUNK, F.lag("__last").over(w_ch)[value].alias(value))
+    w_in = Window.partitionBy(*group, _CHUNK).orderBy(_DATA, *order)
+    return (_with_carry(x, carry)
+            .withColumn(out, F.lag(value).over(w_in))
+            .where(F.col(_DATA) == 1)
+            .drop(_DATA, _CHUNK))

@@ -22,7 +22,16 @@ def partition_id_expr(key_col: str, mapping: dict[str, int], unknown: str = "err
 
 
 def route_partition(df: DataFrame, key_col: str, mapping: dict[str, int],
-                    unknown: str = "error_partition") -> DataFrame:
-    """Place each row in the partition its key names (repartitionById)."""
-    pid, n = partition_id_expr(key_col, mapping, unknown)
-    return df.withColumn("__pid", pid).repartitionById(n, "__pid").drop("__pid")
+                    unknown: str = "error_partition", out: str = "partition_id") -> DataFrame:
+    """The partition that each row's key names, as a column. A partition is a value,
+    not a task: writers split it over tasks (``spread_partitions``), so that a hot key
+    does not become one task and more rows get more tasks."""
+    pid, _ = partition_id_expr(key_col, mapping, unknown)
+    return df.withColumn(out, pid)
+
+
+def spread_partitions(df: DataFrame, by: list[str], partition: str = "partition_id",
+                      width: int = 16) -> DataFrame:
+    """Rows of one partition together, over up to ``width`` tasks by a hash of ``by``."""
+    salt = F.pmod(F.xxhash64(*by), F.lit(width))
+    return df.repartition(F.col(partition), salt)

@@ -132,7 +132,8 @@ def route_counts(parsed: DataFrame) -> DataFrame:
 # Change type -> operation letter; other types are dropped.
 CDC_OP = {"bootstrap-insert": "I", "insert": "I", "update": "U", "delete": "D"}
 
-CDC_DATA_SCHEMA = "id bigint, status string, amount double, priority string"
+# An id may be a number or text; as a string either keeps its own key.
+CDC_DATA_SCHEMA = "id string, status string, amount double, priority string"
 
 
 def cdc_ops(records: DataFrame, data_schema: str = CDC_DATA_SCHEMA) -> DataFrame:

@@ -2,8 +2,9 @@
 
 BM25 (k1=1.2, b=0.75, idf = ln(1 + (N - n + 0.5)/(n + 0.5))) over the scope's
 documents. Corpus statistics (N, average length, document frequency of each query
-term) come from one aggregate pass returning a single row; scoring is then a
-per-row JVM expression with no shuffle.
+term) are one aggregate of the text column alone, taken over its distinct texts with
+their counts, so that equal texts are analysed once; it returns a single row of numbers,
+which enter the score as literals. Over a stored table both passes read pruned columns.
 """
 
 from __future__ import annotations
@@ -13,21 +14,27 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillet.functions.misc import include_fields
 from rillet.functions.text import analyze, highlight, match_all, term_frequency, tokens
+from rillet.operators.aggregates import day_scope
 
 K1 = 1.2
 B = 0.75
 
 
 def corpus_stats(df: DataFrame, text_col: str, terms: list[str]) -> dict:
-    """N, avgdl and per-term document frequency in one aggregate (one row)."""
-    t = tokens(text_col)
-    aggs = [F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(t)).alias("avgdl")]
-    aggs += [F.count_if(F.array_contains(t, F.lit(term))).alias(f"df_{i}")
+    """N, avgdl and per-term document frequency (one row)."""
+    per = df.groupBy(F.col(text_col).alias("__text")).agg(F.count(F.lit(1)).alias("__n"))
+    t = tokens("__text")
+    n = F.col("__n")
+    length = F.when(F.col("__text").isNotNull(), F.size(t))
+    aggs = [F.sum(n).alias("n_docs"),
+            (F.sum(n * length) / F.sum(F.when(length.isNotNull(), n))).alias("avgdl")]
+    aggs += [F.sum(F.when(F.array_contains(t, F.lit(term)), n).otherwise(0)).alias(f"df_{i}")
              for i, term in enumerate(terms)]
-    row = df.agg(*aggs).first()
-    return {"n_docs": row["n_docs"], "avgdl": row["avgdl"] or 0.0,
-            "df": [row[f"df_{i}"] for i in range(len(terms))]}
+    row = per.agg(*aggs).first()
+    return {"n_docs": row["n_docs"] or 0, "avgdl": row["avgdl"] or 0.0,
+            "df": [row[f"df_{i}"] or 0 for i in range(len(terms))]}
 
 
 def bm25_score(df: DataFrame, text_col: str, query: str, k1: float = K1,
@@ -56,26 +63,29 @@ def bm25_rank(df: DataFrame, text_col: str, query: str, id_col: str, k: int = 10
     return scored.orderBy(F.desc("score"), F.asc(id_col)).limit(k)
 
 
+#: The fields that the detail search returns.
+DETAIL_FIELDS = ["sku_name", "sku_num", "province_name", "order_price", "total_amount",
+                 "user_age", "user_gender", "create_time"]
+
+
 def detail_by_item(wide: DataFrame, item: str, page_no: int = 1, page_size: int = 20,
                    fields: list[str] | None = None, id_col: str = "detail_id",
-                   pre_tag: str = "<em>", post_tag: str = "</em>") -> DataFrame:
-    """T1 + T5 + L2 + T4 + P13: rows whose sku_name holds every item token, in
-    relevance order (ties by id), one page, sku_name replaced by its highlight."""
-    fields = fields or ["sku_name", "sku_num", "province_name", "order_price", "total_amount",
-                        "user_age", "user_gender", "create_time"]
+                   pre_tag: str = "<em>", post_tag: str = "</em>",
+                   date: str | None = None) -> DataFrame:
+    """T1 + T5 + L2 + T4 + P13: rows whose sku_name holds every item token, of one day's
+    partition if ``date`` is given, in relevance order (ties by id), one page, sku_name
+    replaced by its highlight."""
+    wide = day_scope(wide, date, "create_date")
+    fields = fields or DETAIL_FIELDS
     score = bm25_score(wide, "sku_name", item)
     hits = wide.where(match_all("sku_name", item)).withColumn("__score", score)
     start = (page_no - 1) * page_size
     page = hits.orderBy(F.desc("__score"), F.asc(id_col)).offset(start).limit(page_size)
-    cols = [F.col(id_col)]
-    for f in fields:
-        if f == "sku_name":
-            cols.append(highlight("sku_name", item, pre_tag, post_tag).alias("sku_name"))
-        else:
-            cols.append(F.col(f))
-    return page.select(*cols)
-
-
-def detail_total(wide: DataFrame, item: str) -> DataFrame:
-    """Total hit count of the detail search (exact)."""
-    return wide.where(match_all("sku_name", item)).agg(F.count(F.lit(1)).alias("total"))
+    if "sku_name" in fields:
+        page = page.withColumn("sku_name", highlight("sku_name", item, pre_tag, post_tag))
+    return include_fields(page, [id_col, *fields])
+
+
+def detail_total(wide: DataFrame, item: str, date: str | None = None) -> DataFrame:
+    """Total hit count of the detail search (exact; 0 for a day without a partition)."""
+    return day_scope(wide, date, "create_date").where(match_all("sku_name", item)).agg(F.count(F.lit(1)).alias("total"))

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.functions.time import day_of
+from rillet.operators import joins
 from rillet.operators.sessions import sessions
-from rillet.plans.orders import order_wide
 from rillet.sources import adapters
 from rillet.sources.tables import table
 
@@ -29,18 +29,20 @@ FUNNEL_PAGES = ("view", "click", "purchase")
 PAID_STATUS = "F"
 
 
-def _pages(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
-    """Page rows with ``dt``; ``days`` keeps the last ``days`` days present.
+def _since(spark: SparkSession, sf_dir: str, name: str, col: str, days: int | None) -> str | None:
+    """First day of the last ``days`` days of a table, up to its own newest day. The
+    newest day is one aggregate over the time column alone."""
+    if days is None:
+        return None
+    last = table(spark, sf_dir, name, col).agg(F.max(F.to_date(col))).first()[0]
+    return None if last is None else (last - timedelta(days=days - 1)).isoformat()
 
-    The latest day is one aggregate over the events' time column alone (a
-    one-column scan, no join or window); the window start then bounds the
-    events scan, so a 7-day dashboard does not read the whole history.
-    """
-    since = None
-    if days is not None:
-        last = table(spark, sf_dir, "events", "ts").agg(F.max(F.to_date("ts"))).first()[0]
-        since = None if last is None else (last - timedelta(days=days - 1)).isoformat()
-    return adapters.page_log(spark, sf_dir, since).withColumn("dt", day_of("ts"))
+
+def _pages(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
+    """Page rows with ``dt``; ``days`` keeps the last ``days`` days present. The bound
+    reaches the events scan, so a 7-day dashboard does not read the whole history."""
+    since = _since(spark, sf_dir, "events", "ts", days)
+    return adapters.page_log(spark, sf_dir, since, province=False).withColumn("dt", day_of("ts"))
 
 
 def _pct(part, whole) -> F.Column:
@@ -98,14 +100,19 @@ def q07_page_path(spark, sf_dir, days=None):
         .agg(F.count(F.lit(1)).alias("value"))
 
 
-def _orders(spark, sf_dir) -> DataFrame:
-    return adapters.order_info(spark, sf_dir).select("id", "user_id", "order_status",
-                                                     "total_amount")
+def _order_days(spark, sf_dir, days) -> str | None:
+    return _since(spark, sf_dir, "orders", "o_orderdate", days)
+
+
+def _orders(spark, sf_dir, days=None) -> DataFrame:
+    """Orders of the last ``days`` days, like the pages they are set against."""
+    o = adapters.order_info(spark, sf_dir, _order_days(spark, sf_dir, days))
+    return o.select("id", "user_id", "order_status", "total_amount")
 
 
 def q08_user_action_convert(spark, sf_dir, days=None):
     p = _pages(spark, sf_dir, days)
-    o = _orders(spark, sf_dir)
+    o = _orders(spark, sf_dir, days)
     counts = p.agg(*[F.count_distinct(F.when(F.col("page_id") == pg, F.col("mid"))).alias(f"s{i}")
                      for i, pg in enumerate(FUNNEL_PAGES)])
     ocounts = o.agg(F.count_distinct("user_id").alias("s3"),
@@ -122,7 +129,7 @@ def q08_user_action_convert(spark, sf_dir, days=None):
 
 def q09_user_paid(spark, sf_dir, days=None):
     active = _pages(spark, sf_dir, days).select(F.col("mid").cast("bigint").alias("uid")).distinct()
-    paying = _orders(spark, sf_dir).where(F.col("order_status") == PAID_STATUS) \
+    paying = _orders(spark, sf_dir, days).where(F.col("order_status") == PAID_STATUS) \
         .select(F.col("user_id").alias("uid")).distinct().withColumn("paid", F.lit(True))
     j = active.join(paying, "uid", "left")
     return j.groupBy(F.coalesce("paid", F.lit(False)).alias("paid")) \
@@ -133,7 +140,7 @@ def q10_user_total(spark, sf_dir, days=None):
     p = _pages(spark, sf_dir, days)
     users = p.groupBy(F.col("mid").cast("bigint").alias("uid")) \
         .agg(F.max(F.col("is_new") == "1").alias("is_new"))
-    o = _orders(spark, sf_dir)
+    o = _orders(spark, sf_dir, days)
     per_user = o.groupBy(F.col("user_id").alias("uid")).agg(F.sum("total_amount").alias("amount"))
     j = users.join(per_user, "uid", "full_outer")
     return j.agg(
@@ -145,9 +152,17 @@ def q10_user_total(spark, sf_dir, days=None):
         .alias("pct"))
 
 
-def _sales(spark, sf_dir) -> DataFrame:
-    w = order_wide(spark, sf_dir)
-    return w.join(adapters.part_dim(spark, sf_dir), "sku_id", "left")
+def _sales(spark, sf_dir, days=None) -> DataFrame:
+    """Order lines with their sku's brand and category: no order, user or province
+    column is asked, so none of these is joined."""
+    return adapters.order_detail(spark, sf_dir, _order_days(spark, sf_dir, days), sku=True)
+
+
+def _sold_orders(spark, sf_dir, days=None) -> DataFrame:
+    """Orders that have a line."""
+    lines = table(spark, sf_dir, "lineitem", F.col("l_orderkey").alias("id"))
+    return adapters.order_info(spark, sf_dir, _order_days(spark, sf_dir, days)).join(
+        lines, "id", "left_semi")
 
 
 def _top(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -156,15 +171,15 @@ def _top(df: DataFrame, key: str, n: int) -> DataFrame:
         .select("name", F.col("amount").cast("double").alias("value"))
 
 
-def q11_spu(spark, sf_dir, num=TOP_N):
-    return _top(_sales(spark, sf_dir), "sku_name", num)
+def q11_spu(spark, sf_dir, num=TOP_N, days=None):
+    return _top(_sales(spark, sf_dir, days), "sku_name", num)
 
 
-def q12_tm(spark, sf_dir, num=TOP_N):
-    return _top(_sales(spark, sf_dir), "tm_name", num)
+def q12_tm(spark, sf_dir, num=TOP_N, days=None):
+    return _top(_sales(spark, sf_dir, days), "tm_name", num)
 
 
-def q13_category(spark, sf_dir, num=TOP_N):
+def q13_category(spark, sf_dir, num=TOP_N, days=None):
     """Top-n categories plus one remainder row for all other categories.
 
     The top n come from a distributed top-k (TakeOrdered: each task keeps its n
@@ -173,7 +188,7 @@ def q13_category(spark, sf_dir, num=TOP_N):
     (an anti join against at most ``num`` broadcast rows), summed; it is
     absent when there are no other categories.
     """
-    s = _sales(spark, sf_dir)
+    s = _sales(spark, sf_dir, days)
     agg = s.groupBy(F.col("category_name").alias("name")) \
         .agg(F.sum("split_total_amount").alias("amount"))
     top = agg.orderBy(F.desc("amount"), F.asc("name")).limit(num)
@@ -185,15 +200,23 @@ def q13_category(spark, sf_dir, num=TOP_N):
         .agg(F.sum("amount").cast("double").alias("value"))
 
 
-def q14_area(spark, sf_dir):
-    w = order_wide(spark, sf_dir)
-    return w.groupBy("province_name").agg(F.count_distinct("order_id").alias("order_count"))
+def q14_area(spark, sf_dir, days=None):
+    o = joins.enrich_province(_sold_orders(spark, sf_dir, days), adapters.base_province(spark, sf_dir))
+    return o.groupBy("province_name").agg(F.count(F.lit(1)).alias("order_count"))
+
+
+def q15_order_total(spark, sf_dir, days=None):
+    return _sold_orders(spark, sf_dir, days).agg(
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("total_amount").cast("double").alias("order_amount"),
+        F.count_distinct("user_id").alias("order_user"))
+
+
+WEEK = 7
 
 
-def q15_order_total(spark, sf_dir):
-    w = order_wide(spark, sf_dir)
-    per_order = w.groupBy("order_id").agg(F.first("total_amount").alias("total_amount"),
-                                          F.first("user_id").alias("user_id"))
-    return per_order.agg(F.count(F.lit(1)).alias("order_count"),
-                         F.sum("total_amount").cast("double").alias("order_amount"),
-                         F.count_distinct("user_id").alias("order_user"))
+def last_week(query):
+    """The query over the last 7 days of its input."""
+    def run(spark, sf_dir):
+        return query(spark, sf_dir, days=WEEK)
+    return run

@@ -11,7 +11,9 @@ from rillet.functions.misc import copy_fields
 from rillet.functions.time import day_of, hour_of
 from rillet.operators import aggregates, dedup, joins
 from rillet.schemas import DAU_INFO_FIELDS
+from rillet.session import scratch_path
 from rillet.sources import adapters
+from rillet.sources.keyed_table import KeyedTable
 
 
 def dau_rows(page_log: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -45,17 +47,57 @@ def dau_realtime_hours(spark: SparkSession, sf_dir: str, date: str | None = None
         since, until = (d - timedelta(days=1)).isoformat(), (d + timedelta(days=1)).isoformat()
     if tz != "UTC":
         since = until = None  # the day bounds are UTC days; other zones scan every day
-    e = dedup.entry_pages(adapters.page_log(spark, sf_dir, since, until)).select("mid", "ts")
+    e = dedup.entry_pages(adapters.page_log(spark, sf_dir, since, until, province=False)).select("mid", "ts")
     e = e.withColumn("dt", day_of("ts", tz))
     first = e.groupBy("dt", "mid").agg(F.min("ts").alias("ts"))
     return aggregates.dau_hours(first.select("dt", hour_of("ts", tz).alias("hr"), "mid"), date)
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.stage_counts(adapters.page_log(spark, sf_dir))
+    return dedup.stage_counts(adapters.page_log(spark, sf_dir, province=False))
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_dau(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    """The daily-active table as its job leaves it: keyed by (dt, mid), a folder per day;
+    written once per application and input."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    path = _STORED.get(known) or scratch_path(spark, "dau")
+    table = KeyedTable(spark, path, ["dt", "mid"], ["dt"])
+    if known not in _STORED:
+        pl = adapters.page_log(spark, sf_dir, province=False)
+        table.upsert(dau_rows(pl).select("dt", "mid", "hr", "ts"))
+        table.compact()
+        _STORED[known] = path
+    return table
 
 
 def column_scan(spark: SparkSession, sf_dir: str, field: str = "mid") -> DataFrame:
-    """Single-column scan of the daily-active table (every day, no row cap)."""
-    dau = dau_rows(adapters.page_log(spark, sf_dir))
-    return dau.select("dt", F.col(field))
+    """Single-column scan of the stored daily-active table (every day, no row cap)."""
+    return stored_dau(spark, sf_dir).read().select("dt", F.col(field))
+
+
+def _newest(spark: SparkSession, sf_dir: str) -> str:
+    from rillet.sources.tables import table
+    return table(spark, sf_dir, "events", "ts").agg(F.max(F.to_date("ts"))).first()[0].isoformat()
+
+
+def dau_total_day(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
+    """A1 + S4: actives of one day, read from its partition."""
+    day = date or _newest(spark, sf_dir)
+    return aggregates.day_total(stored_dau(spark, sf_dir).read_partition(dt=day)).select(
+        F.lit(day).alias("dt"), "dau_total")
+
+
+def dau_count_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: actives per day and hour, hours without any left out."""
+    return aggregates.count_by_hour(stored_dau(spark, sf_dir).read())
+
+
+def dau_hours_empty_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 just after midnight: the day after the newest one has no row yet; its 24 hours
+    stand against those of the day before."""
+    tomorrow = _date.fromisoformat(_newest(spark, sf_dir)) + timedelta(days=1)
+    return dau_realtime_hours(spark, sf_dir, tomorrow.isoformat())

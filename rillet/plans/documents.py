@@ -10,13 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillet.functions.json import array_length, member
 from rillet.functions.misc import zip_map
 from rillet.functions.time import epoch_millis
 from rillet.operators import dedup, mutations
 from rillet.operators.aggregates import GENDER_MALE_LABEL, GENDER_OTHER_LABEL
 from rillet.operators.partitioner import route_partition
-from rillet.plans.orders import order_docs, order_wide
+from rillet.plans.orders import order_docs, stored_wide
+from rillet.session import scratch_path
 from rillet.sources import adapters
+from rillet.sources.keyed_table import KeyedTable
 from rillet.sources.tables import table
 
 RENAMED = "renamed"
@@ -55,7 +58,7 @@ def partial_update(spark, sf_dir):
 
 
 def update_by_query(spark, sf_dir):
-    docs = order_docs(order_wide(spark, sf_dir), adapters.part_dim(spark, sf_dir))
+    docs = order_docs(stored_wide(spark, sf_dir), adapters.part_dim(spark, sf_dir))
     out = mutations.update_by_query(docs, F.col("order_status") == "O", "items", 0, "name",
                                     F.lit(RENAMED))
     return out.select("order_id", "order_status", F.size("items").alias("n_items"),
@@ -64,11 +67,11 @@ def update_by_query(spark, sf_dir):
 
 
 def _deleted_users(spark, sf_dir) -> DataFrame:
-    """Ids of users with a delete change record (bulk delete input)."""
+    """Ids ('u-7': 7) of users with a delete change record (bulk delete input)."""
     from rillet.operators import routing
     ops = routing.cdc_ops(adapters.cdc_records(spark, sf_dir))
     return ops.where((F.col("table") == "user_info") & (F.col("op") == "D")) \
-        .select(F.col("rec.id").alias("id"))
+        .select(F.regexp_extract("rec.id", "^u-([0-9]+)$", 1).cast("bigint").alias("id"))
 
 
 def delete_by_id(spark, sf_dir):
@@ -92,8 +95,11 @@ def append_new(spark, sf_dir):
 
 
 def event_rollup(spark, sf_dir):
+    """Events of users; every 17th has no user and every 7th no kind."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    e = e.select("event_id", "user_id", "event_type", "value", epoch_millis("ts").alias("ts"))
+    e = e.select("event_id", "value", epoch_millis("ts").alias("ts"),
+                 F.when(F.col("event_id") % 17 != 0, F.col("user_id")).alias("user_id"),
+                 F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"))
     return dedup.event_rollup(e, "user_id", "event_type", "ts", "value", tie="event_id")
 
 
@@ -106,9 +112,8 @@ EVENT_PARTITIONS = {"view": 0, "click": 1, "purchase": 2}
 def route_partition_ids(spark, sf_dir):
     e = table(spark, sf_dir, "events", "event_id", "event_type")
     routed = route_partition(e, "event_type", EVENT_PARTITIONS)
-    return (routed.select(F.col("event_type").alias("key"),
-                          F.spark_partition_id().alias("partition_id"))
-            .groupBy("key", "partition_id").agg(F.count(F.lit(1)).alias("n")))
+    return (routed.groupBy(F.col("event_type").alias("key"), "partition_id")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def scalar_map_json(spark, sf_dir):
@@ -123,3 +128,42 @@ def scalar_map_json(spark, sf_dir):
     back = js.select("user_id", F.explode(F.from_json("json", "map<string,bigint>"))
                      .alias("event_type", "n"))
     return back
+
+
+def append_ids_unique(spark, sf_dir):
+    """K6: contents that differ only by where a separator stands, or by a null, keep ids
+    of their own, and so do equal contents under random ids."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    parts = o.select(
+        F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, "|b").otherwise("")).alias("name"),
+        F.when(F.col("o_orderkey") % 2 == 1, F.lit("b")).alias("more"))
+    empty = parts.select(F.lit(None).cast("string").alias("id"), "name", "more").limit(0)
+    by_content = mutations.append_with_id(empty, parts, "id", ["name", "more"])
+    same = o.select(F.lit("same").alias("name"), F.lit(None).cast("string").alias("more"))
+    by_chance = mutations.append_with_id(empty, same, "id")
+    return by_content.withColumn("how", F.lit("content")).union(
+        by_chance.withColumn("how", F.lit("random"))).groupBy("how").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
+
+
+def json_members(spark, sf_dir):
+    """X7 + X8: members and array lengths out of raw JSON text."""
+    raw = adapters.raw_log_json(spark, sf_dir)
+    return raw.select(
+        "seq", member("value", "$.common.mid").alias("mid"),
+        member("value", "$.page.during_time", "bigint").alias("during_time"),
+        F.coalesce(array_length("value", "$.actions"), F.lit(0)).alias("n_actions"),
+        F.coalesce(array_length("value", "$.displays"), F.lit(0)).alias("n_displays"))
+
+
+def stored_delete(spark, sf_dir):
+    """M5 + M6 + K4 on a stored table: upsert the users and their changes, delete by a
+    condition, and delete all rows of one partition."""
+    docs = user_docs(spark, sf_dir)
+    stored = KeyedTable(spark, scratch_path(spark, "stored-delete"), ["id"], ["band"], seq="seq")
+    band = F.floor(F.col("id") / F.lit(50)).cast("string")
+    for part in (docs, user_changes(spark, sf_dir)):
+        stored.upsert(part.withColumn("band", band))
+    stored.delete_where(F.col("age") > 60)
+    stored.delete_where(F.col("band") == "1")
+    return stored.read().select("id", "name", "age", "seq")

@@ -62,7 +62,7 @@ base_province AS (
          'CN-' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS iso_3166_2
   FROM nation)"""
 
-CREATE_TIME = "strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400), '%Y-%m-%d %H:%M:%S')"
+CREATE_TIME = "strftime(o.o_orderdate + to_seconds(o.o_orderkey % 80000), '%Y-%m-%d %H:%M:%S')"
 
 ORDER_INFO = f"""
 order_info AS (
@@ -74,7 +74,7 @@ order_enriched AS (
   SELECT oi.*, split_part(oi.create_time, ' ', 1) AS create_date,
          split_part(split_part(oi.create_time, ' ', 2), ':', 1) AS create_hour,
          p.name AS province_name, p.area_code AS province_area_code,
-         p.iso_code AS province_iso_code, p.iso_3166_2 AS province_3166_2_code,
+         p.iso_code AS province_iso_code, p.iso_3166_2 AS province_iso_3166_2,
          u.user_gender, u.user_age
   FROM order_info oi LEFT JOIN user_dim u ON oi.user_id = u.id
   LEFT JOIN base_province p ON oi.province_id = p.id)"""
@@ -88,7 +88,10 @@ order_detail AS (
          l.l_orderkey AS order_id, l.l_partkey AS sku_id,
          CAST(p.p_retailprice AS DECIMAL(18,2)) AS order_price,
          CAST(l.l_quantity AS BIGINT) AS sku_num, p.p_name AS sku_name,
-         {CREATE_TIME} AS create_time,
+         strftime(o.o_orderdate + to_seconds(o.o_orderkey % 80000 + 60 * row_number() OVER (
+           PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey,
+           l.l_shipdate, l.l_extendedprice, l.l_quantity, l.l_discount, l.l_tax,
+           l.l_returnflag, l.l_linestatus)), '%Y-%m-%d %H:%M:%S') AS create_time,
          CAST(round(CAST(l.l_extendedprice AS DECIMAL(18,2))
                     * (1 - CAST(l.l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2))
            AS split_total_amount
@@ -100,7 +103,7 @@ order_wide AS (
   SELECT d.id AS detail_id, o.id AS order_id, d.sku_id, d.order_price, d.sku_num, d.sku_name,
          d.split_total_amount, d.create_time, o.province_id, o.order_status, o.user_id,
          o.total_amount, o.create_date, o.create_hour, o.province_name,
-         o.province_area_code, o.province_iso_code, o.province_3166_2_code,
+         o.province_area_code, o.province_iso_code, o.province_iso_3166_2,
          o.user_gender, o.user_age
   FROM order_detail d JOIN order_enriched o ON d.order_id = o.id)"""
 
@@ -142,6 +145,21 @@ SELECT 'parsed' AS stage, count(*) AS rows FROM page_log
 UNION ALL SELECT 'entry_filter', count(*) FROM page_log WHERE last_page_id IS NULL
 UNION ALL SELECT 'dedup', count(*) FROM dau"""
 
+SQL["dau_total_day"] = with_(PAGE_LOG, DAU) + """
+SELECT dt, count(*) AS dau_total FROM dau WHERE dt = (
+  SELECT strftime(max(ts), '%Y-%m-%d') FROM events) GROUP BY dt"""
+
+SQL["dau_count_by_hour"] = with_(PAGE_LOG, DAU) + """
+SELECT dt, hr, count(*) AS n FROM dau GROUP BY dt, hr"""
+
+SQL["dau_hours_empty_today"] = with_(PAGE_LOG, DAU, """
+newest AS (SELECT max(CAST(ts AS DATE)) AS d FROM events)""") + """
+SELECT strftime(newest.d + 1, '%Y-%m-%d') AS dt, lpad(CAST(h.h AS VARCHAR), 2, '0') AS hr,
+       CAST(0 AS BIGINT) AS dau_td,
+       (SELECT count(*) FROM dau WHERE dau.dt = strftime(newest.d, '%Y-%m-%d')
+          AND CAST(dau.hr AS INTEGER) = h.h) AS dau_yd, CAST(0 AS BIGINT) AS dau_total
+FROM newest, range(0, 24) h(h)"""
+
 SQL["column_scan"] = with_(PAGE_LOG, DAU) + "SELECT dt, mid FROM dau"
 
 
@@ -180,34 +198,55 @@ W_TOKS = _tok("sku_name")
 
 SQL["order_wide"] = WIDE + """
 SELECT detail_id, order_id, sku_id, CAST(order_price AS DOUBLE) AS order_price, sku_num, sku_name,
-       CAST(split_total_amount AS DOUBLE) AS split_total_amount, create_time, province_id,
-       order_status, user_id, CAST(total_amount AS DOUBLE) AS total_amount,
-       CAST(0 AS DOUBLE) AS feight_fee, create_date, create_hour,
-       province_name, province_area_code, province_iso_code, province_3166_2_code,
+       CAST(split_total_amount AS DOUBLE) AS split_total_amount,
+       CAST(0 AS DOUBLE) AS split_activity_amount, CAST(0 AS DOUBLE) AS split_coupon_amount,
+       create_time, province_id, order_status, user_id, CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(0 AS DOUBLE) AS activity_reduce_amount, CAST(0 AS DOUBLE) AS coupon_reduce_amount,
+       CAST(total_amount AS DOUBLE) AS original_total_amount,
+       CAST(0 AS DOUBLE) AS feight_fee, CAST(0 AS DOUBLE) AS feight_fee_reduce,
+       CAST(NULL AS VARCHAR) AS operate_time, CAST(NULL AS VARCHAR) AS expire_time,
+       CAST(NULL AS VARCHAR) AS refundable_time, create_date, create_hour,
+       province_name, province_area_code, province_iso_code, province_iso_3166_2,
        user_gender, user_age
 FROM order_wide"""
 
+SQL["order_defaults"] = with_(ORDER_INFO.split("order_enriched AS")[0].rstrip().rstrip(",")) + """
+SELECT id, user_id, create_time,
+       CAST(CASE WHEN id % 5 <> 0 THEN total_amount ELSE 0 END AS DOUBLE) AS total_amount,
+       CAST(CASE WHEN id % 3 <> 0 THEN total_amount ELSE 0 END AS DOUBLE) AS original_total_amount,
+       CAST(0 AS DOUBLE) AS activity_reduce_amount, CAST(0 AS DOUBLE) AS coupon_reduce_amount,
+       CAST(0 AS DOUBLE) AS feight_fee, CAST(0 AS DOUBLE) AS feight_fee_reduce
+FROM order_info"""
+
 SQL["order_full_outer"] = with_(ORDER_INFO.split("order_enriched AS")[0].rstrip().rstrip(","),
                                 ORDER_DETAIL) + """
 SELECT coalesce(o.id, d.order_id) AS order_id, d.id AS detail_id,
        o.id IS NOT NULL AS has_order, d.id IS NOT NULL AS has_detail
 FROM order_info o FULL OUTER JOIN order_detail d ON o.id = d.order_id"""
 
-_STATS_BUCKETS = """
-m AS (SELECT * FROM order_wide WHERE list_has_all({toks}, ['widget'])),
-b AS (SELECT {field} AS k, count(*) AS n, sum(split_total_amount) AS amount
-      FROM m WHERE {field} IS NOT NULL GROUP BY 1 ORDER BY n DESC, k ASC LIMIT 100)"""
+_MATCHED = """
+m AS (SELECT * FROM order_wide WHERE list_has_all({toks}, ['widget']){day})"""
+_NEWEST = " AND create_date = (SELECT max(create_date) FROM order_enriched)"
+
+_GENDER = """
+SELECT CASE WHEN user_gender = 'M' THEN '男' ELSE '女' END AS name,
+       CAST(sum(split_total_amount) AS DOUBLE) AS value
+FROM m WHERE user_gender IS NOT NULL GROUP BY 1"""
 
-SQL["stats_by_gender"] = with_(WIDE_CTES, _STATS_BUCKETS.format(toks=W_TOKS, field="user_gender")) + """
-SELECT CASE WHEN k = 'M' THEN '男' ELSE '女' END AS name, CAST(amount AS DOUBLE) AS value FROM b"""
+_AGE = "".join(f"""{union}
+SELECT '{name}' AS name, CAST(coalesce(sum(split_total_amount) FILTER (WHERE {cond}), 0) AS DOUBLE) AS value
+FROM m""" for union, name, cond in (
+    ("", "30岁以下", "user_age < 30"), ("\nUNION ALL", "30-50岁", "user_age BETWEEN 30 AND 50"),
+    ("\nUNION ALL", "50岁以上", "user_age > 50")))
 
-SQL["stats_by_age_band"] = with_(WIDE_CTES, _STATS_BUCKETS.format(toks=W_TOKS, field="user_age")) + """
-SELECT '30岁以下' AS name, CAST(coalesce(sum(amount) FILTER (WHERE k < 30), 0) AS DOUBLE) AS value FROM b
-UNION ALL SELECT '30-50岁', CAST(coalesce(sum(amount) FILTER (WHERE k >= 30 AND k <= 50), 0) AS DOUBLE) FROM b
-UNION ALL SELECT '50岁以上', CAST(coalesce(sum(amount) FILTER (WHERE k > 50), 0) AS DOUBLE) FROM b"""
+for _day, _tail in (("", ""), (_NEWEST, "_day")):
+    SQL[f"stats_by_gender{_tail}"] = with_(WIDE_CTES, _MATCHED.format(toks=W_TOKS, day=_day)) + _GENDER
+    SQL[f"stats_by_age_band{_tail}"] = with_(WIDE_CTES, _MATCHED.format(toks=W_TOKS, day=_day)) + _AGE
 
-SQL["stats_unknown_type"] = WIDE + """
-SELECT CAST(NULL AS VARCHAR) AS name, CAST(NULL AS DOUBLE) AS value FROM order_wide WHERE false"""
+SQL["stats_unknown_type"] = with_(WIDE_CTES, _MATCHED.format(toks=W_TOKS, day="")) + """
+SELECT 'gender' AS type, count(DISTINCT CASE WHEN user_gender = 'M' THEN 1 ELSE 0 END) AS rows
+FROM m WHERE user_gender IS NOT NULL
+UNION ALL SELECT 'age', 3 UNION ALL SELECT 'region', 0"""
 
 _RW = ["red", "widget"]
 
@@ -218,6 +257,15 @@ SELECT detail_id, {_hl('sku_name', _RW)} AS sku_name, sku_num, province_name,
 FROM scored WHERE list_has_all(toks, {_list(_RW)})
 ORDER BY score DESC, detail_id LIMIT 20 OFFSET 0"""
 
+SQL["detail_by_item_day"] = with_(
+    WIDE_CTES, "d1 AS (SELECT * FROM order_wide WHERE true" + _NEWEST + ")",
+    bm25_sql(["widget"], "d1", "sku_name")) + f"""
+SELECT detail_id, {_hl('sku_name', ['widget'])} AS sku_name, sku_num, province_name,
+       CAST(order_price AS DOUBLE) AS order_price, CAST(total_amount AS DOUBLE) AS total_amount,
+       user_age, user_gender, create_time
+FROM scored WHERE list_has_all(toks, ['widget'])
+ORDER BY score DESC, detail_id LIMIT 20 OFFSET 0"""
+
 SQL["detail_total"] = WIDE + f"""
 SELECT count(*) AS total FROM order_wide WHERE list_has_all({W_TOKS}, {_list(_RW)})"""
 
@@ -271,6 +319,14 @@ SQL["fuzzy_match"] = WIDE + f"""
 SELECT detail_id, sku_name FROM order_wide
 WHERE len(list_filter({W_TOKS}, lambda x: levenshtein(x, 'widgit') <= 2)) > 0"""
 
+SQL["fuzzy_transpose"] = WIDE + f"""
+SELECT detail_id, sku_name FROM order_wide
+WHERE len(list_filter({W_TOKS}, lambda x: damerau_levenshtein(x, 'wdiget') <= 1)) > 0"""
+
+SQL["highlight_han"] = WIDE + """
+SELECT detail_id, regexp_replace('天天行动 ' || sku_name, '(行|动|\\bwidget\\b)', '<em>\\1</em>', 'gi') AS sku_name
+FROM order_wide"""
+
 SQL["bm25_rank"] = with_(WIDE_CTES, bm25_sql(_RW, "order_wide", "sku_name")) + f"""
 SELECT detail_id, sku_name, round(score, 6) AS score FROM scored
 WHERE list_has_any(toks, {_list(_RW)}) ORDER BY score DESC, detail_id LIMIT 100"""
@@ -337,8 +393,9 @@ cdc AS (
          o_orderkey AS seq, o_custkey, o_orderstatus AS status, o_totalprice AS amount
   FROM orders),
 ops AS (
-  SELECT *, CASE "table" WHEN 'order_info' THEN seq WHEN 'user_info' THEN o_custkey
-                 ELSE o_custkey % 25 END AS id
+  SELECT *, CASE "table" WHEN 'order_info' THEN CAST(seq AS VARCHAR)
+                 WHEN 'user_info' THEN 'u-' || o_custkey
+                 ELSE CAST(o_custkey % 25 AS VARCHAR) END AS id
   FROM (SELECT *, CASE type WHEN 'bootstrap-insert' THEN 'I' WHEN 'insert' THEN 'I'
                             WHEN 'update' THEN 'U' WHEN 'delete' THEN 'D' END AS op FROM cdc)
   WHERE op IS NOT NULL)"""
@@ -346,7 +403,8 @@ ops AS (
 SQL["cdc_op_map"] = with_(CDC) + 'SELECT seq, "table", type, op, id FROM ops'
 
 SQL["cdc_fact_route"] = with_(CDC) + """
-SELECT 'DWD_' || upper("table") || '_' || op AS topic, CAST(id AS VARCHAR) AS key, seq
+SELECT 'DWD_' || upper("table") || '_' || op AS topic, CAST(id AS VARCHAR) AS key, seq,
+       id || '/' || status AS value
 FROM ops WHERE "table" IN ('order_info', 'user_info')"""
 
 SQL["cdc_dim_latest"] = with_(CDC) + """
@@ -394,27 +452,44 @@ SQL["delete_by_id"] = with_(USER_INFO, USER_DOCS) + "SELECT * FROM user_docs WHE
 
 SQL["bulk_delete"] = with_(USER_INFO, USER_DOCS, CDC) + """
 SELECT * FROM user_docs
-WHERE id NOT IN (SELECT id FROM ops WHERE "table" = 'user_info' AND op = 'D')"""
+WHERE id NOT IN (SELECT o_custkey FROM ops WHERE "table" = 'user_info' AND op = 'D')"""
+
+SQL["stored_delete"] = with_(USER_INFO, USER_DOCS) + """
+SELECT id, name, age, seq FROM (
+  SELECT * FROM user_docs WHERE id NOT IN (SELECT id FROM latest)
+  UNION ALL SELECT id, name, age, sex, seq FROM latest)
+WHERE age <= 60 AND id // 50 <> 1"""
 
 SQL["append_new"] = with_(USER_INFO, USER_DOCS) + """
 SELECT CAST(id AS VARCHAR) AS id, name, seq FROM user_docs
 UNION ALL
-SELECT md5(name || '|' || CAST(seq AS VARCHAR)) AS id, name, seq
+SELECT md5('{"name":"' || name || '","seq":' || CAST(seq AS VARCHAR) || '}') AS id, name, seq
 FROM (SELECT 'pending_' || CAST(o_orderkey AS VARCHAR) AS name, o_orderkey AS seq
       FROM orders WHERE o_orderstatus = 'P')"""
 
 SQL["event_rollup"] = """
-WITH e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) // 1000 AS ts FROM events),
-c AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NULL OR lag(event_type) OVER w <> event_type
-                     THEN 1 ELSE 0 END AS chg
+WITH e AS (SELECT event_id, CASE WHEN event_id % 17 <> 0 THEN user_id END AS user_id,
+                  CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type, value,
+                  epoch_us(ts) // 1000 AS ts FROM events),
+c AS (SELECT *, CASE WHEN row_number() OVER w = 1
+                       OR lag(event_type) OVER w IS DISTINCT FROM event_type THEN 1 ELSE 0 END AS chg
       FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-r AS (SELECT *, CAST(sum(chg) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                                    ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_no FROM c)
-SELECT user_id, event_type, run_no, min(ts) AS start_time, max(ts) AS end_time,
-       arg_min(value, ts) AS start_value, arg_max(value, ts) AS end_value,
+r AS (SELECT *, sum(chg) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                               ROWS UNBOUNDED PRECEDING) AS run_no FROM c)
+SELECT user_id, event_type, min(ts) AS start_time, max(ts) AS end_time,
+       arg_min(value, (ts, event_id)) AS start_value, arg_max(value, (ts, event_id)) AS end_value,
        min(value) AS min_value, max(value) AS max_value, count(*) AS n_rows
 FROM r GROUP BY user_id, event_type, run_no"""
 
+SQL["append_ids_unique"] = """
+SELECT how, n AS rows, n AS ids
+FROM (SELECT count(*) AS n FROM orders), (VALUES ('content'), ('random')) h(how)"""
+
+SQL["json_members"] = with_(PAGE_LOG) + """
+SELECT seq, mid, during_time, CAST(CAST(page_item AS INTEGER) % 3 AS INTEGER) AS n_actions,
+       CAST(CAST(page_item AS INTEGER) % 4 AS INTEGER) AS n_displays
+FROM page_log"""
+
 SQL["route_partition_ids"] = """
 SELECT event_type AS key,
        CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 ELSE 3 END
@@ -442,6 +517,16 @@ SELECT detail_id, order_id, create_date, user_gender, province_name,
        CAST(split_total_amount AS DOUBLE) AS split_total_amount
 FROM order_wide"""
 
+SQL["log_route_contents"] = with_(PAGE_LOG, LOG_ROWS) + """
+SELECT 'error' AS route, CAST(NULL AS VARCHAR) AS mid, CAST(NULL AS BIGINT) AS ts, CAST(k AS VARCHAR) AS detail
+FROM lg WHERE page_id = 'error'
+UNION ALL SELECT 'page', mid, ts, page_id FROM lg WHERE page_id <> 'error'
+UNION ALL SELECT 'action', mid, ts + (i + 1) * 1000, 'act' || i
+  FROM (SELECT *, unnest(range(k % 3)) AS i FROM lg WHERE page_id <> 'error')
+UNION ALL SELECT 'display', mid, ts, CAST(k + i AS VARCHAR)
+  FROM (SELECT *, unnest(range(k % 4)) AS i FROM lg WHERE page_id <> 'error')
+UNION ALL SELECT 'start', mid, ts, CAST(k AS VARCHAR) FROM lg WHERE page_id = 'signup'"""
+
 SQL["stream_log_routes"] = with_(PAGE_LOG, LOG_ROWS) + """
 SELECT 'error' AS route, count(*) FILTER (WHERE page_id = 'error') AS rows FROM lg
 UNION ALL SELECT 'page', count(*) FILTER (WHERE page_id <> 'error') FROM lg
@@ -449,6 +534,30 @@ UNION ALL SELECT 'action', CAST(sum(CASE WHEN page_id <> 'error' THEN k % 3 ELSE
 UNION ALL SELECT 'display', CAST(sum(CASE WHEN page_id <> 'error' THEN k % 4 ELSE 0 END) AS BIGINT) FROM lg
 UNION ALL SELECT 'start', count(*) FILTER (WHERE page_id = 'signup') FROM lg"""
 
+SQL["stream_fact_topics"] = with_(CDC) + """
+SELECT 'DWD_' || upper("table") || '_' || op AS topic, id AS key, seq, id || '/' || status AS value,
+       row_number() OVER (PARTITION BY "table", op, id ORDER BY seq) AS turn
+FROM ops WHERE "table" IN ('order_info', 'user_info')"""
+
+SQL["stream_cdc_config_change"] = with_(CDC, """
+cut AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) * 0.5 AS at FROM orders)""") + """
+SELECT 'DWD_' || upper("table") || '_' || op AS topic, count(*) AS rows
+FROM ops, cut WHERE ("table" IN ('order_info', 'user_info') AND seq < at)
+   OR ("table" IN ('order_info', 'base_province') AND seq >= at)
+GROUP BY 1"""
+
+SQL["stream_chain"] = with_(PAGE_LOG, USER_INFO, PROVINCE, """
+d AS (SELECT DISTINCT strftime(epoch_ms(ts), '%Y-%m-%d') AS dt, mid, user_id, brand, province_id
+      FROM page_log WHERE last_page_id IS NULL AND page_id <> 'error')""") + """
+SELECT d.dt, d.mid, d.brand, u.user_gender, u.user_age, p.name AS province_name
+FROM d LEFT JOIN user_dim u ON CAST(d.user_id AS BIGINT) = u.id
+LEFT JOIN base_province p ON d.province_id = p.id"""
+
+SQL["stream_late_dropped"] = with_(PAGE_LOG, """
+newest AS (SELECT max(CAST(ts AS DATE)) AS d FROM events)""") + """
+SELECT count(*) AS dropped FROM page_log, newest
+WHERE last_page_id IS NULL AND CAST(epoch_ms(ts) AS DATE) < newest.d - 1"""
+
 SQL["stream_cdc_dims"] = with_(CDC) + """
 SELECT 'DIM:' || upper("table") || ':' || CAST(id AS VARCHAR) AS dim_key, "table", id, op, seq
 FROM (SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY seq DESC) AS rn
@@ -576,3 +685,21 @@ SELECT count(*) AS order_count, CAST(sum(total_amount) AS DOUBLE) AS order_amoun
        count(DISTINCT user_id) AS order_user
 FROM (SELECT order_id, any_value(total_amount) AS total_amount, any_value(user_id) AS user_id
       FROM order_wide GROUP BY order_id)"""
+
+
+# ---- the dashboard over the last 7 days of its inputs ---------------------------------
+
+_WEEK_PAGES = PAGES.replace("FROM page_log)", """FROM page_log
+  WHERE epoch_ms(ts) >= (SELECT max(CAST(ts AS DATE)) - 6 FROM events))""")
+_WEEK_ORDERS = "o_orderdate >= (SELECT max(CAST(o_orderdate AS DATE)) - 6 FROM orders)"
+
+
+def _week(sql: str) -> str:
+    """``sql`` with pages and orders bounded to the last 7 days of their tables."""
+    return (sql.replace(PAGES, _WEEK_PAGES)
+            .replace(_ORD, _ORD.replace("FROM orders)", f"FROM orders WHERE {_WEEK_ORDERS})"))
+            .replace("FROM orders o LEFT JOIN customer", f"FROM (SELECT * FROM orders WHERE {_WEEK_ORDERS}) o LEFT JOIN customer"))
+
+
+for _name in [n for n in SQL if n.startswith("q") and n[1:3].isdigit()]:
+    SQL[f"{_name}_7d"] = _week(SQL[_name])

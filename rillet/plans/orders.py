@@ -5,20 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillet.functions.json import parse, to_json_record
+from rillet.functions.misc import with_defaults
 from rillet.functions.time import split_datetime
 from rillet.operators import joins
-from rillet.schemas import ORDER_INFO_DEFAULTS
+from rillet.schemas import ORDER_DETAIL_DEFAULTS, ORDER_INFO, ORDER_INFO_DEFAULTS
+from rillet.session import scratch_path
 from rillet.sources import adapters
 
 
+def dated_orders(order_info: DataFrame) -> DataFrame:
+    """X11 defaults, X3 create_date/create_hour: what needs no other table."""
+    o = with_defaults(order_info, ORDER_INFO_DEFAULTS)
+    d, h = split_datetime("create_time")
+    return o.withColumn("create_date", d).withColumn("create_hour", h)
+
+
+def with_dimensions(rows: DataFrame, users: DataFrame, provinces: DataFrame, as_of) -> DataFrame:
+    """J1 user, J2 province."""
+    return joins.enrich_province(joins.enrich_user(rows, users, as_of), provinces)
+
+
 def enrich_orders(order_info: DataFrame, users: DataFrame, provinces: DataFrame,
                   as_of: str) -> DataFrame:
-    """X11 defaults, X3 create_date/create_hour, J1 user, J2 province."""
-    o = order_info.fillna({k: 0 for k in ORDER_INFO_DEFAULTS})
-    d, h = split_datetime("create_time")
-    o = o.withColumn("create_date", d).withColumn("create_hour", h)
-    o = joins.enrich_user(o, users, as_of)
-    return joins.enrich_province(o, provinces, iso_3166_col="province_3166_2_code")
+    """Orders with defaults, day, hour and dimensions."""
+    return with_dimensions(dated_orders(order_info), users, provinces, as_of)
+
+
+def details(order_detail: DataFrame) -> DataFrame:
+    """X11 defaults of the order lines."""
+    return with_defaults(order_detail, ORDER_DETAIL_DEFAULTS)
 
 
 def enriched_orders(spark: SparkSession, sf_dir: str,
@@ -31,7 +47,28 @@ def order_wide(spark: SparkSession, sf_dir: str, as_of: str = adapters.USER_AS_O
     """Wide rows: one per detail whose order exists (inner: the net effect of the
     reference's cross-batch join, which emits only matched pairs)."""
     return joins.order_wide(enriched_orders(spark, sf_dir, as_of),
-                            adapters.order_detail(spark, sf_dir))
+                            details(adapters.order_detail(spark, sf_dir)))
+
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_wide(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
+    """The wide table as the order job leaves it: written once per application and input,
+    one folder per month of the order day, files ordered by day and id. A folder per day
+    would hold a few kilobytes here. ``date`` prunes to its month's folder, and the day's
+    filter, pushed to the scan, to the row groups of that day."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _STORED:
+        path = scratch_path(spark, "order-wide")
+        (order_wide(spark, sf_dir).withColumn("create_month", F.substring("create_date", 1, 7))
+         .hint("rebalance", "create_month").sortWithinPartitions("create_month", "create_date", "detail_id")
+         .write.partitionBy("create_month").parquet(path))
+        _STORED[known] = path
+    wide = spark.read.schema(f"{WIDE_SCHEMA}, create_month string").parquet(_STORED[known])
+    if date is not None:
+        wide = wide.where((F.col("create_month") == date[:7]) & (F.col("create_date") == date))
+    return wide.drop("create_month")
 
 
 def order_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,16 +93,31 @@ def order_docs(wide: DataFrame, parts: DataFrame) -> DataFrame:
                  .alias("items")))
 
 
-WIDE_REPORT_COLS = ["detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",
-                    "split_total_amount", "create_time", "province_id", "order_status", "user_id",
-                    "total_amount", "feight_fee", "create_date", "create_hour", "province_name",
-                    "province_area_code", "province_iso_code", "province_3166_2_code",
-                    "user_gender", "user_age"]
-MONEY = {"order_price", "split_total_amount", "total_amount", "feight_fee"}
+WIDE_COLUMNS = ["detail_id", "order_id", *joins.WIDE_DETAIL, "create_time", *joins.WIDE_ORDER]
+MONEY = {"order_price", "split_total_amount", "split_activity_amount", "split_coupon_amount",
+         *ORDER_INFO_DEFAULTS}
+_LONG = {"detail_id", "order_id", "sku_id", "sku_num", "user_id"}
+_INT = {"province_id", "user_age"}
+WIDE_SCHEMA = ", ".join(
+    f"{c} " + ("decimal(18,2)" if c in MONEY else "bigint" if c in _LONG else
+               "int" if c in _INT else "string") for c in WIDE_COLUMNS)
 
 
 def order_wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide rows with money as double at the edge."""
     w = order_wide(spark, sf_dir)
     return w.select(*[F.col(c).cast("double").alias(c) if c in MONEY else F.col(c)
-                      for c in WIDE_REPORT_COLS])
+                      for c in WIDE_COLUMNS])
+
+
+def order_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 + X11: order records as topic text, some without amounts, read back typed with
+    zero defaults."""
+    o = adapters.order_info(spark, sf_dir)
+    for name, n in (("total_amount", 5), ("original_total_amount", 3)):
+        o = o.withColumn(name, F.when(F.col("id") % n != 0, F.col(name)))
+    text = o.select(to_json_record().alias("value"))  # null members are left out
+    typed = text.select(parse("value", ORDER_INFO).alias("r")).select("r.*")
+    out = with_defaults(typed, ORDER_INFO_DEFAULTS)
+    return out.select("id", "user_id", "create_time", *[
+        F.col(c).cast("double").alias(c) for c in ORDER_INFO_DEFAULTS])

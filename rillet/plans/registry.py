@@ -16,6 +16,9 @@ QUERIES: dict[str, Query] = {
     "dau_wide": dau.dau_wide,
     "stage_counts": dau.stage_counts,
     "column_scan": dau.column_scan,
+    "dau_total_day": dau.dau_total_day,
+    "dau_count_by_hour": dau.dau_count_by_hour,
+    "dau_hours_empty_today": dau.dau_hours_empty_today,
     # log routing
     "log_route_counts": routes.log_route_counts,
     "log_error_route": routes.log_error_route,
@@ -31,11 +34,15 @@ QUERIES: dict[str, Query] = {
     # order wide table
     "order_full_outer": orders.order_full_outer,
     "order_wide": orders.order_wide_report,
+    "order_defaults": orders.order_defaults,
     # read side
     "stats_by_gender": publisher.stats_by_gender,
     "stats_by_age_band": publisher.stats_by_age_band,
+    "stats_by_gender_day": publisher.stats_by_gender_day,
+    "stats_by_age_band_day": publisher.stats_by_age_band_day,
     "stats_unknown_type": publisher.stats_unknown_type,
     "detail_by_item": publisher.detail_by_item,
+    "detail_by_item_day": publisher.detail_by_item_day,
     "detail_total": publisher.detail_total,
     "missing_day": publisher.missing_day,
     "term_filter": publisher.term_filter,
@@ -50,6 +57,8 @@ QUERIES: dict[str, Query] = {
     "nested_avg_topk": publisher.nested_avg_topk,
     "match_any": publisher.match_any_q,
     "fuzzy_match": publisher.fuzzy_match,
+    "fuzzy_transpose": publisher.fuzzy_transpose,
+    "highlight_han": publisher.highlight_han,
     "bm25_rank": publisher.bm25_rank,
     # keyed documents (M1-M6 K4 K6 U3), roll-up (D6), partitioner (U1 U2), scalars
     "upsert_last_wins": documents.upsert_last_wins,
@@ -57,7 +66,10 @@ QUERIES: dict[str, Query] = {
     "update_by_query": documents.update_by_query,
     "delete_by_id": documents.delete_by_id,
     "bulk_delete": documents.bulk_delete,
+    "stored_delete": documents.stored_delete,
     "append_new": documents.append_new,
+    "append_ids_unique": documents.append_ids_unique,
+    "json_members": documents.json_members,
     "event_rollup": documents.event_rollup,
     "route_partition_ids": documents.route_partition_ids,
     "scalar_map_json": documents.scalar_map_json,
@@ -83,5 +95,13 @@ QUERIES: dict[str, Query] = {
     "state_rebuild": streams.state_rebuild,
     "stream_order_join": streams.stream_order_join,
     "stream_log_routes": streams.stream_log_routes,
+    "log_route_contents": streams.log_route_contents,
     "stream_cdc_dims": streams.stream_cdc_dims,
+    "stream_fact_topics": streams.stream_fact_topics,
+    "stream_cdc_config_change": streams.stream_cdc_config_change,
+    "stream_chain": streams.stream_chain,
+    "stream_late_dropped": streams.stream_late_dropped,
 }
+# the dashboard as it is asked most: the last 7 days
+QUERIES |= {f"{name}_7d": dashboard.last_week(query) for name, query in QUERIES.items()
+            if query.__module__ == dashboard.__name__}

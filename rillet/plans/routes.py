@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillet.functions.json import member
 from rillet.operators import routing
 from rillet.sources import adapters
 
@@ -50,9 +51,14 @@ def cdc_op_map(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       F.col("rec.id").alias("id"))
 
 
+def digest_of_value() -> F.Column:
+    """Members of a fact row's ``value`` that the oracle compares: id and status."""
+    return F.concat_ws("/", member("value", "$.id"), member("value", "$.status")).alias("value")
+
+
 def cdc_fact_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = routing.fact_route(_ops(spark, sf_dir), adapters.table_config(spark))
-    return r.select("topic", "key", "seq")
+    return r.select("topic", "key", "seq", digest_of_value())
 
 
 def cdc_dim_latest(spark: SparkSession, sf_dir: str, compat: bool = False) -> DataFrame:

@@ -8,16 +8,25 @@ under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from rillet.functions.json import parse
+from rillet.plans.routes import digest_of_value
+from rillet.schemas import CDC_RECORD
 from rillet.session import scratch_path
 from rillet.sources import adapters
 from rillet.sources.keyed_table import KeyedTable
 from rillet.streaming import jobs
-from rillet.streaming.sources import replay, time_chunks
+from rillet.streaming.sources import (cut_at, dropped_late, file_stream, replay, time_chunks,
+                                      time_edges)
 
 CUTS = [0.33, 0.66]  # chunk edges as fractions of the time span (split inside days)
+#: Seconds by which order lines arrive before or after the step of their order.
+SHIFT_S = 6 * 3600
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -38,7 +47,7 @@ def _dau_replay(spark, sf_dir, root, steps_of, rebuild=False, ckpt_name="ckpt"):
     users, provinces = _dims(spark, sf_dir)
 
     def run_once():
-        stream = spark.readStream.schema(pl.schema).parquet(src)
+        stream = file_stream(spark, src, pl.schema)
         return jobs.dau_stream(stream, users, provinces, sink, f"{root}/{ckpt_name}",
                                adapters.USER_AS_OF, trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
                                rebuild_from_sink=rebuild)
@@ -73,7 +82,7 @@ def state_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     users, provinces = _dims(spark, sf_dir)
 
     def run_fresh():
-        stream = spark.readStream.schema(pl.schema).parquet(src)
+        stream = file_stream(spark, src, pl.schema)
         return jobs.dau_stream(stream, users, provinces, sink, f"{root}/ckpt-rebuilt",
                                adapters.USER_AS_OF, trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
                                rebuild_from_sink=True)
@@ -93,16 +102,16 @@ def stream_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     o_schema, d_schema = oi.drop("__t").schema, od.drop("__t").schema
 
     def run_once():
-        o = spark.readStream.schema(o_schema).parquet(o_src)
-        d = spark.readStream.schema(d_schema).parquet(d_src)
+        o = file_stream(spark, o_src, o_schema)
+        d = file_stream(spark, d_src, d_schema)
         return jobs.order_join_stream(o, d, users, provinces, sink, f"{root}/ckpt",
                                       adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
                                       state_partitions=_state_partitions(spark))
-    span = oi.agg(F.min("__t").alias("lo"), F.max("__t").alias("hi")).first()
-    lo, hi = span["lo"], span["hi"]
-    # both sides are cut at the same instants so an order and its lines share a step
-    d_chunks = _cut_like(od, lo, hi)
-    o_chunks = _cut_like(oi, lo, hi)
+    # around the first cut lines come a step before their order, around the second a step
+    # after it: the join holds either side over the restart
+    first, second = time_edges(oi, "__t", CUTS) or [0, 0]
+    o_chunks = cut_at(oi, "__t", [first, second])
+    d_chunks = cut_at(od, "__t", [first + SHIFT_S, second - SHIFT_S])
     steps = [[(o_src, a.drop("__t")), (d_src, b.drop("__t"))] for a, b in zip(o_chunks, d_chunks)]
     replay(steps, run_once)
     return sink.read().select("detail_id", "order_id", "create_date", "user_gender",
@@ -110,50 +119,137 @@ def stream_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("split_total_amount").cast("double").alias("split_total_amount"))
 
 
-def _cut_like(df: DataFrame, lo: int, hi: int) -> list[DataFrame]:
-    edges = [lo + (hi - lo) * c for c in CUTS]
-    bounds = [None] + edges + [None]
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if a is not None:
-            cond = cond & (F.col("__t") >= F.lit(a))
-        if b is not None:
-            cond = cond & (F.col("__t") < F.lit(b))
-        out.append(df.where(cond))
-    return out
-
-
-def stream_log_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_path(spark, "stream-log")
+def _routed(spark, sf_dir, root: str) -> str:
+    """Run the log router over the raw records in three steps; the output folder."""
     raw = adapters.raw_log_json(spark, sf_dir)
     src, out = f"{root}/src", f"{root}/out"
 
     def run_once():
-        stream = spark.readStream.schema(raw.schema).parquet(src)
+        stream = file_stream(spark, src, raw.schema)
         return jobs.log_router(stream, out, f"{root}/ckpt", trigger=AVAILABLE_NOW,
-                                      state_partitions=_state_partitions(spark))
+                               state_partitions=_state_partitions(spark))
     replay([[(src, c)] for c in time_chunks(raw, "seq", CUTS)], run_once)
+    return out
+
+
+def stream_log_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _routed(spark, sf_dir, scratch_path(spark, "stream-log"))
     parts = [spark.read.parquet(f"{out}/{name}").agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("route"), "rows") for name in jobs.LOG_ROUTES]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    return reduce(DataFrame.unionByName, parts)
 
 
-def stream_cdc_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W7 + K2 + K3: change records replayed in three steps; the dimension
-    snapshot (latest per key, deletes as hidden tombstones) is the result."""
-    root = scratch_path(spark, "stream-cdc")
-    recs = adapters.cdc_records(spark, sf_dir)
+def log_route_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + W2: what the route tables hold, row by row."""
+    out = _routed(spark, sf_dir, scratch_path(spark, "stream-log-rows"))
+    what = {"error": ("null", "null", "get_json_object(err, '$.error_code')"),
+            "page": ("mid", "ts", "page_id"), "action": ("mid", "action_ts", "action_id"),
+            "display": ("mid", "ts", "display_item"), "start": ("mid", "ts", "open_ad_id")}
+    return reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{out}/{name}").selectExpr(
+            f"'{name}' as route", f"cast({mid} as string) as mid", f"cast({ts} as bigint) as ts",
+            f"cast({detail} as string) as detail") for name, (mid, ts, detail) in what.items()])
+
+
+def _changes(spark, recs: DataFrame, root: str, config, cuts=CUTS, between=None):
+    """Replay change records through the change job; (dimension table, fact folder)."""
     src = f"{root}/src"
     sink = KeyedTable(spark, f"{root}/dims", ["table", "id"], ["table"], seq="seq")
 
     def run_once():
-        stream = spark.readStream.schema(recs.schema).parquet(src)
-        return jobs.cdc_stream(stream, lambda: adapters.table_config(spark), f"{root}/facts",
-                               sink, f"{root}/ckpt", trigger=AVAILABLE_NOW,
-                                      state_partitions=_state_partitions(spark))
-    replay([[(src, c)] for c in time_chunks(recs, "seq", CUTS)], run_once)
+        query = jobs.cdc_stream(file_stream(spark, src, recs.schema), config, f"{root}/facts",
+                                sink, f"{root}/ckpt", trigger=AVAILABLE_NOW,
+                                state_partitions=_state_partitions(spark))
+        if between:
+            query.awaitTermination()
+            between()
+        return query
+    replay([[(src, c)] for c in time_chunks(recs, "seq", cuts)], run_once)
+    return sink, f"{root}/facts"
+
+
+def stream_cdc_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W7 + K2 + K3: change records replayed in three steps; the dimension
+    snapshot (latest per key, deletes as hidden tombstones) is the result."""
+    sink, _ = _changes(spark, adapters.cdc_records(spark, sf_dir), scratch_path(spark, "stream-cdc"),
+                       lambda: adapters.table_config(spark))
     return jobs.dim_snapshot(sink).select("dim_key", "table", "id", "op", "seq")
+
+
+def stream_fact_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the fact topics read back, each row with its place among its key's rows as
+    they stand in the files of batch after batch."""
+    _, facts = _changes(spark, adapters.cdc_records(spark, sf_dir),
+                        scratch_path(spark, "stream-facts"), lambda: adapters.table_config(spark))
+    rows = spark.read.parquet(facts).select(
+        "topic", "key", "seq", digest_of_value(), "batch_id",
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
+    order = Window.partitionBy("topic", "key").orderBy("batch_id", "file", "place")
+    return rows.select("topic", F.col("key"), "seq", "value",
+                       F.row_number().over(order).cast("bigint").alias("turn"))
+
+
+def stream_cdc_config_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routing table is edited between two batches; the second follows it."""
+    root = scratch_path(spark, "stream-config")
+    edits = [["order_info", "user_info"], ["order_info", "base_province"]]
+
+    def edit():
+        if edits:
+            adapters.table_config(spark, fact=edits.pop(0)).write.mode("overwrite").parquet(f"{root}/config")
+    edit()
+    _, facts = _changes(spark, adapters.cdc_records(spark, sf_dir), root,
+                        lambda: spark.read.parquet(f"{root}/config"), [0.5], edit)
+    return spark.read.parquet(facts).groupBy("topic").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _dimension(sink: KeyedTable, name: str, schema: str) -> DataFrame:
+    rows = jobs.dim_snapshot(sink).where(F.col("table") == name)
+    return rows.select(F.from_json("data", schema).alias("r")).select("r.*")
+
+
+def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs one after another: change records as topic text fill the dimensions, raw
+    logs are routed, and the daily-active job reads the page route and these dimensions."""
+    root = scratch_path(spark, "stream-chain")
+    users, provinces = adapters.user_info(spark, sf_dir), adapters.base_province(spark, sf_dir)
+    text = reduce(DataFrame.unionByName, [
+        d.select(F.to_json(F.struct(F.lit(name).alias("table"), F.lit("insert").alias("type"),
+                                    F.to_json(F.struct(*d.columns)).alias("data"),
+                                    F.col("id").cast("bigint").alias("seq"))).alias("value"))
+        for name, d in (("user_info", users), ("base_province", provinces))])
+    records = text.select(parse("value", CDC_RECORD).alias("r")).select("r.*")
+    sink, _ = _changes(spark, records, f"{root}/changes",
+                       lambda: adapters.table_config(spark, fact=[], dim=["user_info", "base_province"]))
+    pages = f"{_routed(spark, sf_dir, f'{root}/logs')}/page"
+    actives = KeyedTable(spark, f"{root}/dau", ["dt", "mid"], ["dt"])
+    schema = spark.read.parquet(pages).drop("batch_id").schema
+    jobs.dau_stream(
+        file_stream(spark, pages, schema),
+        lambda: _dimension(sink, "user_info", "id bigint, gender string, birthday date"),
+        lambda: _dimension(sink, "base_province", "id int, name string, area_code string, "
+                           "iso_code string, iso_3166_2 string"),
+        actives, f"{root}/dau-ckpt", lambda: adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
+        state_partitions=_state_partitions(spark)).awaitTermination()
+    return actives.read().select("dt", "mid", "brand", "user_gender", "user_age", "province_name")
+
+
+def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest day arrives first; of the older days that follow, those beyond the
+    watermark are dropped, and counted."""
+    root = scratch_path(spark, "stream-late")
+    pl = adapters.page_log(spark, sf_dir)
+    day = F.floor(F.col("ts") / F.lit(86_400_000))
+    newest = pl.agg(F.max(day)).first()[0] or 0
+    sink, dropped = KeyedTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"]), []
+    users, provinces = _dims(spark, sf_dir)
+
+    def run_once():
+        query = jobs.dau_stream(file_stream(spark, f"{root}/src", pl.schema), users, provinces, sink,
+                                f"{root}/ckpt", adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
+                                state_partitions=_state_partitions(spark))
+        query.awaitTermination()
+        dropped.append(dropped_late(query))
+        return query
+    replay([[(f"{root}/src", pl.where(day >= newest))], [(f"{root}/src", pl.where(day < newest))]], run_once)
+    return spark.createDataFrame([(sum(dropped),)], "dropped bigint")

@@ -1,7 +1,7 @@
 """Record layouts (StructTypes) of the ODS, DWD and wide tables."""
 
-from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType)
+from pyspark.sql.types import (ArrayType, DecimalType, LongType, StringType, StructField,
+                               StructType)
 
 
 def _s(*names, t=StringType()):
@@ -57,25 +57,36 @@ DAU_INFO_FIELDS = DEVICE_FIELDS + ["during_time", "page_item", "page_item_type",
 ORDER_INFO_FIELDS = ["id", "province_id", "order_status", "user_id", "total_amount",
                      "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount",
                      "feight_fee", "feight_fee_reduce", "create_time", "operate_time",
-                     "expire_time", "refundable_time", "create_date", "create_hour",
-                     "province_name", "province_area_code", "province_iso_code",
-                     "province_3166_2_code", "user_gender", "user_age"]
+                     "expire_time", "refundable_time"]
 
 ORDER_DETAIL_FIELDS = ["id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",
                        "create_time", "split_total_amount", "split_activity_amount",
                        "split_coupon_amount"]
 
-# Numeric zero defaults of the order bean (X11).
-ORDER_INFO_DEFAULTS = {"activity_reduce_amount": 0.0, "coupon_reduce_amount": 0.0,
-                       "feight_fee": 0.0, "feight_fee_reduce": 0.0}
 
+def _money(*names):
+    return [StructField(n, DecimalType(18, 2)) for n in names]
+
+
+# Typed records of the order topics (P2); a member missing in the text is null.
+ORDER_INFO = StructType(
+    [StructField("id", LongType()), StructField("province_id", LongType())] + _s("order_status")
+    + [StructField("user_id", LongType())] + _money(*ORDER_INFO_FIELDS[4:10])
+    + _s(*ORDER_INFO_FIELDS[10:]))
+ORDER_DETAIL = StructType(
+    [StructField(n, LongType()) for n in ORDER_DETAIL_FIELDS[:3]] + _money("order_price")
+    + [StructField("sku_num", LongType())] + _s("sku_name", "create_time")
+    + _money(*ORDER_DETAIL_FIELDS[7:]))
+
+# Numeric zero defaults of the order and detail records (X11).
+ORDER_INFO_DEFAULTS = {n: 0.0 for n in ORDER_INFO_FIELDS[4:10]}
+ORDER_DETAIL_DEFAULTS = {"order_price": 0.0, "sku_num": 0, "split_total_amount": 0.0,
+                         "split_activity_amount": 0.0, "split_coupon_amount": 0.0}
+
+# Change record as its topic holds it (P1): the row's members stay JSON text in ``data``.
 CDC_RECORD = StructType([
     StructField("table", StringType()),
     StructField("type", StringType()),
     StructField("data", StringType()),
     StructField("seq", LongType()),
 ])
-
-NAME_VALUE = StructType([StructField("name", StringType()), StructField("value", DoubleType())])
-
-INT = IntegerType()

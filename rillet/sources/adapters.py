@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.time import epoch_millis
+from rillet.operators.ordered import chunked_previous
 from rillet.sources.tables import table
 
 # Fixed values of the change-record derivation (cycled by key).
@@ -30,29 +31,33 @@ def _k() -> F.Column:
 
 
 def page_log(spark: SparkSession, sf_dir: str, since: str | None = None,
-             until: str | None = None) -> DataFrame:
-    """PageLog rows from events joined with customer (province).
+             until: str | None = None, province: bool = True) -> DataFrame:
+    """PageLog rows from events; ``province`` joins the customer for province_id.
 
     last_page_id = previous event type of the same user on the same day, so the
-    first event of a user's day is a session-entry page. ``seq`` = event_id plays
-    the role of the log offset (deterministic tie-break).
+    first event of a user's day is a session-entry page. It is found per (user, day,
+    minute) and carried over the minutes, so no task sorts a user's day. ``seq`` =
+    event_id plays the role of the log offset (deterministic tie-break).
 
     ``since`` / ``until`` ('yyyy-MM-dd', until exclusive) keep whole days. The
     bounds are filters on the events scan itself (pushed to parquet); they are
-    exact because the ``lag`` window never crosses a day.
+    exact because the previous page never comes from another day.
     """
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     if since is not None:
         e = e.where(F.col("ts") >= F.lit(since).cast("date").cast("timestamp_ntz"))
     if until is not None:
         e = e.where(F.col("ts") < F.lit(until).cast("date").cast("timestamp_ntz"))
-    c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    j = e.join(c, e.user_id == c.c_custkey, "left")
-    w = Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
+    e = chunked_previous(e.withColumn("day", F.to_date("ts")), ["user_id", "day"],
+                         ["ts", "event_id"], "event_type", "last_page_id",
+                         F.date_trunc("minute", "ts"))
     k = _k()
     uid = F.col("user_id")
-    return j.select(
-        F.col("c_nationkey").alias("province_id"),
+    if province:
+        c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+        e = e.join(c, e.user_id == c.c_custkey, "left")
+    return e.select(
+        *([F.col("c_nationkey").alias("province_id")] if province else []),
         F.concat(F.lit("b"), (uid % 4).cast("string")).alias("brand"),
         F.concat(F.lit("ch"), (k % 5).cast("string")).alias("channel"),
         F.when(uid % 2 == 0, "1").otherwise("0").alias("is_new"),
@@ -64,7 +69,7 @@ def page_log(spark: SparkSession, sf_dir: str, since: str | None = None,
         F.round(F.col("value") * 1000).cast("bigint").alias("during_time"),
         k.cast("string").alias("page_item"),
         F.lit("sku_id").alias("page_item_type"),
-        F.lag("event_type").over(w).alias("last_page_id"),
+        "last_page_id",
         F.col("event_type").alias("page_id"),
         F.when(k % 2 == 0, "promotion").otherwise("query").alias("sourceType"),
         epoch_millis("ts").alias("ts"),
@@ -137,16 +142,24 @@ def base_province(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CN-"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("iso_3166_2"))
 
 
-def _order_create_time() -> F.Column:
+def _order_create_time(later: F.Column | int = 0) -> F.Column:
+    """Order date plus seconds by key; ``later`` more seconds for an order's lines."""
     return F.date_format(
-        F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate")),
+        F.timestamp_add("SECOND", F.col("o_orderkey") % 80000 + later, F.col("o_orderdate")),
         "yyyy-MM-dd HH:mm:ss")
 
 
-def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ODS order_info rows (before enrichment)."""
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
-              "o_totalprice", "o_orderdate")
+def _since(orders: DataFrame, since: str | None) -> DataFrame:
+    """Orders from a day on; the bound reaches the scan."""
+    if since is None:
+        return orders
+    return orders.where(F.col("o_orderdate") >= F.lit(since).cast("date").cast("timestamp_ntz"))
+
+
+def order_info(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+    """ODS order_info rows (before enrichment), of the days from ``since`` on."""
+    o = _since(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                     "o_totalprice", "o_orderdate"), since)
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
     return j.select(
@@ -171,12 +184,15 @@ DETAIL_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_exten
                 "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_detail(spark: SparkSession, sf_dir: str, since: str | None = None,
+                 sku: bool = False) -> DataFrame:
     """ODS order_detail rows: lineitem joined with part (name, price) and its
-    order (create_time). id = l_orderkey*1000 + line rank within the order."""
+    order (create_time, a minute later per line). id = l_orderkey*1000 + line rank within
+    the order. ``sku`` adds the part's brand and category."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", *DETAIL_ORDER)
-    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    more = {"p_brand": "tm_name", "p_type": "category_name"} if sku else {}
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice", *more)
+    o = _since(table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate"), since)
     w = Window.partitionBy("l_orderkey").orderBy(*DETAIL_ORDER)
     ranked = li.withColumn("rn", F.row_number().over(w))
     j = (ranked.join(o, ranked.l_orderkey == o.o_orderkey, "inner")
@@ -190,10 +206,11 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(18,2)").alias("order_price"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.col("p_name").alias("sku_name"),
-        _order_create_time().alias("create_time"),
+        _order_create_time(F.col("rn") * 60).alias("create_time"),
         amount.cast("decimal(18,2)").alias("split_total_amount"),
         F.lit(0).cast("decimal(18,2)").alias("split_activity_amount"),
         F.lit(0).cast("decimal(18,2)").alias("split_coupon_amount"),
+        *[F.col(c).alias(name) for c, name in more.items()],
     )
 
 
@@ -216,9 +233,9 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.array(*[F.lit(t) for t in CDC_TYPES])
     tables = F.array(*[F.lit(t) for t in CDC_TABLES])
     tname = F.element_at(tables, (F.col("o_custkey") % 3 + 1).cast("int"))
-    rid = (F.when(tname == "order_info", F.col("o_orderkey"))
-           .when(tname == "user_info", F.col("o_custkey"))
-           .otherwise(F.col("o_custkey") % 25))
+    rid = (F.when(tname == "order_info", F.col("o_orderkey").cast("string"))
+           .when(tname == "user_info", F.concat(F.lit("u-"), F.col("o_custkey").cast("string")))
+           .otherwise((F.col("o_custkey") % 25).cast("string")))
     data = F.struct(rid.alias("id"), F.col("o_orderstatus").alias("status"),
                     F.col("o_totalprice").alias("amount"),
                     F.col("o_orderpriority").alias("priority"))

@@ -1,22 +1,34 @@
-"""Keyed, partitioned parquet tables with idempotent upserts.
-
-A write touches only the partitions present in the batch (dynamic partition
-overwrite). Each affected partition is rebuilt as
-    (existing rows of the partition LEFT ANTI batch keys) UNION latest batch rows
-and the rebuilt rows are checkpointed to the shared checkpoint folder before the
-overwrite, so the job never reads the files it replaces and a replayed batch gives
-the same content. Partition values are taken per row (a row lands in its own day).
+"""Keyed, partitioned Parquet tables with idempotent upserts.
+
+A table is a list of immutable folders. An upsert writes its rows, and nothing else, to
+a new folder, partitioned by the table's partition columns; a delete writes tombstones.
+A version file then names the folders that make up the table; it appears by one rename,
+so a table is seen before or after a write and never in between. A read takes the latest
+row of each (partition, key) over the published folders: by ``seq`` if the table has
+one, then by the order of the writes.
+
+A write may carry a ``batch`` name. A batch that was published is not written again; one
+that failed before it was published is written anew over its own folder. Folders are
+merged by size class once ``MERGE`` of one class follow each other (bytes written stay
+in proportion to the batches, times the number of classes), into new folders.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rillet.operators.dedup import last_per_key
-from rillet.session import checkpoint_root
+
+#: Folders of one size class that are merged into one of the next.
+MERGE = 8
+#: Tasks over which the rows of one partition value are spread when written.
+SPREAD = 16
+_WRITE, _GONE, _BATCH = "__write", "__gone", "__batch"
 
 
 class KeyedTable:
@@ -27,52 +39,80 @@ class KeyedTable:
         # partition values are typed by declaration (default string), not inferred
         self.partition_types = {c: "string" for c in partition_by}
         self.partition_types.update(partition_types or {})
-        self.path = path
+        self.path = path.rstrip("/")
         self.key = list(key)
         self.partition_by = list(partition_by)
+        self.identity = list(dict.fromkeys(self.partition_by + self.key))
         self.seq = seq
         self.schema = schema
 
-    # ---- reads ------------------------------------------------------------
+    # ---- published versions ------------------------------------------------
+    def _files(self, path: str):
+        """(file system, path) as Spark resolves them."""
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def version(self) -> dict:
+        """The published version: its number, its folders with their size classes in
+        the order of the writes, and the schema. A table never written has none; any
+        other trouble in reading is an error."""
+        fs, at = self._files(f"{self.path}/_versions")
+        names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+        names = sorted(n for n in names if n.endswith(".json"))
+        if not names:
+            return {"number": 0, "folders": [], "schema": None}
+        text = self.spark.read.text(f"{self.path}/_versions/{names[-1]}", wholetext=True)
+        return json.loads(text.first()[0])
+
+    def _publish(self, folders: list[dict], schema: str, after: int) -> None:
+        """Make ``folders`` version ``after + 1``; fails if another writer did first."""
+        number = after + 1
+        fs, temporary = self._files(f"{self.path}/_versions/{uuid.uuid4().hex}.tmp")
+        out = fs.create(temporary, True)
+        out.write(bytearray(json.dumps(
+            {"number": number, "folders": folders, "schema": schema}).encode()))
+        out.close()
+        _, final = self._files(f"{self.path}/_versions/{number:012d}.json")
+        if fs.exists(final) or not fs.rename(temporary, final):
+            raise RuntimeError(f"{self.path}: version {number} was published by another writer")
+
+    # ---- reads ---------------------------------------------------------------
+    def _rows(self, folders: list[dict], schema: StructType) -> DataFrame:
+        full = schema.add(StructField(_WRITE, LongType())).add(StructField(_GONE, StringType()))
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        full = full.add(StructField(_BATCH, StringType()))
+        return (self.spark.read.schema(full).option("basePath", f"{self.path}/data")
+                .parquet(*[f"{self.path}/{f['name']}" for f in folders]).drop(_BATCH))
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        order = ([self.seq] if self.seq else []) + [_WRITE]
+        return last_per_key(rows, self.identity, order)
+
+    def _schema_of(self, version: dict) -> StructType | None:
+        found = version["schema"]
+        return StructType.fromJson(json.loads(found)) if found else self.schema
+
     def read(self) -> DataFrame:
         """Every row. A table never written reads as empty (needs a schema)."""
-        try:
-            df = self.spark.read.parquet(self.path)
-            return df.select(*[F.col(c).cast(self.partition_types[c]).alias(c)
-                               if c in self.partition_types else F.col(c) for c in df.columns])
-        except AnalysisException:
-            if self.schema is None:
-                raise
-            return self.spark.createDataFrame([], self.schema)
+        version = self.version()
+        schema = self._schema_of(version)
+        if schema is None:
+            raise ValueError(f"{self.path} was never written and has no schema")
+        rows = self._rows(version["folders"], StructType(list(schema.fields)))
+        single = len(version["folders"]) == 1 and version["folders"][0].get("settled")
+        rows = rows if single else self._latest(rows)
+        return rows.where(F.col(_GONE).isNull()).select(*schema.names)
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).schema
-            return True
-        except AnalysisException:
-            return False
-
-    def read_touched(self, values: list) -> DataFrame | None:
-        """Rows of the given values of the (single) partition column only: a glob
-        over those folders, so the scan never lists the whole table. None when
-        none of the folders exists."""
-        (col,) = self.partition_by
-        if not values:
-            return None
-        alts = ",".join(str(v) for v in values)
-        pattern = f"{self.path}/{col}={{{alts}}}" if len(values) > 1 else f"{self.path}/{col}={alts}"
-        try:
-            df = self.spark.read.option("basePath", self.path).parquet(pattern)
-        except AnalysisException:
-            return None
-        return df.select(*[F.col(c).cast(self.partition_types[c]).alias(c)
-                           if c in self.partition_types else F.col(c) for c in df.columns])
+        return self.version()["number"] > 0
 
     def read_partition(self, **values) -> DataFrame:
         """Rows of one partition (pruned at the scan); absent -> empty."""
         df = self.read()
         for k, v in values.items():
-            df = df.where(F.col(k) == F.lit(v))
+            df = df.where(F.col(k).isNull() if v is None else F.col(k) == F.lit(v))
         return df
 
     def get(self, **key_values) -> DataFrame:
@@ -86,86 +126,105 @@ class KeyedTable:
         """Single-column scan (no row cap)."""
         return self.read_partition(**partition_values).select(field)
 
-    # ---- writes -----------------------------------------------------------
-    def _touched_values(self, batch: DataFrame) -> list | None:
-        """Distinct partition values of ``batch`` (one row per touched partition,
-        e.g. the days of a micro-batch); None for multi-column partitioning."""
-        if len(self.partition_by) != 1:
-            return None
-        return [r[0] for r in batch.select(*self.partition_by).distinct().collect()]
-
-    def touched_rows(self, batch: DataFrame, values: list | None = None) -> DataFrame | None:
-        """Stored rows of the partitions ``batch`` touches (None if there are none)."""
-        if len(self.partition_by) == 1:
-            values = self._touched_values(batch) if values is None else values
-            return self.read_touched(values)
+    # ---- writes ---------------------------------------------------------------
+    def touched_rows(self, batch: DataFrame) -> DataFrame | None:
+        """Stored rows of the partitions ``batch`` touches (None if there is no table).
+        The days of the batch prune the scan when the join's build side is small."""
         if not self.exists():
             return None
-        return self.read().join(batch.select(*self.partition_by).distinct(),
-                                self.partition_by, "left_semi")
-
-    def upsert(self, batch: DataFrame) -> None:
-        """K4/K5: insert-or-replace rows by key (callers persist ``batch``).
-
-        Only partitions present in the batch are read and rewritten.
-        """
-        latest = last_per_key(batch, self.key, [self.seq]) if self.seq else batch
-        values = self._touched_values(latest)
-        if values is not None and not values:
-            return  # empty micro-batch: nothing to write
-        current = self.touched_rows(latest, values)
-        if current is not None:
-            latest = latest.select(*current.columns)
-            keep = current.join(latest.select(*self.key), self.key, "left_anti")
-            checkpoint_root(self.spark)
-            merged = keep.unionByName(latest).checkpoint(eager=True)
-        else:
-            merged = latest
-        (self._sorted(self._spread(merged, values)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partition_by).parquet(self.path))
-
-    def _sorted(self, df: DataFrame) -> DataFrame:
-        """Order each write task by (partition, key): the writer needs the
-        partition order anyway, and key-ordered files give tight parquet min/max
-        per row group, so a point read by key (``get``) skips the other row
-        groups. A local sort; no extra shuffle."""
-        return df.sortWithinPartitions(*self.partition_by, *self.key)
-
-    def _spread(self, df: DataFrame, values: list | None) -> DataFrame:
-        """Write layout: hash on (partition value, key salt). The salt width is
-        tasks / touched partitions, so a one-day batch still spreads over every
-        task (a hot day is split), while a many-day batch writes one file per
-        day with the days spread over the tasks."""
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        if not values:
-            return df.hint("rebalance", *self.partition_by)
-        width = max(1, -(-n // len(values)))
-        salt = F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(width))
-        return df.repartition(n, *[F.col(c) for c in self.partition_by], salt)
-
-    def delete_where(self, condition: Column) -> None:
-        """M5/M6 on a stored table: rewrite only the partitions holding matches.
-        (A partition left with no rows keeps its old files; callers that need
-        that case compact the table.)"""
-        if not self.exists():
-            return
-        current = self.read()
-        touched = current.where(condition).select(*self.partition_by).distinct()
-        rest = current.join(touched, self.partition_by, "left_semi").where(~condition)
-        checkpoint_root(self.spark)
-        rest = rest.checkpoint(eager=True)
-        (self._sorted(rest.hint("rebalance", *self.partition_by)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partition_by).parquet(self.path))
+        days = batch.select(*self.partition_by).distinct()
+        stored = self.read()
+        same = [stored[c].eqNullSafe(days[c]) for c in self.partition_by]
+        return stored.join(days, same, "left_semi")
+
+    def _write(self, rows: DataFrame, name: str) -> None:
+        """Rows hashed on (partition value, key salt), so that a hot day is many tasks
+        whatever else the batch holds; ordered by key, so that files have tight bounds."""
+        salt = F.pmod(F.xxhash64(*self.key), F.lit(SPREAD))
+        (rows.repartition(*[F.col(c) for c in self.partition_by], salt)
+         .sortWithinPartitions(*self.partition_by, *self.key)
+         .write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/{name}"))
+
+    def _typed(self, batch: DataFrame) -> DataFrame:
+        return batch.select(*[F.col(c).cast(self.partition_types[c]).alias(c)
+                              if c in self.partition_types else F.col(c) for c in batch.columns])
+
+    def _append(self, rows: DataFrame, batch: str | None, gone: Column) -> None:
+        version = self.version()
+        name = f"data/{_BATCH}={batch or uuid.uuid4().hex}"
+        if any(name in (f["name"], *f.get("holds", ())) for f in version["folders"]):
+            return  # published before: a replay
+        schema = self._schema_of(version) or rows.schema
+        turn = F.lit(version["number"] + 1).cast("bigint")
+        self._write(rows.select(*schema.names).withColumn(_WRITE, turn).withColumn(_GONE, gone), name)
+        kept = version["folders"] + [{"name": name, "class": 0}]
+        self._publish(kept, json.dumps(schema.jsonValue()), version["number"])
+        self.merge()
+
+    def upsert(self, batch: DataFrame, name: str | None = None) -> None:
+        """K4/K5: insert or replace rows by partition and key. ``name`` names the batch;
+        a batch of a name already published changes nothing."""
+        rows = self._typed(batch)
+        if self.seq:
+            rows = last_per_key(rows, self.identity, [self.seq])
+        self._append(rows, name, F.lit(None).cast("string"))
+
+    def delete_where(self, condition: Column, name: str | None = None) -> None:
+        """M5/M6 on a stored table: rows for which the condition is true get a tombstone;
+        a null condition keeps the row. A later upsert of the key brings it back if its
+        ``seq`` is not below the deleted row's."""
+        if self.exists():
+            self._append(self.read().where(condition), name, F.lit("deleted"))
+
+    def merge(self, least: int = MERGE) -> None:
+        """Merge the newest ``least`` folders of one size class, again while there are."""
+        while True:
+            version = self.version()
+            folders = version["folders"]
+            last = [f for f in folders[-least:] if f["class"] == folders[-1]["class"]]
+            if len(last) < least:
+                return
+            self._merged(version, folders[:-least], last)
+
+    def compact(self) -> None:
+        """Merge all folders into one, without deleted rows."""
+        version = self.version()
+        if version["folders"]:
+            self._merged(version, [], version["folders"])
+
+    def _merged(self, version: dict, before: list[dict], last: list[dict]) -> None:
+        schema = self._schema_of(version)
+        rows = self._latest(self._rows(last, StructType(list(schema.fields))))
+        if not before:
+            rows = rows.where(F.col(_GONE).isNull())
+        name = f"data/{_BATCH}={uuid.uuid4().hex}"
+        self._write(rows, name)
+        # names of merged batches stay, so that their replays are still recognised
+        holds = [n for f in last for n in (f["name"], *f.get("holds", ()))]
+        made = {"name": name, "class": last[-1]["class"] + 1, "holds": holds}
+        if not before:
+            made["settled"] = True
+        self._publish(before + [made], version["schema"], version["number"])
+
+    def vacuum(self) -> list[str]:
+        """Remove folders that the published version does not name (merged ones, and
+        those of failed writes). Not while a write or a reader of an older version runs."""
+        keep = {f["name"] for f in self.version()["folders"]}
+        fs, at = self._files(f"{self.path}/data")
+        found = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+        gone = [f"data/{n}" for n in found if f"data/{n}" not in keep]
+        for n in gone:
+            fs.delete(self._files(f"{self.path}/{n}")[1], True)
+        return gone
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] = ()) -> None:
-    """K1/K7: append a micro-batch idempotently: the batch lands in its own
-    ``batch_id`` partition, overwritten (not duplicated) when the batch is replayed."""
-    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by, "batch_id").parquet(path))
+    """K1/K7: append a micro-batch idempotently: the batch has a folder of its own, whose
+    rows come from this batch alone; a replay writes the folder again."""
+    out = df.write.mode("overwrite")
+    if partition_by:
+        out = out.partitionBy(*partition_by)
+    out.parquet(f"{path}/batch_id={int(batch_id)}")
 
 
 def write_keyed(df: DataFrame, path: str, batch_id: int, topic_col: str = "topic",
@@ -175,7 +234,5 @@ def write_keyed(df: DataFrame, path: str, batch_id: int, topic_col: str = "topic
     consecutive, ordered files, and still splits a hot key over several tasks
     (hash partitioning on the key would send it whole to one task)."""
     out = (df.repartitionByRange(topic_col, key_col, seq_col)
-           .sortWithinPartitions(topic_col, key_col, seq_col)
-           .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(topic_col, "batch_id").parquet(path))
+           .sortWithinPartitions(topic_col, key_col, seq_col))
+    out.write.mode("overwrite").partitionBy(topic_col).parquet(f"{path}/batch_id={int(batch_id)}")

@@ -8,6 +8,7 @@ the same content: at-least-once delivery + idempotent sink = effectively once.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,11 +17,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillet.operators import dedup, routing
 from rillet.plans.dau import dau_info
-from rillet.plans.orders import enrich_orders
+from rillet.plans.orders import WIDE_COLUMNS, dated_orders, with_dimensions
+from rillet.plans.orders import details as order_details
 from rillet.operators.joins import order_wide
 from rillet.sources.keyed_table import KeyedTable, append_batch, write_keyed
 
 DimFn = Callable[[], DataFrame]
+#: A run date, or what gives it for each batch (a job that runs for days ages with it).
+AsOf = str | Callable[[], str]
+
+#: Parts into which a device's rows are split before its duplicates meet.
+DEDUP_SALTS = 8
+
+
+def _today(as_of: AsOf) -> str:
+    return as_of() if callable(as_of) else as_of
 
 LOG_ROUTES = {
     "error": routing.error_route,
@@ -31,6 +42,11 @@ LOG_ROUTES = {
 }
 
 
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch in a keyed sink: batch ids count per checkpoint."""
+    return f"{hashlib.md5(checkpoint.encode()).hexdigest()[:12]}-{batch_id:09d}"
+
+
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict, name: str | None = None,
            output_mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
     """Start a foreachBatch query. ``state_partitions`` fixes the number of
@@ -67,7 +83,7 @@ def log_router(raw: DataFrame, out_root: str, checkpoint: str,
 
 
 def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedTable,
-               checkpoint: str, as_of: str, late_days: int = 1, tz: str = "UTC",
+               checkpoint: str, as_of: AsOf, late_days: int = 1, tz: str = "UTC",
                trigger: dict | None = None, rebuild_from_sink: bool = False,
                state_partitions: int | None = None) -> StreamingQuery:
     """W3 + D1 + D2 + W6: entry filter before the stateful dedup, then the
@@ -84,41 +100,47 @@ def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedT
     e = dedup.with_day_hour(entry, "ts", tz) \
         .withColumn("day_ts", F.to_timestamp("dt", "yyyy-MM-dd"))
     delay = f"{late_days * 24 * 3600 + 1} seconds"
-    d = dedup.observe_stage(
-        e.withWatermark("day_ts", delay).dropDuplicates(["day_ts", "mid"]), "dedup")
+    # two steps: a device's rows meet in parts first, so a device with a third of all rows
+    # sends at most DEDUP_SALTS rows of a day to the task that holds its state
+    salted = e.withColumn("salt", F.pmod(F.xxhash64("ts", "page_id"), F.lit(DEDUP_SALTS)))
+    parts = salted.withWatermark("day_ts", delay).dropDuplicates(["day_ts", "mid", "salt"])
+    d = dedup.observe_stage(parts.drop("salt").dropDuplicates(["day_ts", "mid"]), "dedup")
 
     def run(batch: DataFrame, batch_id: int):
-        b = batch.drop("day_ts")
+        # the stateful part runs once: whatever asks for the batch reads it persisted
+        b = batch.drop("day_ts").persist()
+        new = b
         if rebuild_from_sink:
             seen = sink.touched_rows(b)
             if seen is not None:
-                b = dedup.rebuild_state(b, seen.select("dt", "mid"))
-        b = b.persist()
-        info = dau_info(b, users(), provinces(), as_of)
-        sink.upsert(info)
+                new = dedup.rebuild_state(b, seen.select("dt", "mid"))
+        info = dau_info(new, users(), provinces(), _today(as_of))
+        sink.upsert(info, batch_name(checkpoint, batch_id))
         b.unpersist()
     return _start(d, run, checkpoint, trigger or {"processingTime": "5 seconds"},
                   state_partitions=state_partitions)
 
 
 def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provinces: DimFn,
-                      sink: KeyedTable, checkpoint: str, as_of: str, delay: str = "1 day",
+                      sink: KeyedTable, checkpoint: str, as_of: AsOf, delay: str = "1 day",
                       trigger: dict | None = None,
                       state_partitions: int | None = None) -> StreamingQuery:
     """W4 + W5 + J4: two streams, inner stream-stream join on order id with
     watermarks on both sides and an event-time range, so either arrival order
-    pairs up and unmatched rows age out of state. Wide rows upsert by detail_id
-    into create_date partitions."""
-    o = enrich_orders(orders, users(), provinces(), as_of) \
+    pairs up and unmatched rows age out of state. Wide rows take the dimensions as they
+    are when their batch runs, and upsert by detail_id into create_date partitions."""
+    o = dated_orders(orders) \
+        .withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
+    d = order_details(details) \
         .withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
-    d = details.withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
     window = F.col("d.__et").between(F.col("o.__et") - F.expr(f"INTERVAL {delay}"),
                                      F.col("o.__et") + F.expr(f"INTERVAL {delay}"))
-    wide = order_wide(o, d, "inner", window)
+    wide = order_wide(o, d, "inner", window, dimensions=False)
 
     def run(batch: DataFrame, batch_id: int):
         b = batch.persist()
-        sink.upsert(b)
+        rows = with_dimensions(b, users(), provinces(), _today(as_of)).select(*WIDE_COLUMNS)
+        sink.upsert(rows, batch_name(checkpoint, batch_id))
         b.unpersist()
     return _start(wide, run, checkpoint, trigger or {"processingTime": "5 seconds"},
                   state_partitions=state_partitions)
@@ -136,7 +158,7 @@ def cdc_stream(records: DataFrame, config: DimFn, fact_path: str, dim_sink: Keye
         ops = routing.cdc_ops(batch).persist()
         write_keyed(routing.fact_route(ops, cfg), fact_path, batch_id)
         dims = routing.dim_route(ops, cfg, compat=True).drop("rec")
-        dim_sink.upsert(dims)
+        dim_sink.upsert(dims, batch_name(checkpoint, batch_id))
         ops.unpersist()
     return _start(records, run, checkpoint, trigger or {"processingTime": "5 seconds"},
                   state_partitions=state_partitions)

@@ -38,26 +38,38 @@ def file_stream(spark: SparkSession, path: str, schema: StructType | str, fmt: s
     return r.load(path)
 
 
-def time_chunks(df: DataFrame, ts_col: str, cuts: list[float]) -> list[DataFrame]:
-    """Split a table into time-ordered chunks at fractions ``cuts`` of its
-    [min, max] span of ``ts_col`` (numeric). One aggregate row is read."""
-    row = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
-    lo, hi = row["lo"], row["hi"]
-    if lo is None:
-        return [df]
-    bounds = [lo + (hi - lo) * c for c in cuts]
-    edges = [None] + bounds + [None]
+def cut_at(df: DataFrame, ts_col: str, edges: list) -> list[DataFrame]:
+    """Chunks of ``df`` between the edges; rows without a time come with the first."""
     out = []
-    for a, b in zip(edges[:-1], edges[1:]):
+    for k in range(len(edges) + 1):
         cond = F.lit(True)
-        if a is not None:
-            cond = cond & (F.col(ts_col) >= F.lit(a))
-        if b is not None:
-            cond = cond & (F.col(ts_col) < F.lit(b))
+        if k > 0:
+            cond = cond & (F.col(ts_col) >= F.lit(edges[k - 1]))
+        if k < len(edges):
+            cond = cond & (F.col(ts_col) < F.lit(edges[k]))
+        if k == 0:
+            cond = cond | F.col(ts_col).isNull()
         out.append(df.where(cond))
     return out
 
 
+def time_edges(df: DataFrame, ts_col: str, cuts: list[float]) -> list:
+    """Times at fractions ``cuts`` of the [min, max] span of ``ts_col`` (numeric)."""
+    row = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
+    return [] if row["lo"] is None else [row["lo"] + (row["hi"] - row["lo"]) * c for c in cuts]
+
+
+def time_chunks(df: DataFrame, ts_col: str, cuts: list[float]) -> list[DataFrame]:
+    """Split a table into time-ordered chunks; one aggregate row is read."""
+    return cut_at(df, ts_col, time_edges(df, ts_col, cuts))
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped in the query's recent batches."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
 def replay(steps: list[list[tuple[str, DataFrame]]],
            run_once: Callable[[], StreamingQuery]) -> int:
     """Deliver steps one after another: append each step's chunks to their

@@ -1,0 +1,150 @@
+"""Keyed tables: crashes between write and publish, replays, order of batches, odd
+partition values, deletes, merging."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillet.sources.keyed_table import KeyedTable
+
+SCHEMA = "id long, dt string, seq long, v int"
+
+
+def rows(spark, *data):
+    return spark.createDataFrame(list(data), SCHEMA)
+
+
+def with_setting(spark, name, value, run):
+    spark.conf.set(name, value)
+    try:
+        run()
+    finally:
+        spark.conf.unset(name)
+
+
+def content(table):
+    return sorted((r.id, r.dt or "", r.v) for r in table.read().collect())
+
+
+@pytest.fixture()
+def table(spark, scratch):
+    return KeyedTable(spark, f"{scratch}/t", ["id"], ["dt"], seq="seq")
+
+
+def test_an_older_row_never_replaces_a_newer_one(spark, table):
+    table.upsert(rows(spark, (1, "d1", 9, 90)))
+    table.upsert(rows(spark, (1, "d1", 3, 30), (2, "d1", 1, 10)))
+    assert content(table) == [(1, "d1", 90), (2, "d1", 10)]
+
+
+def test_without_seq_the_later_write_wins(spark, scratch):
+    t = KeyedTable(spark, f"{scratch}/t", ["id"], ["dt"])
+    for v in (1, 2, 3):
+        t.upsert(rows(spark, (1, "d1", 0, v)))
+    assert content(t) == [(1, "d1", 3)]
+
+
+def test_a_crash_before_publishing_and_a_replay(spark, table, monkeypatch):
+    table.upsert(rows(spark, (1, "d1", 1, 1), (2, "d1", 1, 2)), "b-0")
+
+    def crash(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "_publish", crash)
+        with pytest.raises(OSError):
+            table.upsert(rows(spark, (1, "d1", 2, 11), (3, "d2", 2, 3)), "b-1")
+    assert content(table) == [(1, "d1", 1), (2, "d1", 2)]  # nothing of it is seen
+    table.upsert(rows(spark, (1, "d1", 2, 11), (3, "d2", 2, 3)), "b-1")
+    want = [(1, "d1", 11), (2, "d1", 2), (3, "d2", 3)]
+    assert content(table) == want
+    table.upsert(rows(spark, (1, "d1", 2, 99)), "b-1")  # a published batch again
+    assert content(table) == want
+
+
+def test_another_writer_cannot_publish_the_same_version(spark, table):
+    table.upsert(rows(spark, (1, "d1", 1, 1)))
+    with pytest.raises(RuntimeError):
+        table._publish([], "{}", 0)
+    assert content(table) == [(1, "d1", 1)]
+
+
+@pytest.mark.parametrize("day", [None, "a:b", "{x,y}*", "a b/c=%", "__x"])
+def test_odd_partition_values_keep_earlier_rows(spark, table, day):
+    table.upsert(rows(spark, (7, day, 1, 7)))
+    table.upsert(rows(spark, (8, day, 1, 8)))
+    assert content(table) == [(7, day or "", 7), (8, day or "", 8)]
+    assert [r.id for r in table.read_partition(dt=day).orderBy("id").collect()] == [7, 8]
+    table.delete_where(F.col("id") == 7)
+    assert content(table) == [(8, day or "", 8)]
+
+
+def test_deletes(spark, table):
+    table.upsert(rows(spark, (1, "d1", 1, 50), (2, "d1", 1, None), (3, "d1", 1, 1), (4, "d2", 1, 2)))
+    table.delete_where(F.col("v") > 10)  # null: not true, so the row stays
+    assert content_ids(table) == [2, 3, 4]
+    table.delete_where(F.col("dt") == "d2")  # the partition is empty then
+    assert content_ids(table) == [2, 3]
+    table.upsert(rows(spark, (4, "d2", 2, 5)))
+    assert content_ids(table) == [2, 3, 4]
+    table.compact()
+    assert content_ids(table) == [2, 3, 4]
+
+
+def content_ids(table):
+    return sorted(r.id for r in table.read().collect())
+
+
+def test_merging_keeps_rows_and_replays(spark, table):
+    for k in range(20):
+        table.upsert(rows(spark, (k % 5, "d1", k, k), (100 + k, "d2", k, k)), f"b-{k}")
+    folders = table.version()["folders"]
+    assert len(folders) < 10 and {f["class"] for f in folders} == {0, 1}
+    want = sorted([(k % 5, "d1", k) for k in range(15, 20)] + [(100 + k, "d2", k) for k in range(20)])
+    assert content(table) == want
+    table.upsert(rows(spark, (0, "d1", 99, 99)), "b-3")  # in a merged folder
+    assert content(table) == want
+    table.compact()
+    assert len(table.version()["folders"]) == 1 and content(table) == want
+    gone = table.vacuum()
+    assert gone and content(table) == want and not table.vacuum()
+
+
+def test_only_a_missing_table_reads_as_empty(spark, scratch):
+    schema = rows(spark, (1, "d", 1, 1)).schema
+    t = KeyedTable(spark, f"{scratch}/t", ["id"], ["dt"], schema=schema)
+    assert content(t) == [] and not t.exists() and t.touched_rows(rows(spark, (1, "d", 1, 1))) is None
+    t.delete_where(F.lit(True))
+    with pytest.raises(ValueError):
+        KeyedTable(spark, f"{scratch}/u", ["id"], ["dt"]).read()
+    t.upsert(rows(spark, (1, "d", 1, 1)))
+    import os
+    folder = t.version()["folders"][0]["name"]
+    os.rename(f"{t.path}/{folder}", f"{t.path}/elsewhere")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        t.read().count()
+
+
+def test_a_write_does_not_rewrite_the_table(spark, table):
+    table.upsert(rows(spark, *((k, f"d{k % 3}", 1, k) for k in range(3000))))
+    before = spark.read.parquet(f"{table.path}/{table.version()['folders'][0]['name']}").count()
+    table.upsert(rows(spark, (1, "d1", 2, -1)))
+    new = table.version()["folders"][-1]["name"]
+    assert before == 3000 and spark.read.parquet(f"{table.path}/{new}").count() == 1
+
+
+def test_a_day_is_written_by_many_tasks(spark, table):
+    data = [(k, "hot" if k % 10 else f"old{k % 50}", 1, k) for k in range(4000)]
+    with_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false",
+                 lambda: table.upsert(rows(spark, *data)))
+    files = spark.read.parquet(f"{table.path}/{table.version()['folders'][0]['name']}").where(
+        "dt = 'hot'").select(F.input_file_name()).distinct().count()
+    assert files > 4
+
+
+def test_partition_and_key_filters_reach_the_scan(spark, table):
+    for k in range(3):
+        table.upsert(rows(spark, (k, f"d{k}", 1, k)))
+    frame = table.read_partition(dt="d1").where("id = 1")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,1)" in plan and "PartitionFilters: [isnotnull(dt" in plan
+    assert [r.v for r in frame.collect()] == [1]

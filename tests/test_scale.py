@@ -98,7 +98,7 @@ def test_keyed_table_files_are_key_ordered(spark, scratch):
         F.col("id").alias("seq"), (F.col("id") * 2).alias("v"))
     sink.upsert(rows)
     sink.upsert(rows.where("id < 100").withColumn("v", F.lit(-1)).withColumn("seq", F.lit(10**6)))
-    files = glob.glob(f"{scratch}/kt/dt=*/*.parquet")
+    files = glob.glob(f"{scratch}/kt/data/*/dt=*/*.parquet")
     assert files
     for f in files:
         ids = pq.read_table(f, columns=["id"]).column("id").to_pylist()
