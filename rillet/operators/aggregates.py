@@ -80,8 +80,8 @@ TYPE_TO_FIELD = {"gender": "user_gender", "age": "user_age"}
 
 def stats_by_item(wide: DataFrame, item: str, date: str | None, type_: str) -> DataFrame:
     """Match the item keyword (all tokens) and sum split_total_amount over all
-    rows, by gender label or by age band; rows without the field are left out, bands
-    without a row are 0. An unknown type gives an empty result (A8)."""
+    rows: a labelled row per gender, or three age bands; rows without the field are left
+    out, bands without a row are 0. An unknown type gives an empty result (A8)."""
     field = TYPE_TO_FIELD.get(type_)
     if field is None:
         return wide.where(F.lit(False)).select(
@@ -90,8 +90,9 @@ def stats_by_item(wide: DataFrame, item: str, date: str | None, type_: str) -> D
     scoped = scoped.where(F.col(field).isNotNull())
     if type_ == "gender":
         label = F.when(F.col(field) == "M", GENDER_MALE_LABEL).otherwise(GENDER_OTHER_LABEL)
-        return scoped.groupBy(label.alias("name")).agg(
-            F.sum("split_total_amount").cast("double").alias("value"))
+        return scoped.groupBy(field).agg(
+            F.sum("split_total_amount").cast("double").alias("value")).select(
+            label.alias("name"), "value")
     age = F.col(field).cast("int")
     zero = F.lit(0).cast("decimal(38,2)")
     amount = F.col("split_total_amount")

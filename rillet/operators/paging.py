@@ -1,31 +1,12 @@
-"""Sort, page, top-k (L1-L3). Every ordering ends with a unique tie-breaker so
+"""Sorted pages (L1, L2; top-k is a first page). Every ordering ends with a unique tie-breaker so
 pages are stable; a page is a TakeOrdered (per-partition top n, then merge)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def sort_by(df: DataFrame, field: str, ascending: bool = True, tie: str | None = None) -> DataFrame:
-    """L1."""
-    order = [F.asc(field) if ascending else F.desc(field)]
-    if tie:
-        order.append(F.asc(tie))
-    return df.orderBy(*order)
 
 
 def page(df: DataFrame, order: list, page_no: int = 1, page_size: int = 20) -> DataFrame:
     """L2: skip (page_no-1)*page_size rows of the ordering, take page_size."""
     start = max(page_no - 1, 0) * page_size
     return df.orderBy(*order).offset(start).limit(page_size)
-
-
-def skip_take(df: DataFrame, order: list, skip: int, take: int) -> DataFrame:
-    """L2 by raw offsets (from/size)."""
-    return df.orderBy(*order).offset(skip).limit(take)
-
-
-def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
-    """L3."""
-    return df.orderBy(*order).limit(k)

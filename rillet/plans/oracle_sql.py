@@ -231,7 +231,7 @@ _NEWEST = " AND create_date = (SELECT max(create_date) FROM order_enriched)"
 _GENDER = """
 SELECT CASE WHEN user_gender = 'M' THEN '男' ELSE '女' END AS name,
        CAST(sum(split_total_amount) AS DOUBLE) AS value
-FROM m WHERE user_gender IS NOT NULL GROUP BY 1"""
+FROM m WHERE user_gender IS NOT NULL GROUP BY user_gender"""
 
 _AGE = "".join(f"""{union}
 SELECT '{name}' AS name, CAST(coalesce(sum(split_total_amount) FILTER (WHERE {cond}), 0) AS DOUBLE) AS value
@@ -244,7 +244,7 @@ for _day, _tail in (("", ""), (_NEWEST, "_day")):
     SQL[f"stats_by_age_band{_tail}"] = with_(WIDE_CTES, _MATCHED.format(toks=W_TOKS, day=_day)) + _AGE
 
 SQL["stats_unknown_type"] = with_(WIDE_CTES, _MATCHED.format(toks=W_TOKS, day="")) + """
-SELECT 'gender' AS type, count(DISTINCT CASE WHEN user_gender = 'M' THEN 1 ELSE 0 END) AS rows
+SELECT 'gender' AS type, count(DISTINCT user_gender) AS rows
 FROM m WHERE user_gender IS NOT NULL
 UNION ALL SELECT 'age', 3 UNION ALL SELECT 'region', 0"""
 
@@ -540,10 +540,10 @@ SELECT 'DWD_' || upper("table") || '_' || op AS topic, id AS key, seq, id || '/'
 FROM ops WHERE "table" IN ('order_info', 'user_info')"""
 
 SQL["stream_cdc_config_change"] = with_(CDC, """
-cut AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) * 0.5 AS at FROM orders)""") + """
+cut AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) * 0.5 AS half FROM orders)""") + """
 SELECT 'DWD_' || upper("table") || '_' || op AS topic, count(*) AS rows
-FROM ops, cut WHERE ("table" IN ('order_info', 'user_info') AND seq < at)
-   OR ("table" IN ('order_info', 'base_province') AND seq >= at)
+FROM ops, cut WHERE ("table" IN ('order_info', 'user_info') AND seq < half)
+   OR ("table" IN ('order_info', 'base_province') AND seq >= half)
 GROUP BY 1"""
 
 SQL["stream_chain"] = with_(PAGE_LOG, USER_INFO, PROVINCE, """

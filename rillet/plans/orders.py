@@ -14,11 +14,15 @@ from rillet.session import scratch_path
 from rillet.sources import adapters
 
 
+def with_dates(order_info: DataFrame) -> DataFrame:
+    """create_date and create_hour."""
+    d, h = split_datetime("create_time")
+    return order_info.withColumn("create_date", d).withColumn("create_hour", h)
+
+
 def dated_orders(order_info: DataFrame) -> DataFrame:
     """X11 defaults, X3 create_date/create_hour: what needs no other table."""
-    o = with_defaults(order_info, ORDER_INFO_DEFAULTS)
-    d, h = split_datetime("create_time")
-    return o.withColumn("create_date", d).withColumn("create_hour", h)
+    return with_dates(with_defaults(order_info, ORDER_INFO_DEFAULTS))
 
 
 def with_dimensions(rows: DataFrame, users: DataFrame, provinces: DataFrame, as_of) -> DataFrame:

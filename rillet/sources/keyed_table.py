@@ -26,8 +26,6 @@ from rillet.operators.dedup import last_per_key
 
 #: Folders of one size class that are merged into one of the next.
 MERGE = 8
-#: Tasks over which the rows of one partition value are spread when written.
-SPREAD = 16
 _WRITE, _GONE, _BATCH = "__write", "__gone", "__batch"
 
 
@@ -138,11 +136,10 @@ class KeyedTable:
         return stored.join(days, same, "left_semi")
 
     def _write(self, rows: DataFrame, name: str) -> None:
-        """Rows hashed on (partition value, key salt), so that a hot day is many tasks
-        whatever else the batch holds; ordered by key, so that files have tight bounds."""
-        salt = F.pmod(F.xxhash64(*self.key), F.lit(SPREAD))
-        (rows.repartition(*[F.col(c) for c in self.partition_by], salt)
-         .sortWithinPartitions(*self.partition_by, *self.key)
+        """Rows by ranges of (partition value, key), from a sample of the batch: a hot day
+        is split over many tasks, small days share one, and files have tight key bounds."""
+        order = self.partition_by + [k for k in self.key if k not in self.partition_by]
+        (rows.repartitionByRange(*order).sortWithinPartitions(*order)
          .write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/{name}"))
 
     def _typed(self, batch: DataFrame) -> DataFrame:

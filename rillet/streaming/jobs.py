@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rillet.functions.misc import with_defaults
 from rillet.operators import dedup, routing
 from rillet.plans.dau import dau_info
-from rillet.plans.orders import WIDE_COLUMNS, dated_orders, with_dimensions
-from rillet.plans.orders import details as order_details
+from rillet.plans.orders import WIDE_COLUMNS, with_dates, with_dimensions
+from rillet.schemas import ORDER_DETAIL_DEFAULTS, ORDER_INFO_DEFAULTS
 from rillet.operators.joins import order_wide
 from rillet.sources.keyed_table import KeyedTable, append_batch, write_keyed
 
@@ -129,9 +130,10 @@ def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provi
     watermarks on both sides and an event-time range, so either arrival order
     pairs up and unmatched rows age out of state. Wide rows take the dimensions as they
     are when their batch runs, and upsert by detail_id into create_date partitions."""
-    o = dated_orders(orders) \
+    # defaults come after the join: state keeps the records as they arrived
+    o = with_dates(orders) \
         .withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
-    d = order_details(details) \
+    d = details \
         .withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
     window = F.col("d.__et").between(F.col("o.__et") - F.expr(f"INTERVAL {delay}"),
                                      F.col("o.__et") + F.expr(f"INTERVAL {delay}"))
@@ -139,7 +141,8 @@ def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provi
 
     def run(batch: DataFrame, batch_id: int):
         b = batch.persist()
-        rows = with_dimensions(b, users(), provinces(), _today(as_of)).select(*WIDE_COLUMNS)
+        rows = with_defaults(b, ORDER_INFO_DEFAULTS | ORDER_DETAIL_DEFAULTS)
+        rows = with_dimensions(rows, users(), provinces(), _today(as_of)).select(*WIDE_COLUMNS)
         sink.upsert(rows, batch_name(checkpoint, batch_id))
         b.unpersist()
     return _start(wide, run, checkpoint, trigger or {"processingTime": "5 seconds"},

@@ -59,7 +59,7 @@ def test_sort_page_exclude_max_count(spark):
     assert [r["id"] for r in u.orderBy(*order).collect()] == \
         ["1001", "1007", "1008", "1005", "1006", "1003", "1004", "1002"]
     assert "age" not in u.drop("age").columns and u.drop("age").count() == 8
-    assert [r["id"] for r in paging.skip_take(u, [F.asc("id")], 2, 1).collect()] == ["1003"]
+    assert [r["id"] for r in paging.page(u, [F.asc("id")], 3, 1).collect()] == ["1003"]
     assert aggregates.max_agg(u, "age", "max_age").first()["max_age"] == 60
     rows = aggregates.group_count_top(u, "age", 10).collect()
     assert [(r["age"], r["doc_count"]) for r in rows] == [(60, 3), (40, 2), (50, 2), (30, 1)]
