@@ -13,8 +13,8 @@ import __spark_entry__ as entry  # noqa: E402
 from oracle_check import check, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from rillet.plans.oracle_sql import SQL  # noqa: E402
+from rillet.plans.registry import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +26,13 @@ def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(SQL)
 
 
+def test_the_entry_registers_every_query():
+    """The optional subpackage adds queries of its own names and takes none away."""
+    assert {n: q for n, q in entry.queries().items() if n in QUERIES} == QUERIES
+    assert {n: q for n, q in entry.oracle_sql().items() if n in SQL} == SQL
+    assert all(n == "pipeline" or n.startswith("op") for n in set(entry.queries()) - set(QUERIES))
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     res = check(spark, con, name, QUERIES[name], SQL.get(name), SF)
