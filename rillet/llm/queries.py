@@ -70,4 +70,7 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {"op8_temporal_url_lists": url_data.oracle()}
+SQL: dict[str, str] = {
+    "op5_secret_entropy": secret_scan.oracle(),
+    "op8_temporal_url_lists": url_data.oracle(),
+}

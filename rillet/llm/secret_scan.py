@@ -35,12 +35,12 @@ CLASSES = (("entropy_hex", "^[0-9a-fA-F]+$", "[0-9]", 24, 3.0),
            ("entropy_alnum", "^[A-Za-z0-9]+$", "[0-9]", 20, 3.6),
            ("entropy_base64", "^[A-Za-z0-9+/_=-]+$", "[0-9]", 20, 3.7))
 #: Whole candidates that are no secrets: ids in the dashed form, numbers, words joined
-#: by separators, placeholders and runs of the alphabet.
+#: by separators, placeholders and runs of the alphabet. (Repeated characters have no entropy.)
 ALLOW = ("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^[0-9_=/+-]+$",
          "^[A-Za-z/_=+-]+$", "(?i)example|placeholder|changeme|dummy|sample",
-         "(?i)abcdefghijkl|0123456789ab", r"^(.)\1+$")
+         "(?i)abcdefghijkl|0123456789ab")
 #: What a text has before a candidate that names it a checksum.
-ALLOW_BEFORE = r"""(?i)(sha-?(1|224|256|384|512)|md5|crc32|commit|checksum|digest|etag)["']?\s*[:=-]?\s*["']?$"""
+ALLOW_BEFORE = r"""(?i)(sha-?(1|224|256|384|512)|md5|crc32|commit|checksum|digest|etag)["']?\s*[:=-]?\s*["']?\z"""
 KINDS = ("assign", "access", "hex", *(c[0] for c in CLASSES))
 MARK = "[SECRET]"
 _SPAN = "struct<start:int,rank:int,end:int>"
@@ -189,3 +189,48 @@ def redact(docs: DataFrame, mark: str = MARK) -> DataFrame:
                "n_chars": F.when(F.size("cuts") > 0, F.length("new")).otherwise(old)}.get(c, old)
         cols.append(new.cast(docs.schema[c].dataType).alias(c))
     return rows.select(*cols)
+
+
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def oracle(table: str = "documents") -> str:
+    """``scan`` in DuckDB SQL: every window's entropy is computed on its own."""
+    base = [(k, p, f"length(regexp_extract(m, {_sql(p)}, 2)) >= 8" if k == "assign"
+             else f"length(m) >= {LEAST[k]}") for k, p in
+            (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX.replace("+", f"{{{LEAST['hex']},}}")))]
+    rules = [*base, ("candidate", CANDIDATE, "true")]
+    found = " UNION ALL ".join(f"""
+  SELECT id, doc_id, '{k}' AS kind, unnest(regexp_extract_all(t, {_sql(p)})) AS m,
+         unnest(string_split_regex(t, {_sql(p)})[:-2]) AS p, generate_subscripts(regexp_extract_all(t, {_sql(p)}), 1) AS i
+  FROM docs WHERE regexp_matches(t, {_sql(p)})""" for k, p, _ in rules)
+    kept = " UNION ALL ".join(f"SELECT id, pos AS s, {KINDS.index(k)} AS r, pos + length(m) AS e FROM placed "
+                              f"WHERE kind = '{k}' AND {good}" for k, _, good in base)
+    allowed = " OR ".join(f"regexp_matches(m, {_sql(a)})" for a in ALLOW)
+    case = lambda value: "CASE " + " ".join(
+        f"WHEN regexp_matches(m, {_sql(every)}) THEN {value(k, w, least, some)}"
+        for k, every, some, w, least in CLASSES) + " END"
+    names = ", ".join(f"'{k}'" for k in KINDS)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM {table}),
+found AS ({found}),
+placed AS (SELECT *, CAST(sum(length(p)) OVER w + sum(length(m)) OVER w - length(m) AS BIGINT) AS pos
+  FROM found WINDOW w AS (PARTITION BY id, kind ORDER BY i ROWS UNBOUNDED PRECEDING)),
+words AS (SELECT *, {case(lambda k, w, least, some: KINDS.index(k))} AS r,
+                 {case(lambda k, w, least, some: w)} AS w, {case(lambda k, w, least, some: least)} AS least,
+                 {case(lambda k, w, least, some: f"regexp_matches(m, {_sql(some)})")} AS ok
+  FROM placed WHERE kind = 'candidate' AND NOT regexp_matches(right(p, 40), {_sql(ALLOW_BEFORE)})
+    AND NOT ({allowed})),
+windows AS (SELECT *, unnest(range(0, length(m) - w + 1)) AS k FROM words WHERE ok AND length(m) >= w),
+hot AS (SELECT id, pos + min(k) AS s, r, pos + max(k) + w AS e FROM windows
+  WHERE list_aggregate(string_split(substr(m, k + 1, w), ''), 'entropy') >= least - 1e-9
+  GROUP BY id, pos, r, w),
+spans AS ({kept} UNION ALL SELECT id, s, r, e FROM hot),
+named AS (SELECT *, [{names}][r + 1] || ':' || s || ':' || e AS n FROM spans),
+sums AS (SELECT id, count(*) FILTER (r = 0) AS a, count(*) FILTER (r = 1) AS b, count(*) FILTER (r = 2) AS c,
+                count(*) FILTER (r >= 3) AS d, string_agg(n, ',' ORDER BY s, r, e) AS every,
+                string_agg(n, ',' ORDER BY s, r, e) FILTER (r < 3) AS base FROM named GROUP BY id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans, coalesce(d, 0) AS n_entropy
+FROM docs LEFT JOIN sums USING (id)"""
