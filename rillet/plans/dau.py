@@ -11,7 +11,7 @@ from rillet.functions.misc import copy_fields
 from rillet.functions.time import day_of, hour_of
 from rillet.operators import aggregates, dedup, joins
 from rillet.schemas import DAU_INFO_FIELDS
-from rillet.session import scratch_path
+from rillet.session import stored_once
 from rillet.sources import adapters
 from rillet.sources.keyed_table import KeyedTable
 
@@ -57,21 +57,17 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.stage_counts(adapters.page_log(spark, sf_dir, province=False))
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def stored_dau(spark: SparkSession, sf_dir: str) -> KeyedTable:
     """The daily-active table as its job leaves it: keyed by (dt, mid), a folder per day;
     written once per application and input."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    path = _STORED.get(known) or scratch_path(spark, "dau")
-    table = KeyedTable(spark, path, ["dt", "mid"], ["dt"])
-    if known not in _STORED:
+    def table(path: str) -> KeyedTable:
+        return KeyedTable(spark, path, ["dt", "mid"], ["dt"])
+
+    def write(path: str) -> None:
         pl = adapters.page_log(spark, sf_dir, province=False)
-        table.upsert(dau_rows(pl).select("dt", "mid", "hr", "ts"))
-        table.compact()
-        _STORED[known] = path
-    return table
+        table(path).upsert(dau_rows(pl).select("dt", "mid", "hr", "ts"))
+        table(path).compact()
+    return table(stored_once(spark, "dau", sf_dir, write))
 
 
 def column_scan(spark: SparkSession, sf_dir: str, field: str = "mid") -> DataFrame:

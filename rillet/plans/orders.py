@@ -10,7 +10,7 @@ from rillet.functions.misc import with_defaults
 from rillet.functions.time import split_datetime
 from rillet.operators import joins
 from rillet.schemas import ORDER_DETAIL_DEFAULTS, ORDER_INFO, ORDER_INFO_DEFAULTS
-from rillet.session import scratch_path
+from rillet.session import stored_once
 from rillet.sources import adapters
 
 
@@ -54,22 +54,17 @@ def order_wide(spark: SparkSession, sf_dir: str, as_of: str = adapters.USER_AS_O
                             details(adapters.order_detail(spark, sf_dir)))
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
 def stored_wide(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
     """The wide table as the order job leaves it: written once per application and input,
     one folder per month of the order day, files ordered by day and id. A folder per day
     would hold a few kilobytes here. ``date`` prunes to its month's folder, and the day's
     filter, pushed to the scan, to the row groups of that day."""
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _STORED:
-        path = scratch_path(spark, "order-wide")
+    def write(path: str) -> None:
         (order_wide(spark, sf_dir).withColumn("create_month", F.substring("create_date", 1, 7))
          .hint("rebalance", "create_month").sortWithinPartitions("create_month", "create_date", "detail_id")
          .write.partitionBy("create_month").parquet(path))
-        _STORED[known] = path
-    wide = spark.read.schema(f"{WIDE_SCHEMA}, create_month string").parquet(_STORED[known])
+    path = stored_once(spark, "order-wide", sf_dir, write)
+    wide = spark.read.schema(f"{WIDE_SCHEMA}, create_month string").parquet(path)
     if date is not None:
         wide = wide.where((F.col("create_month") == date[:7]) & (F.col("create_date") == date))
     return wide.drop("create_month")

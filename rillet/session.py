@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +62,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, "rillet", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_once(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
+    """Path of a table derived from ``source``: ``write(path)`` fills it at the first call
+    of an application, in the shared folder; later calls give the same path."""
+    known = (spark.sparkContext.applicationId, name, source)
+    if known not in _STORED:
+        path = scratch_path(spark, name)
+        write(path)
+        _STORED[known] = path
+    return _STORED[known]

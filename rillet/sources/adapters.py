@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.time import epoch_millis
 from rillet.operators.ordered import chunked_previous
+from rillet.session import stored_once
 from rillet.sources.tables import table
 
 # Fixed values of the change-record derivation (cycled by key).
@@ -78,10 +79,16 @@ def page_log(spark: SparkSession, sf_dir: str, since: str | None = None,
 
 
 def raw_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ODS log records as JSON text (``value``) plus ``seq``.
+    """ODS log records as JSON text (``value``) plus ``seq``, as their topic holds them:
+    built once per application and input, so that routes begin at the text.
 
     err when page_id = 'error'; start when 'signup'; k % 3 actions; k % 4 displays.
     """
+    path = stored_once(spark, "raw-log", sf_dir, lambda to: _raw_log(spark, sf_dir).write.parquet(to))
+    return spark.read.schema("value string, seq bigint").parquet(path)
+
+
+def _raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = page_log(spark, sf_dir)
     k = F.col("page_item").cast("int")
     n_act = k % 3
