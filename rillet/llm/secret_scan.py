@@ -43,28 +43,37 @@ ALLOW = ("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^[0-9_=/+-]+$"
 ALLOW_BEFORE = r"""(?i)(sha-?(1|224|256|384|512)|md5|crc32|commit|checksum|digest|etag)["']?\s*[:=-]?\s*["']?\z"""
 KINDS = ("assign", "access", "hex", *(c[0] for c in CLASSES))
 MARK = "[SECRET]"
+#: Elements of an array that are folded at once.
+BLOCK = 256
 _SPAN = "struct<start:int,rank:int,end:int>"
 
 
+def running(values: Column, combine) -> Column:
+    """Running sums or maxima of an array<int>, by blocks: a fold that appends copies what
+    it has, so a long array is folded in blocks and then block by block."""
+    empty = F.array().cast("array<int>")
+    last = lambda out: F.coalesce(F.get(out, F.size(out) - 1), F.lit(0))
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(BLOCK)),
+                         lambda k: F.slice(values, k + 1, BLOCK))
+    inner = F.transform(blocks, lambda b: F.aggregate(
+        b, empty, lambda out, x: F.concat(out, F.array(combine(last(out), x)))))
+    return F.aggregate(inner, empty, lambda out, b: F.concat(
+        out, F.transform(b, lambda x: combine(last(out), x))))
+
+
 def _found(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of ``pattern``: (start, match, text before since
     the last match). Splitting gives what lies between the matches, so that the lengths
     add up to positions. Nothing is built for texts without a match."""
+    kind = "array<struct<start:int,m:string,p:string>>"
     pieces, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits,
                        lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    kind = "struct<at:int,out:array<struct<start:int,m:string,p:string>>>"
-    folded = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), F.array().cast(
-            "array<struct<start:int,m:string,p:string>>").alias("out")).cast(kind),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(x["p"])).alias("start"), x["m"].alias("m"),
-                x["p"].alias("p")))).alias("out")).cast(kind),
-        lambda s: s["out"])
-    return F.when(text.rlike(pattern), folded).otherwise(
-        F.array().cast("array<struct<start:int,m:string,p:string>>"))
+    ends = running(F.transform(pairs, lambda x: F.length(x["p"]) + F.length(x["m"])),
+                   lambda a, b: a + b)
+    placed = F.zip_with(pairs, ends, lambda x, end: F.struct(
+        (end - F.length(x["m"])).alias("start"), x["m"].alias("m"), x["p"].alias("p")))
+    return F.when(text.rlike(pattern), placed.cast(kind)).otherwise(F.array().cast(kind))
 
 
 def _base(text: Column, kind: str, pattern: str) -> Column:
@@ -161,18 +170,16 @@ def scan(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = MARK) -> DataFrame:
     """``docs`` with every span replaced by ``mark``, overlapping spans by one, and
     ``n_chars``, if there, set to the new length where the text changed."""
-    kind = "struct<s:int,e:int>"
     rows = with_spans(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
                                   F.col("text")), "found")
-    pair = lambda s, e: F.struct(s.alias("s"), e.alias("e")).cast(kind)
-    merged = F.aggregate(
-        "found", F.array().cast(f"array<{kind}>"),
-        lambda out, x: F.when(
-            (F.size(out) > 0) & (x["start"] < F.element_at(out, -1)["e"]),
-            F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(pair(
-                F.element_at(out, -1)["s"], F.greatest(F.element_at(out, -1)["e"], x["end"])))))
-        .otherwise(F.concat(out, F.array(pair(x["start"], x["end"])))))
-    rows = rows.withColumn("cuts", merged)
+    rows = rows.withColumn("reach", running(F.transform("found", lambda x: x["end"]), F.greatest))
+    # a span opens a cut unless an earlier one reaches beyond its start
+    opens = F.filter(F.sequence(F.lit(0), F.size("found") - 1), lambda k: (k == 0) | (
+        F.get(F.col("found"), k)["start"] >= F.get(F.col("reach"), k - 1)))
+    rows = rows.withColumn("opens", F.when(F.size("found") > 0, opens).otherwise(F.array().cast("array<int>")))
+    rows = rows.withColumn("cuts", F.transform("opens", lambda k, n: F.struct(
+        F.get(F.col("found"), k)["start"].alias("s"),
+        F.get(F.col("reach"), F.coalesce(F.get(F.col("opens"), n + 1), F.size("found")) - 1).alias("e"))))
     ends = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["e"]))
     pieces = F.zip_with(F.slice(ends, 1, F.size("cuts")), F.col("cuts"),
                         lambda e, c: F.concat(F.substring(F.col("text"), e + 1, c["s"] - e),

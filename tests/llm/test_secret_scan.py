@@ -94,6 +94,14 @@ def test_a_long_candidate(spark):
     same(secret_scan.scan(spark.createDataFrame([(1, word)], "doc_id int, text string")).collect(), [(1, word)])
 
 
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(9)
+    text = " ".join(f"token={rng.randrange(10**9):09d} é" for _ in range(3000))
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    same(secret_scan.scan(docs).collect(), [(1, text)])
+    assert secret_scan.redact(docs).first().text == re.sub(r"token=\d+", "[SECRET]", text)
+
+
 def test_redact(spark, odd_docs, no_docs):
     hard = hard_texts()
     rows = [(i, t, len(t), "x") for i, t in hard] + [(1, None, None, None)]
