@@ -37,13 +37,17 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def keys_of(bodies: list[bytes], depth: int = DEPTH) -> np.ndarray:
-    """Key of every byte of the bodies; a body's context before its start is END bytes."""
+    """Key of every byte of the bodies; a body's context before its start is END bytes.
+    ``depth`` is at most 6, so that a key and its context lie within eight bytes."""
     pad = END * depth
-    data = np.frombuffer(pad + pad.join(bodies), np.uint8).astype(np.uint64)
-    n = len(data) - depth
-    keys = data[depth:].copy()
-    for k in range(1, depth + 1):
-        keys |= data[depth - k:depth - k + n] << np.uint64(8 * (depth + 1 - k))
+    raw = END * 7 + pad.join(bodies)
+    # the eight bytes up to each byte as one number: the byte itself is its highest place
+    n = len(raw) - 7
+    keys = np.ndarray(n, "<u8", raw, strides=(1,)).astype(np.uint64)
+    keys <<= np.uint64(8)
+    keys >>= np.uint64(8 * (8 - depth))
+    keys <<= np.uint64(8)
+    keys |= np.frombuffer(raw, np.uint8, offset=7)
     if len(bodies) > 1:  # drop what belongs to the pads
         ends = np.cumsum([len(b) for b in bodies[:-1]]) + depth * np.arange(len(bodies) - 1)
         inside = np.ones(n, bool)

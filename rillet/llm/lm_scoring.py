@@ -40,7 +40,6 @@ BLOCK_BYTES = 24 << 20
 #: Bytes of packed words and contexts that a task sums at once, about.
 BUCKET_BYTES = 32 << 20
 _WORDS, _CONTEXTS = 0, 1
-_SLOTS = 21
 PACKED = "block int, bucket int, kind int, keys binary, numbers binary"
 
 
@@ -180,66 +179,98 @@ def _answers(key, table, tops):
 
 
 class _Lookup:
-    """Numbers by key: a direct-mapped table, and a search for keys that lost a slot."""
+    """Numbers by key: direct-mapped tables, each for the keys that lost their slot in the
+    one before. Every key asked for must be there."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        slots = self._slot(self.keys)
-        self.slot_keys = np.full(1 << _SLOTS, np.iinfo(np.uint64).max, np.uint64)
-        self.slot_values = np.zeros(1 << _SLOTS, np.float32)
-        self.slot_keys[slots], self.slot_values[slots] = self.keys, self.values
+    MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                   0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
-    @staticmethod
-    def _slot(keys):
-        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOTS)
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.tables, turn = [], 0
+        while len(keys):
+            bits = max(4, int(4 * len(keys)).bit_length())
+            # odd numbers by turn, should the given ones run out
+            by = np.uint64(self.MULTIPLIERS[turn] if turn < 5 else (2 * turn + 1) * 0x9E3779B97F4A7C15 % 2**64)
+            shift = np.uint64(64 - bits)
+            slots = (keys * by) >> shift
+            held = np.full(1 << bits, np.iinfo(np.uint64).max, np.uint64)
+            numbers = np.zeros(1 << bits, np.float32)
+            held[slots], numbers[slots] = keys, values
+            self.tables.append((by, shift, held, numbers))
+            lost = held[slots] != keys
+            keys, values, turn = keys[lost], values[lost], turn + 1
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slots = self._slot(keys)
-        found = self.slot_values[slots]
-        lost = np.flatnonzero(self.slot_keys[slots] != keys)
-        found[lost] = self.values[np.searchsorted(self.keys, keys[lost])]
-        return found
+        out, left = np.zeros(len(keys), np.float32), None
+        for by, shift, held, numbers in self.tables:
+            asked = keys if left is None else keys[left]
+            slots = (asked * by) >> shift
+            found = numbers[slots]
+            lost = np.flatnonzero(held[slots] != asked)
+            if left is None:
+                out, left = found, lost
+            else:
+                out[left] = found
+                left = left[lost]
+            if not len(left):
+                return out
+        if len(left):
+            raise KeyError(int(keys[left[0]]))
+        return out
 
 
 SCORED = ("n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
           "score double, n_bytes bigint, bits_per_byte double")
 
 
-def _scored(docs, answers, tokens, types):
-    """Rows of one block's documents."""
-    totals: dict[bytes, int] = {}
-    keys, logs = [], []
-    for row in answers.to_pylist():
-        own = _unpack_keys(row["kind"], row["keys"])
-        if row["kind"] == _WORDS:
-            totals.update(zip(own, unpack_numbers(row["numbers"], np.uint64).tolist()))
-        else:
-            keys.append(own)
-            logs.append(unpack_numbers(row["numbers"], np.float32))
-    lookup = _Lookup(np.concatenate(keys), np.concatenate(logs))
-    below = tokens + 0.5 * (types + 1)
-    base = {w: np.log10((c + 0.5) / below).item() for w, c in totals.items()}
-    unknown = np.log10(0.5 / below).item()
-    out = []
-    for part, texts in text_slices(docs.select(["block", "train", "doc_id", "text"]).to_batches()):
+class _Model:
+    """What a block asked for: totals of its words, log10 of its contexts."""
+
+    def __init__(self, answers: list[tuple[int, bytes, bytes]], tokens: int, types: int):
+        below = tokens + 0.5 * (types + 1)
+        self.base, self.strange, keys, logs = {}, set(), [], []
+        for kind, packed, numbers in answers:
+            own = _unpack_keys(kind, packed)
+            if kind == _WORDS:
+                totals = unpack_numbers(numbers, np.uint64)
+                self.base.update(zip(own, np.log10((totals + 0.5) / below).tolist()))
+                self.strange.update(own[k] for k in np.flatnonzero(totals == 0))
+            else:
+                keys.append(own)
+                logs.append(unpack_numbers(numbers, np.float32))
+        self.tokens, self.lookup = tokens, _Lookup(np.concatenate(keys), np.concatenate(logs))
+
+    def rows(self, texts: list[bytes]):
+        """The scores of texts, one tuple each."""
         split = [t.lower().split() for t in texts]
         bodies = [body_of(w) for w in split]
-        found = lookup(tree.keys_of(bodies)).astype(np.float64)
         sizes = np.array([len(b) for b in bodies])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        scores = np.add.reduceat(found, starts)
-        for name, words, score, size in zip(part.column(2).to_pylist(), split, scores.tolist(), sizes.tolist()):
-            numbers = [base[w] for w in words]
-            numbers.append(base[b""])
-            strange = sum(map((0).__eq__, map(totals.__getitem__, words))) + (totals[b""] == 0)
-            out.append((name, len(numbers), len(numbers) - strange, tokens, sum(numbers), score, size,
-                        -score / np.log10(2) / size))
-    cols = list(zip(*out))
-    kinds = [docs.schema.field("doc_id").type, *[pa.int64()] * 3, pa.float64(), pa.float64(),
-             pa.int64(), pa.float64()]
-    names = ["doc_id", *(x.split()[0] for x in SCORED.split(", "))]
-    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        scores = np.add.reduceat(self.lookup(tree.keys_of(bodies)).astype(np.float64), starts)
+        for words, score, size in zip(split, scores.tolist(), sizes.tolist()):
+            words.append(b"")  # the end
+            base = sum(map(self.base.__getitem__, words))
+            strange = sum(map(self.strange.__contains__, words)) if self.strange else 0
+            yield (len(words), len(words) - strange, self.tokens, base, score, size,
+                   -score / np.log10(2) / size)
+
+
+def _scored(batches, tokens, types):
+    """A block's rows: first the answers to its questions, then its documents."""
+    answers, model = [], None
+    for batch in batches:
+        documents = batch.column("doc").to_numpy(zero_copy_only=False).astype(bool)
+        first = int(np.argmax(documents)) if documents.any() else len(documents)
+        if first:
+            answers += zip(*(batch.column(c).slice(0, first).to_pylist()
+                             for c in ("kind", "keys", "numbers")))
+        for part, texts in text_slices([batch.slice(first)]):
+            model = model or _Model(answers, tokens, types)
+            cols = list(zip(*model.rows(texts)))
+            kinds = [*[pa.int64()] * 3, pa.float64(), pa.float64(), pa.int64(), pa.float64()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                ["doc_id", *(x.split()[0] for x in SCORED.split(", "))])
 
 
 def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES
@@ -254,8 +285,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = B
     held = F.coalesce(doc_crc() % FOLDS == HELD_OUT, F.lit(False))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
                         (~held).alias("train"), "doc_id", "text")
-    packed = stored(dealt.select("block", "train", "text").repartition(blocks, "block")
-                    .sortWithinPartitions("block")
+    packed = stored(dealt.select("block", "train", "text").repartitionById(blocks, "block")
                     .mapInArrow(partial(_reduced, buckets=buckets), PACKED), "features")
     shards = packed.groupBy("kind", "bucket")
     sums = shards.applyInArrow(_statistics, STATISTICS).groupBy("id").agg(
@@ -264,9 +294,13 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = B
     nodes = [r for r in sums if r["id"] >= 0]
     tops = tree.top_tables(*([r[c] for r in nodes] for c in ("id", "zeros", "ones", "below")))
     sent = shards.applyInArrow(_with(_answers, tops=tops), PACKED)
-    run = _with(_scored, tokens=words.get(_TOKENS, 0), types=words.get(_TYPES, 0))
-    found = dealt.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(
-        run, f"doc_id {kind}, {SCORED}")
+    # one task a block: the answers come first, the documents stream after them
+    both = dealt.select("block", F.lit(True).alias("doc"), "doc_id", "text").unionByName(
+        sent.select("block", F.lit(False).alias("doc"), "kind", "keys", "numbers"),
+        allowMissingColumns=True)
+    found = both.repartitionById(blocks, "block").sortWithinPartitions("doc").mapInArrow(
+        partial(_scored, tokens=words.get(_TOKENS, 0), types=words.get(_TYPES, 0)),
+        f"doc_id {kind}, {SCORED}")
     return found.select("doc_id", F.coalesce(doc_crc() % FOLDS == HELD_OUT, F.lit(False)).alias("held_out"),
                         *(x.split()[0] for x in SCORED.split(", ")))
 
