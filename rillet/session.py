@@ -61,7 +61,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
-    return os.path.join(root, "rillet", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(root, "rillet", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this process asked for; how many there were. For the
+    end of an application, when no result that reads them is needed any more."""
+    gone = 0
+    while _SCRATCH:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _STORED.clear()
+    return gone
 
 
 _STORED: dict[tuple[str, str, str], str] = {}

@@ -18,6 +18,8 @@ def spark():
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rillet-test-"))
     yield s
+    from rillet.session import clear_scratch
+    clear_scratch(s)
 
 
 @pytest.fixture()
