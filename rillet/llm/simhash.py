@@ -211,7 +211,9 @@ def _classified(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least_id"))
         .alias("component_id"))
-    return prints.join(classes, "fp")
+    # both sides of the join are scans, so that a fingerprint that a third of the rows
+    # share is a partition AQE can split
+    return prints.join(stored(classes, "classes"), "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS
