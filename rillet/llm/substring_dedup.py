@@ -140,7 +140,8 @@ def repeated_runs(docs: DataFrame, reach: int = REACH, least: int = LEAST_BYTES,
     known = found.groupBy("d1", "d2").agg(
         F.min(place).alias("first"), F.max(place).alias("last")).where(
         "not (first.doc_id <=> last.doc_id)").select("d1", "d2", "first")
-    marked = found.join(known, ["d1", "d2"]).select(
+    # both sides of the join are scans, so that AQE can split a digest found everywhere
+    marked = found.join(stored(known, "repeated"), ["d1", "d2"]).select(
         "doc_id", "start", "end", F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.start").alias("first_start"))
     own = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("start") == F.col("first_start"))
