@@ -10,9 +10,10 @@ insertion the cuts fall in the same places of the text again at once.
 A span is a chunk with as many chunks after it as give ``LEAST_BYTES``; its digest (96
 bits) stands for these variable chunks. A digest found in two or more documents marks its
 spans as repeated wherever they are. Overlapping repeated spans of a document join into
-runs; runs of at least ``LEAST_CHARS`` code points are the result. The first place of a
-digest (smallest id, then offset) is the one to keep; a run is ``kept`` if all its spans
-are first places, and goes otherwise.
+stretches; those of at least ``LEAST_CHARS`` code points are the result. The first place of
+a digest (smallest id, then offset) is the one to keep: a stretch is cut at the bounds of
+its first places into runs that are ``kept`` (first places) and runs that go (the rest).
+So every digest stays whole in its first place. A run of a longer stretch may be short.
 
 Rows of equal id are one document, so a repeated row is no copy. Defined cases: null and
 empty texts, and texts too short for a span, have no run; a null id is a document of its
@@ -146,16 +147,28 @@ def repeated_runs(docs: DataFrame, reach: int = REACH, least: int = LEAST_BYTES,
         F.col("first.start").alias("first_start"))
     own = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("start") == F.col("first_start"))
     order = Window.partitionBy("doc_id").orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.coalesce(F.col("start") > before, F.lit(True)).cast("int")
-    runs = (marked.withColumn("own", own).withColumn("opens", opens)
-            .withColumn("run", F.sum("opens").over(order))
-            .groupBy("doc_id", "run").agg(
-                F.min("start").alias("start"), F.max("end").alias("end"),
-                F.count(F.lit(1)).alias("n_spans"),
-                F.min("first_doc_id").alias("first_doc_id"), F.min("own").alias("kept")))
-    return runs.withColumn("n_chars", F.col("end") - F.col("start")).where(
-        F.col("n_chars") >= least_chars).select(
+    past = order.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("start") > F.max("end").over(past), F.lit(True)).cast("int")
+    # starts and ends rise together: the own spans around a span leave one piece of it
+    low = F.greatest("start", F.max(F.when(F.col("own"), F.col("end"))).over(past))
+    high = F.least("end", F.expr(
+        "lead(if(own, start, null)) ignore nulls over (partition by doc_id order by start, end)"))
+    pieces = (marked.withColumn("own", own).withColumn("opens", opens)
+              .withColumn("run", F.sum("opens").over(order))
+              .withColumn("low", F.when(F.col("own"), F.col("start")).otherwise(low))
+              .withColumn("high", F.when(F.col("own"), F.col("end")).otherwise(high))
+              .where("low < high"))
+    turns = F.coalesce((F.col("low") > F.max("high").over(past))
+                       | (F.col("own") != F.lag("own").over(order)), F.lit(True)).cast("int")
+    parts = (pieces.withColumn("turns", turns).withColumn("part", F.sum("turns").over(order))
+             .groupBy("doc_id", "run", "part").agg(
+                 F.min("low").alias("start"), F.max("high").alias("end"),
+                 F.count(F.lit(1)).alias("n_spans"),
+                 F.min("first_doc_id").alias("first_doc_id"), F.min("own").alias("kept")))
+    whole = Window.partitionBy("doc_id", "run")
+    long = F.max("end").over(whole) - F.min("start").over(whole) >= least_chars
+    return parts.withColumn("long", long).where("long").withColumn(
+        "n_chars", F.col("end") - F.col("start")).select(
         "doc_id", "start", "end", "n_chars", "n_spans", "first_doc_id", "kept")
 
 

@@ -106,6 +106,34 @@ def test_shared_passages_are_found_wherever_they_stand(spark):
             assert left[r.doc_id] == texts[r.doc_id]
 
 
+def test_a_copy_that_holds_a_widely_shared_passage_survives_once(spark):
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"{rng.randrange(10**6):x}" for _ in range(n))
+    shared, before, after, again = words(60), words(80), words(80), words(60)
+    copy = f"{before} {shared} {after}"
+    docs = [(1, f"{words(30)} {shared} {words(30)}"), (2, copy), (3, copy),
+            (4, f"{again} {words(30)} {shared} {again}"), (5, f"{words(9)} {again} {words(9)}")]
+    frame = spark.createDataFrame(docs, "doc_id int, text string")
+    runs = dedup.repeated_runs(frame).collect()
+    left = {r.doc_id: r.text for r in dedup.deduplicate(frame).collect()}
+    places = {}
+    for d, t in docs:
+        for a, b in dedup.spans(t.encode()):
+            places.setdefault(t[a:b], []).append((d, a))
+    repeated = {x: min(p) for x, p in places.items() if len({d for d, _ in p}) > 1}
+    # each repeated passage stays in its first document, and goes from the others
+    assert repeated and all(x in left[d] for x, (d, _) in repeated.items())
+    for part in (shared, before, after, again):
+        middle = part[100:-100]
+        assert sum(t.count(middle) for t in left.values()) == 1
+    assert all(r.first_doc_id == r.doc_id for r in runs if r.kept)
+    assert [r.kept for r in sorted(runs) if r.doc_id == 2] == [True, False, True]
+    assert [r.kept for r in sorted(runs) if r.doc_id == 3] == [False]
+    for d, t in docs:  # runs of a document do not overlap
+        bounds = sorted((r.start, r.end) for r in runs if r.doc_id == d)
+        assert all(e <= s for (_, e), (s, _) in zip(bounds, bounds[1:])) and len(t) >= bounds[-1][1]
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert rows_of(dedup.repeated_runs(odd_docs)) == brute_runs(odd_rows)
     assert dedup.deduplicate(odd_docs).count() == len(odd_rows)
