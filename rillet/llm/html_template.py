@@ -8,9 +8,15 @@ The class that every page has once is the template's root; valid classes that st
 one gap of a larger class nest there. The gaps (slots) between the root's tags hold what
 the template leaves open. Slots are weighed over all pages by their words outside links,
 nested link lists and boilerplate elements; the enclosing element of the heaviest slot
-(the closest with most of the weight, no paragraph or heading) holds the main text, and
-its remaining blocks are extracted. A text block that every page
-repeats at the same place is template too, unless it stands in an article element.
+(the closest with most of the weight, no paragraph or heading) holds the main text. A text
+block that every page repeats at the same place is template too, unless it stands in an
+article or main element.
+
+A page with text in article or main elements gives all of it but boilerplate elements.
+Other pages give the blocks of the main text's element and, links apart, all blocks around
+it that are no template. In groups too small to tell a template (``LEAST_PAGES``), the blocks
+around it are those of the same element of the body, headings and paragraphs right in the
+body, and what comes before; if that is less than ``MAIN_SHARE`` of a page, all blocks.
 
 A host's pages are dealt into groups of about ``GROUP`` by a hash, so that a host of any
 size is many tasks; a group deduces its own template. A page alone is a group of one.
@@ -43,7 +49,8 @@ LEAST_PAGES = 4
 ARTICLE_WEIGHT = 10
 #: Elements open at once from which on paths grow no longer.
 DEEPEST = 256
-#: Share of the weight that the main text's element must hold.
+#: Share of the weight that the main text's element must hold; of a page's words that it must
+#: hold before the rest counts as template without a proof.
 MAIN_SHARE = 0.8
 
 #: Elements by kind, and the words of class, id and role that mark boilerplate.
@@ -267,6 +274,35 @@ def _main_path(pages: list[Page], root: list[str], nested, stale) -> str:
     return ""
 
 
+def _names(path: str) -> list[str]:
+    return [x.partition(".")[0] for x in path.split("/")[1:]]
+
+
+def _within(path: str, element: str) -> bool:
+    return not element or path == element or path.startswith(element + "/")
+
+
+def _around(good: list[Block], main: str, known: bool) -> list[Block]:
+    """The blocks of the main text's element and around it; ``known``: what the pages
+    repeat has been taken out."""
+    core = [_within(b.path, main) for b in good]
+    if not any(core):
+        return good
+    text = [2 * b.linked <= len(b.text.split()) or _names(b.path)[-1:] == ["h1"] for b in good]
+    kept = [c or t for c, t in zip(core, text)]
+    if not known:
+        depth = next((k for k, n in enumerate(_names(main)) if n not in ("html", "body")), 0)
+        top = "/".join(main.split("/")[:depth + 2])  # the element of the body
+        first = core.index(True)
+        near = [c or t and (k < first or _within(b.path, top)
+                            or TEXT_TAGS.issuperset(_names(b.path)[depth:]))
+                for k, (b, c, t) in enumerate(zip(good, core, text))]
+        words = [len(b.text.split()) for b in good]
+        if sum(w for w, n in zip(words, near) if n) >= MAIN_SHARE * sum(w for w, n in zip(words, kept) if n):
+            kept = near
+    return [b for b, k in zip(good, kept) if k]
+
+
 def extract(htmls: list[str | None]) -> list[str]:
     """Main texts of pages of one host."""
     pages = [parse(h or "") for h in htmls]
@@ -280,9 +316,8 @@ def extract(htmls: list[str | None]) -> list[str]:
     for page in pages:
         good = [b for b in page.blocks if not b.noise and (b.path, b.text) not in stale]
         # an article element of the page goes before what encloses it
-        own = [b for b in good if b.article] or good
-        inner = [b for b in own if not main or b.path == main or b.path.startswith(main + "/")]
-        out.append(" ".join(b.text for b in inner or own))
+        own = [b for b in good if b.article] or _around(good, main, len(pages) >= LEAST_PAGES)
+        out.append(" ".join(b.text for b in own))
     return out
 
 

@@ -59,6 +59,38 @@ def test_classes_nest():
         ["/body/div.a/ul/li", "/body/div.a/ul/li/p", "//body/div.a/ul/li/p", "//body/div.a/ul/li"]]}
 
 
+def test_title_and_lead_beside_a_body_div_stay():
+    rng = random.Random(21)
+    for around in ("article", "main", "div"):
+        for lead_tag in ("p", "div"):
+            sources, want = [], []
+            for k in range(12):
+                lead, body = f"lead {k} {prose(rng, 12)}", [prose(rng, 90), prose(rng, 90)]
+                sources.append(
+                    f"<html><body><header>The Site</header><div class=menu><a href=/>home</a></div>"
+                    f"<{around} class=entry><h1>Title {k}</h1><{lead_tag} class=lead>{lead}</{lead_tag}>"
+                    f"<div class=body>" + "".join(f"<p>{x}</p>" for x in body) + "</div>"
+                    f"</{around}><div class=foot><p>Always here</p></div></body></html>")
+                want.append(" ".join([f"Title {k}", lead, *body]))
+            for n in (1, 2, 4, 12):
+                assert page.extract(sources[:n]) == want[:n], (around, lead_tag, n)
+
+
+def test_text_around_the_main_element_stays():
+    rng = random.Random(22)
+    flat = [f"<body><h1><a href=/{k}>Title {k}</a></h1><div class=lead>lead {k}</div><div class=body><p>"
+            f"{prose(rng, 90)}</p></div><p>end {k}</p><div class=all>Always</div></body>" for k in range(8)]
+    for n in (1, 3, 8):
+        for k, text in enumerate(page.extract(flat[:n])):
+            assert text.startswith(f"Title {k} lead {k} ") and text.endswith(f" end {k}")
+    # a minority layout with a small block in the majority's element
+    other = (f"<body><h1>Other</h1><div class=body><p>note</p></div><div class=wide><p>"
+             f"{prose(rng, 90)} last</p></div><div class=all>Always</div></body>")
+    for n in (2, 8):
+        text = page.extract([*flat[:n], other])[-1]
+        assert text.startswith("Other note ") and " last" in text
+
+
 def test_broken_markup():
     cases = {None: "", "": "", "plain words": "plain words", "<p>a<p>b": "a b", "<div>a<b>b</b>c</div>": "abc",
              "a&nbsp;&amp; b&lt;c": "a & b<c", "x<br>y": "x y", "<p>end <a href='un": "end",
