@@ -67,6 +67,8 @@ TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "d
              "blockquote", "figure", "figcaption", "header", "hgroup"}
 NOISE_TAGS = {"nav", "footer", "aside", "form", "button", "dialog", "menu", "head", "fieldset"}
 ARTICLE_TAGS = {"article", "main"}
+#: Elements that the words never mark.
+NEVER_NOISE = {"html", "body"} | ARTICLE_TAGS
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense alert banner breadcrumb breadcrumbs "
     "comment comments commentlist consent contentinfo complementary cookie cookies copyright "
@@ -75,6 +77,14 @@ NOISE_WORDS = frozenset(
     "recommended related replies reply respond search share sharing sidebar sidebars signup skip "
     "social sponsor sponsored subscribe taboola toolbar widget widgets".split())
 
+#: Words after which a name's main word is looked for before them; words that make a name tell
+#: of a state of its element; boilerplate that may be longer than the main text.
+PLACE_WORDS = frozenset("area bar block bottom box container content inner left main outer "
+                        "panel right section top wrap wrapper".split())
+STATE_WORDS = frozenset("active allowed closed disabled enabled free has hidden hide is no off on "
+                        "open show with without".split())
+READER_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
+
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"""
     r"""|<[!?][^>]*+(?:>|\Z)|</(?P<end>[a-z][^\s/>]*)[^>]*+(?:>|\Z)"""
@@ -91,6 +101,7 @@ class Block(NamedTuple):
     noise: bool
     article: bool
     linked: int
+    marks: tuple[int, ...] = ()  # elements around it that the words mark, by number
 
 
 class Page(NamedTuple):
@@ -103,26 +114,55 @@ class _Open(NamedTuple):
     path: str
     noise: bool
     article: bool
-
-
-def _described(name: str, attrs: str) -> tuple[str, bool]:
-    """(label of an element, whether its attributes mark it as boilerplate)."""
-    label, noise = name, False
+    marks: tuple[int, ...] = ()
+
+
+def _marking(value: str) -> set[str]:
+    """Words of a class, id or role that mark boilerplate: the first and the last of each
+    name, without places at its end; a name that tells of a state has none."""
+    found = set()
+    for name in value.split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if STATE_WORDS.isdisjoint(words):
+            found |= NOISE_WORDS.intersection(words[:1])
+            while words and words[-1] in PLACE_WORDS:
+                words.pop()
+            found |= NOISE_WORDS.intersection(words[-1:])
+    return found
+
+
+def _described(name: str, attrs: str) -> tuple[str, bool, set[str]]:
+    """(label of an element, whether its attributes hide it, their words for boilerplate)."""
+    label, noise, words = name, False, set()
     for m in _ATTR.finditer(attrs) if attrs.strip() else ():
         key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
             label += "." + re.sub(r"[\d\s/]+", "-", value)
-            noise |= any(w.lower() in NOISE_WORDS for w in _WORD.findall(value))
+            if name not in NEVER_NOISE:
+                words |= _marking(value)
         elif key == "hidden" or key == "aria-hidden" and value == "true" or (
                 key == "style" and re.search(r"display\s*:\s*none", value)):
             noise = True
-    return label, noise
+    return label, noise, words
+
+
+def _judged(blocks: list[Block], marks: list[set[str]]) -> list[Block]:
+    """The blocks, with those as noise that a marked element holds. An element with most of
+    the words that are left is none, unless it holds what readers wrote beside other text."""
+    words = [0 if b.noise else len(b.text.split()) for b in blocks]
+    total, held = sum(words), Counter()
+    for b, n in zip(blocks, words):
+        for m in b.marks:
+            held[m] += n
+    real = {m for m, n in held.items() if 2 * n <= total or n < total and marks[m] <= READER_WORDS}
+    return [b._replace(noise=b.noise or not real.isdisjoint(b.marks)) if b.marks else b for b in blocks]
 
 
 def parse(html: str) -> Page:
     """Tag tokens and text blocks of a page."""
     tags: list[str] = []
     blocks: list[Block] = []
+    marks: list[set[str]] = []
     stack = [_Open("", "", False, False)]
     parts: list[str] = []
     linked = last = 0
@@ -134,7 +174,7 @@ def parse(html: str) -> Page:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 top = stack[-1]
-                blocks.append(Block(len(tags), text, top.path, top.noise, top.article, linked))
+                blocks.append(Block(len(tags), text, top.path, top.noise, top.article, linked, top.marks))
             parts.clear()
         linked = 0
 
@@ -176,17 +216,22 @@ def parse(html: str) -> Page:
             while stack[-1].name in shut:
                 close(len(stack) - 1)
             top = stack[-1]
-            label, noise = _described(name, attrs)
+            label, noise, words = _described(name, attrs)
             noise |= name in NOISE_TAGS or name == "header" and not top.article
             path = f"{top.path}/{label}" if len(stack) < DEEPEST else top.path
-            stack.append(_Open(name, path, top.noise or noise, top.article or name in ARTICLE_TAGS))
+            around = top.marks
+            # past DEEPEST, elements add no marks either, as these are kept per block
+            if words and len(around) < DEEPEST:
+                around += (len(marks),)
+                marks.append(words)
+            stack.append(_Open(name, path, top.noise or noise, top.article or name in ARTICLE_TAGS, around))
             tags.append(path)
         elif m["raw"] is None and not m[0].startswith(("<!", "<?", "</")) and m.end() == len(html):
             break  # markup cut off by the end of the page
     if last < len(html):
         add(html[last:])
     flush()
-    return Page(tags, blocks)
+    return Page(tags, _judged(blocks, marks))
 
 
 def _ordered(tokens: list[str], places: list[dict[str, list[int]]]) -> list[str]:

@@ -91,6 +91,27 @@ def test_text_around_the_main_element_stays():
         assert text.startswith("Other note ") and " last" in text
 
 
+def test_words_of_classes_mark_no_main_text():
+    rng = random.Random(23)
+    text = prose(rng, 80)
+    for source in (
+            "<body class='page has-sidebar'><p>{}</p></body>", "<body class=no-sidebar><div><p>{}</p></div></body>",
+            "<html class=header-fixed><body><p>{}</p></body></html>", "<body id=search><p>{}</p></body>",
+            "<body><article class='post comments-open'><p>{}</p></article></body>",
+            "<body><main role=main class=widget><p>{}</p></main></body>",
+            "<body><div class='content with-related'><p>{}</p></div></body>",
+            "<body><div class='widget'><p>{}</p></div><div class=hasSidebar></div></body>",
+            "<article><div class='share-wrapper'><div class=promo><p>{}</p></div></div></article>"):
+        for noise in ("<div class=sidebar>no</div>", "<div class='sidebar-left'>no</div>", "<div id=mainNav>no</div>",
+                      "<div class='site-footer-wrap'>no</div>", "<div class='x ad'>no</div>"):
+            page_of = source.format(text + "</p>" + noise + "<p>")
+            for some in ([page_of], [page_of] * 3):
+                assert page.extract(some) == [text] * len(some), (source, noise)
+    for long in ("comments", "comment-list replies"):  # readers may write more than the author
+        assert page.extract([f"<body><div class=post><p>{text}</p></div><div class='{long}'><p>"
+                             f"{prose(rng, 300)}</p></div></body>"]) == [text]
+
+
 def test_broken_markup():
     cases = {None: "", "": "", "plain words": "plain words", "<p>a<p>b": "a b", "<div>a<b>b</b>c</div>": "abc",
              "a&nbsp;&amp; b&lt;c": "a & b<c", "x<br>y": "x y", "<p>end <a href='un": "end",
