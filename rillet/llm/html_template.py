@@ -55,12 +55,17 @@ MAIN_SHARE = 0.8
 
 #: Elements by kind, and the words of class, id and role that mark boilerplate.
 RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "title",
-       "select", "object", "canvas", "math", "audio", "video")
+       "select", "object", "canvas", "audio", "video")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
           "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rp", "rt", "s", "samp",
-          "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+          "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "math"}
+#: Elements of formulas; their texts are words of their own.
+MATH = {"annotation", "annotation-xml", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mlabeledtr",
+        "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms",
+        "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder",
+        "munderover", "none", "semantics"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "pre",
@@ -86,7 +91,7 @@ STATE_WORDS = frozenset("active allowed closed disabled enabled free has hidden
 READER_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
 
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"""
+    rf"""<!--.*?(?:-->|\Z)|<svg(?=[\s/])[^>]*+(?<=/)>|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)\s*>|\Z)"""
     r"""|<[!?][^>]*+(?:>|\Z)|</(?P<end>[a-z][^\s/>]*)[^>]*+(?:>|\Z)"""
     r"""|<(?P<open>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
     r"""|<[a-z/][^>]*+(?:>|\Z)""", re.S | re.I)
@@ -196,7 +201,7 @@ def parse(html: str) -> Page:
             name = m["end"].lower()
             if name == "a":
                 in_link = False
-            if name in INLINE:
+            if name in INLINE or name in MATH:
                 continue
             flush()
             k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), 0)
@@ -206,7 +211,9 @@ def parse(html: str) -> Page:
             name, attrs = m["open"].lower(), m["attrs"]
             if name == "a":
                 in_link = True
-            if name in INLINE:
+            if name in MATH and parts:
+                parts.append(" ")
+            if name in INLINE or name in MATH:
                 continue
             flush()
             if name in VOID or attrs.endswith("/"):

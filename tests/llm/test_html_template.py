@@ -112,6 +112,15 @@ def test_words_of_classes_mark_no_main_text():
                              f"{prose(rng, 300)}</p></div></body>"]) == [text]
 
 
+def test_svg_and_math_amid_an_article():
+    for amid, text in (
+            ("<svg class=icon />", ""), ("<svg/>", ""), ("<svg viewBox='0 0 1 1'><text>no</text></svg>", ""),
+            ("<math/>", ""), ("<math display=block />", ""),
+            ("<math><mrow><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></mrow></math>", "x = 1 2 ")):
+        source = f"<article><p>before {amid} after</p><p>next</p></article><footer>no</footer>"
+        assert page.extract([source]) == [f"before {text}after next"], amid
+
+
 def test_broken_markup():
     cases = {None: "", "": "", "plain words": "plain words", "<p>a<p>b": "a b", "<div>a<b>b</b>c</div>": "abc",
              "a&nbsp;&amp; b&lt;c": "a & b<c", "x<br>y": "x y", "<p>end <a href='un": "end",
