@@ -1,6 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Benchmark items are cut into passages of at most ``WINDOW`` words. Terms are weighted
+Benchmark items are cut into passages of at most ``WINDOW`` words. A passage is sought by
+its words and, in longer items, by all stretches of ``WINDOW`` words that begin in it, every
+``SHIFT`` words and at the item's last ``WINDOW`` words, so that a quote across the cut of
+two passages is found whole; the best of them counts. Terms are weighted
 by tf-idf, with document frequencies over all documents. A randomised SVD, whose sketch
 products run as Spark jobs over the passages' rows, gives a latent space; the passages
 and a bounded sample of document windows fit it. Every document is cut into blocks of
@@ -32,7 +35,9 @@ from pyspark.sql import functions as F
 from rillet.llm.common import stored, text_slices
 
 WINDOW, STRIDE = 64, 32
-#: Passages of a query block.
+#: Any quote of SURE * WINDOW + 1 words, and more, has SURE of a stretch so many words apart.
+SHIFT = 16
+#: Stretches of a query block.
 QUERY_BLOCK = 512
 RANK, OVERSAMPLE, POWER_STEPS, SEED = 256, 16, 2, 7
 LEAST_COSINE, LEAST_COVER = 0.4, 0.5
@@ -55,23 +60,32 @@ def _numbers(text: bytes, terms: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(terms.get, words, repeat(-1)), np.int32, len(words))
 
 
+def _starts(n: int, k: int, window: int) -> list[int]:
+    """Where the stretches of the passage at ``k`` of an item of ``n`` words begin."""
+    found = {k, *(a for a in range(k, min(k + window, n - window + 1), min(SHIFT, window)))}
+    if k <= n - window < k + window:
+        found.add(n - window)
+    return sorted(found)
+
+
 def _cut(batches, window):
     """Passages of the items."""
     for part, texts in text_slices(batches):
-        rows = [(i, k // window, words[k:k + window])
+        rows = [(i, k // window, [words[a:a + window] for a in _starts(len(words), k, window)])
                 for i, t in zip(part.column(0).to_pylist(), texts)
                 for words in [tokens(t)] for k in range(0, len(words), window)]
         cols = list(zip(*rows)) or [[], [], []]
         yield pa.RecordBatch.from_arrays(
             [pa.array(cols[0], part.schema.field(0).type), pa.array(cols[1], pa.int32()),
-             pa.array([[w.decode() for w in x] for x in cols[2]], pa.list_(pa.string()))],
-            ["item_id", "passage", "words"])
+             pa.array([[[w.decode() for w in y] for y in x] for x in cols[2]],
+                      pa.list_(pa.list_(pa.string())))],
+            ["item_id", "passage", "stretches"])
 
 
 def passages(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     kind = benchmark.schema["item_id"].dataType.simpleString()
     return benchmark.select("item_id", "text").mapInArrow(
-        partial(_cut, window=window), f"item_id {kind}, passage int, words array<string>")
+        partial(_cut, window=window), f"item_id {kind}, passage int, stretches array<array<string>>")
 
 
 def _frequencies(batches, terms):
@@ -185,9 +199,9 @@ def verdict(item: list[int], words: list[int]) -> tuple[float, bool, bool, int]:
     return share, found, share >= SURE or (share >= LIKELY and found), at
 
 
-def _search(batches, terms, items, space, norms, schema):
-    """Matches of a task's documents. ``items``: term numbers of each passage;
-    ``space``: idf-weighted rows of the latent space; ``norms``: latent passages."""
+def _search(batches, terms, items, owners, space, norms, schema):
+    """Matches of a task's documents. ``items``: term numbers of each stretch; ``owners``:
+    its passage; ``space``: idf-weighted rows of the latent space; ``norms``: latent stretches."""
     length = np.linalg.norm(norms, axis=1)
     unit = (norms / np.maximum(length, 1e-12)[:, None]).astype(np.float32)
     for part, texts in text_slices(batches):
@@ -220,9 +234,9 @@ def _search(batches, terms, items, space, norms, schema):
                 start = max(0, (at - first[doc]) * STRIDE - STRIDE)
                 text = each[doc][start:start + WINDOW + 2 * STRIDE].tolist()
                 share, answer, bad, off = verdict(items[q], text)
-                if bad and share > best.get((doc, int(q)), (0,))[0]:
+                if bad and share > best.get((doc, owners[q]), (0,))[0]:
                     cosine = float(along[w, q] / max(size[at], 1e-12))
-                    best[doc, int(q)] = (share, answer, int(start + off), cosine)
+                    best[doc, owners[q]] = (share, answer, int(start + off), cosine)
         names = part.column(0).to_pylist()
         rows = [(names[d], q, *found) for (d, q), found in sorted(best.items())]
         cols = list(zip(*rows)) or [[]] * 6
@@ -235,15 +249,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
     """``(doc_id, item_id, passage, share, answer_found, word_start, cosine)``: one row
     per document and benchmark passage found in it."""
     cut = stored(passages(benchmark, window).withColumn(
-        "hash", F.xxhash64("item_id", "passage", "words")), "passages")
-    turns = max(1, -(-cut.count() // QUERY_BLOCK))
+        "hash", F.xxhash64("item_id", "passage", "stretches")), "passages")
+    total = cut.agg(F.sum(F.size("stretches")).alias("n")).first()["n"] or 0
+    turns = max(1, -(-total // QUERY_BLOCK))
     out, spark = None, docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    for turn in range(turns):  # each holds about QUERY_BLOCK passages of WINDOW words
+    for turn in range(turns):  # each holds about QUERY_BLOCK stretches of WINDOW words
         rows = cut.where(F.pmod("hash", F.lit(turns)) == turn).orderBy(
             "item_id", "passage", "hash").collect()
-        queries = [[w.encode() for w in r["words"]] for r in rows]
+        queries = [[w.encode() for w in x] for r in rows for x in r["stretches"]]
+        owners = [k for k, r in enumerate(rows) for _ in r["stretches"]]
         terms = {w: k for k, w in enumerate(dict.fromkeys(w for q in queries for w in q))}
         if not terms:
             continue
@@ -254,7 +270,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Data
         space = (idf[:, None] * vectors).astype(np.float32)
         latent = np.array([space[q].sum(axis=0) for q in items])
         found = docs.select("doc_id", "text").mapInArrow(
-            partial(_search, terms=terms, items=items, space=space, norms=latent,
+            partial(_search, terms=terms, items=items, owners=owners, space=space, norms=latent,
                     schema=["doc_id", "query", "share", "answer_found", "word_start", "cosine"]),
             f"doc_id {kind}, query int, share double, answer_found boolean, "
             "word_start bigint, cosine double")

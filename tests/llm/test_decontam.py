@@ -71,3 +71,21 @@ def test_paraphrases_and_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypatc
     assert decontam.matches(no_docs, bench).count() == 0
     assert decontam.matches(docs, bench.limit(0)).count() == 0
     assert decontam.matches(docs, bench.where("item_id in (5, 6)")).count() == 0
+
+
+def test_quotes_across_passages(spark):
+    rng = random.Random(31)
+    items = {k: [f"i{k}w{j}" for j in range(n)] for k, n in enumerate([128, 150, 64, 300, 70])}
+    quotes = [(0, 32, 96), (0, 26, 102), (1, 86, 150), (1, 100, 150), (1, 128, 150), (2, 0, 64), (4, 6, 70)]
+    quotes += [(3, a, a + 50) for a in range(0, 251, 7)]
+    fill = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
+    docs = [(d, " ".join(fill(rng.randrange(200)) + items[k][a:b] + fill(rng.randrange(200))))
+            for d, (k, a, b) in enumerate(quotes)]
+    # short of a quote: 60 % of no stretch
+    docs.append((len(quotes), " ".join(fill(90) + items[3][110:145] + fill(90))))
+    rows = decontam.matches(
+        spark.createDataFrame(docs, "doc_id int, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id int, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(d, k) for d, (k, _, _) in enumerate(quotes)}
+    assert len(rows) == len({(r.doc_id, r.item_id, r.passage) for r in rows})
+    assert all(0 <= r.passage <= (len(items[r.item_id]) - 1) // decontam.WINDOW for r in rows)
