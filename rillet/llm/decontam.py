@@ -5,8 +5,8 @@ its words and, in longer items, by all stretches of ``WINDOW`` words that begin
 ``SHIFT`` words and at the item's last ``WINDOW`` words, so that a quote across the cut of
 two passages is found whole; the best of them counts. Terms are weighted
 by tf-idf, with document frequencies over all documents. A randomised SVD, whose sketch
-products run as Spark jobs over the passages' rows, gives a latent space; the passages
-and a bounded sample of document windows fit it. Every document is cut into blocks of
+products run as Spark jobs over the stretches' rows, gives a latent space, which fits these
+rows alone. Every document is cut into blocks of
 ``STRIDE`` words; a window is two adjacent blocks. A window is a candidate for a passage
 if its cosine reaches ``LEAST_COSINE`` and its projection on the passage covers
 ``LEAST_COVER`` of it. Candidates are checked on the words themselves: the longest common
@@ -40,7 +40,7 @@ SHIFT = 16
 #: Stretches of a query block.
 QUERY_BLOCK = 512
 RANK, OVERSAMPLE, POWER_STEPS, SEED = 256, 16, 2, 7
-LEAST_COSINE, LEAST_COVER = 0.4, 0.5
+LEAST_COSINE, LEAST_COVER = 0.25, 0.45
 SURE, LIKELY, ANSWER_WORDS, ANSWER_SHARE = 0.75, 0.6, 6, 0.5
 #: A stretch may be this much longer than the passage.
 SLACK = 1.3

@@ -89,3 +89,25 @@ def test_quotes_across_passages(spark):
     assert {(r.doc_id, r.item_id) for r in rows} == {(d, k) for d, (k, _, _) in enumerate(quotes)}
     assert len(rows) == len({(r.doc_id, r.item_id, r.passage) for r in rows})
     assert all(0 <= r.passage <= (len(items[r.item_id]) - 1) // decontam.WINDOW for r in rows)
+
+
+def test_paraphrases_in_a_full_block(spark):
+    """Two fifths of the words before the answer are others; 512 items leave the rank short."""
+    rng = random.Random(37)
+    pool = [f"w{k}" for k in range(6000)]
+    some = lambda n: [pool[min(5999, int(rng.expovariate(0.001)))] for _ in range(n)]
+    items = [some(rng.randrange(30, 60)) for _ in range(decontam.QUERY_BLOCK)]
+    docs, want = [], set()
+    for k, item in enumerate(items):
+        for _ in range(3):
+            words = [w if rng.random() > 0.4 or j >= len(item) - decontam.ANSWER_WORDS else some(1)[0]
+                     for j, w in enumerate(item)]
+            text = some(rng.randrange(100)) + words + some(50)
+            if decontam.verdict(item, text)[2]:
+                want.add((len(docs), k))
+                docs.append((len(docs), " ".join(text)))
+    rows = decontam.matches(
+        spark.createDataFrame(docs, "doc_id int, text string"),
+        spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id int, text string")).collect()
+    missed = want - {(r.doc_id, r.item_id) for r in rows}
+    assert len(want) > 500 and len(missed) <= 0.004 * len(want), (len(missed), len(want))
