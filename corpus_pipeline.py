@@ -6,13 +6,15 @@ All but the last return the columns of ``documents``.
 
 Defined cases: null and empty texts fail the quality rules and go; an id that is null
 loses to any other in its near-duplicate group; repeated rows of one id and text are
-exact copies, so one stays; an empty table gives an empty result; extra columns are
+exact copies, so one stays; a text that holds a benchmark passage goes whatever its id,
+null or shared, and no other text of this id goes with it; an empty table gives an empty result; extra columns are
 carried up to packing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rillet.llm import decontam, packing, quality, secret_scan, simhash
 from rillet.llm.common import stored
@@ -30,10 +32,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    found = decontam.matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(
-        *docs.columns)
+    """Documents that hold a benchmark passage go; whether one does, its text alone says."""
+    digest = F.sha2("text", 256)
+    found = decontam.matches(docs.select(digest.alias("doc_id"), "text"),
+                             table(spark, sf_dir, "benchmark", "item_id", "text"))
+    gone = found.select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, F.sha2(docs["text"], 256) == gone["gone"], "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,14 @@ def test_equal_ids_of_different_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id int, text string")
     out = dict(pipeline.STAGES)["near_duplicates"](spark, docs, SF)
     assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, [rows[0], rows[3], rows[4]]))
+
+
+def test_decontamination_goes_by_the_text_of_a_row(spark):
+    item = max((r.text for r in table(spark, SF, "benchmark").collect()), key=lambda t: len(t.split()))
+    rows = [(None, f"before it {item} after it", 1), (None, "a clean text without an id", 2),
+            (1, f"here {item}", 3), (1, "a clean text of the same id", 4), (2, f"there {item}", 5),
+            (3, None, 6), (4, "", 7), (1, "a clean text of the same id", 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, gone int")
+    out = dict(pipeline.STAGES)["decontaminate"](spark, docs, SF)
+    assert out.schema == docs.schema
+    assert sorted(r.gone for r in out.collect()) == [2, 4, 6, 7, 8]
