@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import decontam, html_template, lm_scoring, packing, quality, secret_scan, simhash, substring_dedup, toxicity, url_data, url_filter
+from rillet.llm import decontam, html_template, lm_scoring, packing, quality, role_repair, secret_scan, simhash, substring_dedup, toxicity, url_data, url_filter
 from rillet.sources.tables import table
 
 
@@ -56,6 +56,12 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                             table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op13_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations with their faults and their cheapest repair."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return role_repair.repair(role_repair.damage(turns))
+
+
 QUERIES = {
     "op1_compression_bands": op1_compression_bands,
     "op2_context_tree": op2_context_tree,
@@ -67,6 +73,7 @@ QUERIES = {
     "op8_temporal_url_lists": op8_temporal_url_lists,
     "op9_gear_chunk_dedup": op9_gear_chunk_dedup,
     "op10_latent_decontamination": op10_latent_decontamination,
+    "op13_role_repair": op13_role_repair,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
