@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import decontam, html_template, lm_scoring, packing, quality, role_repair, secret_scan, simhash, spelling, substring_dedup, toxicity, url_data, url_filter
+from rillet.llm import cutting_stock, decontam, html_template, lm_scoring, packing, quality, role_repair, secret_scan, simhash, spelling, substring_dedup, toxicity, url_data, url_filter
 from rillet.sources.tables import table
 
 
@@ -56,6 +56,11 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                             table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences without padding."""
+    return cutting_stock.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words with the form and the root that they are variants of."""
     return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_temporal_url_lists": op8_temporal_url_lists,
     "op9_gear_chunk_dedup": op9_gear_chunk_dedup,
     "op10_latent_decontamination": op10_latent_decontamination,
+    "op11_cutting_stock": op11_cutting_stock,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_role_repair": op13_role_repair,
 }
