@@ -33,7 +33,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,17 +46,19 @@ END_ID = 2
 UNIT = 16
 #: First id of sequences that one document fills.
 WHOLE = 1 << 62
-#: Words whose ids a task remembers.
-KNOWN_WORDS = 1 << 20
-#: A text is tokenised in stretches of about this many code points, cut at spaces.
-STRETCH = 1 << 20
+#: Words whose ids a worker remembers, twice as many at the most besides one batch.
+KNOWN_WORDS = 1 << 18
+#: Marks that end a word and are a token if they stand alone.
+STOPS = ".,;:!?"
+#: A text is tokenised in stretches of about this many code points, cut at white space.
+STRETCH = 1 << 21
 #: Rows of one bucket of a prefix sum; tokens of one bucket of the line of gaps.
-SUM_ROWS, LINE_TOKENS = 4096, 4096
+SUM_ROWS, LINE_TOKENS = 512, 4096
 
-# Fixed values of the tokenizer file: how it splits normalised text into words.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Characters whose class may depend on the version of Unicode: left to the library.
-UNSURE = re.compile("[^\u0000-՗Ḁ-ỿ -⁯₠-₿　-ヿ一-龥가-힣]")
+#: Texts with other characters are left to the library: below U+0300 a text is in normal
+#: form, lower case goes letter by letter and white space is the same everywhere.
+SPACE = re.compile(r"\s")
+UNSURE = re.compile("[\x1c-\x1f\x85\u0130\u0300-\U0010ffff]")
 
 
 def tokenizer_file() -> str:
@@ -66,52 +68,85 @@ def tokenizer_file() -> str:
 
 
 class Encoder:
-    """``ids(text)``, equal to the library's ``encode`` without special tokens added. Words
-    are independent of each other in this vocabulary, so ids of known words are looked up
-    and new words are encoded together."""
+    """Ids of texts, equal to the library's ``encode`` without special tokens added. No
+    token spans white space in this vocabulary, so the distinct words of many texts are
+    looked up, new ones are encoded together, and ids are gathered by word."""
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(model)
         self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known.clear()
-        fresh = list(words)
-        found = self.plain.encode(" ".join(fresh), add_special_tokens=False)
-        at = found.word_ids
-        if not at or at[-1] + 1 != len(fresh):  # words that split again
-            self.known.update({w: self.plain.encode(w, add_special_tokens=False).ids for w in fresh})
-            return
-        for w in fresh:
-            self.known[w] = []
-        for word, token in zip(at, found.ids):
-            self.known[fresh[word]].append(token)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, by the places of their tokens in a text of all of them."""
+        found = self.plain.encode(" ".join(words), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in words])
+        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
+        bounds = np.searchsorted(at, ends)
+        ids, start = np.array(found.ids, np.uint32), 0
+        for word, stop in zip(words, bounds.tolist()):
+            self.known[word] = ids[start:stop].tobytes()
+            start = stop
+
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. A stop after letters is a token of its own, so that such
+        words need not be known as a whole."""
+        if len(self.known) > KNOWN_WORDS:  # words not asked for since the last time go
+            self.known, self.older = {}, self.known
+        stems = [w[:-1] if w[-1:] in STOPS and w[:-1].isalpha() else w for w in words]
+        new = []
+        for w in [*dict.fromkeys(stems), *STOPS]:
+            if w not in self.known:
+                ids = self.older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    self.known[w] = ids
+        if new:
+            self._learn(new)
+        known = self.known
+        return [known[s] if s is w else known[s] + known[w[-1]] for s, w in zip(stems, words)]
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list = [None] * len(texts)
+        sure = []
+        for k, text in enumerate(texts):
+            if UNSURE.search(text) or any(s in text for s in self.special):
+                out[k] = self._encode(text)
+            else:
+                sure.append(k)
+        split = pc.utf8_split_whitespace(pa.array([texts[k].lower() for k in sure], pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
+        ids = self._lookup(distinct)
+        sizes = np.array([len(i) >> 2 for i in ids], np.int64)
+        flat, first = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
+        sizes = sizes[index]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        gathered = flat[np.repeat(first[index] - (ends - sizes), sizes) + np.arange(total)]
+        ends = np.concatenate([[0], ends])
+        offsets = np.asarray(split.offsets.to_numpy())
+        for k, a, b in zip(sure, ends[offsets[:-1]], ends[offsets[1:]]):
+            out[k] = gathered[a:b]
+        return out
 
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
-        text = self.plain.normalizer.normalize_str(text)
-        if UNSURE.search(text):
-            return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
+        """Ids of one text of any length, by stretches that end at white space."""
         parts, start = [], 0
+        if UNSURE.search(text) or any(s in text for s in self.special):
+            return self._encode(text)
         while start < len(text):
-            stop = text.find(" ", start + STRETCH)
-            stop = len(text) if stop < 0 else stop
-            words = WORD.findall(text, start, stop)
-            new = {w for w in words if w not in self.known}
-            if new:
-                self._learn(new)
-                new = {w for w in words if w not in self.known}
-                if new:  # the table was cleared for this stretch
-                    self._learn(new)
-            ids: list[int] = []
-            for w in words:
-                ids += self.known[w]
-            parts.append(np.array(ids, np.uint32))
+            space = SPACE.search(text, start + STRETCH)
+            stop = space.start() if space else len(text)
+            parts += self.batch([text[start:stop]])
             start = stop
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
@@ -253,8 +288,10 @@ def _measure(batches, model, length, end_id, unit):
     for slice_, texts in text_slices(batches):
         kind = slice_.schema.field(0).type
         rows = []
-        for doc_id, text in zip(slice_.column(0).to_pylist(), texts):
-            ids = np.append(encoder.ids(text.decode("utf-8", "replace")), np.uint32(end_id)).astype("<u4")
+        texts = [t.decode("utf-8", "replace") for t in texts]
+        found = encoder.batch(texts) if len(texts) > 1 else [encoder.ids(t) for t in texts]
+        for doc_id, ids in zip(slice_.column(0).to_pylist(), found):
+            ids = np.append(ids, np.uint32(end_id)).astype("<u4")
             full = len(ids) // length
             crcs = [zlib.crc32(ids[k * length:(k + 1) * length].tobytes()) for k in range(full)]
             tail = ids[full * length:]

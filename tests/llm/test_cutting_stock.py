@@ -73,15 +73,21 @@ def test_bytes_that_are_no_text(spark):
     assert valid(rows, [(1, "a� �")])[0] == 0
 
 
-def test_encoder_equals_the_library():
+def test_encoder_equals_the_library(monkeypatch):
     model = Tokenizer.from_file(cutting_stock.tokenizer_file())
     fast = cutting_stock.Encoder(cutting_stock.tokenizer_file())
     rng = random.Random(1)
-    sure = [c for c in map(chr, range(0xD800)) if not cutting_stock.UNSURE.search(c)]
-    texts = ["".join(f"a{c}1{c}!" for c in sure[k:k + 500]) for k in range(0, len(sure), 500)]
-    texts += ["".join(rng.choice("ab'sStTreR,. \n9é") for _ in range(300)) for _ in range(200)]
-    for text in texts:
-        assert fast.ids(text).tolist() == model.encode(text, add_special_tokens=False).ids
+    every = [chr(c) for c in range(0xD800)]
+    texts = ["".join(f"a{c}1{c}! {c}" for c in every[k:k + 50]) for k in range(0, 0x400, 50)]
+    texts += ["".join(f"a{c}1{c}! {c}" for c in every[k:k + 500]) for k in range(0, len(every), 500)]
+    texts += ["".join(rng.choice("ab'sStTreR,. \n\t\xa09é") for _ in range(300)) for _ in range(200)]
+    texts += ["", " ", "\n a", "a <|endoftext|> b", "ΟΔΟΣ"]
+    want = [model.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [i.tolist() for i in fast.batch(texts)] == want
+    assert [i.tolist() for i in fast.batch(texts)] == want  # known words
+    monkeypatch.setattr(cutting_stock, "STRETCH", 40)
+    monkeypatch.setattr(cutting_stock, "KNOWN_WORDS", 30)
+    assert [fast.ids(text).tolist() for text in texts] == want
 
 
 def test_linear_program_against_all_patterns():
