@@ -25,9 +25,10 @@ def to_json_record(*cols) -> Column:
 
 
 def member(value, path: str, cast: str | None = None) -> Column:
-    """One JSON member by path, e.g. '$.body.client'; optional cast."""
+    """One JSON member by path, e.g. '$.body.client'; optional cast (null if the
+    member is not of that type)."""
     out = F.get_json_object(_c(value), path)
-    return out.cast(cast) if cast else out
+    return out.try_cast(cast) if cast else out
 
 
 def array_length(value, path: str = "$") -> Column:

@@ -38,9 +38,10 @@ def hour_of(ms, tz: str = "UTC") -> Column:
 
 
 def split_datetime(s) -> tuple[Column, Column]:
-    """X3: 'yyyy-MM-dd HH:mm:ss' -> (date string, hour string)."""
+    """X3: 'yyyy-MM-dd HH:mm:ss' -> (date string, hour string); a part that is not there
+    is null."""
     parts = F.split(_c(s), " ")
-    return parts.getItem(0), F.split(parts.getItem(1), ":").getItem(0)
+    return F.get(parts, F.lit(0)), F.get(F.split(F.get(parts, F.lit(1)), ":"), F.lit(0))
 
 
 def age_years(birthday, as_of) -> Column:

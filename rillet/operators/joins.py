@@ -52,7 +52,7 @@ def enrich_user(df: DataFrame, users: DataFrame, as_of: str | Column,
     as_of_c = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     u = users.select(F.col("id").alias("__uid"), F.col("gender").alias("user_gender"),
                      age_years("birthday", as_of_c).alias("user_age"))
-    key = F.col(user_col).cast("bigint")
+    key = F.col(user_col).try_cast("bigint")  # an id that is no number has no user
     return df.join(u, key == F.col("__uid"), "left").drop("__uid")
 
 
@@ -64,7 +64,7 @@ def enrich_province(df: DataFrame, provinces: DataFrame, province_col: str = "pr
         F.col("area_code").alias("province_area_code"),
         F.col("iso_code").alias("province_iso_code"),
         F.col("iso_3166_2").alias(iso_3166_col)))
-    return df.join(p, F.col(province_col).cast("int") == F.col("__pid"), "left").drop("__pid")
+    return df.join(p, F.col(province_col).try_cast("int") == F.col("__pid"), "left").drop("__pid")
 
 
 def order_full_outer(orders: DataFrame, details: DataFrame) -> DataFrame:

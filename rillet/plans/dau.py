@@ -13,7 +13,11 @@ from rillet.operators import aggregates, dedup, joins
 from rillet.schemas import DAU_INFO_FIELDS
 from rillet.session import stored_once
 from rillet.sources import adapters
-from rillet.sources.keyed_table import KeyedTable
+from rillet.sources.day_table import DayTable
+
+
+#: The newest day of an empty table.
+NO_DAY = "1900-01-01"
 
 
 def dau_rows(page_log: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -57,11 +61,11 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.stage_counts(adapters.page_log(spark, sf_dir, province=False))
 
 
-def stored_dau(spark: SparkSession, sf_dir: str) -> KeyedTable:
+def stored_dau(spark: SparkSession, sf_dir: str) -> DayTable:
     """The daily-active table as its job leaves it: keyed by (dt, mid), a folder per day;
     written once per application and input."""
-    def table(path: str) -> KeyedTable:
-        return KeyedTable(spark, path, ["dt", "mid"], ["dt"])
+    def table(path: str) -> DayTable:
+        return DayTable(spark, path, ["dt", "mid"], ["dt"])
 
     def write(path: str) -> None:
         pl = adapters.page_log(spark, sf_dir, province=False)
@@ -77,7 +81,8 @@ def column_scan(spark: SparkSession, sf_dir: str, field: str = "mid") -> DataFra
 
 def _newest(spark: SparkSession, sf_dir: str) -> str:
     from rillet.sources.tables import table
-    return table(spark, sf_dir, "events", "ts").agg(F.max(F.to_date("ts"))).first()[0].isoformat()
+    day = table(spark, sf_dir, "events", "ts").agg(F.max(F.to_date("ts"))).first()[0]
+    return NO_DAY if day is None else day.isoformat()
 
 
 def dau_total_day(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ from rillet.operators.partitioner import route_partition
 from rillet.plans.orders import order_docs, stored_wide
 from rillet.session import scratch_path
 from rillet.sources import adapters
-from rillet.sources.keyed_table import KeyedTable
+from rillet.sources.day_table import DayTable
 from rillet.sources.tables import table
 
 RENAMED = "renamed"
@@ -160,7 +160,7 @@ def stored_delete(spark, sf_dir):
     """M5 + M6 + K4 on a stored table: upsert the users and their changes, delete by a
     condition, and delete all rows of one partition."""
     docs = user_docs(spark, sf_dir)
-    stored = KeyedTable(spark, scratch_path(spark, "stored-delete"), ["id"], ["band"], seq="seq")
+    stored = DayTable(spark, scratch_path(spark, "stored-delete"), ["id"], ["band"], seq="seq")
     band = F.floor(F.col("id") / F.lit(50)).cast("string")
     for part in (docs, user_changes(spark, sf_dir)):
         stored.upsert(part.withColumn("band", band))

@@ -19,7 +19,7 @@ from rillet.plans.routes import digest_of_value
 from rillet.schemas import CDC_RECORD
 from rillet.session import scratch_path
 from rillet.sources import adapters
-from rillet.sources.keyed_table import KeyedTable
+from rillet.sources.day_table import DayTable
 from rillet.streaming import jobs
 from rillet.streaming.sources import (cut_at, dropped_late, file_stream, replay, time_chunks,
                                       time_edges)
@@ -43,7 +43,7 @@ def _dims(spark, sf_dir):
 def _dau_replay(spark, sf_dir, root, steps_of, rebuild=False, ckpt_name="ckpt"):
     pl = adapters.page_log(spark, sf_dir)
     src = f"{root}/src"
-    sink = KeyedTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"])
+    sink = DayTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"])
     users, provinces = _dims(spark, sf_dir)
 
     def run_once():
@@ -77,7 +77,7 @@ def state_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     from the sink instead of the state."""
     root = scratch_path(spark, "stream-rebuild")
     pl = adapters.page_log(spark, sf_dir)
-    chunks = time_chunks(pl, "ts", CUTS)
+    chunks = time_chunks(pl, "ts", CUTS)  # one of an empty table
     sink, _, src, _ = _dau_replay(spark, sf_dir, root, lambda c: c[:2])
     users, provinces = _dims(spark, sf_dir)
 
@@ -86,7 +86,7 @@ def state_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
         return jobs.dau_stream(stream, users, provinces, sink, f"{root}/ckpt-rebuilt",
                                adapters.USER_AS_OF, trigger=AVAILABLE_NOW, state_partitions=_state_partitions(spark),
                                rebuild_from_sink=True)
-    replay([[(src, chunks[1]), (src, chunks[2])]], run_fresh)
+    replay([[(src, chunk) for chunk in chunks[1:]]], run_fresh)
     return sink.read().groupBy("dt", "mid").agg(F.count(F.lit(1)).alias("copies"))
 
 
@@ -97,7 +97,7 @@ def stream_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = adapters.order_detail(spark, sf_dir).withColumn(
         "__t", F.to_timestamp("create_time").cast("long"))
     o_src, d_src = f"{root}/orders", f"{root}/details"
-    sink = KeyedTable(spark, f"{root}/sink", ["detail_id"], ["create_date"])
+    sink = DayTable(spark, f"{root}/sink", ["detail_id"], ["create_date"])
     users, provinces = _dims(spark, sf_dir)
     o_schema, d_schema = oi.drop("__t").schema, od.drop("__t").schema
 
@@ -154,7 +154,7 @@ def log_route_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _changes(spark, recs: DataFrame, root: str, config, cuts=CUTS, between=None):
     """Replay change records through the change job; (dimension table, fact folder)."""
     src = f"{root}/src"
-    sink = KeyedTable(spark, f"{root}/dims", ["table", "id"], ["table"], seq="seq")
+    sink = DayTable(spark, f"{root}/dims", ["table", "id"], ["table"], seq="seq")
 
     def run_once():
         query = jobs.cdc_stream(file_stream(spark, src, recs.schema), config, f"{root}/facts",
@@ -203,7 +203,7 @@ def stream_cdc_config_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(facts).groupBy("topic").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _dimension(sink: KeyedTable, name: str, schema: str) -> DataFrame:
+def _dimension(sink: DayTable, name: str, schema: str) -> DataFrame:
     rows = jobs.dim_snapshot(sink).where(F.col("table") == name)
     return rows.select(F.from_json("data", schema).alias("r")).select("r.*")
 
@@ -222,7 +222,7 @@ def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, _ = _changes(spark, records, f"{root}/changes",
                        lambda: adapters.table_config(spark, fact=[], dim=["user_info", "base_province"]))
     pages = f"{_routed(spark, sf_dir, f'{root}/logs')}/page"
-    actives = KeyedTable(spark, f"{root}/dau", ["dt", "mid"], ["dt"])
+    actives = DayTable(spark, f"{root}/dau", ["dt", "mid"], ["dt"])
     schema = spark.read.parquet(pages).drop("batch_id").schema
     jobs.dau_stream(
         file_stream(spark, pages, schema),
@@ -241,7 +241,7 @@ def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     pl = adapters.page_log(spark, sf_dir)
     day = F.floor(F.col("ts") / F.lit(86_400_000))
     newest = pl.agg(F.max(day)).first()[0] or 0
-    sink, dropped = KeyedTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"]), []
+    sink, dropped = DayTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"]), []
     users, provinces = _dims(spark, sf_dir)
 
     def run_once():

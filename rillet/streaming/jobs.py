@@ -21,7 +21,7 @@ from rillet.plans.dau import dau_info
 from rillet.plans.orders import WIDE_COLUMNS, with_dates, with_dimensions
 from rillet.schemas import ORDER_DETAIL_DEFAULTS, ORDER_INFO_DEFAULTS
 from rillet.operators.joins import order_wide
-from rillet.sources.keyed_table import KeyedTable, append_batch, write_keyed
+from rillet.sources.day_table import DayTable, append_batch, write_keyed
 
 DimFn = Callable[[], DataFrame]
 #: A run date, or what gives it for each batch (a job that runs for days ages with it).
@@ -83,7 +83,7 @@ def log_router(raw: DataFrame, out_root: str, checkpoint: str,
                   state_partitions=state_partitions)
 
 
-def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedTable,
+def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: DayTable,
                checkpoint: str, as_of: AsOf, late_days: int = 1, tz: str = "UTC",
                trigger: dict | None = None, rebuild_from_sink: bool = False,
                state_partitions: int | None = None) -> StreamingQuery:
@@ -123,7 +123,7 @@ def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: KeyedT
 
 
 def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provinces: DimFn,
-                      sink: KeyedTable, checkpoint: str, as_of: AsOf, delay: str = "1 day",
+                      sink: DayTable, checkpoint: str, as_of: AsOf, delay: str = "1 day",
                       trigger: dict | None = None,
                       state_partitions: int | None = None) -> StreamingQuery:
     """W4 + W5 + J4: two streams, inner stream-stream join on order id with
@@ -132,9 +132,9 @@ def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provi
     are when their batch runs, and upsert by detail_id into create_date partitions."""
     # defaults come after the join: state keeps the records as they arrived
     o = with_dates(orders) \
-        .withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
+        .withColumn("__et", F.try_to_timestamp("create_time")).withWatermark("__et", delay)
     d = details \
-        .withColumn("__et", F.to_timestamp("create_time")).withWatermark("__et", delay)
+        .withColumn("__et", F.try_to_timestamp("create_time")).withWatermark("__et", delay)
     window = F.col("d.__et").between(F.col("o.__et") - F.expr(f"INTERVAL {delay}"),
                                      F.col("o.__et") + F.expr(f"INTERVAL {delay}"))
     wide = order_wide(o, d, "inner", window, dimensions=False)
@@ -149,7 +149,7 @@ def order_join_stream(orders: DataFrame, details: DataFrame, users: DimFn, provi
                   state_partitions=state_partitions)
 
 
-def cdc_stream(records: DataFrame, config: DimFn, fact_path: str, dim_sink: KeyedTable,
+def cdc_stream(records: DataFrame, config: DimFn, fact_path: str, dim_sink: DayTable,
                checkpoint: str, trigger: dict | None = None,
                state_partitions: int | None = None) -> StreamingQuery:
     """W7 + P9-P11 + K2 + K3: the routing config is re-read in every batch; fact
@@ -167,7 +167,7 @@ def cdc_stream(records: DataFrame, config: DimFn, fact_path: str, dim_sink: Keye
                   state_partitions=state_partitions)
 
 
-def dim_snapshot(dim_sink: KeyedTable, compat: bool = False) -> DataFrame:
+def dim_snapshot(dim_sink: DayTable, compat: bool = False) -> DataFrame:
     """Current dimension rows; tombstoned keys are hidden unless ``compat``."""
     df = dim_sink.read()
     return df if compat else df.where(F.col("op") != "D")

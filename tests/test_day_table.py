@@ -1,10 +1,9 @@
-"""Keyed tables: crashes between write and publish, replays, order of batches, odd
-partition values, deletes, merging."""
+"""Day tables: replays, crashes, order of batches, odd partition values, deletes, compaction."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from rillet.sources.keyed_table import KeyedTable
+from rillet.sources.day_table import DayTable
 
 SCHEMA = "id long, dt string, seq long, v int"
 
@@ -27,7 +26,7 @@ def content(table):
 
 @pytest.fixture()
 def table(spark, scratch):
-    return KeyedTable(spark, f"{scratch}/t", ["id"], ["dt"], seq="seq")
+    return DayTable(spark, f"{scratch}/t", ["id"], ["dt"], seq="seq")
 
 
 def test_an_older_row_never_replaces_a_newer_one(spark, table):
@@ -37,35 +36,41 @@ def test_an_older_row_never_replaces_a_newer_one(spark, table):
 
 
 def test_without_seq_the_later_write_wins(spark, scratch):
-    t = KeyedTable(spark, f"{scratch}/t", ["id"], ["dt"])
+    t = DayTable(spark, f"{scratch}/t", ["id"], ["dt"])
     for v in (1, 2, 3):
         t.upsert(rows(spark, (1, "d1", 0, v)))
     assert content(t) == [(1, "d1", 3)]
 
 
-def test_a_crash_before_publishing_and_a_replay(spark, table, monkeypatch):
+def test_a_batch_delivered_again_replaces_itself(spark, table):
     table.upsert(rows(spark, (1, "d1", 1, 1), (2, "d1", 1, 2)), "b-0")
+    for _ in range(2):
+        table.upsert(rows(spark, (1, "d1", 2, 11), (3, "d2", 2, 3)), "b-1")
+        assert content(table) == [(1, "d1", 11), (2, "d1", 2), (3, "d2", 3)]
+    table.compact()
+    table.upsert(rows(spark, (1, "d1", 2, 11), (3, "d2", 2, 3)), "b-1")  # it is in the days
+    assert content(table) == [(1, "d1", 11), (2, "d1", 2), (3, "d2", 3)]
 
-    def crash(*_):
-        raise OSError("gone")
 
-    with monkeypatch.context() as m:
-        m.setattr(KeyedTable, "_publish", crash)
-        with pytest.raises(OSError):
-            table.upsert(rows(spark, (1, "d1", 2, 11), (3, "d2", 2, 3)), "b-1")
-    assert content(table) == [(1, "d1", 1), (2, "d1", 2)]  # nothing of it is seen
-    table.upsert(rows(spark, (1, "d1", 2, 11), (3, "d2", 2, 3)), "b-1")
-    want = [(1, "d1", 11), (2, "d1", 2), (3, "d2", 3)]
-    assert content(table) == want
-    table.upsert(rows(spark, (1, "d1", 2, 99)), "b-1")  # a published batch again
-    assert content(table) == want
+def test_a_crash_between_the_days_and_the_batches(spark, table, monkeypatch):
+    """Compaction that ends after its first write leaves every row readable once."""
+    table.upsert(rows(spark, (1, "d1", 1, 1), (2, "d1", 1, 2)))
+    table.upsert(rows(spark, (1, "d1", 2, 11)))
+    plain = DayTable._write
 
+    def crash(self, frame, path, mode="static"):
+        if path == self.batches:
+            raise OSError("gone")
+        plain(self, frame, path, mode)
 
-def test_another_writer_cannot_publish_the_same_version(spark, table):
-    table.upsert(rows(spark, (1, "d1", 1, 1)))
-    with pytest.raises(RuntimeError):
-        table._publish([], "{}", 0)
-    assert content(table) == [(1, "d1", 1)]
+    with monkeypatch.context() as m:
+        m.setattr(DayTable, "_write", crash)
+        with pytest.raises(OSError):
+            table.compact()
+    want = [(1, "d1", 11), (2, "d1", 2)]
+    assert content(table) == want and table._waiting()
+    table.compact()
+    assert content(table) == want and not table._waiting()
 
 
 @pytest.mark.parametrize("day", [None, "a:b", "{x,y}*", "a b/c=%", "__x"])
@@ -94,49 +99,48 @@ def content_ids(table):
     return sorted(r.id for r in table.read().collect())
 
 
-def test_merging_keeps_rows_and_replays(spark, table):
+def test_compaction_keeps_rows_and_untouched_days(spark, scratch):
+    table = DayTable(spark, f"{scratch}/t", ["id"], ["dt"], seq="seq", compact=8)
+    table.upsert(rows(spark, (500, "d9", 0, 0)))
+    table.compact()
+    day = [f for f in spark.read.parquet(table.days).inputFiles() if "dt=d9" in f]
     for k in range(20):
         table.upsert(rows(spark, (k % 5, "d1", k, k), (100 + k, "d2", k, k)), f"b-{k}")
-    folders = table.version()["folders"]
-    assert len(folders) < 10 and {f["class"] for f in folders} == {0, 1}
-    want = sorted([(k % 5, "d1", k) for k in range(15, 20)] + [(100 + k, "d2", k) for k in range(20)])
-    assert content(table) == want
-    table.upsert(rows(spark, (0, "d1", 99, 99)), "b-3")  # in a merged folder
+        assert len(table._waiting()) < 8
+    want = sorted([(k % 5, "d1", k) for k in range(15, 20)] + [(100 + k, "d2", k) for k in range(20)]
+                  + [(500, "d9", 0)])
     assert content(table) == want
     table.compact()
-    assert len(table.version()["folders"]) == 1 and content(table) == want
-    gone = table.vacuum()
-    assert gone and content(table) == want and not table.vacuum()
+    assert not table._waiting() and content(table) == want
+    assert [f for f in spark.read.parquet(table.days).inputFiles() if "dt=d9" in f] == day
+    assert "Aggregate" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    again = DayTable(spark, f"{scratch}/t", ["id"], ["dt"], seq="seq")  # schema from the files
+    assert content(again) == want
 
 
 def test_only_a_missing_table_reads_as_empty(spark, scratch):
     schema = rows(spark, (1, "d", 1, 1)).schema
-    t = KeyedTable(spark, f"{scratch}/t", ["id"], ["dt"], schema=schema)
+    t = DayTable(spark, f"{scratch}/t", ["id"], ["dt"], schema=schema)
     assert content(t) == [] and not t.exists() and t.touched_rows(rows(spark, (1, "d", 1, 1))) is None
     t.delete_where(F.lit(True))
+    t.upsert(spark.createDataFrame([], SCHEMA))
+    assert content(t) == []
     with pytest.raises(ValueError):
-        KeyedTable(spark, f"{scratch}/u", ["id"], ["dt"]).read()
-    t.upsert(rows(spark, (1, "d", 1, 1)))
-    import os
-    folder = t.version()["folders"][0]["name"]
-    os.rename(f"{t.path}/{folder}", f"{t.path}/elsewhere")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
-        t.read().count()
+        DayTable(spark, f"{scratch}/u", ["id"], ["dt"]).read()
 
 
 def test_a_write_does_not_rewrite_the_table(spark, table):
-    table.upsert(rows(spark, *((k, f"d{k % 3}", 1, k) for k in range(3000))))
-    before = spark.read.parquet(f"{table.path}/{table.version()['folders'][0]['name']}").count()
-    table.upsert(rows(spark, (1, "d1", 2, -1)))
-    new = table.version()["folders"][-1]["name"]
-    assert before == 3000 and spark.read.parquet(f"{table.path}/{new}").count() == 1
+    table.upsert(rows(spark, *((k, f"d{k % 3}", 1, k) for k in range(3000))), "a")
+    table.upsert(rows(spark, (1, "d1", 2, -1)), "b")
+    count = {n: spark.read.parquet(f"{table.batches}/__batch={n}").count() for n in "ab"}
+    assert count == {"a": 3000, "b": 1}
 
 
 def test_a_day_is_written_by_many_tasks(spark, table):
     data = [(k, "hot" if k % 10 else f"old{k % 50}", 1, k) for k in range(4000)]
     with_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false",
-                 lambda: table.upsert(rows(spark, *data)))
-    files = spark.read.parquet(f"{table.path}/{table.version()['folders'][0]['name']}").where(
+                 lambda: table.upsert(rows(spark, *data), "a"))
+    files = spark.read.parquet(f"{table.batches}/__batch=a").where(
         "dt = 'hot'").select(F.input_file_name()).distinct().count()
     assert files > 4
 

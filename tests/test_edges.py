@@ -13,7 +13,7 @@ from rillet.operators.ordered import chunked_previous, chunked_running_count
 from rillet.operators.partitioner import route_partition, spread_partitions
 from rillet.plans import dashboard, dau, publisher
 from rillet.sources import adapters
-from rillet.sources.keyed_table import KeyedTable
+from rillet.sources.day_table import DayTable
 from rillet.streaming import jobs
 from rillet.streaming.sources import cut_at, replay, time_chunks
 
@@ -188,7 +188,7 @@ def test_order_rows_take_the_dimensions_of_their_batch(spark, scratch):
     def users():
         calls.append(len(known))
         return spark.createDataFrame(known, "id long, gender string, birthday date")
-    sink = KeyedTable(spark, f"{scratch}/sink", ["detail_id"], ["create_date"])
+    sink = DayTable(spark, f"{scratch}/sink", ["detail_id"], ["create_date"])
     dates = iter(["2020-03-01", "2021-03-01", "2021-03-01", "2021-03-01"])
 
     def run_once():
@@ -208,7 +208,7 @@ def test_order_rows_take_the_dimensions_of_their_batch(spark, scratch):
 
 def test_a_hot_device_is_split_before_its_state(spark, scratch):
     users, provinces = _dims(spark)
-    sink = KeyedTable(spark, f"{scratch}/sink", ["dt", "mid"], ["dt"])
+    sink = DayTable(spark, f"{scratch}/sink", ["dt", "mid"], ["dt"])
     rows = [("hot" if k % 10 else f"m{k}", "1", DAY1 + k, k) for k in range(500)]
     _pages(spark, rows).write.parquet(f"{scratch}/src")
     query = jobs.dau_stream(spark.readStream.schema(PAGE_SCHEMA).parquet(f"{scratch}/src"), users, provinces, sink,

@@ -85,20 +85,20 @@ def test_category_top_n_remainder(spark):
     assert "TakeOrderedAndProject" in plan and "Window" not in plan
 
 
-def test_keyed_table_files_are_key_ordered(spark, scratch):
+def test_day_table_files_are_key_ordered(spark, scratch):
     import glob
 
     import pyarrow.parquet as pq
 
-    from rillet.sources.keyed_table import KeyedTable
-    sink = KeyedTable(spark, f"{scratch}/kt", ["id"], ["dt"], seq="seq")
+    from rillet.sources.day_table import DayTable
+    sink = DayTable(spark, f"{scratch}/kt", ["id"], ["dt"], seq="seq")
     rows = spark.range(5000).select(
         (F.col("id") * 7919 % 5000).alias("id"),
         F.when(F.col("id") % 5 == 0, "2024-01-02").otherwise("2024-01-01").alias("dt"),
         F.col("id").alias("seq"), (F.col("id") * 2).alias("v"))
     sink.upsert(rows)
     sink.upsert(rows.where("id < 100").withColumn("v", F.lit(-1)).withColumn("seq", F.lit(10**6)))
-    files = glob.glob(f"{scratch}/kt/data/*/dt=*/*.parquet")
+    files = glob.glob(f"{scratch}/kt/batches/*/dt=*/*.parquet")
     assert files
     for f in files:
         ids = pq.read_table(f, columns=["id"]).column("id").to_pylist()

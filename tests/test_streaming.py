@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rillet.sources.keyed_table import KeyedTable
+from rillet.sources.day_table import DayTable
 from rillet.streaming import jobs
 from rillet.streaming.sources import replay
 
@@ -35,7 +35,7 @@ def _dims(spark):
 
 def _run_dau(spark, root, batches, late_days=1):
     users, prov = _dims(spark)
-    sink = KeyedTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"])
+    sink = DayTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"])
     src = f"{root}/src"
 
     def run_once():
@@ -81,7 +81,7 @@ def test_dau_redelivery_is_idempotent(spark, scratch):
 
 def test_dau_stage_counts_observed(spark, scratch):
     users, prov = _dims(spark)
-    sink = KeyedTable(spark, f"{scratch}/sink", ["dt", "mid"], ["dt"])
+    sink = DayTable(spark, f"{scratch}/sink", ["dt", "mid"], ["dt"])
     src = f"{scratch}/src"
     _pages(spark, ROWS).write.parquet(src)
     q = jobs.dau_stream(spark.readStream.schema(PAGE_SCHEMA).parquet(src), users, prov, sink,
@@ -115,7 +115,7 @@ def _details(spark, pairs):
 
 def test_order_join_any_arrival_order(spark, scratch):
     users, prov = _dims(spark)
-    sink = KeyedTable(spark, f"{scratch}/sink", ["detail_id"], ["create_date"])
+    sink = DayTable(spark, f"{scratch}/sink", ["detail_id"], ["create_date"])
     o_src, d_src = f"{scratch}/o", f"{scratch}/d"
 
     def run_once():
