@@ -8,10 +8,10 @@ parameters, not data).
 from __future__ import annotations
 
 import re
-import unicodedata
 from functools import reduce
 from operator import and_
 
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,29 +33,18 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN), 1)
 
 
+# The same two classes for query strings.
+_HAN = regex.compile(r"\p{Script=Han}")
+_QUERY_TOKEN = regex.compile(r"(?V1)\p{Script=Han}|[[\p{L}\p{N}]--\p{Script=Han}]+")
+
+
 def _is_han(ch: str) -> bool:
-    return "CJK" in unicodedata.name(ch, "")
+    return _HAN.match(ch) is not None
 
 
 def analyze(query: str) -> list[str]:
     """Same analysis for a query string (driver side, parameters only)."""
-    out: list[str] = []
-    cur: list[str] = []
-    for ch in (query or "").lower():
-        if _is_han(ch):
-            if cur:
-                out.append("".join(cur))
-                cur = []
-            out.append(ch)
-        elif ch.isalnum():
-            cur.append(ch)
-        else:
-            if cur:
-                out.append("".join(cur))
-                cur = []
-    if cur:
-        out.append("".join(cur))
-    return out
+    return _QUERY_TOKEN.findall((query or "").lower())
 
 
 def _qarr(terms: list[str]) -> Column:
@@ -134,3 +123,24 @@ def highlight(text, query: str, pre_tag: str = DEFAULT_PRE_TAG,
 def term_frequency(toks: Column, term: str) -> Column:
     """Occurrences of ``term`` in a token array."""
     return F.size(F.filter(toks, lambda x: x == F.lit(term)))
+
+
+#: A fragment: up to 100 characters of one sentence with its end marks, cut at white space
+#: where the sentence is longer, and anywhere in a run of 100 characters without any.
+FRAGMENT = r"[^.!?\n]{1,100}(?:[.!?\n]+|[ \t\r]|$)|[^.!?\n]{1,100}"
+
+
+def fragments(text) -> Column:
+    """array<string>: the text in sentence-bounded pieces of about 100 characters. Marks
+    that no text stands before belong to no fragment."""
+    return F.regexp_extract_all(_c(text), F.lit(FRAGMENT), 0)
+
+
+def best_fragment(text, query: str) -> Column:
+    """T4: struct(score, fragment) of the fragment with most distinct query tokens, the
+    first of these; null for a text without fragments."""
+    q = _qarr(sorted(set(analyze(query))))
+    scored = F.transform(fragments(text), lambda f, i: F.struct(
+        F.size(F.array_intersect(tokens(f), q)).alias("score"), (-i).alias("place"), f.alias("fragment")))
+    best = F.array_max(scored)
+    return F.when(best.isNotNull(), F.struct(best["score"].alias("score"), best["fragment"].alias("fragment")))

@@ -30,6 +30,17 @@ def route_partition(df: DataFrame, key_col: str, mapping: dict[str, int],
     return df.withColumn(out, pid)
 
 
+def place_partitions(df: DataFrame, key_col: str, mapping: dict[str, int], by: list[str],
+                     width: int = 4, unknown: str = "error_partition") -> DataFrame:
+    """Rows moved to the partition that their key names. A partition is ``width`` tasks
+    wide: a row goes to task ``partition * width + hash(by) % width``, so that a key with a
+    third of all rows is not one task, and each task holds rows of one partition alone.
+    Null keys are unknown keys."""
+    pid, n = partition_id_expr(key_col, mapping, unknown)
+    task = pid * width + F.pmod(F.xxhash64(*by), F.lit(width)).cast("int")
+    return df.repartitionById(n * width, task)
+
+
 def spread_partitions(df: DataFrame, by: list[str], partition: str = "partition_id",
                       width: int = 16) -> DataFrame:
     """Rows of one partition together, over up to ``width`` tasks by a hash of ``by``."""

@@ -20,18 +20,39 @@ from rillet.schemas import (ACTION_LOG_FIELDS, DISPLAY_LOG_FIELDS, PAGE_LOG_FIEL
 REC = "__rec"
 
 
+BAD = "__bad"
+#: The members that are no text, read as text.
+_AS_TEXT = ("ts string, page struct<during_time:string>, start struct<loading_time:string,"
+            "open_ad_ms:string,open_ad_skip_ms:string>, actions array<struct<ts:string>>")
+_TYPED = ("ts", "page.during_time", "start.loading_time", "start.open_ad_ms", "start.open_ad_skip_ms")
+
+
 def parse_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Raw JSON text -> struct column ``__rec`` (other columns kept)."""
-    return raw.withColumn(REC, parse(value_col, RAW_LOG))
+    """Raw JSON text -> struct column ``__rec`` (other columns kept), and ``__bad``:
+    why the record cannot be routed; null if it can. It may be no JSON, hold a member that
+    is not of its type, or have no ts."""
+    parsed = raw.withColumn(REC, parse(value_col, RAW_LOG)).withColumn("__text", parse(value_col, _AS_TEXT))
+    bad = F.lit(None).cast("string")
+    for member in reversed(_TYPED):
+        there = F.col(f"__text.{member}").isNotNull() & F.col(f"{REC}.{member}").isNull()
+        bad = F.when(there, member).otherwise(bad)
+    times = [F.coalesce(F.size(F.filter(F.col(f"{c}.actions.ts"), lambda t: t.isNotNull())), F.lit(0))
+             for c in ("__text", REC)]
+    bad = F.concat(F.lit("no number: "), F.coalesce(bad, F.when(times[0] > times[1], "actions.ts")))
+    untimed = F.col(f"{REC}.ts").isNull()  # the text is parsed once more only for these
+    fault = (F.when(untimed & F.try_parse_json(value_col).isNull(), "no json").when(bad.isNotNull(), bad)
+             .when(untimed, "no ts"))
+    return parsed.withColumn(BAD, fault).drop("__text")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
-    """Malformed records or records without ts (the reference fails the task)."""
-    return parsed.where(F.col(REC).isNull() | F.col(f"{REC}.ts").isNull())
+    """Records that are malformed, have a member of the wrong type or no ts (the reference
+    fails the task)."""
+    return parsed.where(F.col(BAD).isNotNull())
 
 
 def _valid(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col(REC).isNotNull() & F.col(f"{REC}.ts").isNotNull())
+    return parsed.where(F.col(BAD).isNull())
 
 
 def _device(r: str = REC) -> dict:
@@ -136,12 +157,17 @@ CDC_OP = {"bootstrap-insert": "I", "insert": "I", "update": "U", "delete": "D"}
 CDC_DATA_SCHEMA = "id string, status string, amount double, priority string"
 
 
-def cdc_ops(records: DataFrame, data_schema: str = CDC_DATA_SCHEMA) -> DataFrame:
-    """Map the change type to I/U/D, drop anything else; parse data JSON."""
+def change_op(kind: str) -> F.Column:
+    """The operation letter of a change type; null for other types."""
     op = F.lit(None).cast("string")
     for t, letter in reversed(list(CDC_OP.items())):
-        op = F.when(F.col("type") == t, letter).otherwise(op)
-    return (records.withColumn("op", op).where(F.col("op").isNotNull())
+        op = F.when(F.col(kind) == t, letter).otherwise(op)
+    return op
+
+
+def cdc_ops(records: DataFrame, data_schema: str = CDC_DATA_SCHEMA) -> DataFrame:
+    """Map the change type to I/U/D, drop anything else; parse data JSON."""
+    return (records.withColumn("op", change_op("type")).where(F.col("op").isNotNull())
             .withColumn("rec", F.from_json("data", data_schema)))
 
 

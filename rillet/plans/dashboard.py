@@ -59,10 +59,12 @@ def q02_uv(spark, sf_dir, days=None):
 
 
 def q03_visit_total(spark, sf_dir, days=None):
-    p = _pages(spark, sf_dir, days)
-    return p.agg(F.count(F.lit(1)).alias("pv_count"),
-                 F.count_distinct("mid").alias("uv_count"),
-                 F.count_distinct(F.when(F.col("is_new") == "1", F.col("mid"))).alias("new_count"))
+    # one row a device, combined before the shuffle, instead of a row copied per distinct count
+    per = _pages(spark, sf_dir, days).groupBy("mid").agg(
+        F.count(F.lit(1)).alias("pages"), F.max(F.col("is_new") == "1").alias("new"))
+    return per.agg(F.coalesce(F.sum("pages"), F.lit(0).cast("bigint")).alias("pv_count"),
+                   F.count("mid").alias("uv_count"),
+                   F.count_if(F.col("new") & F.col("mid").isNotNull()).alias("new_count"))
 
 
 def q04_new_visit_stats(spark, sf_dir, days=None):
@@ -100,6 +102,12 @@ def q07_page_path(spark, sf_dir, days=None):
         .agg(F.count(F.lit(1)).alias("value"))
 
 
+def q07_page_nodes(spark, sf_dir, days=None):
+    """Nodes of the page path: every page that a link starts or ends at."""
+    links = q07_page_path(spark, sf_dir, days)
+    return links.select(F.explode(F.array("source", "target")).alias("name")).distinct()
+
+
 def _order_days(spark, sf_dir, days) -> str | None:
     return _since(spark, sf_dir, "orders", "o_orderdate", days)
 
@@ -113,11 +121,12 @@ def _orders(spark, sf_dir, days=None) -> DataFrame:
 def q08_user_action_convert(spark, sf_dir, days=None):
     p = _pages(spark, sf_dir, days)
     o = _orders(spark, sf_dir, days)
-    counts = p.agg(*[F.count_distinct(F.when(F.col("page_id") == pg, F.col("mid"))).alias(f"s{i}")
-                     for i, pg in enumerate(FUNNEL_PAGES)])
-    ocounts = o.agg(F.count_distinct("user_id").alias("s3"),
-                    F.count_distinct(F.when(F.col("order_status") == PAID_STATUS,
-                                            F.col("user_id"))).alias("s4"))
+    per = p.where(F.col("mid").isNotNull()).groupBy("mid").agg(
+        *[F.max(F.col("page_id") == pg).alias(f"s{i}") for i, pg in enumerate(FUNNEL_PAGES)])
+    counts = per.agg(*[F.count_if(f"s{i}").alias(f"s{i}") for i in range(len(FUNNEL_PAGES))])
+    buyers = o.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        F.max(F.col("order_status") == PAID_STATUS).alias("paid"))
+    ocounts = buyers.agg(F.count(F.lit(1)).alias("s3"), F.count_if("paid").alias("s4"))
     both = counts.unionByName(ocounts, allowMissingColumns=True) \
         .agg(*[F.max(f"s{i}").alias(f"s{i}") for i in range(5)])
     stack = ", ".join(f"{i + 1}, '{name}', s{i}" for i, name in enumerate(FUNNEL_STEPS))
@@ -128,7 +137,7 @@ def q08_user_action_convert(spark, sf_dir, days=None):
 
 
 def q09_user_paid(spark, sf_dir, days=None):
-    active = _pages(spark, sf_dir, days).select(F.col("mid").cast("bigint").alias("uid")).distinct()
+    active = _pages(spark, sf_dir, days).select(F.col("mid").try_cast("bigint").alias("uid")).distinct()
     paying = _orders(spark, sf_dir, days).where(F.col("order_status") == PAID_STATUS) \
         .select(F.col("user_id").alias("uid")).distinct().withColumn("paid", F.lit(True))
     j = active.join(paying, "uid", "left")
@@ -138,7 +147,7 @@ def q09_user_paid(spark, sf_dir, days=None):
 
 def q10_user_total(spark, sf_dir, days=None):
     p = _pages(spark, sf_dir, days)
-    users = p.groupBy(F.col("mid").cast("bigint").alias("uid")) \
+    users = p.groupBy(F.col("mid").try_cast("bigint").alias("uid")) \
         .agg(F.max(F.col("is_new") == "1").alias("is_new"))
     o = _orders(spark, sf_dir, days)
     per_user = o.groupBy(F.col("user_id").alias("uid")).agg(F.sum("total_amount").alias("amount"))

@@ -15,7 +15,7 @@ from rillet.functions.misc import zip_map
 from rillet.functions.time import epoch_millis
 from rillet.operators import dedup, mutations
 from rillet.operators.aggregates import GENDER_MALE_LABEL, GENDER_OTHER_LABEL
-from rillet.operators.partitioner import route_partition
+from rillet.operators.partitioner import place_partitions, route_partition
 from rillet.plans.orders import order_docs, stored_wide
 from rillet.session import scratch_path
 from rillet.sources import adapters
@@ -94,12 +94,16 @@ def append_new(spark, sf_dir):
     return mutations.append_with_id(docs, new, "id", ["name", "seq"])
 
 
-def event_rollup(spark, sf_dir):
+def rollup_events(spark, sf_dir):
     """Events of users; every 17th has no user and every 7th no kind."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    e = e.select("event_id", "value", epoch_millis("ts").alias("ts"),
-                 F.when(F.col("event_id") % 17 != 0, F.col("user_id")).alias("user_id"),
-                 F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"))
+    return e.select("event_id", "value", epoch_millis("ts").alias("ts"),
+                    F.when(F.col("event_id") % 17 != 0, F.col("user_id")).alias("user_id"),
+                    F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"))
+
+
+def event_rollup(spark, sf_dir):
+    e = rollup_events(spark, sf_dir)
     return dedup.event_rollup(e, "user_id", "event_type", "ts", "value", tie="event_id")
 
 
@@ -116,6 +120,17 @@ def route_partition_ids(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def partition_placement(spark, sf_dir):
+    """Where the rows of each key really are after they were sent: the partition that
+    the tasks holding them belong to."""
+    e = table(spark, sf_dir, "events", "event_id", "event_type")
+    width = 4
+    placed = place_partitions(e, "event_type", EVENT_PARTITIONS, ["event_id"], width)
+    placed = placed.withColumn("task", F.spark_partition_id())
+    return placed.groupBy(F.col("event_type").alias("key"), F.floor(F.col("task") / width).cast("int").alias("partition_id")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
 def scalar_map_json(spark, sf_dir):
     """Per user, zip event types with counts into a map, serialise the
     map to JSON, parse it back and flatten (compared after parsing back)."""

@@ -616,6 +616,9 @@ SELECT channel, count(*) AS sessions, count(*) FILTER (WHERE pages = 1) AS bounc
        {_pct_sql("count(*) FILTER (WHERE pages = 1)", "count(*)")} AS bounce_rate
 FROM sess GROUP BY channel"""
 
+SQL["q07_page_nodes"] = with_(PAGE_LOG, PAGES) + """
+SELECT DISTINCT unnest([last_page_id, page_id]) AS name FROM pages WHERE last_page_id IS NOT NULL"""
+
 SQL["q07_page_path"] = with_(PAGE_LOG, PAGES) + """
 SELECT last_page_id AS source, page_id AS target, count(*) AS value
 FROM pages WHERE last_page_id IS NOT NULL GROUP BY 1, 2"""
@@ -703,3 +706,77 @@ def _week(sql: str) -> str:
 
 for _name in [n for n in SQL if n.startswith("q") and n[1:3].isdigit()]:
     SQL[f"{_name}_7d"] = _week(SQL[_name])
+
+
+# ---- topic streams, keyed state, shapes, stored searches -------------------------------
+
+_TOPIC = """
+SELECT 'ods_base_log' AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", event_id // 3 AS "offset",
+       CAST(user_id AS VARCHAR) AS key, event_type
+FROM events WHERE """
+SQL["stream_latest_start"] = _TOPIC + "event_id >= (SELECT max(event_id) // 3 FROM events)"
+SQL["stream_explicit_offsets"] = _TOPIC + "event_id % 3 <> 0 OR event_id // 3 >= 40"
+
+SQL["stream_midnight_expiry"] = with_(PAGE_LOG) + """
+SELECT DISTINCT strftime(epoch_ms(ts + 8 * 3600000), '%Y-%m-%d') AS dt, mid, true AS held,
+       CAST(0 AS BIGINT) AS devices_left
+FROM page_log WHERE last_page_id IS NULL"""
+SQL["stream_event_rollup"] = SQL["event_rollup"]
+SQL["stream_stage_metrics"] = SQL["stage_counts"] + """
+UNION ALL SELECT 'dropped_late', 0"""
+
+_SHAPED = CDC.replace("WHERE op IS NOT NULL)", """WHERE op IS NOT NULL),
+shaped AS (
+  SELECT *, CASE WHEN seq % 11 = 0 THEN 'no json'
+                 WHEN "table" = 'order_info' AND seq % 13 = 0 THEN 'no double: $.total_amount' END AS fault,
+         CASE WHEN "table" = 'order_info' THEN amount END AS total_amount,
+         CASE WHEN "table" = 'user_info' THEN CASE WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END END AS gender,
+         CASE WHEN "table" = 'base_province' THEN CAST(o_custkey % 7 AS INTEGER) END AS area,
+         CASE WHEN "table" = 'order_info' THEN 2 ELSE 0 END AS lines
+  FROM ops)""")
+SQL["cdc_variant_route"] = with_(_SHAPED) + """
+SELECT 'DWD_' || upper("table") || '_' || op AS topic, id AS key, seq, total_amount AS amount, gender, area, lines
+FROM shaped WHERE fault IS NULL AND "table" IN ('order_info', 'user_info')
+UNION ALL
+SELECT 'DIM:' || upper("table") || ':' || id, id, seq, total_amount, gender, area, lines
+FROM (SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY seq DESC) AS rn
+      FROM shaped WHERE fault IS NULL AND "table" IN ('user_info', 'base_province'))
+WHERE rn = 1 AND op <> 'D'"""
+SQL["cdc_quarantine"] = with_(_SHAPED) + """
+SELECT "table", seq, fault FROM shaped WHERE fault IS NOT NULL"""
+
+SQL["log_quarantine"] = with_(PAGE_LOG) + """,
+f AS (SELECT *, CASE WHEN seq % 17 = 0 THEN 'no json'
+                     WHEN seq % 10 = 0 AND during_time IS NOT NULL THEN 'no number: page.during_time'
+                     WHEN seq % 19 = 0 THEN 'no ts' END AS fault FROM page_log)
+SELECT fault, count(*) AS rows FROM f WHERE fault IS NOT NULL GROUP BY fault
+UNION ALL SELECT 'page', count(*) FROM f WHERE fault IS NULL AND page_id <> 'error'"""
+
+SQL["bm25_index_rank"] = SQL["bm25_rank"]
+SQL["index_match_all"] = WIDE + f"""
+SELECT detail_id, sku_name FROM order_wide WHERE list_has_all({W_TOKS}, {_list(_RW)})"""
+SQL["fuzzy_index_match"] = SQL["fuzzy_match"]
+SQL["fuzzy_index_transpose"] = SQL["fuzzy_transpose"]
+
+_LETTERS = r"[\p{L}\p{N}]+"
+_ASKED = "['the', 'license', 'de']"
+SQL["highlight_fragments"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(text, '[^.!?\n]{{1,100}}(?:[.!?\n]+|[ \t\r]|$)|[^.!?\n]{{1,100}}') AS parts
+  FROM documents
+  WHERE list_has_any(regexp_extract_all(lower(text), '{_LETTERS}'), {_ASKED})),
+p AS (SELECT doc_id, len(parts) AS n_fragments, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM d),
+s AS (SELECT *, len(list_intersect(list_distinct(regexp_extract_all(lower(part), '{_LETTERS}')), {_ASKED})) AS score FROM p),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, place) = 1)
+SELECT doc_id, CAST(n_fragments AS INTEGER) AS n_fragments, CAST(score AS INTEGER) AS score,
+       array_to_string(list_transform(regexp_extract_all(part, '{_LETTERS}|[^\p{{L}}\p{{N}}]+'),
+         lambda x: CASE WHEN list_contains({_ASKED}, lower(x)) THEN '<em>' || x || '</em>' ELSE x END), '') AS fragment
+FROM b"""
+
+SQL["deep_page"] = with_(WIDE_CTES, """
+n AS (SELECT count(*) // 2 // 20 * 20 AS skip FROM order_wide),
+r AS (SELECT detail_id, split_total_amount,
+             row_number() OVER (ORDER BY split_total_amount DESC, detail_id) AS place FROM order_wide)""") + """
+SELECT detail_id, CAST(split_total_amount AS DOUBLE) AS split_total_amount
+FROM r, n WHERE place > skip AND place <= skip + 20"""
+SQL["partition_placement"] = SQL["route_partition_ids"]

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.plans import dashboard, dau, documents, orders, publisher, routes, streams
+from rillet.plans import (changes, dashboard, dau, documents, orders, publisher, routes, searches,
+                          stateful, streams, topics)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "q05_channel_pv": dashboard.q05_channel_pv,
     "q06_channel_bounce": dashboard.q06_channel_bounce,
     "q07_page_path": dashboard.q07_page_path,
+    "q07_page_nodes": dashboard.q07_page_nodes,
     "q08_user_action_convert": dashboard.q08_user_action_convert,
     "q09_user_paid": dashboard.q09_user_paid,
     "q10_user_total": dashboard.q10_user_total,
@@ -101,6 +103,26 @@ QUERIES: dict[str, Query] = {
     "stream_cdc_config_change": streams.stream_cdc_config_change,
     "stream_chain": streams.stream_chain,
     "stream_late_dropped": streams.stream_late_dropped,
+    # where a topic stream starts and resumes
+    "stream_latest_start": topics.stream_latest_start,
+    "stream_explicit_offsets": topics.stream_explicit_offsets,
+    # keyed state with timers (D2 D6), metrics of every batch
+    "stream_midnight_expiry": stateful.stream_midnight_expiry,
+    "stream_event_rollup": stateful.stream_event_rollup,
+    "stream_stage_metrics": stateful.stream_stage_metrics,
+    # change and log records of any shape
+    "cdc_variant_route": changes.cdc_variant_route,
+    "cdc_quarantine": changes.cdc_quarantine,
+    "log_quarantine": changes.log_quarantine,
+    # search over an inverted index
+    "bm25_index_rank": searches.bm25_index_rank,
+    "index_match_all": searches.index_match_all,
+    "fuzzy_index_match": searches.fuzzy_index_match,
+    "fuzzy_index_transpose": searches.fuzzy_index_transpose,
+    "highlight_fragments": searches.highlight_fragments,
+    # deep pages (L2), rows on the partition asked for
+    "deep_page": searches.deep_page,
+    "partition_placement": documents.partition_placement,
 }
 # the dashboard as it is asked most: the last 7 days
 QUERIES |= {f"{name}_7d": dashboard.last_week(query) for name, query in QUERIES.items()

@@ -253,6 +253,24 @@ def cdc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("seq"))
 
 
+def shaped_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records of three tables that share no member but the id, from orders; type and
+    table cycle as in ``cdc_records``. Every 11th text is cut, every 13th amount is none."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    amount = F.when(key % 13 == 0, F.lit('"12x"')).otherwise(F.col("o_totalprice").cast("string"))
+    data = (F.when(cust % 3 == 0, F.concat(F.lit('{"id":'), key, F.lit(',"total_amount":'), amount,
+                                           F.lit(',"lines":[{"no":1},{"no":"b"}]}')))
+            .when(cust % 3 == 1, F.concat(F.lit('{"id":"u-'), cust, F.lit('","gender":"'),
+                                          F.when(cust % 2 == 0, "M").otherwise("F"), F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"id":'), cust % 25, F.lit(',"geo":{"area":'), cust % 7, F.lit("}}"))))
+    data = F.when(key % 11 == 0, F.substring(data, F.lit(1), F.length(data) - 2)).otherwise(data)
+    names, types = (F.array(*[F.lit(t) for t in values]) for values in (CDC_TABLES, CDC_TYPES))
+    return o.select(F.element_at(names, (cust % 3 + 1).cast("int")).alias("table"),
+                    F.element_at(types, (key % 6 + 1).cast("int")).alias("type"),
+                    data.alias("data"), key.alias("seq"))
+
+
 def table_config(spark: SparkSession, fact=FACT_TABLES, dim=DIM_TABLES) -> DataFrame:
     """Routing configuration (S3): (table_name, role). A small, editable table."""
     rows = [(t, "fact") for t in fact] + [(t, "dim") for t in dim]

@@ -21,13 +21,15 @@ from rillet.plans.dau import dau_info
 from rillet.plans.orders import WIDE_COLUMNS, with_dates, with_dimensions
 from rillet.schemas import ORDER_DETAIL_DEFAULTS, ORDER_INFO_DEFAULTS
 from rillet.operators.joins import order_wide
+from rillet.streaming.state import rocksdb_state
 from rillet.sources.day_table import DayTable, append_batch, write_keyed
 
 DimFn = Callable[[], DataFrame]
 #: A run date, or what gives it for each batch (a job that runs for days ages with it).
 AsOf = str | Callable[[], str]
 
-#: Parts into which a device's rows are split before its duplicates meet.
+#: Parts into which a device's rows are split before its duplicates meet; as many as tasks
+#: should share the hottest device.
 DEDUP_SALTS = 8
 
 
@@ -51,22 +53,14 @@ def batch_name(checkpoint: str, batch_id: int) -> str:
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict, name: str | None = None,
            output_mode: str = "append", state_partitions: int | None = None) -> StreamingQuery:
     """Start a foreachBatch query. ``state_partitions`` fixes the number of
-    state-store partitions; it is recorded in the checkpoint at the first start
+    state-store partitions, which RocksDB keeps on disk; it is recorded in the checkpoint at the first start
     and cannot change later, so it is chosen explicitly rather than inherited."""
     w = (df.writeStream.foreachBatch(fn).outputMode(output_mode)
          .option("checkpointLocation", checkpoint).trigger(**trigger))
     if name:
         w = w.queryName(name)
-    if not state_partitions:
-        return w.start()
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    prev = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
+    with rocksdb_state(df.sparkSession, state_partitions):
         return w.start()  # the query clones the session conf here
-    finally:
-        spark.conf.set(key, prev)
 
 
 def log_router(raw: DataFrame, out_root: str, checkpoint: str,
@@ -86,7 +80,7 @@ def log_router(raw: DataFrame, out_root: str, checkpoint: str,
 def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: DayTable,
                checkpoint: str, as_of: AsOf, late_days: int = 1, tz: str = "UTC",
                trigger: dict | None = None, rebuild_from_sink: bool = False,
-               state_partitions: int | None = None) -> StreamingQuery:
+               state_partitions: int | None = None, salts: int = DEDUP_SALTS) -> StreamingQuery:
     """W3 + D1 + D2 + W6: entry filter before the stateful dedup, then the
     (day, mid) dedup with an event-time watermark on the day (state for a day is
     dropped ``late_days`` days + 1 s after newer days arrive), then per-batch
@@ -102,8 +96,8 @@ def dau_stream(page_log: DataFrame, users: DimFn, provinces: DimFn, sink: DayTab
         .withColumn("day_ts", F.to_timestamp("dt", "yyyy-MM-dd"))
     delay = f"{late_days * 24 * 3600 + 1} seconds"
     # two steps: a device's rows meet in parts first, so a device with a third of all rows
-    # sends at most DEDUP_SALTS rows of a day to the task that holds its state
-    salted = e.withColumn("salt", F.pmod(F.xxhash64("ts", "page_id"), F.lit(DEDUP_SALTS)))
+    # sends at most ``salts`` rows of a day to the task that holds its state
+    salted = e.withColumn("salt", F.pmod(F.xxhash64("ts", "page_id"), F.lit(salts)))
     parts = salted.withWatermark("day_ts", delay).dropDuplicates(["day_ts", "mid", "salt"])
     d = dedup.observe_stage(parts.drop("salt").dropDuplicates(["day_ts", "mid"]), "dedup")
 
