@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def page(df: DataFrame, order: list, page_no: int = 1, page_size: int = 20) -> DataFrame:
@@ -24,11 +25,11 @@ def write_ordered(df: DataFrame, order: list, path: str, ranges: int | None = No
 
 
 class Ordered:
-    """Pages of an ordered copy. The rows of each range are counted once, from the files'
+    """Pages of an ordered copy of rows of ``schema``. The rows of each range are counted once, from the files'
     footers: one number a range comes to the driver."""
 
-    def __init__(self, spark: SparkSession, path: str, order: list):
-        self.rows = spark.read.parquet(path)
+    def __init__(self, spark: SparkSession, path: str, order: list, schema: StructType):
+        self.rows = spark.read.schema(StructType([*schema, StructField("__range", IntegerType())])).parquet(path)
         self.order = order
         counts = self.rows.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).orderBy("__range")
         self.counts = [(r["__range"], r["n"]) for r in counts.collect()]

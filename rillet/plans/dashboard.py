@@ -46,8 +46,8 @@ def _pages(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFra
 
 
 def _pct(part, whole) -> F.Column:
-    """part * 100 / whole in double arithmetic (unrounded; rounding is display)."""
-    return part.cast("double") * F.lit(100.0).cast("double") / whole.cast("double")
+    """part * 100 / whole in double arithmetic (unrounded; rounding is display), null of none."""
+    return F.try_divide(part.cast("double") * F.lit(100.0).cast("double"), whole.cast("double"))
 
 
 def q01_pv(spark, sf_dir, days=None):

@@ -6,6 +6,7 @@ from datetime import date as _date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rillet.functions.misc import copy_fields
 from rillet.functions.time import day_of, hour_of
@@ -65,7 +66,8 @@ def stored_dau(spark: SparkSession, sf_dir: str) -> DayTable:
     """The daily-active table as its job leaves it: keyed by (dt, mid), a folder per day;
     written once per application and input."""
     def table(path: str) -> DayTable:
-        return DayTable(spark, path, ["dt", "mid"], ["dt"])
+        return DayTable(spark, path, ["dt", "mid"], ["dt"],
+                        schema=StructType.fromDDL("dt string, mid string, hr string, ts bigint"))
 
     def write(path: str) -> None:
         pl = adapters.page_log(spark, sf_dir, province=False)

@@ -66,6 +66,6 @@ def deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.desc("split_total_amount"), F.asc("detail_id")]
     wide = stored_wide(spark, sf_dir).select("detail_id", "split_total_amount")
     path = stored_once(spark, "by-amount", sf_dir, lambda to: paging.write_ordered(wide, order, to))
-    ordered = paging.Ordered(spark, path, order)
+    ordered = paging.Ordered(spark, path, order, wide.schema)
     rows = ordered.page(ordered.total // 2 // DEEP_SIZE + 1, DEEP_SIZE)
     return rows.select("detail_id", F.col("split_total_amount").cast("double").alias("split_total_amount"))

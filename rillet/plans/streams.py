@@ -28,6 +28,8 @@ CUTS = [0.33, 0.66]  # chunk edges as fractions of the time span (split inside d
 #: Seconds by which order lines arrive before or after the step of their order.
 SHIFT_S = 6 * 3600
 AVAILABLE_NOW = {"availableNow": True}
+#: Rows of the fact topics.
+FACTS = "key string, value string, seq bigint, batch_id int, topic string"
 
 
 def _state_partitions(spark) -> int:
@@ -181,7 +183,7 @@ def stream_fact_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     they stand in the files of batch after batch."""
     _, facts = _changes(spark, adapters.cdc_records(spark, sf_dir),
                         scratch_path(spark, "stream-facts"), lambda: adapters.table_config(spark))
-    rows = spark.read.parquet(facts).select(
+    rows = spark.read.schema(FACTS).parquet(facts).select(
         "topic", "key", "seq", digest_of_value(), "batch_id",
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
     order = Window.partitionBy("topic", "key").orderBy("batch_id", "file", "place")
@@ -200,7 +202,7 @@ def stream_cdc_config_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     edit()
     _, facts = _changes(spark, adapters.cdc_records(spark, sf_dir), root,
                         lambda: spark.read.parquet(f"{root}/config"), [0.5], edit)
-    return spark.read.parquet(facts).groupBy("topic").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.schema(FACTS).parquet(facts).groupBy("topic").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _dimension(sink: DayTable, name: str, schema: str) -> DataFrame:

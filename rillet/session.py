@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -80,13 +81,23 @@ def clear_scratch(spark: SparkSession) -> int:
     return gone
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str, tuple], str] = {}
+
+
+def state_of_input(spark: SparkSession, source: str) -> tuple:
+    """What tells whether the files below ``source`` are still the same: their number and a
+    sum over paths, sizes and times. Only the listing is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(source))
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum(mark)).first())
 
 
 def stored_once(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
-    """Path of a table derived from ``source``: ``write(path)`` fills it at the first call
-    of an application, in the shared folder; later calls give the same path."""
-    known = (spark.sparkContext.applicationId, name, source)
+    """Path of a table derived from the files below ``source``: ``write(path)`` fills it at
+    the first call of an application, in the shared folder; later calls give the same path
+    as long as these files are the same, and a new one once they changed."""
+    known = (spark.sparkContext.applicationId, name, source, state_of_input(spark, source))
     if known not in _STORED:
         path = scratch_path(spark, name)
         write(path)

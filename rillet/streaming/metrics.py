@@ -20,7 +20,7 @@ class StageMetrics(StreamingQueryListener):
     def __init__(self, spark: SparkSession, path: str):
         super().__init__()
         self.spark, self.path = spark, path
-        self.ended, self.changed = 0, threading.Condition()
+        self.started, self.ended, self.changed = 0, 0, threading.Condition()
 
     def __enter__(self) -> StageMetrics:
         self.spark.streams.addListener(self)
@@ -30,7 +30,8 @@ class StageMetrics(StreamingQueryListener):
         self.spark.streams.removeListener(self)
 
     def onQueryStarted(self, event) -> None:
-        pass
+        with self.changed:
+            self.started += 1
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -48,12 +49,12 @@ class StageMetrics(StreamingQueryListener):
             self.ended += 1
             self.changed.notify_all()
 
-    def settle(self, queries: int, timeout: float = 120) -> None:
-        """Wait until this many queries have ended and their batches are stored: events of a
-        query come in order, its end last."""
+    def settle(self, timeout: float = 120) -> None:
+        """Wait until the queries started so far have ended and their batches are stored:
+        events of a query come in order, its end last."""
         with self.changed:
-            if not self.changed.wait_for(lambda: self.ended >= queries, timeout):
-                raise TimeoutError(f"{self.ended} of {queries} queries have ended")
+            if not self.changed.wait_for(lambda: self.ended >= self.started, timeout):
+                raise TimeoutError(f"{self.ended} of {self.started} queries have ended")
 
     def read(self) -> DataFrame:
         """(run, batch, stage, rows); a batch that was run again counts once."""
