@@ -5,9 +5,12 @@ with the least free space that takes it. At most ``open_bins`` bins are open; wh
 new one is needed beyond that, the fullest closes first. Bins are kept by free space,
 and an integer's bits mark which free spaces have a bin, so the best fit is the lowest
 set bit at or above the length. Pieces wait in a look-ahead buffer of ``lookahead``
-pieces and leave it longest first. Nothing is shuffled.
+pieces, twice the open bins, and leave it longest first: the packer stays online over
+batches that all its bins have seen. Nothing is shuffled.
 
-Defined cases: a null or empty text is one piece with the end id alone; repeated rows
+Defined cases: a null or empty text is one piece with the end id alone; bytes that are no
+UTF-8 are read as U+FFFD; a text that the fast library refuses goes through the other;
+repeated rows
 and null ids are packed like any other; an empty table gives an empty result; columns
 other than ``doc_id`` and ``text`` are ignored. ``sequence_id`` is the task's number in
 the high bits and a counter in the low 33, so a repeated task gives the same ids.
@@ -29,7 +32,7 @@ from rillet.llm.common import text_slices
 LENGTH = 1024
 END_ID = 2
 OPEN_BINS = 512
-LOOKAHEAD = 8192
+LOOKAHEAD = 2 * OPEN_BINS
 SCHEMA = ("piece int, start bigint, length bigint, ids_crc32 bigint, "
           "sequence_id bigint, offset bigint")
 
@@ -60,7 +63,10 @@ def _encoder(model: str, ranks: str):
     def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):
             return np.array(plain.encode(text, add_special_tokens=False).ids, np.uint32)
-        return fast.encode_to_numpy(text, disallowed_special=())
+        try:
+            return fast.encode_to_numpy(text, disallowed_special=())
+        except ValueError:  # e.g. a run of a million spaces is too deep for its splitter
+            return np.array(plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
     return encode
 
@@ -125,7 +131,7 @@ def _pack(batches, files, length, end_id, open_bins, lookahead):
     for part, texts in text_slices(batches):
         id_type = part.schema.field(0).type
         for doc_id, text in zip(part.column(0).to_pylist(), texts):
-            ids = np.append(encode(text.decode()), np.uint32(end_id)).astype("<u4")
+            ids = np.append(encode(text.decode("utf-8", "replace")), np.uint32(end_id)).astype("<u4")
             for k, (start, n) in enumerate(cut(len(ids), length)):
                 waiting.append((doc_id, k, start, n, zlib.crc32(ids[start:start + n].tobytes())))
                 if len(waiting) >= lookahead:

@@ -57,6 +57,26 @@ def test_odd_rows(odd_docs, odd_rows, no_docs, spark):
     assert packing.pack(no_docs).count() == 0
 
 
+def test_white_space_and_bytes_that_are_no_text(spark):
+    texts = [(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "a" + "\t " * 300_000 + "b")]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in rows) == brute(texts)
+    valid(rows)
+    docs = spark.sql("select 1 doc_id, cast(X'61FF20C3' as string) text")
+    rows = packing.pack(docs).collect()
+    assert [(str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in rows] == brute([(1, "a\ufffd \ufffd")])
+
+
+def test_near_the_best_fit_of_all_pieces(spark):
+    """Whole sf0.1 against best fit of all its pieces, longest first, with bins without end."""
+    docs = table(spark, SF.replace("0.001", "0.1"), "documents", "doc_id", "text")
+    rows = packing.pack(docs.coalesce(1)).select("length", "sequence_id").collect()
+    packer = packing.Packer(packing.LENGTH, 10**9)
+    for n in sorted((r.length for r in rows), reverse=True):
+        packer.place(n)
+    assert len({r.sequence_id for r in rows}) <= 1.005 * packer.made
+
+
 def test_packer_is_best_fit_and_bounded():
     """Against a plain search over the open bins."""
     rng = random.Random(2)
