@@ -15,10 +15,12 @@ a digest (smallest id, then offset) is the one to keep: a stretch is cut at the
 its first places into runs that are ``kept`` (first places) and runs that go (the rest).
 So every digest stays whole in its first place. A run of a longer stretch may be short.
 
-Rows of equal id are one document, so a repeated row is no copy. Defined cases: null and
-empty texts, and texts too short for a span, have no run; a null id is a document of its
-own and comes after all others; an empty table gives an empty result; other columns are
-ignored.
+A document is an id and a text: ``text_key`` (a 64-bit hash of the text) tells texts of one
+id apart, so each text has its own runs and loses its own cuts alone. Defined cases: repeated
+rows of one id and text are one document and no copies; every row of a null id is a document
+of its own, by a number in place of the text's hash, and comes after all others; null and
+empty texts, and texts too short for a span, have no run; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -117,42 +119,47 @@ def _digests(batches, reach, least):
         if found:
             halves = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(np.concatenate(owner))),
-                 pa.array(np.concatenate(starts).astype(np.int32)),
+                [part.column(c).take(pa.array(np.concatenate(owner))) for c in (0, 1)]
+                + [pa.array(np.concatenate(starts).astype(np.int32)),
                  pa.array(np.concatenate(ends).astype(np.int32)),
                  pa.array(halves[:, 0]), pa.array(halves[:, 1].astype(np.int32))],
-                ["doc_id", "start", "end", "d1", "d2"])
+                ["doc_id", "text_key", "start", "end", "d1", "d2"])
 
 
 def digests(docs: DataFrame, reach: int = REACH, least: int = LEAST_BYTES) -> DataFrame:
-    """``(doc_id, start, end, d1, d2)`` per span of ``docs(doc_id, text)``."""
+    """``(doc_id, text_key, start, end, d1, d2)`` per span of ``docs(doc_id, text)``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    key = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("text"))
+    return docs.select("doc_id", key.alias("text_key"), "text").mapInArrow(
         partial(_digests, reach=reach, least=least),
-        f"doc_id {kind}, start int, end int, d1 bigint, d2 int")
+        f"doc_id {kind}, text_key bigint, start int, end int, d1 bigint, d2 int")
 
 
 def repeated_runs(docs: DataFrame, reach: int = REACH, least: int = LEAST_BYTES,
                   least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``(doc_id, start, end, n_chars, n_spans, first_doc_id, kept)`` per repeated run;
-    offsets are code points, end exclusive."""
+    """``(doc_id, text_key, start, end, n_chars, n_spans, first_doc_id, kept)`` per repeated
+    run; offsets are code points, end exclusive."""
     found = stored(digests(docs, reach, least), "spans")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "start")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "start")
     known = found.groupBy("d1", "d2").agg(
         F.min(place).alias("first"), F.max(place).alias("last")).where(
-        "not (first.doc_id <=> last.doc_id)").select("d1", "d2", "first")
+        "not (first.doc_id <=> last.doc_id and first.text_key = last.text_key)").select("d1", "d2", "first")
     # both sides of the join are scans, so that AQE can split a digest found everywhere
     marked = found.join(stored(known, "repeated"), ["d1", "d2"]).select(
-        "doc_id", "start", "end", F.col("first.doc_id").alias("first_doc_id"),
-        F.col("first.start").alias("first_start"))
-    own = F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("start") == F.col("first_start"))
-    order = Window.partitionBy("doc_id").orderBy("start", "end")
+        "doc_id", "text_key", "start", "end", F.col("first.doc_id").alias("first_doc_id"),
+        F.col("first.text_key").alias("first_key"), F.col("first.start").alias("first_start"))
+    own = (F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_key") == F.col("first_key"))
+           & (F.col("start") == F.col("first_start")))
+    order = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
     past = order.rowsBetween(Window.unboundedPreceding, -1)
+    # a repeated row of one id and text has each span twice
+    marked = marked.withColumn("again", F.col("start") == F.lag("start").over(order)).where(
+        "again is null or not again")
     opens = F.coalesce(F.col("start") > F.max("end").over(past), F.lit(True)).cast("int")
     # starts and ends rise together: the own spans around a span leave one piece of it
     low = F.greatest("start", F.max(F.when(F.col("own"), F.col("end"))).over(past))
     high = F.least("end", F.expr(
-        "lead(if(own, start, null)) ignore nulls over (partition by doc_id order by start, end)"))
+        "lead(if(own, start, null)) ignore nulls over (partition by doc_id, text_key order by start, end)"))
     pieces = (marked.withColumn("own", own).withColumn("opens", opens)
               .withColumn("run", F.sum("opens").over(order))
               .withColumn("low", F.when(F.col("own"), F.col("start")).otherwise(low))
@@ -161,26 +168,28 @@ def repeated_runs(docs: DataFrame, reach: int = REACH, least: int = LEAST_BYTES,
     turns = F.coalesce((F.col("low") > F.max("high").over(past))
                        | (F.col("own") != F.lag("own").over(order)), F.lit(True)).cast("int")
     parts = (pieces.withColumn("turns", turns).withColumn("part", F.sum("turns").over(order))
-             .groupBy("doc_id", "run", "part").agg(
+             .groupBy("doc_id", "text_key", "run", "part").agg(
                  F.min("low").alias("start"), F.max("high").alias("end"),
                  F.count(F.lit(1)).alias("n_spans"),
                  F.min("first_doc_id").alias("first_doc_id"), F.min("own").alias("kept")))
-    whole = Window.partitionBy("doc_id", "run")
+    whole = Window.partitionBy("doc_id", "text_key", "run")
     long = F.max("end").over(whole) - F.min("start").over(whole) >= least_chars
     return parts.withColumn("long", long).where("long").withColumn(
         "n_chars", F.col("end") - F.col("start")).select(
-        "doc_id", "start", "end", "n_chars", "n_spans", "first_doc_id", "kept")
+        "doc_id", "text_key", "start", "end", "n_chars", "n_spans", "first_doc_id", "kept")
 
 
 def deduplicate(docs: DataFrame, runs: DataFrame | None = None) -> DataFrame:
-    """``(doc_id, text)`` without the runs that are not kept; rows of a null id stay."""
+    """``(doc_id, text)`` without the runs that are not kept; rows of a null id stay whole,
+    since nothing names them again."""
     runs = repeated_runs(docs) if runs is None else runs
-    gone = runs.where("not kept and doc_id is not null").groupBy("doc_id").agg(
+    gone = runs.where("not kept and doc_id is not null").groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cuts"))
     ends = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda c: c["end"]))
     pieces = F.zip_with(F.slice(ends, 1, F.size("cuts")), F.col("cuts"), lambda e, c: F.substring(
         F.col("text"), e + 1, c["start"] - e))
     rest = F.substring(F.col("text"), F.element_at(ends, -1) + 1, F.length("text"))
-    return docs.select("doc_id", "text").join(gone, "doc_id", "left").select(
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return keyed.join(gone, ["doc_id", "text_key"], "left").select(
         "doc_id", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(
             F.concat(F.array_join(pieces, ""), rest)).alias("text"))

@@ -1,5 +1,6 @@
 import random
 
+import xxhash
 from rillet.llm import substring_dedup as dedup
 from rillet.llm.queries import QUERIES
 from rillet.sources.tables import table
@@ -34,22 +35,23 @@ def brute_cuts(text, reach=dedup.REACH):
 
 def brute_runs(rows):
     """(doc, start, end, spans, first doc, kept) by dictionaries."""
-    texts = dict.fromkeys((i, t or "") for i, t in rows)
-    places = {}
-    for i, t in texts:
+    texts, places = dict.fromkeys((i, t or "") for i, t in rows if i is not None), {}
+    for no, (i, t) in enumerate([*texts, *[(None, t or "") for i, t in rows if i is None]]):
         raw = t.encode()
         at = brute_cuts(raw)
         for k, a in enumerate(at):
             end = next((b for b in at[k:] if b - a >= dedup.LEAST_BYTES), None)
             if end:
-                place = (i is None, i or 0, len(raw[:a].decode()), len(raw[:end].decode()))
+                key = no if i is None else xxhash.xxh64_intdigest(raw, 42)
+                key -= 2**64 if key >= 2**63 else 0
+                place = (i is None, i or 0, key, len(raw[:a].decode()), len(raw[:end].decode()))
                 places.setdefault(raw[a:end], set()).add(place)
     marked = {}
     for found in places.values():
-        if len({p[:2] for p in found}) > 1:
+        if len({p[:3] for p in found}) > 1:
             first = min(found)
             for p in found:
-                marked.setdefault(p[:2], []).append((p[2], p[3], first[:2], p[:3] == first[:3]))
+                marked.setdefault(p[:3], []).append((p[3], p[4], first[:2], p[:4] == first[:4]))
     out = []
     for doc, hits in marked.items():
         runs = []
@@ -134,6 +136,22 @@ def test_a_copy_that_holds_a_widely_shared_passage_survives_once(spark):
         assert all(e <= s for (_, e), (s, _) in zip(bounds, bounds[1:])) and len(t) >= bounds[-1][1]
 
 
+def test_texts_of_one_id_keep_their_own_cuts(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join(f"{rng.randrange(10**6):x}" for _ in range(n))
+    shared, alone = words(90), words(120)
+    docs = [(0, f"{shared} {words(20)}"), (1, f"{shared} {words(30)}"), (1, alone), (1, alone),
+            (None, f"{shared} {words(9)}"), (None, alone + " x"), (None, alone + " x")]
+    frame = spark.createDataFrame(docs, "doc_id int, text string")
+    left = [(r.doc_id, r.text) for r in dedup.deduplicate(frame).collect()]
+    assert left.count((1, alone)) == 2 and (0, docs[0][1]) in left  # nothing unique is cut
+    assert sum(t.count(shared[100:-100]) for i, t in left if i is not None) == 1
+    runs = dedup.repeated_runs(frame).collect()
+    assert len({r.text_key for r in runs if r.doc_id is None}) == 3  # each a document of its own
+    assert len({r.text_key for r in runs if r.doc_id == 1}) == 2
+    assert rows_of(dedup.repeated_runs(frame)) == brute_runs(docs)
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert rows_of(dedup.repeated_runs(odd_docs)) == brute_runs(odd_rows)
     assert dedup.deduplicate(odd_docs).count() == len(odd_rows)
