@@ -1,30 +1,41 @@
 """HTML main text by equivalence-class template deduction.
 
 The tokens of a page are its block tags, each named by the path of open elements with
-their classes and ids, and its text blocks. Over the pages of one host, tags with equal
+their classes and ids, and the words of its text, each named by the path it stands at. Over the pages of one host, tags with equal
 occurrence vectors form a class. A class is valid if it has at least ``LEAST_TOKENS``
 tags, is found in half of the pages, and its tags alternate in one order in every page.
 The class that every page has once is the template's root; valid classes that stay within
 one gap of a larger class nest there. The gaps (slots) between the root's tags hold what
 the template leaves open. Slots are weighed over all pages by their words outside links,
 nested link lists and boilerplate elements; the enclosing element of the heaviest slot
-(the closest with most of the weight, no paragraph or heading) holds the main text. A text
-block that every page repeats at the same place is template too, unless it stands in an
-article or main element.
-
-A page with text in article or main elements gives all of it but boilerplate elements.
-Other pages give the blocks of the main text's element and, links apart, all blocks around
-it that are no template. In groups too small to tell a template (``LEAST_PAGES``), the blocks
-around it are those of the same element of the body, headings and paragraphs right in the
-body, and what comes before; if that is less than ``MAIN_SHARE`` of a page, all blocks.
+(the closest with most of the weight, no paragraph or heading) holds the main text.
+
+Words that every page has equally often at a path are template. A block is template if every
+page repeats it at its path, or if its words are for the most part template words (three or
+more) that every page has there in the same order: a notice with a number or a name in it.
+The words between them are a slot of the notice, not text of the article. Titles (h1) are
+never template, and a page whose article would mostly go is a copy of its neighbours: its
+article stays. Deduction needs ``LEAST_PAGES`` pages; smaller groups drop no text for it.
+
+A page with text in article or main elements gives all of it but boilerplate. Of several
+article elements, those at the place whose single elements are the longest over the pages
+hold the main text; article elements elsewhere or nested in it go if some page repeats them
+there (teasers, readers' posts). Other pages give the blocks of the main text's element and,
+links apart, all blocks around it that are no template.
+
+The words of a class, id or role mark boilerplate by themselves only if nothing else is in
+the name (comments, sidebar-left). Other names that begin or end with such a word
+(social-history) are confirmed by the pages: what they hold there has to be links or template
+for the most part.
 
 A host's pages are dealt into groups of about ``GROUP`` by a hash, so that a host of any
 size is many tasks; a group deduces its own template. A page alone is a group of one.
 
 Defined cases: a null or empty page, or one without text, gives the empty string; a null
 url is the host ''; repeated rows each give a row; unclosed or unmatched tags end with
-their parent or are ignored, cut-off markup at the end is dropped; an empty table gives
-an empty result; columns other than ``page_id``, ``url`` and ``html`` are ignored.
+their parent or are ignored, cut-off markup at the end is dropped; past ``DEEPEST`` open
+elements paths grow no longer and no marks are added, and the text stays; an empty table
+gives an empty result; columns other than ``page_id``, ``url`` and ``html`` are ignored.
 """
 
 from __future__ import annotations
@@ -49,8 +60,7 @@ LEAST_PAGES = 4
 ARTICLE_WEIGHT = 10
 #: Elements open at once from which on paths grow no longer.
 DEEPEST = 256
-#: Share of the weight that the main text's element must hold; of a page's words that it must
-#: hold before the rest counts as template without a proof.
+#: Share of the weight that the main text's element must hold.
 MAIN_SHARE = 0.8
 
 #: Elements by kind, and the words of class, id and role that mark boilerplate.
@@ -88,6 +98,9 @@ PLACE_WORDS = frozenset("area bar block bottom box container content inner left
                         "panel right section top wrap wrapper".split())
 STATE_WORDS = frozenset("active allowed closed disabled enabled free has hidden hide is no off on "
                         "open show with without".split())
+#: Words that say nothing beside one that marks boilerplate.
+GENERIC_WORDS = frozenset("a ad all body element footer global group header holder in item items "
+                          "link links list lists menu of on page post site the this to unit us".split())
 READER_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
 
 _TOKEN = re.compile(
@@ -107,11 +120,13 @@ class Block(NamedTuple):
     article: bool
     linked: int
     marks: tuple[int, ...] = ()  # elements around it that the words mark, by number
+    element: tuple[str, int, bool] | None = None  # its article: place, number, in another
 
 
 class Page(NamedTuple):
     tags: list[str]  # tokens in order; a token's place is its index
     blocks: list[Block]
+    marks: list[tuple[set[str], str, bool]]  # words, path, whether the name has others
 
 
 class _Open(NamedTuple):
@@ -120,46 +135,56 @@ class _Open(NamedTuple):
     noise: bool
     article: bool
     marks: tuple[int, ...] = ()
+    element: tuple[str, int, bool] | None = None
 
 
-def _marking(value: str) -> set[str]:
+def _marking(value: str) -> tuple[set[str], set[str]]:
     """Words of a class, id or role that mark boilerplate: the first and the last of each
-    name, without places at its end; a name that tells of a state has none."""
-    found = set()
+    name, without places at its end; a name that tells of a state has none. Those of names
+    with other words in them come apart."""
+    sure: set[str] = set()
+    doubtful: set[str] = set()
     for name in value.split():
         words = [w.lower() for w in _WORD.findall(name)]
         if STATE_WORDS.isdisjoint(words):
-            found |= NOISE_WORDS.intersection(words[:1])
+            found = NOISE_WORDS.intersection(words[:1])
             while words and words[-1] in PLACE_WORDS:
                 words.pop()
             found |= NOISE_WORDS.intersection(words[-1:])
-    return found
+            other = set(words) - NOISE_WORDS - PLACE_WORDS - GENERIC_WORDS
+            (doubtful if other else sure).update(found)
+    return sure, doubtful - sure
 
 
-def _described(name: str, attrs: str) -> tuple[str, bool, set[str]]:
-    """(label of an element, whether its attributes hide it, their words for boilerplate)."""
-    label, noise, words = name, False, set()
+def _described(name: str, attrs: str) -> tuple[str, bool, set[str], set[str]]:
+    """(label of an element, whether its attributes hide it, their words for boilerplate,
+    such words of names with others in them)."""
+    label, noise, words, doubtful = name, False, set(), set()
     for m in _ATTR.finditer(attrs) if attrs.strip() else ():
         key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
             label += "." + re.sub(r"[\d\s/]+", "-", value)
             if name not in NEVER_NOISE:
-                words |= _marking(value)
+                sure, unsure = _marking(value)
+                words |= sure
+                doubtful |= unsure
         elif key == "hidden" or key == "aria-hidden" and value == "true" or (
                 key == "style" and re.search(r"display\s*:\s*none", value)):
             noise = True
-    return label, noise, words
+    return label, noise, words, doubtful
 
 
-def _judged(blocks: list[Block], marks: list[set[str]]) -> list[Block]:
+def _judged(blocks: list[Block], marks: list[tuple[set[str], str, bool]], confirmed=frozenset()) -> list[Block]:
     """The blocks, with those as noise that a marked element holds. An element with most of
-    the words that are left is none, unless it holds what readers wrote beside other text."""
+    the words that are left is none, unless it holds what readers wrote beside other text;
+    one whose name has other words is none unless the pages ``confirmed`` its path."""
     words = [0 if b.noise else len(b.text.split()) for b in blocks]
     total, held = sum(words), Counter()
     for b, n in zip(blocks, words):
         for m in b.marks:
             held[m] += n
-    real = {m for m, n in held.items() if 2 * n <= total or n < total and marks[m] <= READER_WORDS}
+    real = {m for m, n in held.items() if (not marks[m][2] or marks[m][1] in confirmed)
+            and (2 * n <= total or n < total and marks[m][0] <= READER_WORDS)}
     return [b._replace(noise=b.noise or not real.isdisjoint(b.marks)) if b.marks else b for b in blocks]
 
 
@@ -167,7 +192,8 @@ def parse(html: str) -> Page:
     """Tag tokens and text blocks of a page."""
     tags: list[str] = []
     blocks: list[Block] = []
-    marks: list[set[str]] = []
+    marks: list[tuple[set[str], str, bool]] = []
+    articles = 0
     stack = [_Open("", "", False, False)]
     parts: list[str] = []
     linked = last = 0
@@ -179,7 +205,8 @@ def parse(html: str) -> Page:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 top = stack[-1]
-                blocks.append(Block(len(tags), text, top.path, top.noise, top.article, linked, top.marks))
+                blocks.append(Block(len(tags), text, top.path, top.noise, top.article, linked, top.marks,
+                                    top.element))
             parts.clear()
         linked = 0
 
@@ -223,22 +250,28 @@ def parse(html: str) -> Page:
             while stack[-1].name in shut:
                 close(len(stack) - 1)
             top = stack[-1]
-            label, noise, words = _described(name, attrs)
+            label, noise, words, doubtful = _described(name, attrs)
             noise |= name in NOISE_TAGS or name == "header" and not top.article
             path = f"{top.path}/{label}" if len(stack) < DEEPEST else top.path
             around = top.marks
             # past DEEPEST, elements add no marks either, as these are kept per block
-            if words and len(around) < DEEPEST:
-                around += (len(marks),)
-                marks.append(words)
-            stack.append(_Open(name, path, top.noise or noise, top.article or name in ARTICLE_TAGS, around))
+            for found in (words, doubtful):
+                if found and len(around) < DEEPEST:
+                    around += (len(marks),)
+                    marks.append((found, path, found is doubtful))
+            element = top.element
+            if name == "article":
+                articles += 1
+                element = f"{top.path}/article", articles, element is not None
+            stack.append(_Open(name, path, top.noise or noise, top.article or name in ARTICLE_TAGS, around,
+                               element))
             tags.append(path)
         elif m["raw"] is None and not m[0].startswith(("<!", "<?", "</")) and m.end() == len(html):
             break  # markup cut off by the end of the page
     if last < len(html):
         add(html[last:])
     flush()
-    return Page(tags, _judged(blocks, marks))
+    return Page(tags, blocks, marks)
 
 
 def _ordered(tokens: list[str], places: list[dict[str, list[int]]]) -> list[str]:
@@ -287,17 +320,81 @@ def classes(pages: list[Page]) -> tuple[list[str], dict[int, list[list[str]]]]:
     return root, nested
 
 
+def _template(pages: list[Page]) -> list[list[bool]]:
+    """For each block of each page whether it is template: every page repeats it at its path,
+    or most of its words are words that every page has equally often at this path, and every
+    page has these words in this order in a block there."""
+    if len(pages) < LEAST_PAGES:
+        return [[False] * len(p.blocks) for p in pages]
+    words = [[b.text.split() for b in p.blocks] for p in pages]
+    texts = [{(b.path, b.text) for b in p.blocks} for p in pages]
+    counts = [Counter((b.path, w) for b, ws in zip(p.blocks, wss) for w in ws) for p, wss in zip(pages, words)]
+    alike = set.intersection(*texts)
+    fixed = {token for token, n in min(counts, key=len).items() if all(c[token] == n for c in counts)}
+
+    def frame(block: Block, ws: list[str]) -> tuple:
+        own = tuple(w for w in ws if (block.path, w) in fixed)
+        return (block.path, own) if len(own) >= LEAST_TOKENS and 2 * len(own) >= len(ws) else ()
+
+    frames = [[frame(b, ws) for b, ws in zip(p.blocks, wss)] for p, wss in zip(pages, words)]
+    everywhere = set.intersection(*map(set, frames)) - {()}
+    return [[_names(b.path)[-1:] != ["h1"] and ((b.path, b.text) in alike or f in everywhere)
+             for b, f in zip(p.blocks, fs)] for p, fs in zip(pages, frames)]
+
+
+def _confirmed(pages: list[Page], template: list[list[bool]]) -> set[str]:
+    """Paths of marked elements with other words in their names that hold links or template
+    for the most part, over all pages that have them."""
+    words, proved = Counter(), Counter()
+    for page, fixed in zip(pages, template):
+        for b, t in zip(page.blocks, fixed):
+            n = len(b.text.split())
+            for m in b.marks:
+                _, path, doubtful = page.marks[m]
+                if doubtful:
+                    words[path] += n
+                    proved[path] += n if t else b.linked
+    return {path for path, n in words.items() if 2 * proved[path] >= n}
+
+
+def _own_articles(pages: list[list[Block]]) -> list[list[Block]]:
+    """The blocks in article and main elements without article elements that stand elsewhere
+    than the main text's, or within it, and that some page repeats there."""
+    longest: Counter = Counter()
+    repeated = set()
+    sizes = []
+    for blocks in pages:
+        size = Counter()
+        for b in blocks:
+            if b.element:
+                size[b.element] += max(0, len(b.text.split()) - 2 * b.linked)
+        most, times = Counter(), Counter(place for place, _, _ in size)
+        for (place, _, inside), n in size.items():
+            if not inside:
+                most[place] = max(most[place], n)
+        longest.update(most)
+        repeated |= {place for place, n in times.items() if n > 1}
+        sizes.append(most)
+    out = []
+    for blocks, most in zip(pages, sizes):
+        place = max(most, key=lambda x: (longest[x], most[x]), default=None)
+        out.append([b for b in blocks if b.article and not (
+            b.element and most[place] and b.element[0] in repeated
+            and (b.element[2] or b.element[0] != place))])
+    return out
+
+
 def _main_path(pages: list[Page], root: list[str], nested, stale) -> str:
     """Path of the element that encloses the heaviest slot."""
     weight: Counter = Counter()
     under: Counter = Counter()
     inside = {k: {t for c in cs for t in c} for k, cs in nested.items()}
-    for page in pages:
+    for page, fixed in zip(pages, stale):
         where = {t: k for k, t in enumerate(page.tags)}
         bounds = [where[t] for t in root]
         words, links = Counter(), Counter()
-        for b in page.blocks:
-            if b.noise or (b.path, b.text) in stale:
+        for b, gone in zip(page.blocks, fixed):
+            if b.noise or gone:
                 continue
             slot = bisect_right(bounds, b.at - 1)
             n, more = len(b.text.split()), ARTICLE_WEIGHT if b.article else 1
@@ -334,41 +431,36 @@ def _within(path: str, element: str) -> bool:
     return not element or path == element or path.startswith(element + "/")
 
 
-def _around(good: list[Block], main: str, known: bool) -> list[Block]:
-    """The blocks of the main text's element and around it; ``known``: what the pages
-    repeat has been taken out."""
+def _around(good: list[Block], main: str) -> list[Block]:
+    """The blocks of the main text's element and, links apart, those around it."""
     core = [_within(b.path, main) for b in good]
     if not any(core):
         return good
-    text = [2 * b.linked <= len(b.text.split()) or _names(b.path)[-1:] == ["h1"] for b in good]
-    kept = [c or t for c, t in zip(core, text)]
-    if not known:
-        depth = next((k for k, n in enumerate(_names(main)) if n not in ("html", "body")), 0)
-        top = "/".join(main.split("/")[:depth + 2])  # the element of the body
-        first = core.index(True)
-        near = [c or t and (k < first or _within(b.path, top)
-                            or TEXT_TAGS.issuperset(_names(b.path)[depth:]))
-                for k, (b, c, t) in enumerate(zip(good, core, text))]
-        words = [len(b.text.split()) for b in good]
-        if sum(w for w, n in zip(words, near) if n) >= MAIN_SHARE * sum(w for w, n in zip(words, kept) if n):
-            kept = near
-    return [b for b, k in zip(good, kept) if k]
+    return [b for b, c in zip(good, core)
+            if c or 2 * b.linked <= len(b.text.split()) or _names(b.path)[-1:] == ["h1"]]
+
+
+def _words(blocks: list[Block]) -> int:
+    return sum(len(b.text.split()) for b in blocks)
 
 
 def extract(htmls: list[str | None]) -> list[str]:
     """Main texts of pages of one host."""
     pages = [parse(h or "") for h in htmls]
+    template = _template(pages)
+    confirmed = _confirmed(pages, template)
+    pages = [p._replace(blocks=_judged(p.blocks, p.marks, confirmed)) for p in pages]
     root, nested = classes(pages)
-    stale: set[tuple[str, str]] = set()
-    if len(pages) >= LEAST_PAGES:
-        seen = Counter(x for p in pages for x in {(b.path, b.text) for b in p.blocks if not b.article})
-        stale = {x for x, n in seen.items() if n == len(pages)}
+    stale = [[t and not b.article for b, t in zip(p.blocks, fixed)] for p, fixed in zip(pages, template)]
     main = _main_path(pages, root, nested, stale)
+    said = [[b for b in p.blocks if not b.noise] for p in pages]
+    left = [[b for b, t in zip(p.blocks, fixed) if not b.noise and not t] for p, fixed in zip(pages, template)]
+    own_said, own_left = _own_articles(said), _own_articles(left)
     out = []
-    for page in pages:
-        good = [b for b in page.blocks if not b.noise and (b.path, b.text) not in stale]
-        # an article element of the page goes before what encloses it
-        own = [b for b in good if b.article] or _around(good, main, len(pages) >= LEAST_PAGES)
+    for whole, rest, article, article_left in zip(said, left, own_said, own_left):
+        # a page of which most would go is a copy of its neighbours
+        own = article_left if 2 * _words(article_left) >= _words(article) else article
+        own = own or _around(rest, main) or _around(whole, main)
         out.append(" ".join(b.text for b in own))
     return out
 

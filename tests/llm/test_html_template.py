@@ -46,8 +46,11 @@ def test_templates_with_and_without_an_article_element():
     rng = random.Random(5)
     for tagged in (True, False):
         pages = [site(rng, k, rng.randrange(1, 7), tagged) for k in range(12)]
-        for some in (pages, pages[:4], pages[:1]):
+        for some in (pages, pages[:4]):
             assert page.extract([p for p, _ in some]) == [t for _, t in some]
+        # one page shows no template: what stands around its text stays, without an article
+        rest = "" if tagged else " Every page says this"
+        assert page.extract([pages[0][0]]) == [pages[0][1] + rest]
 
 
 def test_classes_nest():
@@ -73,7 +76,9 @@ def test_title_and_lead_beside_a_body_div_stay():
                     f"</{around}><div class=foot><p>Always here</p></div></body></html>")
                 want.append(" ".join([f"Title {k}", lead, *body]))
             for n in (1, 2, 4, 12):
-                assert page.extract(sources[:n]) == want[:n], (around, lead_tag, n)
+                # few pages without an article show no template, so nothing goes for it
+                rest = " Always here" if around == "div" and n < page.LEAST_PAGES else ""
+                assert page.extract(sources[:n]) == [w + rest for w in want[:n]], (around, lead_tag, n)
 
 
 def test_text_around_the_main_element_stays():
@@ -82,7 +87,8 @@ def test_text_around_the_main_element_stays():
             f"{prose(rng, 90)}</p></div><p>end {k}</p><div class=all>Always</div></body>" for k in range(8)]
     for n in (1, 3, 8):
         for k, text in enumerate(page.extract(flat[:n])):
-            assert text.startswith(f"Title {k} lead {k} ") and text.endswith(f" end {k}")
+            rest = "" if n >= page.LEAST_PAGES else " Always"
+            assert text.startswith(f"Title {k} lead {k} ") and text.endswith(f" end {k}{rest}")
     # a minority layout with a small block in the majority's element
     other = (f"<body><h1>Other</h1><div class=body><p>note</p></div><div class=wide><p>"
              f"{prose(rng, 90)} last</p></div><div class=all>Always</div></body>")
@@ -144,3 +150,95 @@ def test_odd_rows_and_a_hot_host(spark):
         (900, "no url"), (901, ""), (902, ""), (None, "no id"), (3, pages[3][1])]
     assert sorted(map(str, [(r.page_id, r.text) for r in got])) == sorted(map(str, want))
     assert page.main_text(frame.limit(0)).count() == 0
+
+
+def layouts(rng, n):
+    """(name, pages, main texts): what only the pages of a host together can tell."""
+    text = [f"{prose(rng, rng.randrange(60, 90))} end {k}." for k in range(n)]
+    teaser = lambda: f"<article><p>{prose(rng, 12)}</p></article>"
+    own = lambda k: f"<h1>Title {k}</h1><p>{text[k]}</p>"
+    want = [f"Title {k} {t}" for k, t in enumerate(text)]
+    yield "a notice in the article", [
+        f"<body><article>{own(k)}<p>This site will be closed for works next week</p></article></body>"
+        for k in range(n)], want
+    for around in ("article", "div"):
+        yield f"a notice with a number, {around}", [
+            f"<body><{around} class=text>{own(k)}<p class=v>Visitor number {rng.randrange(10**6)} welcome here</p>"
+            f"<div class=d>Printed on day {k} of the year</div></{around}></body>" for k in range(n)], want
+    yield "teasers of another section", [
+        f"<body><div class=one><article>{own(k)}</article></div><section class=more>"
+        + "".join(teaser() for _ in range(2 + k % 4)) + "</section></body>" for k in range(n)], want
+    yield "teasers in main", [
+        f"<main><article>{own(k)}</article><section><h2>Read more of us</h2>{teaser()}{teaser()}</section></main>"
+        for k in range(n)], want
+    yield "readers' posts in the article", [
+        f"<body><article>{own(k)}<div class=x>" + "".join(teaser() for _ in range(k % 4)) + "</div></article></body>"
+        for k in range(n)], want
+    yield "share links in a class of another name", [
+        f"<body><article>{own(k)}<div class=social-kiosk><a href=a{k}>Tell it to {prose(rng, 2)}</a></div></article></body>"
+        for k in range(n)], want
+
+
+def test_the_template_decides(monkeypatch):
+    """Without deduction every one of these layouts gives another text."""
+    for name, sources, want in layouts(random.Random(31), 12):
+        assert page.extract(sources) == want, name
+        with monkeypatch.context() as m:
+            m.setattr(page, "_template", lambda ps: [[False] * len(p.blocks) for p in ps])
+            m.setattr(page, "_own_articles", lambda ps: [[b for b in bs if b.article] for bs in ps])
+            m.setattr(page, "_confirmed", lambda ps, t: set())
+            assert page.extract(sources) != want, name
+
+
+def test_template_blocks_against_a_plain_search():
+    """Small made blocks: the rule word by word, page by page."""
+    rng = random.Random(33)
+    for _ in range(300):
+        pages = []
+        for _ in range(rng.randrange(3, 7)):
+            body = "".join(f"<{tag}>{' '.join(rng.choice('abcd') for _ in range(rng.randrange(1, 6)))}</{tag}>"
+                           for tag in rng.choices(["p", "div", "h1"], k=rng.randrange(1, 4)))
+            shared = "".join(f"<p>v w {rng.choice('xyz')} u</p>" for _ in range(rng.random() < 0.9))
+            pages.append(page.parse(f"<body>{body}{shared}</body>"))
+
+        def count(p, path, word):
+            return sum(b.text.split().count(word) for b in p.blocks if b.path == path)
+
+        def words(b):
+            return [w for w in b.text.split() if len({count(p, b.path, w) for p in pages}) == 1]
+
+        def is_template(b):
+            if len(pages) < page.LEAST_PAGES or b.path.endswith("/h1"):
+                return False
+            if all(any(o.path == b.path and o.text == b.text for o in p.blocks) for p in pages):
+                return True
+            ws = words(b)
+            return len(ws) >= 3 and 2 * len(ws) >= len(b.text.split()) and all(
+                any(o.path == b.path and words(o) == ws and 2 * len(ws) >= len(o.text.split()) for o in p.blocks)
+                for p in pages)
+        assert page._template(pages) == [[is_template(b) for b in p.blocks] for p in pages]
+
+
+def test_nothing_else_is_dropped():
+    rng = random.Random(35)
+    text = prose(rng, 80)
+    # classes that only begin or end with a word of boilerplate, in groups of any size
+    for name in ("class='social-history'", "class='search-engines'", "id='notice-of-meeting'", "class=earlyAds"):
+        sources = [f"<article><h1>T</h1><div {name}><p>{text} {k}</p></div><p>{prose(rng, 70)} {k}</p></article>"
+                   for k in range(12)]
+        for n in (1, 3, 12):
+            assert all(f"{text} {k}" in t for k, t in enumerate(page.extract(sources[:n]))), (name, n)
+    # a small second block beside the main one, on a page alone and on few pages
+    for n in (1, 3):
+        sources = [f"<body><div class=main-a><p>{text}</p></div><div class=b><p>{prose(rng, 15)}</p></div></body>"] * n
+        assert all(len(t.split()) == 95 for t in page.extract(sources))
+    # copies of one article on a host, whole and with a few words of their own
+    copies = [f"<body><article><h1>T</h1><p>{text}</p><p>{text} more</p><p>{k}</p></article></body>" for k in range(8)]
+    assert page.extract(copies) == [f"T {text} {text} more {k}" for k in range(8)]
+    assert page.extract([copies[0]] * 8) == [f"T {text} {text} more 0"] * 8
+    same = [f"<body><div><p>{text}</p></div></body>"] * 6
+    assert page.extract(same) == [text] * 6
+    # two parts of an article at different places
+    parts = [f"<body><div class=a><article><p>{text} {k}</p></article></div><div class=b><article><p>"
+             f"{prose(rng, 40)} {k}</p></article></div></body>" for k in range(8)]
+    assert all(t.count(f" {k}") >= 2 for k, t in enumerate(page.extract(parts)))
