@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from rillet.llm import decontam, packing, quality, secret_scan, simhash
 from rillet.llm.common import stored
+from rillet.operators.joins import bounded_broadcast
 from rillet.sources.tables import table
 
 
@@ -36,8 +37,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     digest = F.sha2("text", 256)
     found = decontam.matches(docs.select(digest.alias("doc_id"), "text"),
                              table(spark, sf_dir, "benchmark", "item_id", "text"))
-    gone = found.select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.sha2(docs["text"], 256) == gone["gone"], "left_anti")
+    # a few digests: with their number known, the documents need not be shuffled for them
+    gone = stored(found.select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
+    return docs.join(bounded_broadcast(gone), F.sha2(docs["text"], 256) == gone["gone"], "left_anti")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
