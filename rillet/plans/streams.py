@@ -21,8 +21,8 @@ from rillet.session import scratch_path
 from rillet.sources import adapters
 from rillet.sources.day_table import DayTable
 from rillet.streaming import jobs
-from rillet.streaming.sources import (cut_at, dropped_late, file_stream, replay, time_chunks,
-                                      time_edges)
+from rillet.streaming.metrics import LATE, StageMetrics
+from rillet.streaming.sources import cut_at, file_stream, replay, time_chunks, time_edges
 
 CUTS = [0.33, 0.66]  # chunk edges as fractions of the time span (split inside days)
 #: Seconds by which order lines arrive before or after the step of their order.
@@ -243,15 +243,15 @@ def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     pl = adapters.page_log(spark, sf_dir)
     day = F.floor(F.col("ts") / F.lit(86_400_000))
     newest = pl.agg(F.max(day)).first()[0] or 0
-    sink, dropped = DayTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"]), []
+    sink = DayTable(spark, f"{root}/sink", ["dt", "mid"], ["dt"])
     users, provinces = _dims(spark, sf_dir)
 
     def run_once():
-        query = jobs.dau_stream(file_stream(spark, f"{root}/src", pl.schema), users, provinces, sink,
-                                f"{root}/ckpt", adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
-                                state_partitions=_state_partitions(spark))
-        query.awaitTermination()
-        dropped.append(dropped_late(query))
-        return query
-    replay([[(f"{root}/src", pl.where(day >= newest))], [(f"{root}/src", pl.where(day < newest))]], run_once)
-    return spark.createDataFrame([(sum(dropped),)], "dropped bigint")
+        return jobs.dau_stream(file_stream(spark, f"{root}/src", pl.schema), users, provinces, sink,
+                               f"{root}/ckpt", adapters.USER_AS_OF, trigger=AVAILABLE_NOW,
+                               state_partitions=_state_partitions(spark))
+    with StageMetrics(spark, f"{root}/metrics") as metrics:
+        replay([[(f"{root}/src", pl.where(day >= newest))], [(f"{root}/src", pl.where(day < newest))]], run_once)
+        metrics.settle()
+    late = metrics.read().where(F.col("stage") == LATE)
+    return late.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("dropped"))

@@ -64,12 +64,6 @@ def time_chunks(df: DataFrame, ts_col: str, cuts: list[float]) -> list[DataFrame
     return cut_at(df, ts_col, time_edges(df, ts_col, cuts))
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """Rows that the watermark dropped in the query's recent batches."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress
-               for op in p["stateOperators"])
-
-
 def replay(steps: list[list[tuple[str, DataFrame]]],
            run_once: Callable[[], StreamingQuery]) -> int:
     """Deliver steps one after another: append each step's chunks to their
