@@ -44,6 +44,9 @@ from rillet.operators.joins import bounded_broadcast
 LENGTH = 4096
 END_ID = 2
 UNIT = 16
+#: The linear program ends within this share of its optimum, or after so many pivots a class
+#: that leave its objective as it is.
+GAP, STALL = 1e-4, 2
 #: First id of sequences that one document fills.
 WHOLE = 1 << 62
 #: Words whose ids a worker remembers, twice as many at the most besides one batch.
@@ -178,21 +181,48 @@ def price(values: np.ndarray, widths: np.ndarray, room: int) -> tuple[float, np.
     return float(best[room]), count
 
 
-def solve(widths: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by row operations. Threaded linear algebra may hang in a driver process that
+    has started a JVM; these loops use none, and 256 rows take a tenth of a second."""
+    n = len(matrix)
+    rows = np.hstack([matrix, np.eye(n)])
+    for k in range(n):
+        best = k + int(np.abs(rows[k:, k]).argmax())
+        if best != k:
+            rows[[k, best]] = rows[[best, k]]
+        rows[k] /= rows[k, k]
+        factor = rows[:, k].copy()
+        factor[k] = 0
+        rows -= factor[:, None] * rows[k]
+    return rows[:, n:]
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,j->i", matrix, vector)
+
+
+def solve(widths: np.ndarray, demand: np.ndarray, room: int, gap: float = GAP
+          ) -> tuple[np.ndarray, np.ndarray]:
     """(patterns as rows, multiplicities) of the least number of sequences, fractions
-    allowed: a revised simplex that prices columns by ``price``."""
+    allowed: a revised simplex that prices columns by ``price``. The best column's value
+    bounds the optimum from below (the duals divided by it are feasible), so the search ends
+    within ``gap`` of it. Degenerate pivots may go round without end on floating numbers: it
+    ends as well if the objective has not fallen for ``STALL`` pivots a class. Every basis on
+    the way is a plan that meets the demand."""
     m = len(widths)
     patterns = np.diag((room // widths).astype(float))
     inverse = np.diag(1 / patterns.diagonal())
-    # slightly unlike demands, so that no two rows tie for ever
-    shifted = demand * (1 + 1e-7 * (np.arange(m) + 1) / m)
-    x, pivots = inverse @ shifted, 0
+    # slightly unlike demands, so that rows seldom tie
+    shifted = demand * (1 + 1e-6 * np.random.default_rng(1).random(m))
+    x, pivots, least, since = _times(inverse, shifted), 0, 1e300, 0
     while True:
         duals = inverse.sum(axis=0)
         value, column = price(duals, widths, room)
-        if value <= 1 + 1e-7:
+        since = 0 if x.sum() < least - 1e-9 * least else since + 1
+        least = min(least, float(x.sum()))
+        if value <= 1 + max(gap, 1e-9) or since > STALL * m:
             break
-        step = inverse @ column
+        step = _times(inverse, column)
         ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
         row = int(ratio.argmin())
         if not np.isfinite(ratio[row]):
@@ -200,13 +230,13 @@ def solve(widths: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray
         patterns[:, row] = column
         pivots += 1
         if pivots % 128 == 0:
-            inverse = np.linalg.inv(patterns)
+            inverse = inverse_of(patterns)
         else:
             pivot = inverse[row] / step[row]
-            inverse -= np.outer(step, pivot)
+            inverse -= step[:, None] * pivot
             inverse[row] = pivot
-        x = np.maximum(inverse @ shifted, 0)
-    return patterns.T, np.maximum(np.linalg.solve(patterns, demand), 0)
+        x = np.maximum(_times(inverse, shifted), 0)
+    return patterns.T, np.maximum(_times(inverse_of(patterns), demand.astype(float)), 0)
 
 
 def fullest(widths: np.ndarray, left: np.ndarray, room: int) -> np.ndarray:

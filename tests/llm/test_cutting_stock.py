@@ -96,10 +96,10 @@ def test_linear_program_against_all_patterns():
     for _ in range(20):
         widths = np.array(sorted(rng.sample(range(1, 15), 5)))
         demand = np.array([rng.randrange(1, 60) for _ in widths])
-        patterns, x = cutting_stock.solve(widths, demand, 16)
+        patterns, x = cutting_stock.solve(widths, demand, 16, 0)
         assert np.allclose(patterns.T @ x, demand, atol=1e-6)
         assert ((patterns @ widths) <= 16).all()
-        duals = np.linalg.solve(patterns, np.ones(len(widths)))
+        duals = cutting_stock.inverse_of(patterns) @ np.ones(len(widths))
         every = [c for c in itertools.product(*[range(16 // w + 1) for w in widths])
                  if np.dot(c, widths) <= 16]
         assert max(np.dot(c, duals) for c in every) <= 1 + 1e-6
@@ -111,6 +111,20 @@ def test_linear_program_against_all_patterns():
         assert sum(n for _, n in kept) <= np.ceil(x.sum()) + 2
 
 
+def test_degenerate_programs_end():
+    """Many classes of equal demand, as small tables have them; near the bound by size."""
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        widths = np.sort(rng.choice(np.arange(1, 257), 200, replace=False))
+        demand = rng.integers(1, 4, 200) if seed % 2 else np.full(200, 30)
+        patterns, x = cutting_stock.solve(widths, demand, 256)
+        assert np.allclose(patterns.T @ x, demand, atol=1e-3)
+        back = cutting_stock.inverse_of(patterns)
+        assert np.allclose(np.einsum("ij,jk->ik", back, patterns), np.eye(200), atol=1e-6)
+        _, best = cutting_stock.price(np.maximum(back.sum(axis=1), 0), widths, 256)
+        assert x.sum() >= demand @ widths / 256 - 1e-6 and best @ widths <= 256
+
+
 def test_hot_length(spark):
     """Most documents have one length; a few sequences' worth of others."""
     docs = [(k, "word " * 1500) for k in range(300)] + [(300 + k, "word " * (k % 40)) for k in range(100)]
