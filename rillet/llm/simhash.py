@@ -30,6 +30,8 @@ RADIUS = 3
 SEED = 42
 #: Fingerprints of a tile that are compared as one block.
 BLOCK = 2048
+#: A key with more than one HOT-th of the rows is joined by broadcast.
+HOT = 1000
 #: Pairs that one numpy call compares.
 CELLS = 1 << 21
 _QUARTERS, _BASE = 4, 17
@@ -200,20 +202,30 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
             .mapInArrow(partial(_compare, radius=radius), "a bigint, b bigint"))
 
 
+def _joined(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of the stored ``facts(key, n, ...)``, n being the number of
+    rows of a key. Keys of over one ``HOT``-th of the rows, fewer than ``HOT`` in number, meet
+    their rows by broadcast, so that no task gets more than one ``HOT``-th by its key."""
+    total = facts.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT > total
+    hot = F.broadcast(facts.where(is_hot).drop("n"))
+    cool = rows.join(hot.select(key), key, "left_anti").join(facts.where(~is_hot).drop("n"), key)
+    return rows.join(hot, key).unionByName(cool)
+
+
 def _classified(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
     """``docs`` without its text, with ``fp``, its component's smallest fingerprint
     ``root`` and smallest id ``component_id``."""
     prints = stored(fingerprints(docs, shingle), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     linked = stored(components(links(nodes.select("fp"), radius)).toDF("fp", "root"), "roots")
-    least = nodes.join(linked, "fp").groupBy("root").agg(F.min("first_id").alias("least_id"))
-    classes = nodes.join(linked.join(least, "root"), "fp", "left").select(
+    least = stored(nodes.join(linked, "fp").groupBy("root").agg(
+        F.min("first_id").alias("least_id"), F.count(F.lit(1)).alias("n")), "least")
+    classes = nodes.join(_joined(linked, least, "root"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("least_id"))
-        .alias("component_id"))
-    # both sides of the join are scans, so that a fingerprint that a third of the rows
-    # share is a partition AQE can split
-    return prints.join(stored(classes, "classes"), "fp")
+        .alias("component_id"), "n")
+    return _joined(prints, stored(classes, "classes"), "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS

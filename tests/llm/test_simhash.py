@@ -59,6 +59,17 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_a_fingerprint_that_a_third_of_the_rows_share(spark, odd_rows, monkeypatch):
+    """Hot and other fingerprints and groups take their own joins."""
+    texts = odd_rows + [(1000 + k, "the same five words here") for k in range(40)]
+    texts += [(2000 + k, f"text number {k} of its own kind {k * 7}") for k in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    for share in (1, 4, 10**6):  # none hot, some, all
+        monkeypatch.setattr(simhash, "HOT", share)
+        found = simhash.near_duplicates(docs).select("doc_id", simhash.hex_of(), "component_id")
+        same([tuple(r) for r in found.collect()], texts)
+
+
 def test_links_of_a_dense_group_and_large_tiles(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 16)
     rng = random.Random(5)
