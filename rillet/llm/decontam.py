@@ -14,7 +14,9 @@ subsequence with the best stretch near the window must reach ``SURE`` of the pas
 or ``LIKELY`` with the passage's answer (its last words) found as well.
 
 The passages are the stated query set. They are taken in blocks of bounded size, each
-compared with all windows of all documents.
+compared with all windows of all documents. Document frequencies of all their words come
+from one reading of the documents, and one more reading serves ``PASS_BLOCKS`` blocks; words
+are cut and numbered once a reading. The benchmark's distinct words are held in every task.
 
 Defined cases: null and empty texts and items match nothing; repeated rows each give
 rows; an item or a document with a null id is matched and carried with the null; an
@@ -24,8 +26,9 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from functools import partial
+from functools import partial, reduce
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,8 @@ WINDOW, STRIDE = 64, 32
 SHIFT = 16
 #: Stretches of a query block.
 QUERY_BLOCK = 512
+#: Query blocks that one reading of the documents serves; a block's space takes at most 33 MB.
+PASS_BLOCKS = 8
 RANK, OVERSAMPLE, POWER_STEPS, SEED = 256, 16, 2, 7
 LEAST_COSINE, LEAST_COVER = 0.25, 0.45
 SURE, LIKELY, ANSWER_WORDS, ANSWER_SHARE = 0.75, 0.6, 6, 0.5
@@ -111,6 +116,15 @@ def _idf(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
     return np.log((1 + total) / (1 + df)) + 1
 
 
+class _Block(NamedTuple):
+    """What a task needs to search for a query block."""
+    local: np.ndarray  # the block's number of each benchmark word; -1 for others, and at the end
+    items: list[list[int]]  # term numbers of each stretch
+    owners: list[int]  # its passage
+    space: np.ndarray  # idf-weighted rows of the latent space
+    latent: np.ndarray  # latent stretches
+
+
 def _times(batches, right, idf):
     """Partial sums of A'(A right) of a task's rows, in blobs of ``TERMS_PER_BLOB`` terms."""
     out = np.zeros(right.shape, np.float64)
@@ -199,89 +213,108 @@ def verdict(item: list[int], words: list[int]) -> tuple[float, bool, bool, int]:
     return share, found, share >= SURE or (share >= LIKELY and found), at
 
 
-def _search(batches, terms, items, owners, space, norms, schema):
-    """Matches of a task's documents. ``items``: term numbers of each stretch; ``owners``:
-    its passage; ``space``: idf-weighted rows of the latent space; ``norms``: latent stretches."""
-    length = np.linalg.norm(norms, axis=1)
-    unit = (norms / np.maximum(length, 1e-12)[:, None]).astype(np.float32)
+def _found(each, block, unit, length):
+    """Matches of a slice's documents, given by the block's numbers of their words:
+    ``{(document, passage): (share, answer found, start, cosine)}``."""
+    _, items, owners, space, _ = block
+    blocks = np.array([max(1, -(-len(x) // STRIDE)) for x in each])
+    first = np.concatenate([[0], np.cumsum(blocks)])
+    owner = np.repeat(np.arange(len(each)), blocks)
+    words = np.concatenate(each)
+    at_block = np.concatenate([f + np.arange(len(x)) // STRIDE for f, x in zip(first, each)])
+    known = words >= 0
+    words, at_block = words[known], at_block[known].astype(np.int64)
+    latent = np.zeros((first[-1], space.shape[1]), np.float32)
+    step = max(1, CELLS // max(1, space.shape[1]))
+    for lo in range(0, len(words), step):
+        b = at_block[lo:lo + step]
+        starts = np.flatnonzero(np.diff(b, prepend=-1))
+        latent[b[starts]] += np.add.reduceat(space[words[lo:lo + step]], starts, axis=0)
+    inner = owner[:-1] == owner[1:]
+    window = latent.copy()
+    window[:-1][inner] += latent[1:][inner]
+    size = np.linalg.norm(window, axis=1)
+    best: dict[tuple[int, int], tuple] = {}
+    step = max(1, CELLS // max(1, len(unit)))
+    for lo in range(0, len(window), step):
+        along = window[lo:lo + step] @ unit.T
+        near = (along >= LEAST_COSINE * size[lo:lo + step, None]) & (
+            along >= LEAST_COVER * length[None, :]) & (length > 0)[None, :]
+        for w, q in zip(*np.nonzero(near)):
+            doc, at = int(owner[lo + w]), int(lo + w)
+            start = max(0, (at - first[doc]) * STRIDE - STRIDE)
+            text = each[doc][start:start + WINDOW + 2 * STRIDE].tolist()
+            share, answer, bad, off = verdict(items[q], text)
+            if bad and share > best.get((doc, owners[q]), (0,))[0]:
+                cosine = float(along[w, q] / max(size[at], 1e-12))
+                best[doc, owners[q]] = (share, answer, int(start + off), cosine)
+    return best
+
+
+def _search(batches, terms, blocks, schema):
+    """Matches of a task's documents with the passages of ``blocks``."""
+    lengths = [np.linalg.norm(b.latent, axis=1) for b in blocks]
+    units = [(b.latent / np.maximum(n, 1e-12)[:, None]).astype(np.float32)
+             for b, n in zip(blocks, lengths)]
     for part, texts in text_slices(batches):
         each = [_numbers(t, terms) for t in texts]
-        blocks = np.array([max(1, -(-len(x) // STRIDE)) for x in each])
-        first = np.concatenate([[0], np.cumsum(blocks)])
-        owner = np.repeat(np.arange(len(each)), blocks)
-        words = np.concatenate(each)
-        block = np.concatenate([f + np.arange(len(x)) // STRIDE for f, x in zip(first, each)])
-        known = words >= 0
-        words, block = words[known], block[known].astype(np.int64)
-        latent = np.zeros((first[-1], space.shape[1]), np.float32)
-        step = max(1, CELLS // max(1, space.shape[1]))
-        for lo in range(0, len(words), step):
-            b = block[lo:lo + step]
-            starts = np.flatnonzero(np.diff(b, prepend=-1))
-            latent[b[starts]] += np.add.reduceat(space[words[lo:lo + step]], starts, axis=0)
-        inner = owner[:-1] == owner[1:]
-        window = latent.copy()
-        window[:-1][inner] += latent[1:][inner]
-        size = np.linalg.norm(window, axis=1)
-        best: dict[tuple[int, int], tuple] = {}
-        step = max(1, CELLS // max(1, len(unit)))
-        for lo in range(0, len(window), step):
-            along = window[lo:lo + step] @ unit.T
-            near = (along >= LEAST_COSINE * size[lo:lo + step, None]) & (
-                along >= LEAST_COVER * length[None, :]) & (length > 0)[None, :]
-            for w, q in zip(*np.nonzero(near)):
-                doc, at = int(owner[lo + w]), int(lo + w)
-                start = max(0, (at - first[doc]) * STRIDE - STRIDE)
-                text = each[doc][start:start + WINDOW + 2 * STRIDE].tolist()
-                share, answer, bad, off = verdict(items[q], text)
-                if bad and share > best.get((doc, owners[q]), (0,))[0]:
-                    cosine = float(along[w, q] / max(size[at], 1e-12))
-                    best[doc, owners[q]] = (share, answer, int(start + off), cosine)
-        names = part.column(0).to_pylist()
-        rows = [(names[d], q, *found) for (d, q), found in sorted(best.items())]
+        names, rows = part.column(0).to_pylist(), []
+        for block, unit, length in zip(blocks, units, lengths):
+            best = _found([block.local[x] for x in each], block, unit, length)
+            rows += [(names[d], q, *found) for (d, q), found in sorted(best.items())]
         cols = list(zip(*rows)) or [[]] * 6
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(cols, [part.schema.field(0).type, pa.int32(),
              pa.float64(), pa.bool_(), pa.int64(), pa.float64()])], schema)
 
 
+def _block(spark, rows, first: int, terms: dict[bytes, int], idf: np.ndarray) -> _Block | None:
+    """The query block of some passages, numbered from ``first``; None if they have no word."""
+    queries = [[terms[w.encode()] for w in x] for r in rows for x in r["stretches"]]
+    owners = [first + k for k, r in enumerate(rows) for _ in r["stretches"]]
+    words = np.array(list(dict.fromkeys(w for q in queries for w in q)), np.int64)
+    if not len(words):
+        return None
+    local = np.full(len(terms) + 1, -1, np.int32)
+    local[words] = np.arange(len(words))
+    items = [local[q].tolist() for q in queries]
+    own = idf[words]
+    fit = stored(spark.createDataFrame([(q,) for q in items], "terms array<int>"), "fit")
+    space = (own[:, None] * latent_space(fit, own)).astype(np.float32)
+    return _Block(local, items, owners, space, np.array([space[q].sum(axis=0) for q in items]))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``(doc_id, item_id, passage, share, answer_found, word_start, cosine)``: one row
     per document and benchmark passage found in it."""
     cut = stored(passages(benchmark, window).withColumn(
         "hash", F.xxhash64("item_id", "passage", "stretches")), "passages")
     total = cut.agg(F.sum(F.size("stretches")).alias("n")).first()["n"] or 0
-    turns = max(1, -(-total // QUERY_BLOCK))
-    out, spark = None, docs.sparkSession
+    turns = max(1, -(-total // QUERY_BLOCK))  # each holds about QUERY_BLOCK stretches
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
-    for turn in range(turns):  # each holds about QUERY_BLOCK stretches of WINDOW words
-        rows = cut.where(F.pmod("hash", F.lit(turns)) == turn).orderBy(
-            "item_id", "passage", "hash").collect()
-        queries = [[w.encode() for w in x] for r in rows for x in r["stretches"]]
-        owners = [k for k, r in enumerate(rows) for _ in r["stretches"]]
-        terms = {w: k for k, w in enumerate(dict.fromkeys(w for q in queries for w in q))}
-        if not terms:
-            continue
-        idf = _idf(docs, terms)
-        items = [[terms[w] for w in q] for q in queries]
-        fit = stored(spark.createDataFrame([(q,) for q in items], "terms array<int>"), "fit")
-        vectors = latent_space(fit, idf)
-        space = (idf[:, None] * vectors).astype(np.float32)
-        latent = np.array([space[q].sum(axis=0) for q in items])
+    out = spark.createDataFrame(
+        [], f"doc_id {kind}, item_id {item_kind}, passage int, share double, "
+        "answer_found boolean, word_start bigint, cosine double")
+    words = cut.select(F.explode(F.flatten("stretches")).alias("word")).distinct().collect()
+    terms = {w: k for k, w in enumerate(sorted(r["word"].encode() for r in words))}
+    if not terms:
+        return out
+    idf, parts = _idf(docs, terms), []
+    for start in range(0, turns, PASS_BLOCKS):
+        names, blocks = [], []
+        for turn in range(start, min(turns, start + PASS_BLOCKS)):
+            rows = cut.where(F.pmod("hash", F.lit(turns)) == turn).orderBy(
+                "item_id", "passage", "hash").collect()
+            blocks.append(_block(spark, rows, len(names), terms, idf))
+            names += [(len(names) + k, r["item_id"], r["passage"]) for k, r in enumerate(rows)]
         found = docs.select("doc_id", "text").mapInArrow(
-            partial(_search, terms=terms, items=items, owners=owners, space=space, norms=latent,
+            partial(_search, terms=terms, blocks=[b for b in blocks if b],
                     schema=["doc_id", "query", "share", "answer_found", "word_start", "cosine"]),
             f"doc_id {kind}, query int, share double, answer_found boolean, "
             "word_start bigint, cosine double")
         names = F.broadcast(spark.createDataFrame(
-            [(k, r["item_id"], r["passage"]) for k, r in enumerate(rows)],
-            f"query int, item_id {item_kind}, passage int"))
-        found = found.join(names, "query").select(
-            "doc_id", "item_id", "passage", "share", "answer_found", "word_start", "cosine")
-        out = found if out is None else out.union(found)
-    if out is None:
-        return spark.createDataFrame(
-            [], f"doc_id {kind}, item_id {item_kind}, passage int, share double, "
-            "answer_found boolean, word_start bigint, cosine double")
-    return out
+            names, f"query int, item_id {item_kind}, passage int"))
+        parts.append(found.join(names, "query").select(out.columns))
+    return reduce(DataFrame.union, parts)

@@ -61,8 +61,9 @@ def test_paraphrases_and_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypatc
         spark.createDataFrame(planted, "doc_id bigint, text string"))
     bench = spark.createDataFrame([(i, t, 1) for i, t in items],
                                   "item_id bigint, text string, doc_id int")
-    for most in (1024, 2):  # one block of queries, and several
+    for most, served in ((1024, 8), (2, 8), (2, 3)):  # one block; several, in one reading or more
         monkeypatch.setattr(decontam, "QUERY_BLOCK", most)
+        monkeypatch.setattr(decontam, "PASS_BLOCKS", served)
         rows = decontam.matches(docs, bench).collect()
         got = {(r.doc_id, r.item_id, r.passage) for r in rows}
         assert got == brute(odd_rows + planted, items)
@@ -73,6 +74,26 @@ def test_paraphrases_and_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypatc
     assert decontam.matches(docs, bench.where("item_id in (5, 6)")).count() == 0
 
 
+def test_readings_do_not_grow_with_the_blocks(spark, tmp_path, monkeypatch):
+    """Three query blocks: the documents are read once for the frequencies, once for the search."""
+    rng = random.Random(12)
+    items = [(k, prose(rng, 40, 3000)) for k in range(30)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(k, prose(rng, 90) + " " + t) for k, t in items],
+                          "doc_id bigint, text string").write.parquet(path)
+    counted = []
+    plain = decontam._idf
+    monkeypatch.setattr(decontam, "_idf", lambda *a: counted.append(1) or plain(*a))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for block in (512, 10):
+        monkeypatch.setattr(decontam, "QUERY_BLOCK", block)
+        counted.clear()
+        found = decontam.matches(spark.read.parquet(path), bench)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert len(counted) == 1 and plan.count("MapInArrow ") == 1, plan
+        assert {(r.doc_id, r.item_id) for r in found.collect()} >= {(k, k) for k, _ in items}
+
+
 def test_quotes_across_passages(spark):
     rng = random.Random(31)
     items = {k: [f"i{k}w{j}" for j in range(n)] for k, n in enumerate([128, 150, 64, 300, 70])}
