@@ -24,6 +24,8 @@ from rillet.sources.tables import table
 
 RENAMED = "renamed"
 DELETE_ONE_ID = 1
+#: Folders of the stored user table: its bands of 50 ids grow with the users.
+BAND_FOLDERS = 64
 
 
 def user_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +177,8 @@ def stored_delete(spark, sf_dir):
     """M5 + M6 + K4 on a stored table: upsert the users and their changes, delete by a
     condition, and delete all rows of one partition."""
     docs = user_docs(spark, sf_dir)
-    stored = DayTable(spark, scratch_path(spark, "stored-delete"), ["id"], ["band"], seq="seq")
+    stored = DayTable(spark, scratch_path(spark, "stored-delete"), ["id"], ["band"], seq="seq",
+                      folders=BAND_FOLDERS)
     band = F.floor(F.col("id") / F.lit(50)).cast("string")
     for part in (docs, user_changes(spark, sf_dir)):
         stored.upsert(part.withColumn("band", band))

@@ -9,6 +9,10 @@ partition overwrite of the days they touch, then empties the batches; in between
 stand in both places and is read once. A delete overwrites the days it touches, with the
 deleted rows marked, so that an older version of a row does not come back.
 
+A table whose partition values grow with its rows has ``folders``, a fixed number of them, by
+hash of these values; the values stand in the files. What is listed, committed and sent to
+the driver then grows no more with the number of values.
+
 One writer at a time; a row is seen as soon as its batch's folder is there.
 """
 
@@ -27,14 +31,14 @@ from rillet.operators.dedup import last_per_key
 
 #: Batches that wait before an upsert compacts them.
 COMPACT = 16
-_WRITE, _GONE, _BATCH = "__write", "__gone", "__batch"
+_WRITE, _GONE, _BATCH, _FOLDER = "__write", "__gone", "__batch", "__folder"
 
 
 class DayTable:
     def __init__(self, spark: SparkSession, path: str, key: list[str],
                  partition_by: list[str], seq: str | None = None,
                  schema: StructType | None = None, partition_types: dict | None = None,
-                 compact: int = COMPACT):
+                 compact: int = COMPACT, folders: int | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.days, self.batches = f"{self.path}/days", f"{self.path}/batches"
         # partition values are typed by declaration (default string), not inferred
@@ -42,6 +46,7 @@ class DayTable:
         self.key, self.partition_by, self.seq = list(key), list(partition_by), seq
         self.identity = list(dict.fromkeys([*self.partition_by, *self.key]))
         self.schema, self.compact_at = schema, compact
+        self.folders, self.layout = folders, [_FOLDER] if folders else self.partition_by
 
     # ---- reads ---------------------------------------------------------------
     def _inferred(self) -> StructType | None:
@@ -55,7 +60,7 @@ class DayTable:
                 raise
             typed = self.spark.createDataFrame([], ", ".join(
                 f"`{c}` {t}" for c, t in self.partition_types.items())).schema
-            own = [f for f in fields if f.name not in (_WRITE, _GONE, _BATCH)]
+            own = [f for f in fields if f.name not in (_WRITE, _GONE, _BATCH, _FOLDER)]
             return StructType([typed[f.name] if f.name in self.partition_types else f for f in own])
         return None
 
@@ -67,7 +72,8 @@ class DayTable:
     def _rows(self, root: str) -> DataFrame:
         """Rows below ``root`` with the time of their write and the mark of a delete."""
         full = StructType([*self._known().fields, StructField(_WRITE, LongType()),
-                           StructField(_GONE, BooleanType())])
+                           StructField(_GONE, BooleanType()),
+                           *([StructField(_FOLDER, LongType())] if self.folders else [])])
         read = full if root == self.days else StructType([*full.fields, StructField(_BATCH, StringType())])
         try:
             return self.spark.read.schema(read).parquet(root).select(*full.names)
@@ -76,6 +82,12 @@ class DayTable:
                 raise
             return self.spark.createDataFrame([], full)
 
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with what their folder is named by."""
+        if not self.folders or _FOLDER in rows.columns:
+            return rows
+        return rows.withColumn(_FOLDER, F.pmod(F.xxhash64(*self.partition_by), F.lit(self.folders)))
+
     def _latest(self, rows: DataFrame) -> DataFrame:
         return last_per_key(rows, self.identity, [*([self.seq] if self.seq else []), _WRITE])
 
@@ -117,20 +129,22 @@ class DayTable:
     def touched_rows(self, batch: DataFrame) -> DataFrame | None:
         """Stored rows of the partitions ``batch`` touches (None if there is no table).
         The days of the batch prune the scan when the join's build side is small."""
-        return self._of_days(self.read(), batch) if self.exists() else None
+        if not self.exists():
+            return None
+        return self._of_days(self.read(), batch).select(*self.schema.names)
 
     def _of_days(self, rows: DataFrame, other: DataFrame) -> DataFrame:
-        days = other.select(*self.partition_by).distinct()
-        same = [rows[c].eqNullSafe(days[c]) for c in self.partition_by]
+        rows, days = self._placed(rows), self._placed(other).select(*self.layout).distinct()
+        same = [rows[c].eqNullSafe(days[c]) for c in self.layout]
         return rows.join(days, same, "left_semi")
 
     # ---- writes ---------------------------------------------------------------
     def _write(self, rows: DataFrame, path: str, mode: str = "static") -> None:
         """Rows by ranges of (partition value, key), from a sample of the batch: a hot day
         is split over many tasks, small days share one, and files have tight key bounds."""
-        order = self.identity
+        rows, order = self._placed(rows), list(dict.fromkeys([*self.layout, *self.identity]))
         (rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
-         .option("partitionOverwriteMode", mode).partitionBy(*self.partition_by).parquet(path))
+         .option("partitionOverwriteMode", mode).partitionBy(*self.layout).parquet(path))
 
     def upsert(self, batch: DataFrame, name: str | None = None) -> None:
         """K4/K5: insert or replace rows by partition and key. ``name`` names the batch;

@@ -152,3 +152,19 @@ def test_partition_and_key_filters_reach_the_scan(spark, table):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(id,1)" in plan and "PartitionFilters: [isnotnull(dt" in plan
     assert [r.v for r in frame.collect()] == [1]
+
+
+def test_folders_do_not_grow_with_the_partition_values(spark, scratch):
+    kept = DayTable(spark, f"{scratch}/many", ["id"], ["band"], seq="seq", folders=4)
+    rows = spark.range(300).select("id", F.col("id").cast("string").alias("band"), F.lit(1).alias("seq"))
+    kept.upsert(rows)
+    kept.upsert(rows.where("id < 10").withColumn("seq", F.lit(2)))
+    kept.delete_where(F.col("id") >= 200)
+    kept.delete_where(F.col("band") == "7")
+    kept.upsert(rows.where("id = 250").withColumn("seq", F.lit(0)))  # older than what was deleted
+    got = {r.id: (r.band, r.seq) for r in kept.read().collect()}
+    assert got == {k: (str(k), 2 if k < 10 else 1) for k in range(200) if k != 7}
+    assert [r.id for r in kept.read_partition(band="12").collect()] == [12]
+    touched = kept.touched_rows(rows.where("id = 12"))
+    assert touched.columns == ["id", "band", "seq"] and touched.where("id = 12").count() == 1
+    assert len({f.rsplit("/", 2)[1] for f in spark.read.parquet(kept.days).inputFiles()}) <= 4
