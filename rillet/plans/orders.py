@@ -38,7 +38,8 @@ def enrich_orders(order_info: DataFrame, users: DataFrame, provinces: DataFrame,
 
 def details(order_detail: DataFrame) -> DataFrame:
     """X11 defaults of the order lines."""
-    return with_defaults(order_detail, ORDER_DETAIL_DEFAULTS)
+    there = {c: v for c, v in ORDER_DETAIL_DEFAULTS.items() if c in order_detail.columns}
+    return with_defaults(order_detail, there)
 
 
 def enriched_orders(spark: SparkSession, sf_dir: str,
@@ -47,11 +48,20 @@ def enriched_orders(spark: SparkSession, sf_dir: str,
                          adapters.base_province(spark, sf_dir), as_of)
 
 
+def _wide_core(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
+    """Wide rows without the province: lines meet their order while they lie by order, and
+    the part last, so that they are moved twice and not three times."""
+    orders = joins.enrich_user(dated_orders(adapters.order_info(spark, sf_dir)),
+                               adapters.user_info(spark, sf_dir), as_of)
+    rows = joins.order_wide(orders, details(adapters.order_lines(spark, sf_dir)))
+    return details(adapters.with_part(spark, sf_dir, rows))
+
+
 def order_wide(spark: SparkSession, sf_dir: str, as_of: str = adapters.USER_AS_OF) -> DataFrame:
     """Wide rows: one per detail whose order exists (inner: the net effect of the
     reference's cross-batch join, which emits only matched pairs)."""
-    return joins.order_wide(enriched_orders(spark, sf_dir, as_of),
-                            details(adapters.order_detail(spark, sf_dir)))
+    return joins.enrich_province(_wide_core(spark, sf_dir, as_of),
+                                 adapters.base_province(spark, sf_dir)).select(*WIDE_COLUMNS)
 
 
 def stored_wide(spark: SparkSession, sf_dir: str, date: str | None = None) -> DataFrame:
@@ -60,8 +70,11 @@ def stored_wide(spark: SparkSession, sf_dir: str, date: str | None = None) -> Da
     would hold a few kilobytes here. ``date`` prunes to its month's folder, and the day's
     filter, pushed to the scan, to the row groups of that day."""
     def write(path: str) -> None:
-        (order_wide(spark, sf_dir).withColumn("create_month", F.substring("create_date", 1, 7))
-         .hint("rebalance", "create_month").sortWithinPartitions("create_month", "create_date", "detail_id")
+        # the few provinces come last: their names are not moved with the rows
+        rows = _wide_core(spark, sf_dir, adapters.USER_AS_OF).withColumn(
+            "create_month", F.substring("create_date", 1, 7)).hint("rebalance", "create_month")
+        (joins.enrich_province(rows, adapters.base_province(spark, sf_dir))
+         .select(*WIDE_COLUMNS, "create_month").sortWithinPartitions("create_month", "create_date", "detail_id")
          .write.partitionBy("create_month").parquet(path))
     path = stored_once(spark, "order-wide", sf_dir, write)
     wide = spark.read.schema(f"{WIDE_SCHEMA}, create_month string").parquet(path)

@@ -191,36 +191,48 @@ DETAIL_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_exten
                 "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def order_detail(spark: SparkSession, sf_dir: str, since: str | None = None,
-                 sku: bool = False) -> DataFrame:
-    """ODS order_detail rows: lineitem joined with part (name, price) and its
-    order (create_time, a minute later per line). id = l_orderkey*1000 + line rank within
-    the order. ``sku`` adds the part's brand and category."""
+def order_lines(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+    """lineitem joined with its order (create_time, a minute later per line).
+    id = l_orderkey*1000 + line rank within the order."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", *DETAIL_ORDER)
-    more = {"p_brand": "tm_name", "p_type": "category_name"} if sku else {}
-    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice", *more)
     o = _since(table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate"), since)
     w = Window.partitionBy("l_orderkey").orderBy(*DETAIL_ORDER)
     ranked = li.withColumn("rn", F.row_number().over(w))
-    j = (ranked.join(o, ranked.l_orderkey == o.o_orderkey, "inner")
-         .join(p, ranked.l_partkey == p.p_partkey, "left"))
+    j = ranked.join(o, ranked.l_orderkey == o.o_orderkey, "inner")
     amount = F.round(F.col("l_extendedprice").cast("decimal(18,2)")
                      * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
     return j.select(
         (F.col("l_orderkey") * 1000 + F.col("rn")).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
-        F.col("p_retailprice").cast("decimal(18,2)").alias("order_price"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),
-        F.col("p_name").alias("sku_name"),
         _order_create_time(F.col("rn") * 60).alias("create_time"),
         amount.cast("decimal(18,2)").alias("split_total_amount"),
         F.lit(0).cast("decimal(18,2)").alias("split_activity_amount"),
         F.lit(0).cast("decimal(18,2)").alias("split_coupon_amount"),
-        *[F.col(c).alias(name) for c, name in more.items()],
     )
 
 
+def with_part(spark: SparkSession, sf_dir: str, lines: DataFrame, sku: bool = False) -> DataFrame:
+    """``lines`` with their part's name and price; ``sku`` adds its brand and category."""
+    more = {"p_brand": "tm_name", "p_type": "category_name"} if sku else {}
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice", *more)
+    p = p.select("p_partkey", F.col("p_retailprice").cast("decimal(18,2)").alias("order_price"),
+                 F.col("p_name").alias("sku_name"),
+                 *[F.col(c).alias(name) for c, name in more.items()])
+    return lines.join(p, lines.sku_id == p.p_partkey, "left").drop("p_partkey")
+
+
+def order_detail(spark: SparkSession, sf_dir: str, since: str | None = None,
+                 sku: bool = False) -> DataFrame:
+    """ODS order_detail rows: order lines with part (name, price). ``sku`` adds the part's
+    brand and category."""
+    more = ["tm_name", "category_name"] if sku else []
+    return with_part(spark, sf_dir, order_lines(spark, sf_dir, since), sku).select(
+        "id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "create_time",
+        "split_total_amount", "split_activity_amount", "split_coupon_amount", *more)
+
+
 def part_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sku dimension for brand/category reports: sku_id, brand, category."""
     p = table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type")
