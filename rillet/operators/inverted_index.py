@@ -27,6 +27,10 @@ from rillet.functions.text import analyze, tokens, within_edits
 from rillet.operators.search import K1, B
 
 PREFIX, MAX_EDITS = 8, 2
+#: Documents whose hits meet in one task.
+TASK_DOCS = 1 << 18
+#: Terms near those of a fuzzy search that are looked up by name; more are joined.
+FOUND_TERMS = 1000
 
 
 def _less_one(word: Column) -> Column:
@@ -58,21 +62,24 @@ def variants(word: str, edits: int) -> list[str]:
 
 def build(docs: DataFrame, id_col: str, text_col: str, path: str) -> None:
     """Write the index of ``docs`` below ``path``."""
-    toks = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       tokens(text_col).alias("toks"))
+    toks = docs.select(F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
     rows = toks.select("id", F.size("toks").alias("len"), F.explode("toks").alias("term"))
     postings = rows.groupBy("term", "id").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
     (postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
      .write.parquet(f"{path}/postings"))
     spark = docs.sparkSession
-    terms = spark.read.parquet(f"{path}/postings").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    stored = spark.read.parquet(f"{path}/postings")
+    terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
     deletes = spark.read.parquet(f"{path}/terms").select(
         F.explode(_variants(F.col("term"))).alias("variant"), "term")
     (deletes.repartitionByRange("variant", "term").sortWithinPartitions("variant", "term")
      .write.parquet(f"{path}/deletes"))
-    length = F.when(F.col("text").isNotNull(), F.size("toks"))
-    toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(length).alias("avgdl")).write.parquet(f"{path}/stats")
+    # the tokens are counted in the postings: no text is tokenised again
+    counts = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.count(F.col(text_col)).alias("n_texts"))
+    total = stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n_tokens"))
+    avgdl = F.when(F.col("n_texts") > 0, F.col("n_tokens").cast("double") / F.col("n_texts"))
+    counts.crossJoin(total).select("n_docs", avgdl.alias("avgdl")).write.parquet(f"{path}/stats")
 
 
 class Index:
@@ -82,6 +89,11 @@ class Index:
         self.deletes = spark.read.parquet(f"{path}/deletes")
         self.stats = spark.read.parquet(f"{path}/stats")
 
+    def by_id(self, rows: DataFrame, id_col: str = "id") -> DataFrame:
+        """``rows`` by id in parts of about ``TASK_DOCS`` documents: what a task holds does not
+        grow with the index, whatever number of partitions the session has."""
+        return rows.repartition(max(1, -(-self.stats.first()["n_docs"] // TASK_DOCS)), id_col)
+
     def _of(self, terms: list[str]) -> DataFrame:
         return self.postings.where(F.col("term").isin(terms) if terms else F.lit(False))
 
@@ -105,7 +117,7 @@ class Index:
     def match_all(self, query: str) -> DataFrame:
         """``id`` of documents that hold every term of the query."""
         terms = sorted(set(analyze(query)))
-        held = self._of(terms).groupBy("id").agg(F.count(F.lit(1)).alias("held"))
+        held = self.by_id(self._of(terms)).groupBy("id").agg(F.count(F.lit(1)).alias("held"))
         return held.where(F.col("held") == len(terms)).select("id")
 
     def near(self, term: str, max_edits: int = MAX_EDITS) -> DataFrame:
@@ -122,6 +134,11 @@ class Index:
             return self.postings.select("id").limit(0)
         found = reduce(DataFrame.unionByName, [
             self.near(t, max_edits).withColumn("asked", F.lit(k)) for k, t in enumerate(terms)])
-        held = self.postings.join(found, "term").select("id", "asked").distinct()
+        few = found.limit(FOUND_TERMS + 1).collect()
+        postings = self.postings
+        if len(few) <= FOUND_TERMS:  # their row groups are read, and no distance is taken again there
+            found = F.broadcast(found.sparkSession.createDataFrame(few, found.schema))
+            postings = self._of(sorted({r["term"] for r in few}))
+        held = self.by_id(postings.join(found, "term").select("id", "asked")).distinct()
         return held.groupBy("id").agg(F.count(F.lit(1)).alias("held")).where(
             F.col("held") == len(terms)).select("id")

@@ -26,8 +26,11 @@ def item_index(spark: SparkSession, sf_dir: str) -> Index:
         wide, "detail_id", "sku_name", path)))
 
 
-def _names(spark: SparkSession, sf_dir: str, hits: DataFrame) -> DataFrame:
+def _names(spark: SparkSession, sf_dir: str, hits: DataFrame, index: Index | None = None) -> DataFrame:
+    """The hits' rows; ``index`` deals them by id, for hits of any number."""
     wide = stored_wide(spark, sf_dir).select("detail_id", "sku_name")
+    if index is not None:
+        wide = index.by_id(wide, "detail_id").hint("merge")
     return wide.join(hits.withColumnRenamed("id", "detail_id"), "detail_id")
 
 
@@ -39,17 +42,20 @@ def bm25_index_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose name holds every term."""
-    return _names(spark, sf_dir, item_index(spark, sf_dir).match_all(ANY_ITEM))
+    index = item_index(spark, sf_dir)
+    return _names(spark, sf_dir, index.match_all(ANY_ITEM), index)
 
 
 def fuzzy_index_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two edits, by the term dictionary."""
-    return _names(spark, sf_dir, item_index(spark, sf_dir).fuzzy(FUZZY_TERM, 2))
+    index = item_index(spark, sf_dir)
+    return _names(spark, sf_dir, index.fuzzy(FUZZY_TERM, 2), index)
 
 
 def fuzzy_index_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An exchange of neighbours is one edit."""
-    return _names(spark, sf_dir, item_index(spark, sf_dir).fuzzy("wdiget", 1))
+    index = item_index(spark, sf_dir)
+    return _names(spark, sf_dir, index.fuzzy("wdiget", 1), index)
 
 
 def highlight_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
