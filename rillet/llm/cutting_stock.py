@@ -28,6 +28,7 @@ result; columns other than ``doc_id`` and ``text`` are ignored. Sequence ids: pa
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from functools import lru_cache, partial
 
@@ -49,19 +50,25 @@ UNIT = 16
 GAP, STALL = 1e-4, 2
 #: First id of sequences that one document fills.
 WHOLE = 1 << 62
-#: Words whose ids a worker remembers, twice as many at the most besides one batch.
+#: Words encoded together at the most.
 KNOWN_WORDS = 1 << 18
-#: Marks that end a word and are a token if they stand alone.
-STOPS = ".,;:!?"
+#: Longer words are left to the library, whose merges take no square of a word's length.
+LONGEST = 256
 #: A text is tokenised in stretches of about this many code points, cut at white space.
 STRETCH = 1 << 21
 #: Rows of one bucket of a prefix sum; tokens of one bucket of the line of gaps.
 SUM_ROWS, LINE_TOKENS = 512, 4096
 
-#: Texts with other characters are left to the library: below U+0300 a text is in normal
-#: form, lower case goes letter by letter and white space is the same everywhere.
+#: Written behind each part of a word that is merged by itself, and behind a word. Texts with
+#: such characters are left to the library, which takes them for no white space.
+MARK, EDGE = "\x1d", "\x1e"
+UNSPLIT = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(r"\s")
-UNSURE = re.compile("[\x1c-\x1f\x85\u0130\u0300-\U0010ffff]")
+#: Words with other characters are left to the library: below U+0300 a word is in normal form
+#: and lower case goes letter by letter.
+UNSURE = r"[\x{130}\x{300}-\x{10FFFF}]"
+#: Kinds of characters.
+BLANK, LETTER, NUMBER, OTHER = range(4)
 
 
 def tokenizer_file() -> str:
@@ -70,67 +77,111 @@ def tokenizer_file() -> str:
     return public.path("word_bpe_49k.json")
 
 
+def _kinds() -> np.ndarray:
+    """Kind of every code point below U+10000."""
+    kinds = {"L": LETTER, "N": NUMBER}
+    found = [BLANK if chr(c).isspace() else kinds.get(unicodedata.category(chr(c))[0], OTHER)
+             for c in range(1 << 16)]
+    return np.array(found, np.uint8)
+
+
+def merge_ranks(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """The vocabulary's tokens as bytes, the end of a word as ``MARK``. Ids grow in the order
+    of the merges, and each token comes of one merge, so that joining the neighbours of the
+    least id gives what the merges give."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+    ranks = {}
+    for token, id_ in vocabulary.items():
+        stem = token.removesuffix("</w>")
+        ranks[bytes(byte[c] for c in stem) + (b"" if stem == token else MARK.encode())] = id_
+    return ranks
+
+
 class Encoder:
     """Ids of texts, equal to the library's ``encode`` without special tokens added. No
     token spans white space in this vocabulary, so the distinct words of many texts are
-    looked up, new ones are encoded together, and ids are gathered by word."""
+    encoded once, through a faster library that reads the same vocabulary, and ids are
+    gathered by word."""
 
     def __init__(self, model: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(model)
         self.special = [t.content for t in self.plain.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        ranks = merge_ranks(self.plain.get_vocab(with_added_tokens=False))
+        self.fast = tiktoken.Encoding("words", pat_str=f"{EDGE}|[^{MARK}{EDGE}]+{MARK}",
+                                      mergeable_ranks=ranks, special_tokens={})
+        self.edge = ranks[EDGE.encode()]
+        self.unsure = "|".join([UNSURE, *map(re.escape, self.special)])
+        self.kinds = _kinds()
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words, by the places of their tokens in a text of all of them."""
-        found = self.plain.encode(" ".join(words), add_special_tokens=False)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
-        bounds = np.searchsorted(at, ends)
-        ids, start = np.array(found.ids, np.uint32), 0
-        for word, stop in zip(words, bounds.tolist()):
-            self.known[word] = ids[start:stop].tobytes()
-            start = stop
-
-    def _lookup(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words. A stop after letters is a token of its own, so that such
-        words need not be known as a whole."""
-        if len(self.known) > KNOWN_WORDS:  # words not asked for since the last time go
-            self.known, self.older = {}, self.known
-        stems = [w[:-1] if w[-1:] in STOPS and w[:-1].isalpha() else w for w in words]
-        new = []
-        for w in [*dict.fromkeys(stems), *STOPS]:
-            if w not in self.known:
-                ids = self.older.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    self.known[w] = ids
-        if new:
-            self._learn(new)
-        known = self.known
-        return [known[s] if s is w else known[s] + known[w[-1]] for s, w in zip(stems, words)]
+    def _marked(self, words: list[str]) -> str:
+        """Words with a mark behind each part that the library would merge by itself: a
+        contraction, a run of letters, a single number, a run of others."""
+        codes = np.frombuffer((" ".join(words).lower() + " ").encode("utf-16-le"), np.uint16)
+        kind = self.kinds[codes]
+        starts = kind == NUMBER
+        starts[1:] |= kind[1:] != kind[:-1]
+        starts[0] = True
+        # an apostrophe within a run of others is none of a contraction
+        at = np.flatnonzero((codes == ord("'")) & starts)
+        at = at[kind[at + 1] == LETTER]
+        pair = codes[at + 1].astype(np.uint32) << 16 | codes[at + 2]
+        size = np.where(np.isin(codes[at + 1], [ord(c) for c in "stmd"]), 1, np.where(
+            np.isin(pair, [ord(a) << 16 | ord(b) for a, b in ("re", "ve", "ll")]), 2, 0))
+        at, size = at[size > 0], size[size > 0]
+        starts[at + 1] = False
+        starts[at + 1 + size] = True
+        marks = starts.copy()
+        marks[1:] &= kind[:-1] != BLANK
+        marks[0] = False
+        out = np.full(len(codes) + int(marks.sum()), ord(MARK), np.uint16)
+        out[np.arange(len(codes)) + np.cumsum(marks)] = np.where(kind == BLANK, ord(EDGE), codes)
+        return out.tobytes().decode("utf-16-le")
+
+    def _sure(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word) of words for the faster library."""
+        found = self.fast.encode_to_numpy(self._marked(words), disallowed_special=())
+        edge = found == self.edge
+        return found[~edge], np.diff(np.flatnonzero(edge), prepend=-1) - 1
+
+    def _lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, each word's first place there, number of its ids) of distinct words."""
+        left = pc.or_(pc.greater(pc.utf8_length(words), LONGEST),
+                      pc.match_substring_regex(words, self.unsure)).to_numpy(zero_copy_only=False)
+        ids, sizes = [], np.zeros(len(words), np.int64)
+        sure = np.flatnonzero(~left)
+        for k in range(0, len(sure), KNOWN_WORDS):
+            some = sure[k:k + KNOWN_WORDS]
+            found, sizes[some] = self._sure(words.take(pa.array(some)).to_pylist())
+            ids.append(found)
+        for k in np.flatnonzero(left):
+            ids.append(self._encode(words[int(k)].as_py()))
+            sizes[k] = len(ids[-1])
+        order = np.concatenate([sure, np.flatnonzero(left)])
+        first = np.zeros(len(words), np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), first, sizes
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         out: list = [None] * len(texts)
         sure = []
         for k, text in enumerate(texts):
-            if UNSURE.search(text) or any(s in text for s in self.special):
+            if UNSPLIT.search(text):
                 out[k] = self._encode(text)
             else:
                 sure.append(k)
-        split = pc.utf8_split_whitespace(pa.array([texts[k].lower() for k in sure], pa.large_string()))
+        split = pc.utf8_split_whitespace(pa.array([texts[k] for k in sure], pa.large_string()))
         words = split.flatten().dictionary_encode()
-        distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
-        ids = self._lookup(distinct)
-        sizes = np.array([len(i) >> 2 for i in ids], np.int64)
-        flat, first = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
+        index = words.indices.to_numpy()
+        flat, first, sizes = self._lookup(words.dictionary)
         sizes = sizes[index]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
@@ -144,7 +195,7 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         """Ids of one text of any length, by stretches that end at white space."""
         parts, start = [], 0
-        if UNSURE.search(text) or any(s in text for s in self.special):
+        if UNSPLIT.search(text):
             return self._encode(text)
         while start < len(text):
             space = SPACE.search(text, start + STRETCH)

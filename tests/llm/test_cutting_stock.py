@@ -90,6 +90,42 @@ def test_encoder_equals_the_library(monkeypatch):
     assert [fast.ids(text).tolist() for text in texts] == want
 
 
+def test_encoder_equals_the_library_on_its_vocabulary():
+    """Every token as a word and within one, and words made of random tokens."""
+    model = Tokenizer.from_file(cutting_stock.tokenizer_file())
+    encoder = cutting_stock.Encoder(cutting_stock.tokenizer_file())
+    ranks = cutting_stock.merge_ranks(model.get_vocab(with_added_tokens=False))
+    assert len(ranks) == len(set(ranks.values())) == 49406
+    tokens = [r.decode("utf-8", "ignore").replace(cutting_stock.MARK, "") for r in ranks]
+    tokens = [t for t in tokens if t and not cutting_stock.UNSPLIT.search(t)]
+    rng = random.Random(2)
+    words = tokens + [f"{t}x" for t in tokens] + [f"x{t}" for t in tokens]
+    words += ["".join(rng.choices(tokens, k=rng.randrange(2, 6))) for _ in range(30000)]
+    words += ["it's", "'s", "''s", "x''s's", "'sts", "we'llx'", "'re've1'd", "!'s", "1's", "'re", "r'e", "'l", "a'", "'"]
+    texts = [" ".join(words[k:k + 500]) for k in range(0, len(words), 500)]
+    for text, ids in zip(texts, encoder.batch(texts)):
+        assert ids.tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_library_gets_odd_words_alone():
+    """A mark or a word beyond the fast path leaves the text's other words on it."""
+    encoder = cutting_stock.Encoder(cutting_stock.tokenizer_file())
+    model, seen = encoder.plain, []
+
+    class Watched:
+        def encode(self, text, **more):
+            seen.append(text)
+            return model.encode(text, **more)
+
+    encoder.plain = Watched()
+    texts = ["The house\u2019s own, it's 12 words!!! (caf\xe9) " * 50, "one \u2014 two \u0394x three", "ab" * 200,
+             "some<|endoftext|>text ends", "", " \u3000 \x85\xa0"]
+    want = [model.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [ids.tolist() for ids in encoder.batch(texts)] == want
+    assert sorted(seen) == sorted(["house\u2019s", "\u2014", "\u0394x", "ab" * 200, "some<|endoftext|>text"])
+    assert [ids.tolist() for ids in encoder.batch([""])] == [[]]
+
+
 def test_linear_program_against_all_patterns():
     """No pattern has a negative reduced cost, and demands are met exactly."""
     rng = random.Random(4)
