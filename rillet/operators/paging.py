@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from rillet.session import no_shuffle_left
+
 
 def page(df: DataFrame, order: list, page_no: int = 1, page_size: int = 20) -> DataFrame:
     """L2: skip (page_no-1)*page_size rows of the ordering, take page_size."""
@@ -17,11 +19,13 @@ def page(df: DataFrame, order: list, page_no: int = 1, page_size: int = 20) -> D
 def write_ordered(df: DataFrame, order: list, path: str, ranges: int | None = None) -> None:
     """An ordered copy of ``df``: a folder per range of the ordering, so that a deep page
     need not pass over the rows before it. ``order`` ends with a unique column. Bounds of
-    the ranges come from a sample; no task sorts more than its range."""
+    the ranges come from a sample; no task sorts more than its range. The shuffle files go
+    when the copy is written."""
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .withColumn("__range", F.spark_partition_id())
-     .write.partitionBy("__range").parquet(path))
+    with no_shuffle_left(df.sparkSession):
+        (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+         .withColumn("__range", F.spark_partition_id())
+         .write.option("compression", "zstd").partitionBy("__range").parquet(path))
 
 
 class Ordered:

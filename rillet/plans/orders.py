@@ -48,12 +48,13 @@ def enriched_orders(spark: SparkSession, sf_dir: str,
                          adapters.base_province(spark, sf_dir), as_of)
 
 
-def _wide_core(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
-    """Wide rows without the province: lines meet their order while they lie by order, and
-    the part last, so that they are moved twice and not three times."""
-    orders = joins.enrich_user(dated_orders(adapters.order_info(spark, sf_dir)),
+def _wide_core(spark: SparkSession, sf_dir: str, as_of: str,
+               part: adapters.Pass | None = None) -> DataFrame:
+    """Wide rows without the province, of one pass if ``part`` is given: lines meet their order
+    while they lie by order, and the part last, so that they are moved twice and not three times."""
+    orders = joins.enrich_user(dated_orders(adapters.order_info(spark, sf_dir, part=part)),
                                adapters.user_info(spark, sf_dir), as_of)
-    rows = joins.order_wide(orders, details(adapters.order_lines(spark, sf_dir)))
+    rows = joins.order_wide(orders, details(adapters.order_lines(spark, sf_dir, part=part)))
     return details(adapters.with_part(spark, sf_dir, rows))
 
 
@@ -68,14 +69,16 @@ def stored_wide(spark: SparkSession, sf_dir: str, date: str | None = None) -> Da
     """The wide table as the order job leaves it: written once per application and input,
     one folder per month of the order day, files ordered by day and id. A folder per day
     would hold a few kilobytes here. ``date`` prunes to its month's folder, and the day's
-    filter, pushed to the scan, to the row groups of that day."""
+    filter, pushed to the scan, to the row groups of that day. Orders and their lines come in
+    passes by order, and a pass's shuffle files go when it is written."""
     def write(path: str) -> None:
-        # the few provinces come last: their names are not moved with the rows
-        rows = _wide_core(spark, sf_dir, adapters.USER_AS_OF).withColumn(
-            "create_month", F.substring("create_date", 1, 7)).hint("rebalance", "create_month")
-        (joins.enrich_province(rows, adapters.base_province(spark, sf_dir))
-         .select(*WIDE_COLUMNS, "create_month").sortWithinPartitions("create_month", "create_date", "detail_id")
-         .write.partitionBy("create_month").parquet(path))
+        for part in adapters.order_passes(spark, sf_dir):
+            # the few provinces come last: their names are not moved with the rows
+            rows = _wide_core(spark, sf_dir, adapters.USER_AS_OF, part).withColumn(
+                "create_month", F.substring("create_date", 1, 7)).hint("rebalance", "create_month")
+            wide = joins.enrich_province(rows, adapters.base_province(spark, sf_dir)).select(
+                *WIDE_COLUMNS, "create_month").sortWithinPartitions("create_month", "create_date", "detail_id")
+            wide.write.mode("append").option("compression", "zstd").partitionBy("create_month").parquet(path)
     path = stored_once(spark, "order-wide", sf_dir, write)
     wide = spark.read.schema(f"{WIDE_SCHEMA}, create_month string").parquet(path)
     if date is not None:

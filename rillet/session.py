@@ -6,9 +6,10 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
@@ -70,17 +71,68 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _SCRATCH: list[str] = []
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a scratch folder; whether there was one."""
+    files, at = _at(spark, path)
+    return files.delete(at, True)
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below ``paths``."""
+    return sum(files.getContentSummary(at).getLength() for files, at in (_at(spark, p) for p in paths))
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the scratch tables that this process asked for; how many there were. For the
     end of an application, when no result that reads them is needed any more."""
     gone = 0
     while _SCRATCH:
-        at = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        gone += at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        gone += drop_path(spark, _SCRATCH.pop())
     _STORED.clear()
     return gone
 
 
+#: Bytes of input whose rows one pass of a large write moves.
+PASS_BYTES = 256 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def conf_set(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """``wanted`` settings hold inside."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def no_shuffle_left(spark: SparkSession):
+    """The shuffle files of a job that runs inside go when it ends, instead of when the
+    driver next collects garbage."""
+    return conf_set(spark, {CLEANUP: "true"})
+
+
+def passes(spark: SparkSession, *paths: str) -> int:
+    """Passes in which a table derived from ``paths`` is written, so that the shuffle files
+    that stand on disk at a time do not grow with the input."""
+    return max(1, -(-stored_bytes(spark, *paths) // PASS_BYTES))
+
+
+def in_pass(key: str, part: int, parts: int) -> Column:
+    """Rows of pass ``part``: equal keys come in one pass, those without a key in one, too."""
+    return F.pmod(F.xxhash64(F.col(key).try_cast("bigint")), F.lit(parts)) == part
+
+
 _STORED: dict[tuple[str, str, str, tuple], str] = {}
 
 
@@ -96,10 +148,12 @@ def state_of_input(spark: SparkSession, source: str) -> tuple:
 def stored_once(spark: SparkSession, name: str, source: str, write: Callable[[str], None]) -> str:
     """Path of a table derived from the files below ``source``: ``write(path)`` fills it at
     the first call of an application, in the shared folder; later calls give the same path
-    as long as these files are the same, and a new one once they changed."""
-    known = (spark.sparkContext.applicationId, name, source, state_of_input(spark, source))
-    if known not in _STORED:
-        path = scratch_path(spark, name)
-        write(path)
-        _STORED[known] = path
+    as long as these files are the same, and a new one once they changed. No shuffle file of
+    the writing is left."""
+    with no_shuffle_left(spark):
+        known = (spark.sparkContext.applicationId, name, source, state_of_input(spark, source))
+        if known not in _STORED:
+            path = scratch_path(spark, name)
+            write(path)
+            _STORED[known] = path
     return _STORED[known]

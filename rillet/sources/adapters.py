@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.time import epoch_millis
 from rillet.operators.ordered import chunked_previous
-from rillet.session import stored_once
+from rillet.session import in_pass, passes, stored_once
 from rillet.sources.tables import table
 
 # Fixed values of the change-record derivation (cycled by key).
@@ -163,10 +163,27 @@ def _since(orders: DataFrame, since: str | None) -> DataFrame:
     return orders.where(F.col("o_orderdate") >= F.lit(since).cast("date").cast("timestamp_ntz"))
 
 
-def order_info(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
-    """ODS order_info rows (before enrichment), of the days from ``since`` on."""
-    o = _since(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
-                     "o_totalprice", "o_orderdate"), since)
+#: One pass of several over the orders: its number and how many there are.
+Pass = tuple[int, int]
+
+
+def _of_pass(rows: DataFrame, key: str, part: Pass | None) -> DataFrame:
+    """The rows of one pass by their order's key."""
+    return rows if part is None or part[1] == 1 else rows.where(in_pass(key, *part))
+
+
+def order_passes(spark: SparkSession, sf_dir: str) -> list[Pass]:
+    """The passes in which tables of all orders and lines are written."""
+    n = passes(spark, *[f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("orders", "lineitem")])
+    return [(k, n) for k in range(n)]
+
+
+def order_info(spark: SparkSession, sf_dir: str, since: str | None = None,
+               part: Pass | None = None) -> DataFrame:
+    """ODS order_info rows (before enrichment), of the days from ``since`` on; of one pass if
+    ``part`` is given."""
+    o = _since(_of_pass(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
+                              "o_totalprice", "o_orderdate"), "o_orderkey", part), since)
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
     return j.select(
@@ -191,11 +208,12 @@ DETAIL_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_exten
                 "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def order_lines(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, since: str | None = None,
+                part: Pass | None = None) -> DataFrame:
     """lineitem joined with its order (create_time, a minute later per line).
-    id = l_orderkey*1000 + line rank within the order."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", *DETAIL_ORDER)
-    o = _since(table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate"), since)
+    id = l_orderkey*1000 + line rank within the order. ``part`` as in ``order_info``."""
+    li = _of_pass(table(spark, sf_dir, "lineitem", "l_orderkey", *DETAIL_ORDER), "l_orderkey", part)
+    o = _since(_of_pass(table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate"), "o_orderkey", part), since)
     w = Window.partitionBy("l_orderkey").orderBy(*DETAIL_ORDER)
     ranked = li.withColumn("rn", F.row_number().over(w))
     j = ranked.join(o, ranked.l_orderkey == o.o_orderkey, "inner")
@@ -224,11 +242,11 @@ def with_part(spark: SparkSession, sf_dir: str, lines: DataFrame, sku: bool = Fa
 
 
 def order_detail(spark: SparkSession, sf_dir: str, since: str | None = None,
-                 sku: bool = False) -> DataFrame:
+                 sku: bool = False, part: Pass | None = None) -> DataFrame:
     """ODS order_detail rows: order lines with part (name, price). ``sku`` adds the part's
-    brand and category."""
+    brand and category; ``part`` as in ``order_info``."""
     more = ["tm_name", "category_name"] if sku else []
-    return with_part(spark, sf_dir, order_lines(spark, sf_dir, since), sku).select(
+    return with_part(spark, sf_dir, order_lines(spark, sf_dir, since, part), sku).select(
         "id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "create_time",
         "split_total_amount", "split_activity_amount", "split_coupon_amount", *more)
 

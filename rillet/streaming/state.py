@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from rillet.session import conf_set
+
 #: Groups of keys that share a state, and rows that go to it in one call.
 BUCKETS, PART = 512, 10_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -25,14 +27,8 @@ def rocksdb_state(spark: SparkSession, partitions: int | None = None):
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
+    with conf_set(spark, wanted):
         yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def next_midnight(millis: int, tz: str) -> int:

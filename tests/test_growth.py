@@ -2,11 +2,14 @@
 parts in which hits meet."""
 
 import datetime as dt
+import glob
 
 from pyspark.sql import functions as F
 
-from rillet.operators import inverted_index
+from rillet import session
+from rillet.operators import inverted_index, paging
 from rillet.plans import orders, streams
+from rillet.sources import adapters
 
 
 def tables(spark, root):
@@ -65,3 +68,43 @@ def test_hits_meet_in_parts_of_bounded_size(spark, scratch, monkeypatch):
     assert {r.id for r in index.fuzzy("widgit").collect()} == set(range(0, 60, 2))
     stats = index.stats.first()
     assert (stats["n_docs"], stats["avgdl"]) == (60, 1.5)
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+
+def test_the_wide_table_is_written_in_passes_that_leave_no_shuffle_files(spark, scratch, monkeypatch):
+    sf = tables(spark, f"{scratch}/sf")
+    want = sorted(orders.order_wide(spark, sf).collect(), key=str)
+    size = session.stored_bytes(spark, f"{sf}/orders.parquet", f"{sf}/lineitem.parquet")
+    monkeypatch.setattr(session, "PASS_BYTES", size // 2 + 1)
+    assert adapters.order_passes(spark, sf) == [(0, 2), (1, 2)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffle_files(spark)
+        wide = orders.stored_wide(spark, sf)
+        assert not shuffle_files(spark) - before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(wide.select(*orders.WIDE_COLUMNS).collect(), key=str) == want and len(want) == 24
+
+
+def test_passes_hold_every_row_once(spark):
+    rows = spark.createDataFrame([(None,), ("7",), ("7",), ("x",), ("x",), ("8",)], "k string")
+    parts = [rows.where(session.in_pass("k", p, 4)).collect() for p in range(4)]
+    assert sorted(str(r.k) for part in parts for r in part) == ["7", "7", "8", "None", "x", "x"]
+    assert all(len({k for k in range(4) for r in parts[k] if r.k == v}) == 1 for v in ("7", "x", None))
+    numbers = spark.sql("select 7 as i, 7L as l, 7.00 as d")
+    assert sum(numbers.where(session.in_pass("i", p, 4) & session.in_pass("l", p, 4)
+                             & session.in_pass("d", p, 4)).count() for p in range(4)) == 1
+
+
+def test_an_ordered_copy_leaves_no_shuffle_files(spark, scratch):
+    before = shuffle_files(spark)
+    order = [F.desc("v"), F.asc("id")]
+    rows = spark.range(3000).select("id", (F.col("id") % 7).alias("v"))
+    paging.write_ordered(rows, order, f"{scratch}/o", 4)
+    assert not shuffle_files(spark) - before
+    assert paging.Ordered(spark, f"{scratch}/o", order, rows.schema).total == 3000
