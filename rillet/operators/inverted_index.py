@@ -1,7 +1,8 @@
 """Search over an inverted index (T1-T5): postings in files ordered by term.
 
-``build`` writes four tables: postings (term, id, tf, len), ordered by (term, id), so that a
-term's rows stand in few row groups and a term of a third of all documents in many files;
+``build`` writes four tables: postings (term, id, tf, len), ordered by (term, id) within each
+pass over the documents, so that a term's rows stand in few row groups of a pass and a term of
+a third of all documents in many files;
 terms (term, df); deletes (variant, term), the forms of a term's first letters with up to
 ``MAX_EDITS`` letters taken out; and stats, one row. A query reads the row groups of its own
 terms: no document is tokenised again.
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 
 from rillet.functions.text import analyze, tokens, within_edits
 from rillet.operators.search import K1, B
+from rillet.session import no_shuffle_left
 
 PREFIX, MAX_EDITS = 8, 2
-#: Documents whose hits meet in one task.
-TASK_DOCS = 1 << 18
+#: Documents whose hits meet in one task, and whose postings are written in one pass.
+TASK_DOCS, PASS_DOCS = 1 << 18, 1 << 24
 #: Terms near those of a fuzzy search that are looked up by name; more are joined.
 FOUND_TERMS = 1000
 
@@ -60,26 +62,40 @@ def variants(word: str, edits: int) -> list[str]:
     return sorted(found)
 
 
-def build(docs: DataFrame, id_col: str, text_col: str, path: str) -> None:
-    """Write the index of ``docs`` below ``path``."""
+def _postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The postings of ``docs`` by (term, id). Tokens move once: a range holds every row of a
+    (term, id), so that they are counted where they lie."""
     toks = docs.select(F.col(id_col).alias("id"), tokens(text_col).alias("toks"))
     rows = toks.select("id", F.size("toks").alias("len"), F.explode("toks").alias("term"))
-    postings = rows.groupBy("term", "id").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
-    (postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
-     .write.parquet(f"{path}/postings"))
+    return (rows.repartitionByRange("term", "id").groupBy("term", "id")
+            .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
+            .sortWithinPartitions("term", "id"))
+
+
+def build(docs: DataFrame, id_col: str, text_col: str, path: str) -> None:
+    """Write the index of ``docs`` below ``path``. The postings come in passes of about
+    ``PASS_DOCS`` documents by id, whose shuffle files go when they are written."""
     spark = docs.sparkSession
-    stored = spark.read.parquet(f"{path}/postings")
-    terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
-    deletes = spark.read.parquet(f"{path}/terms").select(
-        F.explode(_variants(F.col("term"))).alias("variant"), "term")
-    (deletes.repartitionByRange("variant", "term").sortWithinPartitions("variant", "term")
-     .write.parquet(f"{path}/deletes"))
-    # the tokens are counted in the postings: no text is tokenised again
     counts = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.count(F.col(text_col)).alias("n_texts"))
-    total = stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n_tokens"))
-    avgdl = F.when(F.col("n_texts") > 0, F.col("n_tokens").cast("double") / F.col("n_texts"))
-    counts.crossJoin(total).select("n_docs", avgdl.alias("avgdl")).write.parquet(f"{path}/stats")
+    with no_shuffle_left(spark):
+        known = counts.first()
+        parts = max(1, -(-known["n_docs"] // PASS_DOCS))
+        for part in range(parts):
+            some = docs if parts == 1 else docs.where(F.pmod(F.xxhash64(id_col), F.lit(parts)) == part)
+            (_postings(some, id_col, text_col).write.mode("append").option("compression", "zstd")
+             .parquet(f"{path}/postings"))
+        stored = spark.read.parquet(f"{path}/postings")
+        terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+        deletes = spark.read.parquet(f"{path}/terms").select(
+            F.explode(_variants(F.col("term"))).alias("variant"), "term")
+        (deletes.repartitionByRange("variant", "term").sortWithinPartitions("variant", "term")
+         .write.parquet(f"{path}/deletes"))
+        # the tokens are counted in the postings: no text is tokenised again
+        n_docs, n_texts = (F.lit(known[c]).cast("bigint") for c in ("n_docs", "n_texts"))
+        n_tokens = F.coalesce(F.sum("tf"), F.lit(0)).cast("double")
+        stats = stored.agg(F.when(n_texts > 0, n_tokens / n_texts).alias("avgdl"))
+        stats.select(n_docs.alias("n_docs"), "avgdl").write.parquet(f"{path}/stats")
 
 
 class Index:

@@ -108,3 +108,24 @@ def test_an_ordered_copy_leaves_no_shuffle_files(spark, scratch):
     paging.write_ordered(rows, order, f"{scratch}/o", 4)
     assert not shuffle_files(spark) - before
     assert paging.Ordered(spark, f"{scratch}/o", order, rows.schema).total == 3000
+
+
+def test_an_index_in_passes_is_the_index_in_one(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame([(k % 25, f"red {'widget ' * (k % 3)}n{k % 4}") for k in range(25)]
+                                 + [(3, "red n3"), (None, "red one"), (None, "red one"), (90, None)], "id bigint, t string")
+    docs.write.parquet(f"{scratch}/docs")
+    docs = spark.read.parquet(f"{scratch}/docs")
+    before = shuffle_files(spark)
+    inverted_index.build(docs, "id", "t", f"{scratch}/one")
+    plan = inverted_index._postings(docs, "id", "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    monkeypatch.setattr(inverted_index, "PASS_DOCS", 7)
+    inverted_index.build(docs, "id", "t", f"{scratch}/many")
+    assert not shuffle_files(spark) - before
+    one, many = (inverted_index.Index(spark, f"{scratch}/{name}") for name in ("one", "many"))
+    for of in ("postings", "terms", "deletes", "stats"):
+        rows = [sorted(getattr(x, of).drop("len").collect(), key=str) for x in (one, many)]
+        assert rows[0] == rows[1] and rows[0]
+        assert getattr(one, of).schema == getattr(many, of).schema
+    held = {(r.term, r.id): r.tf for r in many.postings.collect()}
+    assert held["red", None] == 2 and held["red", 3] == 2 and held["widget", 2] == 2
