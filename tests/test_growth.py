@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from rillet import session
 from rillet.operators import inverted_index, paging
 from rillet.plans import orders, streams
-from rillet.sources import adapters
+from rillet.sources import adapters, day_table
+from rillet.sources.day_table import DayTable
+from rillet.streaming.sources import in_slices
 
 
 def tables(spark, root):
@@ -129,3 +131,49 @@ def test_an_index_in_passes_is_the_index_in_one(spark, scratch, monkeypatch):
         assert getattr(one, of).schema == getattr(many, of).schema
     held = {(r.term, r.id): r.tf for r in many.postings.collect()}
     assert held["red", None] == 2 and held["red", 3] == 2 and held["widget", 2] == 2
+
+
+def test_the_order_stream_takes_its_records_in_slices_and_drops_them(spark, scratch, monkeypatch):
+    sf = tables(spark, f"{scratch}/sf")
+    size = session.stored_bytes(spark, f"{sf}/orders.parquet", f"{sf}/lineitem.parquet")
+    monkeypatch.setattr(session, "PASS_BYTES", size // 2 + 1)
+    monkeypatch.setattr(streams, "scratch_path", lambda *_: f"{scratch}/run")
+    parts, runs = [], []
+    split, replay = streams._order_slices, streams.replay
+    monkeypatch.setattr(streams, "_order_slices", lambda *a: parts.extend(split(*a)) or parts)
+    monkeypatch.setattr(streams, "replay", lambda steps, once, done: runs.append(replay(steps, once, done)))
+    rows = streams.stream_order_join(spark, sf)
+    assert runs == [6] and len(parts) == 6
+    want = orders.order_wide(spark, sf).select("detail_id", "order_id", "create_date", "user_gender", "province_name")
+    assert sorted(rows.drop("split_total_amount").collect()) == sorted(want.collect()) and rows.count() == 24
+    left = {name: glob.glob(f"{scratch}/run/{name}/**/*.parquet", recursive=True)
+            for name in ("orders", "details", "all-orders", "all-details")}
+    assert not any(left.values())
+
+
+def test_slices_hold_every_record_once(spark, scratch):
+    rows = spark.range(40).select("id", F.when(F.col("id") % 10 != 0, F.col("id")).alias("t"))
+    slices = in_slices([rows.where("id < 25"), rows.where("id >= 25")], "t", [10, 30, 20], f"{scratch}/s")
+    got = [sorted(r.id for r in s.collect()) for s in slices]
+    assert sorted(sum(got, [])) == list(range(40))
+    assert got[0] == [*range(10), 10, 20, 30] and got[1] == list(range(11, 20))
+    assert slices[0].dtypes == rows.dtypes
+
+
+def test_a_day_table_merges_only_what_stands_twice(spark, scratch, monkeypatch):
+    t = DayTable(spark, f"{scratch}/t", ["id"], ["dt"], compact=4)
+    day = F.concat(F.lit("d"), F.floor(F.col("id") / 10).cast("string"))
+    rows = spark.range(30).select("id", F.when(F.col("id") != 29, day).alias("dt"), F.lit(1).alias("v"))
+    t.upsert(rows.union(rows), "a")  # rows that come twice
+    stored = spark.read.parquet(f"{scratch}/t/batches")
+    assert stored.count() == 30 == t.read().count()
+    assert "Aggregate" not in t.read()._jdf.queryExecution().executedPlan().toString()
+    t.upsert(rows.where("id in (3, 29)").withColumn("v", F.lit(2)), "b")
+    want = {(k, 2 if k in (3, 29) else 1) for k in range(30)}
+    assert {(r.id, r.v) for r in t.read().collect()} == want and t.read().count() == 30
+    monkeypatch.setattr(day_table, "NAMED", 1)  # too many to be named: all are merged
+    assert {(r.id, r.v) for r in t.read().collect()} == want and t.read().count() == 30
+    monkeypatch.setattr(day_table, "STEP_ROWS", 12)
+    assert len(t._steps(t._rows(t.batches))) == 4
+    t.compact()
+    assert not t._waiting() and {(r.id, r.v) for r in t.read().collect()} == want
